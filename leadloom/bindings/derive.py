@@ -195,7 +195,7 @@ _M3 = _material(
     f"(300 + {_C} % 20)",
     "\"type\":\"ai_tutor\",\"status\":\"DONE\",\"conversation_id\":\"c' || "
     + _text(_O)
-    + " || '\",\"started_at\":\"\",\"start_conversation\":\"' || "
+    + " || '\",\"started_at\":null,\"start_conversation\":\"' || "
     + _DAY
     + " || ' 11:00:00\",\"end_conversation\":\"' || "
     + _DAY

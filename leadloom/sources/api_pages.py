@@ -22,10 +22,19 @@ def page_schema(item_schema: str, items_field: str = "items") -> str:
     )
 
 
-def read_pages(spark: SparkSession, path: str, item_schema: str, items_field: str = "items") -> DataFrame:
-    """Envelopes of all page files below ``path``, with the file they came from."""
+def read_pages(
+    spark: SparkSession,
+    path: str,
+    item_schema: str,
+    items_field: str = "items",
+    one_per_line: bool = False,
+) -> DataFrame:
+    """Envelopes of all page files below ``path``, with the file they came from.
+
+    A file holds one page, or one page per line.
+    """
     schema = page_schema(item_schema, items_field)
-    pages = spark.read.schema(schema).json(path, multiLine=True)
+    pages = spark.read.schema(schema).json(path, multiLine=not one_per_line)
     return pages.withColumn("page_file", F.col("_metadata.file_path"))
 
 
@@ -43,10 +52,15 @@ def explode_pages(pages: DataFrame, items_field: str = "items", keep: tuple[str,
 
 
 def read_api_pages(
-    spark: SparkSession, path: str, item_schema: str, items_field: str = "items"
+    spark: SparkSession,
+    path: str,
+    item_schema: str,
+    items_field: str = "items",
+    one_per_line: bool = False,
 ) -> DataFrame:
     """Item table of one endpoint from its landed page files."""
-    return explode_pages(read_pages(spark, path, item_schema, items_field), items_field, ("page_file",))
+    pages = read_pages(spark, path, item_schema, items_field, one_per_line)
+    return explode_pages(pages, items_field, ("page_file",))
 
 
 def page_stats(pages: DataFrame, endpoint: str | Column, items_field: str = "items") -> DataFrame:

@@ -171,5 +171,9 @@ def write_sheet(df: DataFrame, path: str, include_index: bool = False) -> None:
 
         order = [F.col(c).asc_nulls_first() for c in df.columns]
         df = add_surrogate_key(df, order_by=order, name="index", start=0)
-    text = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
-    text.write.mode("overwrite").options(quote='"', escape='"').csv(path, header=True)
+    # typed headers may contain dots
+    cells = {c: F.col("`" + c.replace("`", "``") + "`").cast("string") for c in df.columns}
+    text = df.select(*[F.coalesce(cell, F.lit("")).alias(c) for c, cell in cells.items()])
+    # the writer would trim cells by default
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    text.write.mode("overwrite").options(quote='"', escape='"', **keep).csv(path, header=True)
