@@ -502,20 +502,33 @@ def assert_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("doc_id", F.array_join("violated", ",").alias("violated"))
 
 
-@CATALOG.query(
-    "assert_raw_contract",
-    """
-    select 'eduqat_enrollments' as table_name, 'length' as rule, cast(0 as bigint) as violations
-    union all select 'eduqat_enrollments', 'unique', 0
-    union all select 'eduqat_users', 'length', 0 union all select 'eduqat_users', 'unique', 0
-    union all select 'eduqat_courses', 'length', 0 union all select 'eduqat_courses', 'unique', 0
-    union all select 'eduqat_survey_results', 'length', 0 union all select 'eduqat_survey_results', 'unique', 0
-    """,
-)
+_CHECKED = ("eduqat_enrollments", "eduqat_users", "eduqat_courses", "eduqat_survey_results")
+
+
+def _contract_sql() -> str:
+    parts = []
+    for table in _CHECKED:
+        too_long = " or ".join(
+            f'length("{c}") > {n}' for c, n in length_limits(table).items()
+        )
+        parts.append(
+            f"select '{table}' as table_name, 'length' as rule, count(*) as violations "
+            f"from raw_{table} where {too_long}"
+        )
+        for key in UNIQUE_KEYS[table]:
+            cols = ", ".join(key)
+            parts.append(
+                f"select '{table}', 'unique', count(*) from (select {cols} from raw_{table} "
+                f"group by {cols} having count(*) > 1)"
+            )
+    return f"{with_models(*[f'raw_{t}' for t in _CHECKED])} {' union all '.join(parts)}"
+
+
+@CATALOG.query("assert_raw_contract", _contract_sql())
 def assert_raw_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared keys and lengths of the raw tables, as one row per check."""
     checks = []
-    for table in ("eduqat_enrollments", "eduqat_users", "eduqat_courses", "eduqat_survey_results"):
+    for table in _CHECKED:
         raw = derive.raw(spark, sf_dir, table)
         found = {"length": ops.violations_length(raw, length_limits(table))}
         found["unique"] = ops.union_all(

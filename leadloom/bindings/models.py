@@ -11,6 +11,8 @@ from leadloom.bindings.catalog import Catalog, flat
 from leadloom.bindings.model_sql import model, with_models
 from leadloom.operators import attach_list
 from leadloom.plans.marts import agg_enrollments, agg_purchases, latest_leads
+from leadloom.session import shared_path
+from leadloom.sources import materialize
 
 CATALOG = Catalog()
 
@@ -64,9 +66,15 @@ class Models:
     def retention(self) -> DataFrame:
         return plans.int_user_retention(self.chat())
 
+    def leads_table(self) -> DataFrame:
+        """The stacked leads as a written table: the contact mart reads it more
+        than once, and a lost executor does not bring the staging back."""
+        base = shared_path(self.spark, "models")
+        return materialize(self.leads(), "int_all_marketing_leads", "table", base)
+
     def contact(self, **options: bool) -> DataFrame:
         return plans.mart_contact(
-            self.leads(), self.purchases(), self.accounts(), self.enrollments(), **options
+            self.leads_table(), self.purchases(), self.accounts(), self.enrollments(), **options
         )
 
     def enrollment(self) -> DataFrame:
@@ -109,6 +117,7 @@ class Models:
             F.lit("2024-02-01 09:00:00").cast(ntz).alias("created_at"),
             F.lit(None).cast(ntz).alias("updated_at"),
             F.to_variant_object("messages").alias("messages"),
+            "part",
             F.lit("eduqat_ai_conversations").alias("data_source"),
             F.lit(derive.BATCH_TS).cast(ntz).alias("extracted_at"),
         )

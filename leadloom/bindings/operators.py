@@ -218,7 +218,7 @@ def join_full_outer_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     leads = latest_leads(m.leads()).select("email", "phone_number", "nama_usaha")
     return ops.full_outer_on(
         "email",
-        repeated=[m.accounts().select("email", "user_id"), leads],
+        repeated=[ops.Repeated(m.accounts().select("email", "user_id")), ops.Repeated(leads)],
         per_key=[
             agg_purchases(m.purchases()).select("email", "total_purchases"),
             agg_enrollments(m.enrollments()).select("email", "enrolled_courses_count"),
@@ -730,7 +730,7 @@ def json_typeof(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# every metric of the catalogue without a dimension: one row per table
+# without dimensions a metric query returns one row
 @CATALOG.query(
     "metric_totals",
     with_models("mart_materials")

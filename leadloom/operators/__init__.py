@@ -10,7 +10,7 @@ from leadloom.operators.aggregates import (
 )
 from leadloom.operators.attach import attach_list
 from leadloom.operators.dedup import dedup_latest
-from leadloom.operators.joins import drill_across, full_outer_on, left_join, left_join_fanout
+from leadloom.operators.joins import Repeated, drill_across, full_outer_on, left_join, left_join_fanout
 from leadloom.operators.keys import add_surrogate_key
 from leadloom.operators.projection import any_not_null, not_null, project
 from leadloom.operators.quality import (
@@ -26,6 +26,7 @@ from leadloom.operators.setops import union_all, union_by_name
 from leadloom.operators.unnest import unnest_array, unnest_object
 
 __all__ = [
+    "Repeated",
     "add_surrogate_key",
     "aggregate",
     "any_not_null",

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# elements that one row of an attached list holds at most
+CHUNK = 1000
+
+
 def attach_list(
     parents: DataFrame,
     children: DataFrame,
@@ -15,7 +19,7 @@ def attach_list(
     position: str,
     fields: Sequence[str],
     name: str,
-    chunk: int = 1000,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """Parents with an array of child structs; no children gives an empty array.
 

@@ -11,6 +11,7 @@ shuffle; the operators below are written to meet these conditions.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,79 +24,98 @@ def left_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column)
 
 
 def _own_shuffle(df: DataFrame, key: str) -> DataFrame:
-    """Give the next join on ``key`` a shuffle of its own for this side.
+    """Give the next join on ``key``, which is never NULL, a shuffle of its own.
 
     A grouped side is already partitioned by the key, so the join would read the
     grouping's shuffle through the aggregate, and adaptive execution would not
-    split the other side. The rewritten key hides the partitioning; only the
-    grouped rows, one per key, are shuffled again.
+    split the other side. The rewritten key hides the partitioning. It is typed
+    as not null, so that no null test is pushed below the grouping's shuffle,
+    which other branches of the plan share.
     """
-    same = F.concat(F.col(key), F.lit("")) if dict(df.dtypes)[key] == "string" else F.col(key) + F.lit(0)
-    return df.withColumn(key, same)
+    unused = "" if dict(df.dtypes)[key] == "string" else 0
+    return df.withColumn(key, F.coalesce(F.col(key), F.lit(unused)))
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Does Catalyst's size estimate stay below the session's broadcast limit?"""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
 
 
 def left_join_fanout(fact: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join in which ``other`` may repeat a key any number of times.
 
-    A left join cannot split a hot key on its right side. Here matches come from
-    an inner join, where both sides split, and the remaining fact rows from an
-    anti join against the distinct keys. Fact rows with a NULL key never match
-    and bypass both joins.
+    A small ``other`` is broadcast by the planner: nothing is shuffled, so no key
+    can be hot. Beyond that size a left join could not split a hot key on its
+    right side. Matches then come from an inner join, where both sides split, and
+    the remaining fact rows from an anti join against the distinct keys; the two
+    joins share the shuffle of the fact rows. Fact rows with a NULL key never
+    match and bypass both joins.
     """
     keys = list(on)
+    if fits_broadcast(other):
+        return fact.join(other, on=keys, how="left")
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     keyed = fact.where(has_key)
     matches = keyed.join(other, on=keys, how="inner")
     present = _own_shuffle(other.select(*keys).where(has_key).distinct(), keys[0])
     rest = keyed.join(present, on=keys, how="left_anti")
-    unkeyed = fact.where(~has_key)
-    return matches.unionByName(rest.unionByName(unkeyed), allowMissingColumns=True)
+    return _stack([matches, rest, fact.where(~has_key)])
 
 
-def full_outer_on(
-    key: str,
-    repeated: Sequence[DataFrame],
-    per_key: Sequence[DataFrame],
-    repeated_keys: Sequence[DataFrame | None] | None = None,
-) -> DataFrame:
+@dataclass(frozen=True)
+class Repeated:
+    """A table that may hold a key any number of times.
+
+    ``keys`` is a cheaper table with the same keys, if there is one (the rows
+    before a deduplication, say). ``null_keys=False`` states that no key is NULL,
+    which saves the scan for such rows.
+    """
+
+    rows: DataFrame
+    keys: DataFrame | None = None
+    null_keys: bool = True
+
+
+def full_outer_on(key: str, repeated: Sequence[Repeated], per_key: Sequence[DataFrame]) -> DataFrame:
     """Full outer join of several tables on one key, NULL keys unmatched.
 
     The result of a chain of full joins on the coalesced key is, per key, the
     cross product of the tables that have the key. That is computed without a
     full join:
 
-    1. ``per_key`` tables (at most one row per key) and the distinct keys of the
-       ``repeated`` tables are stacked and grouped by key into one row per key
-       that also says which repeated tables hold the key.
+    1. The ``per_key`` tables, which hold a key at most once and never NULL, and
+       the distinct keys of the ``repeated`` tables are stacked and grouped by
+       key: one row per key that also says which repeated tables hold the key.
     2. Each repeated table is inner-joined to the rows that it is known to
-       match; the other rows are appended. Rows with a NULL key are appended.
+       match; the other rows are appended, and its own rows with a NULL key.
 
-    ``repeated_keys`` may name a cheaper table to read the distinct keys from
-    (for example the same rows before a deduplication). Apart from the key, the
-    column names of the tables must not overlap.
+    Apart from the key, the column names of the tables must not overlap.
     """
-    sources = list(repeated_keys or [None] * len(repeated))
-    marks = [f"__has_{i}" for i in range(len(repeated))]
     has_key = F.col(key).isNotNull()
-
-    stacked = [df.where(has_key) for df in per_key]
-    for mark, df, source in zip(marks, repeated, sources, strict=True):
-        keys = (df if source is None else source).select(key).where(has_key).distinct()
-        stacked.append(keys.withColumn(mark, F.lit(True)))
-    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
-    values = [c for c in merged.columns if c != key]
-    out = merged.groupBy(key).agg(*[F.any_value(c, True).alias(c) for c in values])
-
-    for mark, df in zip(marks, repeated, strict=True):
+    marks = [f"__has_{i}" for i in range(len(repeated))]
+    stacked = list(per_key)
+    for mark, table in zip(marks, repeated, strict=True):
+        source = table.rows if table.keys is None else table.keys
+        stacked.append(source.select(key).where(has_key).distinct().withColumn(mark, F.lit(True)))
+    merged = _stack(stacked)
+    values = [F.any_value(c, True).alias(c) for c in merged.columns if c != key]
+    out = merged.groupBy(key).agg(*values)
+
+    for mark, table in zip(marks, repeated, strict=True):
         held = _own_shuffle(out.where(F.col(mark)), key)
-        matched = df.where(has_key).join(held, on=key, how="inner")
-        parts = [matched, out.where(F.col(mark).isNull()), df.where(~has_key)]
-        out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    unkeyed = [df.where(~has_key) for df in per_key]
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [out, *unkeyed])
+        parts = [table.rows.where(has_key).join(held, on=key), out.where(F.col(mark).isNull())]
+        if table.null_keys:
+            parts.append(table.rows.where(~has_key))
+        out = _stack(parts)
     return out.drop(*marks)
 
 
+def _stack(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def drill_across(
     left: DataFrame,
     right: DataFrame,

@@ -1,0 +1,146 @@
+"""From landed extracts to raw tables, and from raw tables to all models."""
+
+from __future__ import annotations
+
+from collections.abc import Collection, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leadloom import plans
+from leadloom.functions.jsonv import json_pack
+from leadloom.operators.attach import attach_list
+from leadloom.operators.keys import add_surrogate_key
+from leadloom.schemas import LEAD_ADDED, RAW
+from leadloom.sources.landing import stamp, typed_load
+from leadloom.sources.sheets import MAX_NAME_BYTES, read_all_sheets, rename_synonyms
+from leadloom.sources.tables import materialize
+
+
+def load_lead_sheets(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    data_source: str,
+    batch_ts: str,
+    header_row: int = 0,
+    exclude: Collection[str] = (),
+) -> DataFrame:
+    """Raw table of one lead workbook: sheet name -> CSV export.
+
+    Synonyms are renamed once, after all sheets are stacked, and names are cut to
+    the length limit after that. The provenance columns stay text, and an ``id``
+    of the sheets becomes ``source_id``.
+    """
+    rows = rename_synonyms(read_all_sheets(spark, paths, header_row, exclude))
+    rows = rows.toDF(*[c[:MAX_NAME_BYTES] for c in rows.columns])
+    rows = add_surrogate_key(stamp(rows, data_source, batch_ts, as_text=True))
+    return rows.withColumn("loaded_at", F.lit(batch_ts).cast(LEAD_ADDED["loaded_at"]))
+
+
+def load_source_table(extract: DataFrame, table: str, batch_ts: str, strict: bool = True) -> DataFrame:
+    """Raw table of a source database table."""
+    return typed_load(stamp(rename_synonyms(extract), table, batch_ts), RAW[table], strict)
+
+
+def load_api_items(items: DataFrame, table: str, batch_ts: str, strict: bool = True) -> DataFrame:
+    """Raw table of an endpoint's items; nested values become VARIANT."""
+    return typed_load(stamp(items, table, batch_ts), RAW[table], strict)
+
+
+def load_ai_conversations(
+    conversations: DataFrame, messages: DataFrame, batch_ts: str, strict: bool = True
+) -> DataFrame:
+    """Raw conversations with their messages attached.
+
+    ``messages`` has conversation_id, an integer ``position`` from 0, and the
+    message fields. A conversation without messages gets NULL, as every empty
+    list does. Long conversations continue on further rows numbered ``part``.
+    """
+    table = "eduqat_ai_conversations"
+    fields = [c for c in messages.columns if c not in ("conversation_id", "position")]
+    nested = attach_list(conversations, messages, "conversation_id", "position", fields, "messages")
+    renames = {"user": "user_data", "educator": "educator_data"}
+    raw = stamp(nested.withColumnsRenamed(renames), table, batch_ts)
+    listed = F.when(F.size("messages") > 0, F.to_variant_object("messages"))
+    raw = raw.withColumn("messages", json_pack(listed))
+    return typed_load(raw, {**RAW[table], "part": "int"}, strict)
+
+
+def build_models(
+    raw: Mapping[str, DataFrame],
+    base: str | None = None,
+    internal_mobiles: Collection[str] = (),
+    strict: bool = True,
+) -> dict[str, DataFrame]:
+    """All 20 models from the 13 raw tables.
+
+    Staging models stay views. With ``base`` the intermediate models and the
+    marts are written below it and read back, so that each is computed once;
+    without it everything stays lazy.
+    """
+
+    def table(name: str, df: DataFrame) -> DataFrame:
+        return df if base is None else materialize(df, name, "table", base)
+
+    m: dict[str, DataFrame] = {}
+    for source in (
+        "leads_ads_community",
+        "website_form_responses",
+        "leads_course_strategi_ads",
+        "branding_level_up",
+        "ai_chat_messages",
+        "ai_chat_sessions",
+        "eduqat_users",
+        "eduqat_courses",
+        "eduqat_survey_results",
+    ):
+        m[f"stg_{source}"] = getattr(plans, f"stg_{source}")(raw[source])
+    m["stg_purchase_form_data"] = plans.stg_purchase_form_data(raw["purchase_form_data"], strict)
+    m["stg_users"] = plans.stg_users(raw["users"], internal_mobiles)
+    m["stg_eduqat_enrollments"] = plans.stg_eduqat_enrollments(raw["eduqat_enrollments"], strict)
+    m["stg_enrollment_materials"] = plans.stg_enrollment_materials(raw["eduqat_enrollments"], strict)
+    m["stg_eduqat_ai_conversations"] = plans.stg_eduqat_ai_conversations(
+        raw["eduqat_ai_conversations"], strict
+    )
+
+    m["int_all_marketing_leads"] = table(
+        "int_all_marketing_leads",
+        plans.int_all_marketing_leads(
+            m["stg_leads_ads_community"],
+            m["stg_website_form_responses"],
+            m["stg_leads_course_strategi_ads"],
+            m["stg_branding_level_up"],
+        ),
+    )
+    m["int_ai_chat_messages"] = table(
+        "int_ai_chat_messages",
+        plans.int_ai_chat_messages(
+            m["stg_ai_chat_messages"], m["stg_ai_chat_sessions"], m["stg_users"]
+        ),
+    )
+    m["int_user_retention"] = table(
+        "int_user_retention", plans.int_user_retention(m["int_ai_chat_messages"])
+    )
+
+    m["mart_contact"] = table(
+        "mart_contact",
+        plans.mart_contact(
+            m["int_all_marketing_leads"],
+            m["stg_purchase_form_data"],
+            m["stg_eduqat_users"],
+            m["stg_eduqat_enrollments"],
+        ),
+    )
+    m["mart_enrollment"] = table(
+        "mart_enrollment",
+        plans.mart_enrollment(
+            m["stg_eduqat_enrollments"], m["stg_eduqat_courses"], m["stg_purchase_form_data"]
+        ),
+    )
+    m["mart_materials"] = table(
+        "mart_materials",
+        plans.mart_materials(
+            m["stg_enrollment_materials"], m["stg_eduqat_enrollments"], m["stg_eduqat_courses"]
+        ),
+    )
+    return m

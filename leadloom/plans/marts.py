@@ -9,7 +9,7 @@ from leadloom.functions.normalize import composite_key, normalize_email
 from leadloom.functions.temporal import days_between, first_non_null, iso_week, iso_year, last_activity
 from leadloom.operators.aggregates import aggregate, count_where, value_of_latest
 from leadloom.operators.dedup import dedup_latest
-from leadloom.operators.joins import full_outer_on, left_join, left_join_fanout
+from leadloom.operators.joins import Repeated, full_outer_on, left_join, left_join_fanout
 from leadloom.operators.projection import any_not_null, not_null
 
 
@@ -96,10 +96,12 @@ def mart_contact(
     )
     everyone = full_outer_on(
         "email",
-        repeated=[platform, latest_leads(leads)],
+        repeated=[
+            Repeated(platform, null_keys=False),
+            # a deduplication per (email, phone) keeps every e-mail
+            Repeated(latest_leads(leads), keys=leads),
+        ],
         per_key=[agg_purchases(purchases), agg_enrollments(enrollments)],
-        # a deduplication per (email, phone) keeps every e-mail
-        repeated_keys=[None, leads],
     )
     return everyone.where(any_not_null("email", "phone_number")).select(
         composite_key(F.col("email"), F.col("phone_number")).alias("contact_key"),

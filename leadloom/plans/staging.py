@@ -18,6 +18,7 @@ from leadloom.functions.normalize import (
     normalize_income,
     normalize_phone,
 )
+from leadloom.operators.attach import CHUNK
 from leadloom.operators.dedup import dedup_latest
 from leadloom.operators.projection import any_not_null, project
 from leadloom.operators.unnest import unnest_array, unnest_object
@@ -332,9 +333,14 @@ def stg_enrollment_materials(raw: DataFrame, strict: bool = True) -> DataFrame:
     return rows.drop("completions")
 
 
-def stg_eduqat_ai_conversations(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """One row per message, numbered from 1."""
-    base = raw.select(
+def stg_eduqat_ai_conversations(raw: DataFrame, strict: bool = True, chunk: int = CHUNK) -> DataFrame:
+    """One row per message, numbered from 1.
+
+    A conversation with more than ``chunk`` messages is landed as several rows
+    numbered by ``part``; its numbering runs through.
+    """
+    before = F.col("part") * chunk if "part" in raw.columns else F.lit(0)
+    base = raw.withColumn("__before", before).select(
         F.col("id").alias("submission_id"),
         "conversation_id",
         "user_id",
@@ -352,6 +358,7 @@ def stg_eduqat_ai_conversations(raw: DataFrame, strict: bool = True) -> DataFram
         "data_source",
         "extracted_at",
         "messages",
+        "__before",
     )
     value = F.col("value")
     rows = unnest_array(
@@ -367,12 +374,12 @@ def stg_eduqat_ai_conversations(raw: DataFrame, strict: bool = True) -> DataFram
         base=1,
     )
     return rows.select(
-        *[c for c in base.columns if c not in ("data_source", "extracted_at", "messages")],
+        *[c for c in base.columns if c not in ("data_source", "extracted_at", "messages", "__before")],
         "message_session_id",
         "message_sender",
         "message_content",
         "message_timestamp",
-        "message_order",
+        (F.col("message_order") + F.col("__before")).alias("message_order"),
         "data_source",
         "extracted_at",
     )
