@@ -32,7 +32,9 @@ def attach_list(
     """
     item = F.struct(F.col(position), *[F.col(f) for f in fields])
     part = F.floor(F.col(position) / F.lit(chunk)).cast("int").alias("part")
-    lists = children.groupBy(key, part).agg(F.array_sort(F.collect_list(item)).alias(name))
+    ordered = F.array_sort(F.collect_list(item))
+    bare = F.transform(ordered, lambda m: F.struct(*[m[f].alias(f) for f in fields]))
+    lists = children.groupBy(key, part).agg(bare.alias(name))
     empty = F.array().cast(lists.schema[name].dataType)
     joined = parents.join(lists, on=key, how="left")
     return joined.withColumns({"part": F.coalesce("part", F.lit(0)), name: F.coalesce(F.col(name), empty)})

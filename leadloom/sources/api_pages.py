@@ -45,10 +45,21 @@ def parse_pages(df: DataFrame, text: str, item_schema: str, items_field: str = "
     return parsed.select(*[c for c in df.columns if c != text], "__page.*")
 
 
-def explode_pages(pages: DataFrame, items_field: str = "items", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per item; an empty page gives none."""
-    rows = pages.select(*keep, F.explode(F.col(items_field)).alias("__item"))
-    return rows.select(*keep, "__item.*")
+def explode_pages(
+    pages: DataFrame,
+    items_field: str = "items",
+    keep: tuple[str, ...] = (),
+    position: str | None = None,
+) -> DataFrame:
+    """One row per item; an empty page gives none.
+
+    ``position`` names a column for the item's place in its page, from 0.
+    """
+    if position is None:
+        rows = pages.select(*keep, F.explode(F.col(items_field)).alias("__item"))
+        return rows.select(*keep, "__item.*")
+    rows = pages.select(*keep, F.posexplode(F.col(items_field)).alias(position, "__item"))
+    return rows.select(*keep, position, "__item.*")
 
 
 def read_api_pages(
