@@ -13,12 +13,14 @@ rows, and JSON documents with missing, null and empty parts.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.functions.normalize import BUSINESS_AGE, EMPLOYEE_COUNT, INCOME
+from leadloom.session import shared_path
+from leadloom.sources.tables import full_refresh
 
 BATCH_TS = "2024-06-10 00:00:00"
 
@@ -435,12 +437,44 @@ def raw_text(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _source(spark, sf_dir, name).selectExpr(*exprs)
 
 
-def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived raw table; JSON columns are VARIANT."""
+def parsed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A derived raw table with its JSON columns as VARIANT, not yet landed."""
     df = raw_text(spark, sf_dir, name)
     return df.withColumns({c: F.parse_json(F.col(c)) for c in JSON_COLUMNS.get(name, [])})
 
 
+# application, data folder and table -> path of the landed table
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def land(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
+    """A raw table as the loaders leave it: a written table in the shared folder.
+
+    It is written at first use and read by every later query of the session. The
+    models then scan it as they would scan any raw table: Spark stores VARIANT
+    columns shredded and reads only the JSON fields a model asks for. A benchmark
+    table too small to give every core a task is spread over the cores first.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _landed:
+        path, df = shared_path(spark, f"raw-{name}"), rows()
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+        full_refresh(df, path, skip_if_empty=False)
+        _landed[key] = path
+    return spark.read.parquet(_landed[key])
+
+
+def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A derived raw table, landed."""
+    return land(spark, sf_dir, name, lambda: parsed(spark, sf_dir, name))
+
+
 def raw_leads(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    """Raw rows of one lead sheet."""
-    return raw_text(spark, sf_dir, "leads").where(F.col("data_source") == source)
+    """The raw table of one lead sheet, landed."""
+
+    def rows() -> DataFrame:
+        return raw_text(spark, sf_dir, "leads").where(F.col("data_source") == source)
+
+    return land(spark, sf_dir, source, rows)

@@ -81,10 +81,18 @@ class Models:
         return plans.mart_enrollment(self.enrollments(), self.courses(), self.purchases())
 
     def material(self) -> DataFrame:
+        return plans.mart_materials_from_raw(self.raw("eduqat_enrollments"), self.courses())
+
+    def material_joined(self) -> DataFrame:
         return plans.mart_materials(self.materials(), self.enrollments(), self.courses())
 
     def raw_conversations(self) -> DataFrame:
         """Conversation documents, their messages nested as a JSON array."""
+        return derive.land(
+            self.spark, self.sf_dir, "eduqat_ai_conversations", self._nested_conversations
+        )
+
+    def _nested_conversations(self) -> DataFrame:
         turns = derive.table(self.spark, self.sf_dir, "conversations")
         stamp = F.lit("2024-02-01T09:00:00Z")
         messages = turns.select(
@@ -152,6 +160,9 @@ _register("int_user_retention", Models.retention)
 _register("mart_contact", Models.contact)
 _register("mart_enrollment", Models.enrollment)
 _register("mart_materials", Models.material)
+CATALOG.query("mart_materials_join", model("mart_materials"))(
+    lambda spark, sf_dir: Models(spark, sf_dir).material_joined()
+)
 _register("agg_purchases", lambda m: agg_purchases(m.purchases()))
 _register("agg_enrollments", lambda m: agg_enrollments(m.enrollments()))
 CATALOG.query("dedup_cross_source", model("latest_leads"))(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadloom.session import ensure_checkpoint_dir
+from leadloom.session import shared_path
 
 
 def add_surrogate_key(
@@ -20,9 +20,9 @@ def add_surrogate_key(
     between runs. With ``order_by`` (a total order) they run ``start``,
     ``start + 1``, ... in that order. Rows are then range-partitioned and sorted,
     and each partition adds the number of rows in the partitions before it, so no
-    task sees all rows. The sorted rows are checkpointed: the offsets and the
-    rows must come from one and the same partitioning, also after an executor
-    was lost.
+    task sees all rows. The sorted rows are written to the shared folder: the
+    offsets and the rows must come from one and the same partitioning, also after
+    an executor was lost, and the offsets need one column of the table only.
     """
     if name in df.columns:
         df = df.withColumnRenamed(name, f"source_{name}")
@@ -30,22 +30,19 @@ def add_surrogate_key(
         return df.select(F.monotonically_increasing_id().alias(name), "*")
 
     # monotonically_increasing_id = partition number << 33 | row number in it
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
-        df.repartitionByRange(*order_by)
-        .sortWithinPartitions(*order_by)
-        .withColumn("__at", F.monotonically_increasing_id())
-        .checkpoint()
-    )
-    partition = F.shiftright(F.col("__at"), 33).alias("__partition")
-    within = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    at, partition = F.col("__at"), F.shiftright(F.col("__at"), 33)
+    ranges = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    path = shared_path(df.sparkSession, "numbered")
+    ranges.withColumn("__at", F.monotonically_increasing_id()).write.parquet(path)
+    placed = df.sparkSession.read.parquet(path).withColumn("__partition", partition)
     # one row per partition, so this window is as small as the partition count
-    sizes = placed.groupBy(partition).agg(F.count("*").alias("__rows"))
+    sizes = placed.groupBy("__partition").agg(F.count("*").alias("__rows"))
     before = Window.orderBy("__partition").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "__partition", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset")
     )
     # bounded by the number of partitions
-    numbered = placed.withColumn("__partition", partition).join(F.broadcast(offsets), on="__partition")
+    numbered = placed.join(F.broadcast(offsets), on="__partition")
+    within = at.bitwiseAND(F.lit((1 << 33) - 1))
     number = (F.col("__offset") + within + F.lit(start)).cast("long").alias(name)
     return numbered.select(number, *df.columns)

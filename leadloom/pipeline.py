@@ -139,8 +139,6 @@ def build_models(
     )
     m["mart_materials"] = table(
         "mart_materials",
-        plans.mart_materials(
-            m["stg_enrollment_materials"], m["stg_eduqat_enrollments"], m["stg_eduqat_courses"]
-        ),
+        plans.mart_materials_from_raw(raw["eduqat_enrollments"], m["stg_eduqat_courses"], strict),
     )
     return m

@@ -1,7 +1,12 @@
 """The 20 models as functions of DataFrames, and the metric layer."""
 
 from leadloom.plans.intermediate import int_ai_chat_messages, int_all_marketing_leads, int_user_retention
-from leadloom.plans.marts import mart_contact, mart_enrollment, mart_materials
+from leadloom.plans.marts import (
+    mart_contact,
+    mart_enrollment,
+    mart_materials,
+    mart_materials_from_raw,
+)
 from leadloom.plans.metrics import METRICS, metric_query
 from leadloom.plans.staging import (
     stg_ai_chat_messages,
@@ -28,6 +33,7 @@ __all__ = [
     "mart_contact",
     "mart_enrollment",
     "mart_materials",
+    "mart_materials_from_raw",
     "metric_query",
     "stg_ai_chat_messages",
     "stg_ai_chat_sessions",

@@ -27,7 +27,11 @@ def int_all_marketing_leads(
 
 
 def int_ai_chat_messages(messages: DataFrame, sessions: DataFrame, users: DataFrame) -> DataFrame:
-    """Messages with their session and user; guest sessions keep a NULL user."""
+    """Messages with their session and user; guest sessions keep a NULL user.
+
+    The user depends on the session only, so sessions are joined to users first
+    and the messages, by far the largest table, are moved once.
+    """
     s = sessions.select(
         F.col("id").alias("session_id"),
         "user_id",
@@ -51,7 +55,7 @@ def int_ai_chat_messages(messages: DataFrame, sessions: DataFrame, users: DataFr
         "message_order",
         F.col("created_at").alias("message_created_at"),
     )
-    joined = left_join(left_join(m, s, "session_id"), u, "user_id")
+    joined = left_join(m, left_join(s, u, "user_id"), "session_id")
     return joined.select(
         "message_id",
         "session_id",

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadloom.functions.jsonv import json_text
 from leadloom.functions.normalize import composite_key, normalize_email
 from leadloom.functions.temporal import days_between, first_non_null, iso_week, iso_year, last_activity
 from leadloom.operators.aggregates import aggregate, count_where, value_of_latest
 from leadloom.operators.dedup import dedup_latest
 from leadloom.operators.joins import Repeated, full_outer_on, left_join, left_join_fanout
 from leadloom.operators.projection import any_not_null, not_null
+from leadloom.plans.staging import stg_enrollment_materials
 
 
 def latest_leads(leads: DataFrame) -> DataFrame:
@@ -222,8 +224,29 @@ def mart_materials(materials: DataFrame, enrollments: DataFrame, courses: DataFr
         "data_source",
         "extracted_at",
     )
-    lookup = courses.select("course_id", "course_name")
-    joined = left_join(left_join(materials, who, "enrollment_id"), lookup, "course_id")
+    return _with_course(left_join(materials, who, "enrollment_id"), courses)
+
+
+def mart_materials_from_raw(raw: DataFrame, courses: DataFrame, strict: bool = True) -> DataFrame:
+    """The same mart without a join to the enrollments.
+
+    Materials and enrollments are unnested from the same raw rows, whose id is
+    unique, so the user's fields can ride along and nothing is shuffled by
+    enrollment.
+    """
+    user = F.col("user_data")
+    carry = {
+        "email": json_text(user, "$.email"),
+        "phone_number": json_text(user, "$.phone_number"),
+        "user_name": json_text(user, "$.name"),
+        "data_source": F.col("data_source"),
+        "extracted_at": F.col("extracted_at"),
+    }
+    return _with_course(stg_enrollment_materials(raw, strict, carry), courses)
+
+
+def _with_course(materials: DataFrame, courses: DataFrame) -> DataFrame:
+    joined = left_join(materials, courses.select("course_id", "course_name"), "course_id")
     return joined.select(
         "enrollment_id",
         "user_id",

@@ -302,9 +302,17 @@ def stg_eduqat_enrollments(raw: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def stg_enrollment_materials(raw: DataFrame, strict: bool = True) -> DataFrame:
-    """One row per member of ``completions.materials``."""
-    base = raw.select(F.col("id").alias("enrollment_id"), "user_id", "course_id", "completions")
+def stg_enrollment_materials(
+    raw: DataFrame, strict: bool = True, carry: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """One row per member of ``completions.materials``.
+
+    ``carry`` adds columns of the enrollment, computed once per enrollment.
+    """
+    carried = [c.alias(name) for name, c in (carry or {}).items()]
+    base = raw.select(
+        F.col("id").alias("enrollment_id"), "user_id", "course_id", *carried, "completions"
+    )
     value = F.col("value")
     rows = unnest_object(
         base,
