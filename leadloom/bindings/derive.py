@@ -17,6 +17,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from leadloom.functions.normalize import BUSINESS_AGE, EMPLOYEE_COUNT, INCOME
 from leadloom.session import shared_path
@@ -443,8 +444,8 @@ def parsed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({c: F.parse_json(F.col(c)) for c in JSON_COLUMNS.get(name, [])})
 
 
-# application, data folder and table -> path of the landed table
-_landed: dict[tuple[str, str, str], str] = {}
+# application, data folder and table -> path and schema of the landed table
+_landed: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def land(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFrame]) -> DataFrame:
@@ -462,8 +463,9 @@ def land(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFra
         if df.rdd.getNumPartitions() < cores:
             df = df.repartition(cores)
         full_refresh(df, path, skip_if_empty=False)
-        _landed[key] = path
-    return spark.read.parquet(_landed[key])
+        _landed[key] = path, df.schema
+    path, schema = _landed[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -74,7 +74,12 @@ class Models:
 
     def contact(self, **options: bool) -> DataFrame:
         return plans.mart_contact(
-            self.leads_table(), self.purchases(), self.accounts(), self.enrollments(), **options
+            self.leads_table(),
+            self.purchases(),
+            self.accounts(),
+            self.enrollments(),
+            stage=shared_path(self.spark, "per-email"),
+            **options,
         )
 
     def enrollment(self) -> DataFrame:

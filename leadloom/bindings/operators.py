@@ -15,6 +15,7 @@ from leadloom.bindings.model_sql import sql_email, sql_map, sql_phone, with_mode
 from leadloom.bindings.models import Models
 from leadloom.functions.jsonv import json_object
 from leadloom.functions.normalize import BUSINESS_AGE, EMPLOYEE_COUNT, INCOME
+from leadloom.session import shared_path
 
 CATALOG = Catalog()
 
@@ -215,14 +216,18 @@ def join_full_outer_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     from leadloom.plans.marts import agg_enrollments, agg_purchases, latest_leads
 
     m = Models(spark, sf_dir)
-    leads = latest_leads(m.leads()).select("email", "phone_number", "nama_usaha")
+    leads = latest_leads(m.leads_table()).select("email", "phone_number", "nama_usaha")
     return ops.full_outer_on(
         "email",
-        repeated=[ops.Repeated(m.accounts().select("email", "user_id")), ops.Repeated(leads)],
+        repeated=[
+            ops.Repeated.split(m.accounts().select("email", "user_id"), "email"),
+            ops.Repeated.split(leads, "email"),
+        ],
         per_key=[
             agg_purchases(m.purchases()).select("email", "total_purchases"),
             agg_enrollments(m.enrollments()).select("email", "enrolled_courses_count"),
         ],
+        stage=shared_path(spark, "per-key"),
     ).select("email", "phone_number", "nama_usaha", "total_purchases", "user_id", "enrolled_courses_count")
 
 

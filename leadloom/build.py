@@ -12,6 +12,7 @@ from leadloom.functions.jsonv import json_pack
 from leadloom.operators.attach import attach_list
 from leadloom.operators.keys import add_surrogate_key
 from leadloom.schemas import LEAD_ADDED, RAW
+from leadloom.session import shared_path
 from leadloom.sources.landing import stamp, typed_load
 from leadloom.sources.sheets import MAX_NAME_BYTES, read_all_sheets, rename_synonyms
 from leadloom.sources.tables import materialize
@@ -129,6 +130,7 @@ def build_models(
             m["stg_purchase_form_data"],
             m["stg_eduqat_users"],
             m["stg_eduqat_enrollments"],
+            stage=None if base is None else shared_path(raw["users"].sparkSession, "per-email"),
         ),
     )
     m["mart_enrollment"] = table(

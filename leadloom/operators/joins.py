@@ -66,50 +66,58 @@ def left_join_fanout(fact: DataFrame, other: DataFrame, on: Sequence[str]) -> Da
 
 @dataclass(frozen=True)
 class Repeated:
-    """A table that may hold a key any number of times.
+    """A table that may hold a key any number of times, but never NULL.
 
     ``keys`` is a cheaper table with the same keys, if there is one (the rows
-    before a deduplication, say). ``null_keys=False`` states that no key is NULL,
-    which saves the scan for such rows.
+    before a deduplication, say). ``unkeyed`` are rows of the table without a
+    key; they join to nothing and are appended to the result.
     """
 
     rows: DataFrame
     keys: DataFrame | None = None
-    null_keys: bool = True
+    unkeyed: DataFrame | None = None
 
+    @classmethod
+    def split(cls, df: DataFrame, key: str) -> Repeated:
+        """From a table that may hold NULL keys."""
+        has_key = F.col(key).isNotNull()
+        return cls(rows=df.where(has_key), unkeyed=df.where(~has_key))
 
-def full_outer_on(key: str, repeated: Sequence[Repeated], per_key: Sequence[DataFrame]) -> DataFrame:
+
+def full_outer_on(
+    key: str, repeated: Sequence[Repeated], per_key: Sequence[DataFrame], stage: str | None = None
+) -> DataFrame:
     """Full outer join of several tables on one key, NULL keys unmatched.
 
     The result of a chain of full joins on the coalesced key is, per key, the
-    cross product of the tables that have the key. That is computed without a
-    full join:
-
-    1. The ``per_key`` tables, which hold a key at most once and never NULL, and
-       the distinct keys of the ``repeated`` tables are stacked and grouped by
-       key: one row per key that also says which repeated tables hold the key.
-    2. Each repeated table is inner-joined to the rows that it is known to
-       match; the other rows are appended, and its own rows with a NULL key.
-
-    Apart from the key, the column names of the tables must not overlap.
+    cross product of the tables that have the key. A full join cannot split a hot
+    key, so only tables that hold a key once go through one:
+
+    1. The ``per_key`` tables, which hold a key at most once and never NULL, are
+       joined with the distinct keys of the ``repeated`` tables: one row per key
+       that also says which repeated tables hold the key.
+    2. Each repeated table is inner-joined to the rows that it is known to match;
+       the other rows are appended.
+
+    Apart from the key, the column names of the tables must not overlap. Each
+    repeated table doubles the number of times the rows of step 1 are read;
+    ``stage`` names a new folder to write them to, so that they are computed once.
     """
-    has_key = F.col(key).isNotNull()
     marks = [f"__has_{i}" for i in range(len(repeated))]
-    stacked = list(per_key)
+    held = []
     for mark, table in zip(marks, repeated, strict=True):
-        source = table.rows if table.keys is None else table.keys
-        stacked.append(source.select(key).where(has_key).distinct().withColumn(mark, F.lit(True)))
-    merged = _stack(stacked)
-    values = [F.any_value(c, True).alias(c) for c in merged.columns if c != key]
-    out = merged.groupBy(key).agg(*values)
+        keys = (table.rows if table.keys is None else table.keys).select(key)
+        held.append(keys.where(F.col(key).isNotNull()).distinct().withColumn(mark, F.lit(True)))
+    holders = _stack(held).groupBy(key).agg(*[F.max(m).alias(m) for m in marks])
+    out = reduce(lambda a, b: a.join(b, on=key, how="full"), [*per_key, holders])
+    if stage is not None:
+        out.write.parquet(stage)
+        out = out.sparkSession.read.schema(out.schema).parquet(stage)
 
     for mark, table in zip(marks, repeated, strict=True):
-        held = _own_shuffle(out.where(F.col(mark)), key)
-        parts = [table.rows.where(has_key).join(held, on=key), out.where(F.col(mark).isNull())]
-        if table.null_keys:
-            parts.append(table.rows.where(~has_key))
-        out = _stack(parts)
-    return out.drop(*marks)
+        matched = table.rows.join(_own_shuffle(out.where(F.col(mark)), key), on=key)
+        out = _stack([matched, out.where(F.col(mark).isNull())])
+    return _stack([out, *[t.unkeyed for t in repeated if t.unkeyed is not None]]).drop(*marks)
 
 
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:

@@ -76,11 +76,13 @@ def mart_contact(
     accounts: DataFrame,
     enrollments: DataFrame,
     normalize_keys: bool = False,
+    stage: str | None = None,
 ) -> DataFrame:
     """One row per e-mail and phone over leads, purchases and platform accounts.
 
     Only lead e-mails are normalised at the source, so the match is
-    case-sensitive; ``normalize_keys`` normalises the other sides too.
+    case-sensitive; ``normalize_keys`` normalises the other sides too. ``stage``
+    is a new folder for the rows per e-mail, see ``full_outer_on``.
     """
     if normalize_keys:
         purchases = purchases.withColumn("email", normalize_email(F.col("email")))
@@ -96,14 +98,22 @@ def mart_contact(
         F.col("last_loggin_at").alias("eduqat_last_login_at"),
         F.col("created_at").alias("eduqat_created_at"),
     )
+    # staged lead e-mails are an address or NULL; leads without one join to
+    # nothing and go their own way, so that the others are read once
+    mailed = leads.where(not_null("email"))
     everyone = full_outer_on(
         "email",
         repeated=[
-            Repeated(platform, null_keys=False),
-            # a deduplication per (email, phone) keeps every e-mail
-            Repeated(latest_leads(leads), keys=leads),
+            Repeated(platform),
+            Repeated(
+                rows=latest_leads(mailed),
+                # a deduplication per (email, phone) keeps every e-mail
+                keys=mailed,
+                unkeyed=latest_leads(leads.where(~not_null("email"))),
+            ),
         ],
         per_key=[agg_purchases(purchases), agg_enrollments(enrollments)],
+        stage=stage,
     )
     return everyone.where(any_not_null("email", "phone_number")).select(
         composite_key(F.col("email"), F.col("phone_number")).alias("contact_key"),

@@ -9,7 +9,7 @@ from leadloom import plans
 from leadloom.bindings import derive
 from leadloom.bindings.models import Models
 from leadloom.operators import column_type_mismatches, row_audit, violations_unique
-from leadloom.pipeline import build_models
+from leadloom.build import build_models
 from leadloom.plans.marts import agg_purchases
 from leadloom.schemas import LEAD_LAYOUT, LEAD_SHEETS, RAW
 from tests.helpers import rows

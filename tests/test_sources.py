@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadloom import sources as src
-from leadloom.pipeline import load_ai_conversations, load_api_items, load_lead_sheets, load_source_table
+from leadloom.build import load_ai_conversations, load_api_items, load_lead_sheets, load_source_table
 from leadloom.schemas import RAW
 from leadloom.session import ensure_checkpoint_dir, shared_path
 from leadloom.sources.api_pages import read_pages
