@@ -444,6 +444,19 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@CATALOG.query(
+    "materialize_view",
+    "select s_nationkey, count(*) as suppliers, max(s_acctbal) as best from supplier where s_acctbal > 0 group by 1",
+)
+def materialize_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view is recomputed on read; filters and columns still reach the scan."""
+    src.materialize(derive.table(spark, sf_dir, "supplier"), "all_suppliers")
+    return spark.sql(
+        "select s_nationkey, count(*) as suppliers, max(s_acctbal) as best "
+        "from all_suppliers where s_acctbal > 0 group by s_nationkey"
+    )
+
+
 @CATALOG.query(
     "materialize_table",
     """

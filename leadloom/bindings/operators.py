@@ -612,6 +612,19 @@ def dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@CATALOG.query(
+    "iso_week",
+    """
+    select event_type, cast(isoyear(ts) as integer) as iso_year, cast(week(ts) as integer) as iso_week,
+           count(*) as events, count(distinct user_id) as users from events group by 1, 2, 3
+    """,
+)
+def iso_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["event_type", fn.iso_year(F.col("ts")).alias("iso_year"), fn.iso_week(F.col("ts")).alias("iso_week")]
+    measures = {"events": F.count("*"), "users": F.count_distinct("user_id")}
+    return ops.aggregate(derive.table(spark, sf_dir, "events"), keys, measures)
+
+
 @CATALOG.query(
     "days_between",
     with_models("stg_eduqat_enrollments")
@@ -705,6 +718,23 @@ def json_child(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@CATALOG.query(
+    "enrollment_start",
+    with_models("raw_eduqat_enrollments")
+    + """
+    select substr(json_extract_string(metadata, '$.started_at'), 1, 4) as start_year, count(*) as enrollments,
+           sum(cast(json_extract_string(metadata, '$.tracked_time.total') as double)) as tracked_seconds
+    from raw_eduqat_enrollments group by 1
+    """,
+)
+def enrollment_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = derive.raw(spark, sf_dir, "eduqat_enrollments")
+    meta = F.col("metadata")
+    year = F.substring(fn.enrollment_start(meta), 1, 4).alias("start_year")
+    measures = {"enrollments": F.count("*"), "tracked_seconds": F.sum(fn.tracked_total(meta))}
+    return ops.aggregate(raw, [year], measures)
+
+
 @CATALOG.query(
     "json_array_length",
     with_models("raw_eduqat_enrollments")

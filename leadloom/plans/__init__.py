@@ -7,7 +7,7 @@ from leadloom.plans.marts import (
     mart_materials,
     mart_materials_from_raw,
 )
-from leadloom.plans.metrics import METRICS, metric_query
+from leadloom.plans.metrics import DIMENSIONS, METRICS, metric_query
 from leadloom.plans.staging import (
     stg_ai_chat_messages,
     stg_ai_chat_sessions,
@@ -26,6 +26,7 @@ from leadloom.plans.staging import (
 )
 
 __all__ = [
+    "DIMENSIONS",
     "METRICS",
     "int_ai_chat_messages",
     "int_all_marketing_leads",

@@ -66,6 +66,58 @@ METRICS: dict[str, Metric] = {
 }
 
 
+# Declared types of the dimensions that are not plain text.
+DIMENSIONS: dict[str, dict[str, str]] = {
+    "stg_purchase_form_data": {
+        "created_at": "timestamp",
+        "paid_at": "timestamp",
+        "extracted_at": "timestamp",
+    },
+    "stg_users": {
+        "created_at": "timestamp",
+        "updated_at": "timestamp",
+        "mobile_verified_at": "timestamp",
+        "extracted_at": "timestamp",
+    },
+    "stg_ai_chat_sessions": {
+        "created_at": "timestamp",
+        "updated_at": "timestamp",
+        "extracted_at": "timestamp",
+    },
+    "stg_ai_chat_messages": {
+        "message_order": "number",
+        "created_at": "timestamp",
+        "extracted_at": "timestamp",
+    },
+    "stg_eduqat_courses": {
+        "duration_seconds": "number",
+        "total_student": "number",
+        "rating": "number",
+        "start_date": "timestamp",
+        "end_date": "timestamp",
+        "published_at": "timestamp",
+        "extracted_at": "timestamp",
+    },
+    "int_ai_chat_messages": {"user_created_at": "timestamp"},
+    "int_user_retention": {
+        "user_created_at": "timestamp",
+        "is_internal_user": "boolean",
+        "first_message_at": "timestamp",
+        "last_message_at": "timestamp",
+    },
+    "mart_contact": {
+        "eduqat_created_at_marketing_week": "number",
+        "eduqat_created_at_marketing_year": "number",
+    },
+    "mart_enrollment": {
+        "started_at_marketing_week": "number",
+        "started_at_marketing_year": "number",
+        "completed_at_marketing_week": "number",
+        "completed_at_marketing_year": "number",
+    },
+}
+
+
 def metric_query(
     df: DataFrame, metrics: Sequence[str], dims: Sequence[str | Column] = (), where: Column | None = None
 ) -> DataFrame:

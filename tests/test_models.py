@@ -190,8 +190,6 @@ def test_metric_columns_exist(models):
     }
     for metric in plans.METRICS.values():
         assert metric.column in tables[metric.table].columns
-    declared = {"user_created_at": "timestamp", "is_internal_user": "boolean", "first_message_at": "timestamp"}
-    assert column_type_mismatches(tables["int_user_retention"], declared) == []
 
 
 @pytest.mark.parametrize("tables", [False, True])
@@ -202,6 +200,8 @@ def test_build_models(spark, models, tmp_path, tables):
     base = str(tmp_path) if tables else None
     built = build_models(raw, base, derive.INTERNAL_MOBILES)
     assert len(built) == 20
+    for name, dimensions in plans.DIMENSIONS.items():
+        assert column_type_mismatches(built[name], dimensions) == []
     assert rows(built["int_user_retention"]) == rows(models.retention())
     assert rows(built["mart_contact"].select("contact_key", "full_name")) == rows(
         models.contact().select("contact_key", "full_name")

@@ -55,9 +55,18 @@ def test_scans_read_only_what_they_need(spark, conf, sf_small):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in plan
 
 
+def test_models_read_single_json_fields(spark, conf, sf_small):
+    conf(spark__sql__maxMetadataStringLength="10000")
+    plan = first_plan(contract.queries()["agg_enrollments"](spark, sf_small))
+    # the scan returns the e-mail, not the user document
+    assert "user_data:struct<0:string>" in plan
+
+
 def test_lookups_are_broadcast(spark, sf_small):
     plan = first_plan(contract.queries()["mart_materials"](spark, sf_small))
-    assert plan.count("BroadcastHashJoin") == 2
+    # only the course is looked up: the user's fields come with the material
+    assert plan.count("BroadcastHashJoin") == 1
+    assert "Exchange hashpartitioning" not in plan
 
 
 def test_deduplications_limit_before_the_shuffle(spark, sf_small):
