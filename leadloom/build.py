@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom import plans
-from leadloom.functions.jsonv import json_pack
 from leadloom.operators.attach import attach_list
 from leadloom.operators.keys import add_surrogate_key
-from leadloom.schemas import LEAD_ADDED, RAW
+from leadloom.schemas import ITEM_NAMES, KEEP_EMPTY, LEAD_ADDED, RAW
 from leadloom.session import shared_path
 from leadloom.sources.landing import stamp, typed_load
 from leadloom.sources.sheets import MAX_NAME_BYTES, read_all_sheets, rename_synonyms
@@ -40,7 +39,8 @@ def load_lead_sheets(
 
 def load_source_table(extract: DataFrame, table: str, batch_ts: str, strict: bool = True) -> DataFrame:
     """Raw table of a source database table."""
-    return typed_load(stamp(rename_synonyms(extract), table, batch_ts), RAW[table], strict)
+    rows = stamp(rename_synonyms(extract), table, batch_ts)
+    return typed_load(rows, RAW[table], strict, KEEP_EMPTY.get(table, ()))
 
 
 def load_api_items(items: DataFrame, table: str, batch_ts: str, strict: bool = True) -> DataFrame:
@@ -60,10 +60,8 @@ def load_ai_conversations(
     table = "eduqat_ai_conversations"
     fields = [c for c in messages.columns if c not in ("conversation_id", "position")]
     nested = attach_list(conversations, messages, "conversation_id", "position", fields, "messages")
-    renames = {"user": "user_data", "educator": "educator_data"}
+    renames = {item: column for column, item in ITEM_NAMES[table].items()}
     raw = stamp(nested.withColumnsRenamed(renames), table, batch_ts)
-    listed = F.when(F.size("messages") > 0, F.to_variant_object("messages"))
-    raw = raw.withColumn("messages", json_pack(listed))
     return typed_load(raw, {**RAW[table], "part": "int"}, strict)
 
 

@@ -225,6 +225,54 @@ UNIQUE_KEYS: dict[str, list[list[str]]] = {
 }
 
 
+# Raw tables loaded from a source database: the table they come from, and the
+# columns that have another name there.
+SOURCE_TABLES: dict[str, tuple[str, dict[str, str]]] = {
+    "purchase_form_data": (
+        "payments",
+        {"email": "customer_email", "phone_number": "customer_phone"},
+    ),
+    "users": ("users", {}),
+    "ai_chat_messages": ("ai_chat_messages", {}),
+    "ai_chat_sessions": ("ai_chat_sessions", {}),
+}
+
+# JSON columns in which an empty value is kept as it is.
+KEEP_EMPTY: dict[str, tuple[str, ...]] = {"users": ("interests",)}
+
+# Names that nested values have in the endpoint's items.
+ITEM_NAMES: dict[str, dict[str, str]] = {
+    "eduqat_ai_conversations": {"user_data": "user", "educator_data": "educator"},
+}
+
+
+def _extracted(table: str) -> dict[str, str]:
+    return {c: t for c, t in RAW[table].items() if c not in _STAMP}
+
+
+def source_query(table: str) -> str:
+    """Projection query that extracts a raw table from the source database."""
+    source, names = SOURCE_TABLES[table]
+    return f"SELECT {', '.join(names.get(c, c) for c in _extracted(table))} FROM {source}"
+
+
+def item_fields(table: str) -> str:
+    """DDL fields of an endpoint's items, for reading its landed pages.
+
+    Timestamps are read as text, so that the typed load drops an offset instead
+    of applying it, and amounts as text, so that no digit is lost.
+    """
+    names = ITEM_NAMES.get(table, {})
+    as_text = ("varchar", "timestamp", "decimal")
+    fields = {
+        names.get(c, c): "string" if t.startswith(as_text) else t
+        for c, t in _extracted(table).items()
+        # messages come from an endpoint of their own
+        if (table, c) != ("eduqat_ai_conversations", "messages")
+    }
+    return ", ".join(f"{c}: {t}" for c, t in fields.items())
+
+
 def length_limits(table: str) -> dict[str, int]:
     """Column -> longest text its VARCHAR(n) allows."""
     return {

@@ -1,6 +1,6 @@
 """Readers, load steps and writers."""
 
-from leadloom.sources.api_pages import explode_pages, page_stats, parse_pages, read_api_pages
+from leadloom.sources.api_pages import explode_pages, page_stats, parse_pages, read_api_pages, read_pages
 from leadloom.sources.landing import (
     json_text_column,
     parse_items,
@@ -16,6 +16,7 @@ from leadloom.sources.sheets import (
     read_all_sheets,
     read_sheet,
     rename_synonyms,
+    sheet_paths,
     write_sheet,
 )
 from leadloom.sources.tables import full_refresh, materialize, read_source, read_tables
@@ -32,11 +33,13 @@ __all__ = [
     "parse_pages",
     "read_all_sheets",
     "read_api_pages",
+    "read_pages",
     "read_sheet",
     "read_source",
     "read_tables",
     "rename_synonyms",
     "retype",
+    "sheet_paths",
     "stamp",
     "survey_load",
     "survey_worklist",

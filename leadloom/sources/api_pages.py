@@ -31,9 +31,10 @@ def read_pages(
 ) -> DataFrame:
     """Envelopes of all page files below ``path``, with the file they came from.
 
-    A file holds one page, or one page per line.
+    A file holds one page, or one page per line. A page that is no valid JSON is
+    kept with its text in ``_corrupt_record``; ``split_rejects`` sets it apart.
     """
-    schema = page_schema(item_schema, items_field)
+    schema = page_schema(item_schema, items_field) + ", _corrupt_record string"
     pages = spark.read.schema(schema).json(path, multiLine=not one_per_line)
     return pages.withColumn("page_file", F.col("_metadata.file_path"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,30 +25,37 @@ def cast_type(declared: str) -> str:
     return "string" if declared.startswith("varchar") else declared
 
 
-def _typed(df: DataFrame, name: str, declared: str, strict: bool) -> Column:
-    actual = dict(df.dtypes).get(name)
-    if actual is None:
-        return F.lit(None).cast(cast_type(declared))
-    c = F.col(name)
-    if declared == "variant":
-        if actual == "variant":
-            return c
-        if actual == "string":
-            return F.parse_json(c) if strict else F.try_parse_json(c)
-        nested = actual.startswith(("array", "map", "struct"))
-        return json_pack(F.to_variant_object(c) if nested else c.cast("variant"))
-    to = cast_type(declared)
-    return c.cast(to) if strict else c.try_cast(to)
+def _as_variant(c: Column, actual: str, strict: bool) -> Column:
+    if actual == "variant":
+        return c
+    if actual == "string":
+        return F.parse_json(c) if strict else F.try_parse_json(c)
+    if actual.startswith(("array", "map", "struct")):
+        return F.to_variant_object(c)
+    return c.cast("variant")
 
 
-def typed_load(df: DataFrame, schema: Mapping[str, str], strict: bool = True) -> DataFrame:
+def typed_load(
+    df: DataFrame, schema: Mapping[str, str], strict: bool = True, keep_empty: Collection[str] = ()
+) -> DataFrame:
     """Cast an extract to the declared columns; a column it lacks reads NULL.
 
     A value that does not fit raises (ANSI casts), or reads NULL when not strict.
-    An offset in a timestamp text is dropped, not applied. Nested values become
-    VARIANT, empty ones NULL.
+    An offset in a timestamp text is dropped, not applied. JSON text and nested
+    values become VARIANT, and NULL if they are empty, but for the columns in
+    ``keep_empty``.
     """
-    return df.select(*[_typed(df, n, t, strict).alias(n) for n, t in schema.items()])
+    actual = dict(df.dtypes)
+
+    def column(name: str, declared: str) -> Column:
+        if name not in actual:
+            return F.lit(None).cast(cast_type(declared))
+        c = F.col(name)
+        if declared == "variant":
+            return json_pack(_as_variant(c, actual[name], strict), name not in keep_empty)
+        return c.cast(cast_type(declared)) if strict else c.try_cast(cast_type(declared))
+
+    return df.select(*[column(n, t).alias(n) for n, t in schema.items()])
 
 
 def retype(df: DataFrame, column: str, expr: Column | None = None) -> DataFrame:

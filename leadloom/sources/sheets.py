@@ -118,6 +118,15 @@ def _below_header(rows: DataFrame, header_row: int) -> DataFrame:
     return marked.where(~F.coalesce(above, F.lit(False))).select(*rows.columns)
 
 
+def sheet_paths(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Sheet name -> path of the exports in a workbook's folder, by name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    paths = sorted(e.getPath().toString() for e in entries)
+    named = {p.rstrip("/").rsplit("/", 1)[-1].removesuffix(".csv"): p for p in paths}
+    return {name: p for name, p in named.items() if not name.startswith(("_", "."))}
+
+
 def read_all_sheets(
     spark: SparkSession, paths: Mapping[str, str], header_row: int = 0, exclude: Collection[str] = ()
 ) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from leadloom import sources as src
 from leadloom.build import load_ai_conversations, load_api_items, load_lead_sheets, load_source_table
-from leadloom.schemas import RAW
+from leadloom.operators import split_rejects
+from leadloom.schemas import RAW, item_fields, source_query
 from leadloom.session import ensure_checkpoint_dir, shared_path
 from leadloom.sources.api_pages import read_pages
 from leadloom.sources.tables import jdbc_options
@@ -140,6 +141,15 @@ def test_load_lead_sheets(spark, tmp_path):
     ]
 
 
+def test_sheet_paths(spark, tmp_path):
+    put(tmp_path / "wb" / "Sheet 1.csv", "A\n1\n")
+    put(tmp_path / "wb" / "Two" / "part-0.csv", "A\n2\n")
+    put(tmp_path / "wb" / "_SUCCESS", "")
+    paths = src.sheet_paths(spark, str(tmp_path / "wb"))
+    assert list(paths) == ["Sheet 1", "Two"]
+    assert rows(src.read_all_sheets(spark, paths)) == [("1", "Sheet 1"), ("2", "Two")]
+
+
 # --- pages --------------------------------------------------------------------------
 
 
@@ -163,9 +173,49 @@ def test_pages_with_meta_and_positions(spark, tmp_path):
     assert rows(src.page_stats(pages, F.lit("x"), "data")) == [("x", 3, 2, 2)]
 
 
+def test_items_keep_json_and_broken_pages_are_set_apart(spark, tmp_path):
+    items = [
+        {"id": "e1", "metadata": {"a": [1, {"b": None}]}, "certificates": [], "created_at": "2024-01-01T08:00:00+07:00"},
+        {"id": "e2", "order_data": False, "course_id": 7, "learning_progress": 12.5},
+    ]
+    put(tmp_path / "p" / "1.json", json.dumps({"count": 2, "items": items}))
+    put(tmp_path / "p" / "2.json", '{"count": 2, "items": [{"id"')
+    pages = src.read_pages(spark, str(tmp_path / "p"), item_fields("eduqat_enrollments"))
+    good, rejects = split_rejects(pages)
+    assert [r.page_file.rsplit("/")[-1] for r in rejects.collect()] == ["2.json"]
+    raw = load_api_items(src.explode_pages(good), "eduqat_enrollments", BATCH)
+    assert raw.columns == list(RAW["eduqat_enrollments"])
+    got = {r.id: r for r in src.json_text_column(raw, "metadata", "certificates", "order_data").collect()}
+    assert got["e1"].metadata == '{"a":[1,{"b":null}]}'
+    assert got["e1"].certificates is None and got["e1"].created_at == dt.datetime(2024, 1, 1, 8)
+    assert got["e2"].order_data is None and (got["e2"].course_id, got["e2"].learning_progress) == (7, 12.5)
+
+
+@pytest.mark.parametrize("table", [t for t in RAW if t.startswith("eduqat_") and "survey" not in t])
+def test_item_fields_are_readable(spark, tmp_path, table):
+    path = put(tmp_path / "1.json", json.dumps({"count": 1, "items": [{"id": 1}]}))
+    assert src.read_api_pages(spark, path, item_fields(table)).count() == 1
+
+
 # --- tables ------------------------------------------------------------------------
 
 
+def test_source_queries(spark):
+    assert source_query("purchase_form_data") == (
+        "SELECT customer_name, customer_email, customer_phone, created_at, paid_at, product_type, "
+        "course_id, amount, payment_method, payment_channel FROM payments"
+    )
+    extract = spark.createDataFrame([("n", "a@b.c", "0812")], ["customer_name", "customer_email", "customer_phone"])
+    row = load_source_table(extract, "purchase_form_data", BATCH).collect()[0]
+    assert (row.customer_name, row.email, row.phone_number) == ("n", "a@b.c", "0812")
+
+
+def test_empty_json_is_kept_where_declared(spark):
+    users = spark.createDataFrame([("u1", [])], "id string, interests array<string>")
+    raw = src.json_text_column(load_source_table(users, "users", BATCH), "interests")
+    assert raw.collect()[0].interests == "[]"
+
+
 def test_read_source_prunes_columns(spark, sf_small):
     df = src.read_source(spark, f"{sf_small}/orders.parquet", columns=["o_orderkey"])
     assert "ReadSchema: struct<o_orderkey:bigint>" in df._jdf.queryExecution().executedPlan().toString()
@@ -243,12 +293,12 @@ def test_typed_load(spark):
 
 
 def test_typed_load_strictness(spark):
-    df = spark.createDataFrame([("3.0", "{"), ("4", "{}")], "id string, j string")
+    df = spark.createDataFrame([("3.0", "{"), ("4", "{\"a\":1}")], "id string, j string")
     schema = {"id": "int", "j": "variant"}
     with pytest.raises(Exception):
         src.typed_load(df, schema).collect()
     loose = src.json_text_column(src.typed_load(df, schema, strict=False), "j")
-    assert rows(loose) == [(None, None), (4, "{}")]
+    assert rows(loose) == [(None, None), (4, '{"a":1}')]
 
 
 def test_retype_and_parse_items(spark):
