@@ -10,6 +10,7 @@ from leadloom import sources as src
 from leadloom.bindings import derive
 from leadloom.bindings.catalog import Catalog, flat
 from leadloom.bindings.model_sql import with_models
+from leadloom.build import raw_violations
 from leadloom.functions.jsonv import json_pack, json_text
 from leadloom.schemas import RAW, UNIQUE_KEYS, length_limits
 from leadloom.session import shared_path
@@ -521,36 +522,21 @@ _CHECKED = ("eduqat_enrollments", "eduqat_users", "eduqat_courses", "eduqat_surv
 def _contract_sql() -> str:
     parts = []
     for table in _CHECKED:
-        too_long = " or ".join(
-            f'length("{c}") > {n}' for c, n in length_limits(table).items()
-        )
-        parts.append(
-            f"select '{table}' as table_name, 'length' as rule, count(*) as violations "
-            f"from raw_{table} where {too_long}"
-        )
+        too_long = " or ".join(f'length("{c}") > {n}' for c, n in length_limits(table).items())
+        head = f"select '{table}' as table_name, '{{}}' as rule, count(*) as violations from "
+        parts.append(head.format("length") + f"raw_{table} where {too_long}")
         for key in UNIQUE_KEYS[table]:
             cols = ", ".join(key)
-            parts.append(
-                f"select '{table}', 'unique', count(*) from (select {cols} from raw_{table} "
-                f"group by {cols} having count(*) > 1)"
-            )
+            twice = f"(select {cols} from raw_{table} group by {cols} having count(*) > 1)"
+            nulls = " or ".join(f"{c} is null" for c in key)
+            parts.append(head.format(f"unique {cols}") + twice)
+            parts.append(head.format(f"not null {cols}") + f"raw_{table} where {nulls}")
     return f"{with_models(*[f'raw_{t}' for t in _CHECKED])} {' union all '.join(parts)}"
 
 
 @CATALOG.query("assert_raw_contract", _contract_sql())
 def assert_raw_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared keys and lengths of the raw tables, as one row per check."""
-    checks = []
-    for table in _CHECKED:
-        raw = derive.raw(spark, sf_dir, table)
-        found = {"length": ops.violations_length(raw, length_limits(table))}
-        found["unique"] = ops.union_all(
-            *[ops.violations_unique(raw, k).select("row_count") for k in UNIQUE_KEYS[table]]
-        )
-        for rule, rows in found.items():
-            count = F.count("*").alias("violations")
-            checks.append(rows.agg(count).select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations"))
-    return ops.union_all(*checks)
+    return raw_violations({t: derive.raw(spark, sf_dir, t) for t in _CHECKED})
 
 
 _BROKEN = """

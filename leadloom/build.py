@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from leadloom import plans
 from leadloom.operators.attach import attach_list
 from leadloom.operators.keys import add_surrogate_key
-from leadloom.schemas import ITEM_NAMES, KEEP_EMPTY, LEAD_ADDED, RAW
+from leadloom.operators.quality import violations_length, violations_null, violations_unique
+from leadloom.operators.setops import union_all
+from leadloom.schemas import ITEM_NAMES, KEEP_EMPTY, LEAD_ADDED, RAW, UNIQUE_KEYS, length_limits
 from leadloom.session import shared_path
 from leadloom.sources.landing import stamp, typed_load
 from leadloom.sources.sheets import MAX_NAME_BYTES, read_all_sheets, rename_synonyms
@@ -65,6 +67,22 @@ def load_ai_conversations(
     return typed_load(raw, {**RAW[table], "part": "int"}, strict)
 
 
+def raw_violations(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Declared keys and lengths of raw tables: one row per table and rule."""
+    found = []
+    for table, df in raw.items():
+        rules = {"length": violations_length(df, length_limits(table))}
+        for key in UNIQUE_KEYS.get(table, []):
+            rules[f"unique {', '.join(key)}"] = violations_unique(df, key)
+            rules[f"not null {', '.join(key)}"] = violations_null(df, key)
+        for rule, rows in rules.items():
+            count = rows.agg(F.count("*").alias("violations"))
+            found.append(
+                count.select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations")
+            )
+    return union_all(*found)
+
+
 def build_models(
     raw: Mapping[str, DataFrame],
     base: str | None = None,

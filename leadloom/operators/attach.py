@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leadloom.operators.joins import left_join_fanout
 
 # elements that one row of an attached list holds at most
 CHUNK = 1000
@@ -36,5 +37,5 @@ def attach_list(
     bare = F.transform(ordered, lambda m: F.struct(*[m[f].alias(f) for f in fields]))
     lists = children.groupBy(key, part).agg(bare.alias(name))
     empty = F.array().cast(lists.schema[name].dataType)
-    joined = parents.join(lists, on=key, how="left")
+    joined = left_join_fanout(parents, lists, [key])
     return joined.withColumns({"part": F.coalesce("part", F.lit(0)), name: F.coalesce(F.col(name), empty)})

@@ -35,15 +35,24 @@ def _as_variant(c: Column, actual: str, strict: bool) -> Column:
     return c.cast("variant")
 
 
+def _fitting(c: Column, name: str, declared: str) -> Column:
+    if not declared.startswith("varchar"):
+        return c
+    limit = int(declared.removeprefix("varchar(").rstrip(")"))
+    error = F.raise_error(F.lit(f"value too long for {name} {declared}")).cast("string")
+    return F.when(F.char_length(c) > limit, error).otherwise(c)
+
+
 def typed_load(
     df: DataFrame, schema: Mapping[str, str], strict: bool = True, keep_empty: Collection[str] = ()
 ) -> DataFrame:
     """Cast an extract to the declared columns; a column it lacks reads NULL.
 
-    A value that does not fit raises (ANSI casts), or reads NULL when not strict.
-    An offset in a timestamp text is dropped, not applied. JSON text and nested
-    values become VARIANT, and NULL if they are empty, but for the columns in
-    ``keep_empty``.
+    A value that does not fit raises, as does a text longer than its VARCHAR(n);
+    when not strict the value reads NULL and the text stays, for
+    ``violations_length`` to find. An offset in a timestamp text is dropped, not
+    applied. JSON text and nested values become VARIANT, and NULL if they are
+    empty, but for the columns in ``keep_empty``.
     """
     actual = dict(df.dtypes)
 
@@ -53,7 +62,9 @@ def typed_load(
         c = F.col(name)
         if declared == "variant":
             return json_pack(_as_variant(c, actual[name], strict), name not in keep_empty)
-        return c.cast(cast_type(declared)) if strict else c.try_cast(cast_type(declared))
+        if not strict:
+            return c.try_cast(cast_type(declared))
+        return _fitting(c.cast(cast_type(declared)), name, declared)
 
     return df.select(*[column(n, t).alias(n) for n, t in schema.items()])
 

@@ -254,8 +254,10 @@ def test_unnest_drops_parents_without_members(spark):
     assert rows(got) == [(4, 7, "x"), (4, 8, None)]
 
 
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
 @pytest.mark.parametrize("chunk", [1, 3, 1000])
-def test_attach_list_in_parts(spark, chunk):
+def test_attach_list_in_parts(spark, conf, chunk, broadcast):
+    conf(spark__sql__autoBroadcastJoinThreshold=broadcast)
     parents = spark.createDataFrame([("a",), ("b",), ("none",)], "k string")
     data = [("a", i, f"m{i}") for i in range(7)] + [("b", 0, "only")]
     random.Random(1).shuffle(data)
@@ -268,6 +270,15 @@ def test_attach_list_in_parts(spark, chunk):
     assert by_key == {"a": [f"m{i}" for i in range(7)], "b": ["only"], "none": []}
 
 
+def test_attach_list_splits_a_hot_parent(spark, skewed):
+    """A third of the children belong to one parent."""
+    children = skewed.withColumn("pos", F.monotonically_increasing_id())
+    parents = children.select("email").distinct().unionByName(spark.createDataFrame([("none",)], "email string"))
+    got = ops.attach_list(parents, children, "email", "pos", ["pad"], "pads", chunk=50)
+    assert "SortMergeJoin(skew=true)" in final_plan(got)
+    assert got.agg(F.sum(F.size("pads"))).collect()[0][0] == 60000
+
+
 def test_surrogate_key(spark):
     df = spark.range(0, 5000, 1, 7).select((4999 - F.col("id")).alias("id"), F.lit("x").alias("v"))
     got = ops.add_surrogate_key(df, order_by=[F.col("id").desc()])

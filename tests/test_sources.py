@@ -8,7 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadloom import sources as src
-from leadloom.build import load_ai_conversations, load_api_items, load_lead_sheets, load_source_table
+from leadloom.build import (
+    load_ai_conversations,
+    load_api_items,
+    load_lead_sheets,
+    load_source_table,
+    raw_violations,
+)
 from leadloom.operators import split_rejects
 from leadloom.schemas import RAW, item_fields, source_query
 from leadloom.session import ensure_checkpoint_dir, shared_path
@@ -301,6 +307,24 @@ def test_typed_load_strictness(spark):
     assert rows(loose) == [(None, None), (4, '{"a":1}')]
 
 
+def test_too_long_text(spark):
+    df = spark.createDataFrame([("abcd",), (None,)], "name string")
+    with pytest.raises(Exception, match=r"value too long for name varchar\(3\)"):
+        src.typed_load(df, {"name": "varchar(3)"}).collect()
+    assert src.typed_load(df, {"name": "varchar(3)"}, strict=False).count() == 2
+    assert src.typed_load(df, {"name": "varchar(4)"}).count() == 2
+
+
+def test_raw_violations(spark):
+    users = spark.createDataFrame([(1, "a" * 51), (1, "b"), (None, None)], "id int, role string")
+    raw = src.typed_load(users, RAW["eduqat_users"], strict=False)
+    assert rows(raw_violations({"eduqat_users": raw})) == [
+        ("eduqat_users", "length", 1),
+        ("eduqat_users", "not null id", 1),
+        ("eduqat_users", "unique id", 1),
+    ]
+
+
 def test_retype_and_parse_items(spark):
     df = spark.createDataFrame([(1, True), (2, None)], "id int, flag boolean")
     assert rows(src.json_text_column(src.retype(df, "flag"), "flag")) == [(1, "true"), (2, None)]
