@@ -26,14 +26,16 @@ def load_lead_sheets(
     batch_ts: str,
     header_row: int = 0,
     exclude: Collection[str] = (),
+    multi_line: bool = True,
 ) -> DataFrame:
     """Raw table of one lead workbook: sheet name -> CSV export.
 
     Synonyms are renamed once, after all sheets are stacked, and names are cut to
     the length limit after that. The provenance columns stay text, and an ``id``
-    of the sheets becomes ``source_id``.
+    of the sheets becomes ``source_id``. The new ``id`` is fixed once the table is
+    written, so write it before building on it.
     """
-    rows = rename_synonyms(read_all_sheets(spark, paths, header_row, exclude))
+    rows = rename_synonyms(read_all_sheets(spark, paths, header_row, exclude, multi_line))
     rows = rows.toDF(*[c[:MAX_NAME_BYTES] for c in rows.columns])
     rows = add_surrogate_key(stamp(rows, data_source, batch_ts, as_text=True))
     return rows.withColumn("loaded_at", F.lit(batch_ts).cast(LEAD_ADDED["loaded_at"]))

@@ -79,13 +79,15 @@ def _header(spark: SparkSession, path: str, header_row: int) -> list[str] | None
     return names
 
 
-def read_sheet(spark: SparkSession, path: str, header_row: int = 0, multi_line: bool = False) -> DataFrame:
+def read_sheet(spark: SparkSession, path: str, header_row: int = 0, multi_line: bool = True) -> DataFrame:
     """One sheet, all columns text, headers normalised.
 
     ``path`` is a CSV file, or a folder of CSV files that all repeat the header.
     Short rows are padded and empty cells read as the empty string; cells beyond
     the header are cut. With ``header_row`` > 0 the rows above the header are
-    ignored.
+    ignored. Cells may contain line breaks, so a file is read by one task (a
+    spreadsheet holds a bounded number of cells); ``multi_line=False`` lets Spark
+    split files that have one row per line.
     """
     options = {"multiLine": str(multi_line).lower(), "quote": '"', "escape": '"'}
     names = _header(spark, path, header_row)
@@ -128,11 +130,15 @@ def sheet_paths(spark: SparkSession, folder: str) -> dict[str, str]:
 
 
 def read_all_sheets(
-    spark: SparkSession, paths: Mapping[str, str], header_row: int = 0, exclude: Collection[str] = ()
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    header_row: int = 0,
+    exclude: Collection[str] = (),
+    multi_line: bool = True,
 ) -> DataFrame:
     """All sheets of a workbook, stacked by column name and tagged sheet_name."""
     kept = {name: path for name, path in paths.items() if name not in exclude}
-    sheets = {name: read_sheet(spark, path, header_row) for name, path in kept.items()}
+    sheets = {name: read_sheet(spark, path, header_row, multi_line) for name, path in kept.items()}
     return union_by_name(sheets, tag_column="sheet_name", skip_empty=True)
 
 

@@ -60,12 +60,13 @@ def test_read_sheet_pads_and_cuts(spark, tmp_path):
     assert rows(df) == [("", "0812, 3", 'say "hi"'), ("a@b.c", "", ""), ("x", "y", "z")]
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
 @pytest.mark.parametrize("split", ["128MB", "64B"])
-def test_read_sheet_below_a_title(spark, conf, tmp_path, split):
+def test_read_sheet_below_a_title(spark, conf, tmp_path, split, multi_line):
     conf(spark__sql__files__maxPartitionBytes=split)
     body = "".join(f"v{i},w{i}\n" for i in range(60))
     path = put(tmp_path / "s.csv", f"Report\nmade,today,by,us\nA,B\n{body}Report\n")
-    df = src.read_sheet(spark, path, header_row=2)
+    df = src.read_sheet(spark, path, header_row=2, multi_line=multi_line)
     assert df.columns == ["a", "b"]
     # a later row that looks like the title stays
     assert rows(df) == sorted([(f"v{i}", f"w{i}") for i in range(60)] + [("Report", "")])
@@ -80,7 +81,7 @@ def test_read_sheet_of_several_files_below_a_title(spark, tmp_path):
 
 def test_read_sheet_with_line_breaks(spark, tmp_path):
     path = put(tmp_path / "s.csv", '"Bidang\nusaha",B\n"one\ntwo",x\n')
-    df = src.read_sheet(spark, path, multi_line=True)
+    df = src.read_sheet(spark, path)
     assert df.columns == ["bidang_usaha", "b"]
     assert rows(df) == [("one\ntwo", "x")]
 
@@ -101,7 +102,7 @@ def test_sheet_round_trip(spark, tmp_path):
     path = str(tmp_path / "out")
     src.write_sheet(df, path)
     src.write_sheet(df, path)
-    back = src.read_sheet(spark, path, multi_line=True)
+    back = src.read_sheet(spark, path)
     assert back.columns == ["no_a", "t", "n"]
     assert rows(back) == [("", "", ""), ("  x ", "2024-01-02 03:04:05", ""), ('q"u,o\nte', "", "7")]
 
