@@ -22,7 +22,7 @@ from leadloom.operators.attach import CHUNK
 from leadloom.operators.dedup import dedup_latest
 from leadloom.operators.projection import any_not_null, project
 from leadloom.operators.unnest import unnest_array, unnest_object
-from leadloom.schemas import LEAD_LAYOUT
+from leadloom.schemas import LEAD_LAYOUT, RAW
 
 # Fixed value: a header cut to 63 bytes by the landing database.
 BIDANG_USAHA_HEADER = "bidang_usaha_yang_sedang_dijalankan_saat_ini_cth_pakaian_makana"
@@ -116,192 +116,105 @@ def stg_branding_level_up(raw: DataFrame) -> DataFrame:
 
 def stg_purchase_form_data(raw: DataFrame, strict: bool = True) -> DataFrame:
     course = F.col("course_id")
-    rows = raw.where(any_not_null("email", "phone_number"))
-    return rows.select(
-        "customer_name",
-        "email",
-        "phone_number",
-        "created_at",
-        "paid_at",
-        "product_type",
-        (course.cast("int") if strict else course.try_cast("int")).alias("course_id"),
-        "amount",
-        "payment_method",
-        "payment_channel",
-        "data_source",
-        "extracted_at",
-    )
+    rows = raw.where(any_not_null("email", "phone_number")).select(*RAW["purchase_form_data"])
+    return rows.withColumn("course_id", course.cast("int") if strict else course.try_cast("int"))
 
 
 def stg_users(raw: DataFrame, internal_mobiles: Collection[str] = ()) -> DataFrame:
     """Users with a three-valued internal flag; the list is the caller's."""
-    return raw.select(
-        "id",
-        "email",
-        "created_at",
-        "updated_at",
-        "role",
-        "eduqat_user_id",
-        "name",
-        "mobile",
-        "mobile_verified",
-        "mobile_verified_at",
-        "avatar_url",
-        "birth_date",
-        "address",
-        "city",
-        "province",
-        "postal_code",
-        "language_preference",
-        "ai_tone_preference",
-        "interests",
-        "level",
-        "voice_preference",
-        "latitude",
-        "longitude",
-        "segment",
-        "business_name",
-        flag_in_list(F.col("mobile"), internal_mobiles).alias("is_internal_user"),
-        "data_source",
-        "extracted_at",
-    )
+    internal = flag_in_list(F.col("mobile"), internal_mobiles).alias("is_internal_user")
+    return raw.select(*RAW["users"], internal)
 
 
 def stg_ai_chat_sessions(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "id",
-        "user_id",
-        "guest_session_id",
-        "title",
-        "created_at",
-        "updated_at",
-        "data_source",
-        "extracted_at",
-    )
+    return raw.select(*RAW["ai_chat_sessions"])
 
 
 def stg_ai_chat_messages(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "id",
-        "session_id",
-        "role",
-        "content",
-        "message_order",
-        "created_at",
-        "data_source",
-        "extracted_at",
-    )
+    return raw.select(*RAW["ai_chat_messages"])
 
 
 # --- learning platform -----------------------------------------------------
 
 
 def stg_eduqat_users(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "id",
-        "user_id",
-        "subid",
-        "name",
-        "user_name",
-        "email",
-        "phone_number",
-        "phone_country",
-        "phone_country_calling_code",
-        "description",
-        "avatar_url",
-        "role",
-        "status",
-        "total_course",
-        "total_enrollment",
-        "pre_signup_at",
-        "confirmed_at",
-        "last_loggin_at",
-        "created_at",
-        "stripe_customer_ids",
-        "metadata",
-        "data_source",
-        "extracted_at",
-    )
+    return raw.select(*RAW["eduqat_users"])
 
 
 def stg_eduqat_courses(raw: DataFrame) -> DataFrame:
-    return project(
-        raw,
+    return raw.select(*RAW["eduqat_courses"]).withColumnsRenamed(
         {
-            "course_id": "id",
-            "slug": "slug",
-            "course_name": "name",
-            "description": "description",
-            "course_type": "type",
-            "course_status": "status",
-            "duration_seconds": "duration",
-            "total_student": "total_student",
-            "rating": "rating",
-            "author": "author",
-            "parent_course_id": "parent",
-            "timezone": "timezone",
-            "progress_status": "progress_status",
-            "start_date": "start_date",
-            "end_date": "end_date",
-            "published_at": "published_at",
-            "language_codes": "language_codes",
-            "categories": "categories",
-            "educators": "educators",
-            "images": "images",
-            "prices": "prices",
-            "tags": "tags",
-            "metadata": "metadata",
-            "data_source": "data_source",
-            "extracted_at": "extracted_at",
-        },
+            "id": "course_id",
+            "name": "course_name",
+            "type": "course_type",
+            "status": "course_status",
+            "duration": "duration_seconds",
+            "parent": "parent_course_id",
+        }
     )
 
 
+# Output column -> path and type in the user document, and in the
+# enrollment's metadata.
+USER_FIELDS = {
+    "user_name": ("$.name", "string"),
+    "user_email": ("$.email", "string"),
+    "user_phone": ("$.phone_number", "string"),
+    "user_role": ("$.role", "string"),
+    "user_status": ("$.status", "string"),
+    "user_created_at": ("$.created_at", "timestamp_ntz"),
+}
+METADATA_FIELDS = {
+    "enrollment_started_at": ("$.started_at", "timestamp_ntz"),
+    "total_tracked_time": ("$.tracked_time.total", "double"),
+    "last_tracked_at": ("$.tracked_time.last_tracked_at", "timestamp_ntz"),
+    "enrollment_type": ("$.type", "string"),
+    "prakerja_id": ("$.prakerja_id", "string"),
+    "is_prakerja_user": ("$.is_prakerja_user", "boolean"),
+    "prakerja_redeem_code": ("$.prakerja_redeem_code", "string"),
+    "prakerja_redeem_at": ("$.prakerja_redeem_at", "timestamp_ntz"),
+}
+
+
 def stg_eduqat_enrollments(raw: DataFrame, strict: bool = True) -> DataFrame:
-    user, meta = F.col("user_data"), F.col("metadata")
-    return project(
-        raw,
+    """Enrollments with the fields of their documents; completions stay behind."""
+    kept = [c for c in RAW["eduqat_enrollments"] if c != "completions"]
+    fields = [
+        json_as(F.col(doc), path, dtype, strict).alias(name)
+        for doc, spec in (("user_data", USER_FIELDS), ("metadata", METADATA_FIELDS))
+        for name, (path, dtype) in spec.items()
+    ]
+    certificates = json_len(F.col("certificates")).alias("certificate_count")
+    return raw.select(*kept, *fields, certificates).withColumnsRenamed(
         {
-            "enrollment_id": "id",
-            "uid": "uid",
-            "user_id": "user_id",
-            "course_id": "course_id",
-            "price_id": "price_id",
-            "schedule_id": "schedule_id",
-            "order_uid": "order_uid",
-            "user_name": json_text(user, "$.name"),
-            "user_email": json_text(user, "$.email"),
-            "user_phone": json_text(user, "$.phone_number"),
-            "user_role": json_text(user, "$.role"),
-            "user_status": json_text(user, "$.status"),
-            "user_created_at": json_as(user, "$.created_at", "timestamp_ntz", strict),
-            "enrollment_started_at": json_as(meta, "$.started_at", "timestamp_ntz", strict),
-            "enrollment_completed_at": "completed_at",
-            "enrollment_expires_at": "expires_at",
-            "enrollment_created_at": "created_at",
-            "learning_progress": "learning_progress",
-            "learning_time": "learning_time",
-            "total_tracked_time": json_as(meta, "$.tracked_time.total", "double", strict),
-            "last_tracked_at": json_as(meta, "$.tracked_time.last_tracked_at", "timestamp_ntz", strict),
-            "enrollment_type": json_text(meta, "$.type"),
-            "timezone": "timezone",
-            "order_data": "order_data",
-            "prakerja_id": json_text(meta, "$.prakerja_id"),
-            "is_prakerja_user": json_as(meta, "$.is_prakerja_user", "boolean", strict),
-            "prakerja_redeem_code": json_text(meta, "$.prakerja_redeem_code"),
-            "prakerja_redeem_at": json_as(meta, "$.prakerja_redeem_at", "timestamp_ntz", strict),
-            "certificate_count": json_len(F.col("certificates")),
-            "user_data": "user_data",
-            "metadata": "metadata",
-            "certificates": "certificates",
-            "user_groups": "user_groups",
-            "user_group_admins": "user_group_admins",
-            "data_source": "data_source",
-            "extracted_at": "extracted_at",
-        },
+            "id": "enrollment_id",
+            "completed_at": "enrollment_completed_at",
+            "expires_at": "enrollment_expires_at",
+            "created_at": "enrollment_created_at",
+        }
     )
 
 
+# Output column -> path and type in one material's record.
+MATERIAL_FIELDS = {
+    "material_type": ("$.type", "string"),
+    "is_required": ("$.is_required", "boolean"),
+    "started_at": ("$.started_at", "timestamp_ntz"),
+    "completed_at": ("$.completed_at", "timestamp_ntz"),
+    "tracked_time_seconds": ("$.tracked_time", "double"),
+    "ai_tutor_status": ("$.status", "string"),
+    "conversation_id": ("$.conversation_id", "string"),
+    "conversation_started_at": ("$.start_conversation", "timestamp_ntz"),
+    "conversation_ended_at": ("$.end_conversation", "timestamp_ntz"),
+    "submission_count": ("$.count_submit", "int"),
+    "self_assessment_id": ("$.self_assessment_id", "int"),
+    "self_assessment_library_id": ("$.self_assessment_library_id", "string"),
+    "require_feedback": ("$.require_feedback", "boolean"),
+    "require_file_upload": ("$.require_file_upload", "boolean"),
+    "require_educator_approval": ("$.require_educator_approval", "int"),
+}
+
+
 def stg_enrollment_materials(
     raw: DataFrame, strict: bool = True, carry: Mapping[str, Column] | None = None
 ) -> DataFrame:
@@ -313,30 +226,13 @@ def stg_enrollment_materials(
     base = raw.select(
         F.col("id").alias("enrollment_id"), "user_id", "course_id", *carried, "completions"
     )
-    value = F.col("value")
+    fields = {
+        name: json_as(F.col("value"), path, dtype, strict)
+        for name, (path, dtype) in MATERIAL_FIELDS.items()
+    }
+    completions = F.col("completions")
     rows = unnest_object(
-        base,
-        F.col("completions"),
-        {
-            "material_type": json_text(value, "$.type"),
-            "is_required": json_as(value, "$.is_required", "boolean", strict),
-            "started_at": json_as(value, "$.started_at", "timestamp_ntz", strict),
-            "completed_at": json_as(value, "$.completed_at", "timestamp_ntz", strict),
-            "tracked_time_seconds": json_as(value, "$.tracked_time", "double", strict),
-            "ai_tutor_status": json_text(value, "$.status"),
-            "conversation_id": json_text(value, "$.conversation_id"),
-            "conversation_started_at": json_as(value, "$.start_conversation", "timestamp_ntz", strict),
-            "conversation_ended_at": json_as(value, "$.end_conversation", "timestamp_ntz", strict),
-            "submission_count": json_as(value, "$.count_submit", "int", strict),
-            "self_assessment_id": json_as(value, "$.self_assessment_id", "int", strict),
-            "self_assessment_library_id": json_text(value, "$.self_assessment_library_id"),
-            "require_feedback": json_as(value, "$.require_feedback", "boolean", strict),
-            "require_file_upload": json_as(value, "$.require_file_upload", "boolean", strict),
-            "require_educator_approval": json_as(value, "$.require_educator_approval", "int", strict),
-        },
-        key="material_id",
-        key_type="int",
-        path="$.materials",
+        base, completions, fields, key="material_id", key_type="int", path="$.materials"
     )
     return rows.drop("completions")
 
