@@ -42,17 +42,22 @@ def read_source(
     columns: Sequence[str] | None = None,
     query: str | None = None,
     partition: Mapping[str, object] | None = None,
+    params: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Whole table, named columns, or the result of a projection query.
 
     ``source`` is a Parquet path, a catalog table name, or JDBC options. Column
-    selection reaches the scan in each case.
+    selection reaches the scan in each case. A query names its table ``src``,
+    unless it runs on a JDBC source, and may have named ``params`` (``:name``);
+    Spark cannot bind parameters of a JDBC query.
     """
     if isinstance(source, Mapping):
+        if params:
+            raise ValueError("a JDBC query takes no parameters")
         df = spark.read.format("jdbc").options(**jdbc_options(source, query, partition)).load()
     elif query is not None:
         read_source(spark, source).createOrReplaceTempView("src")
-        df = spark.sql(query)
+        df = spark.sql(query, args=dict(params or {}))
     elif "/" in source:
         df = spark.read.parquet(source)
     else:

@@ -229,6 +229,12 @@ def test_read_source_prunes_columns(spark, sf_small):
     df = src.read_source(spark, f"{sf_small}/orders.parquet", query="select o_orderkey from src where o_custkey = 3")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(o_custkey,3)" in plan
+    bound = src.read_source(
+        spark, f"{sf_small}/nation.parquet", query="select n_name from src where n_nationkey = :k", params={"k": 4}
+    )
+    assert rows(bound) == [("NATION_4",)]
+    with pytest.raises(ValueError):
+        src.read_source(spark, {"url": "jdbc:x"}, query="select :k", params={"k": 1})
     src.read_source(spark, f"{sf_small}/nation.parquet").createOrReplaceTempView("nations")
     assert src.read_source(spark, "nations").count() == 25
 
