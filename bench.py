@@ -13,7 +13,7 @@ import sys
 import time
 
 from leadloom.bindings import CATALOG
-from leadloom.session import local_session
+from leadloom.session import local_session, release_shared
 
 HEADLINE = [
     "int_user_retention",
@@ -62,6 +62,7 @@ def main() -> None:
     for name in names:
         run(spark, name, sf_dir)
         seconds[name] = round(run(spark, name, sf_dir), 3)
+    release_shared(spark)
     spark.stop()
     print(
         json.dumps(

@@ -51,6 +51,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def _application_folder(spark: SparkSession) -> str:
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/leadloom/{spark.sparkContext.applicationId}"
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/leadloom/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release_shared(spark: SparkSession) -> None:
+    """Delete what this application wrote below the shared folder.
+
+    For the end of an application: results that still read from there break.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

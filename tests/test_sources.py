@@ -7,6 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from leadloom import session
 from leadloom import sources as src
 from leadloom.build import (
     load_ai_conversations,
@@ -290,6 +291,17 @@ def test_shared_folder_follows_the_session(spark):
     assert shared_path(spark, "x") != shared_path(spark, "x")
 
 
+def test_release_shared(spark, monkeypatch):
+    """Only the application's own folder goes."""
+    monkeypatch.setattr(session, "_application_folder", lambda s: f"{ensure_checkpoint_dir(s)}/leadloom/other-app")
+    path = shared_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    keep = f"{ensure_checkpoint_dir(spark)}/keep"
+    spark.range(3).write.mode("overwrite").parquet(keep)
+    session.release_shared(spark)
+    assert not os.path.exists(os.path.dirname(path)) and os.path.exists(keep)
+
+
 # --- load steps -----------------------------------------------------------------------
 
 
