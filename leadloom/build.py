@@ -95,7 +95,8 @@ def build_models(
 
     Staging models stay views. With ``base`` the intermediate models and the
     marts are written below it and read back, so that each is computed once;
-    without it everything stays lazy.
+    without it everything stays lazy. Every model is also a temporary view of its
+    name, for use from SQL.
     """
 
     def table(name: str, df: DataFrame) -> DataFrame:
@@ -161,4 +162,6 @@ def build_models(
         "mart_materials",
         plans.mart_materials_from_raw(raw["eduqat_enrollments"], m["stg_eduqat_courses"], strict),
     )
+    for name, df in m.items():
+        df.createOrReplaceTempView(name)
     return m

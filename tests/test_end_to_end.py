@@ -187,6 +187,12 @@ def test_landed_files_to_metrics(spark, tmp_path):
     assert (kept["u1"].retained_7d, kept["u1"].retained_14d, kept["u1"].retained_30d) == (1, 1, 0)
     assert kept["u1"].active_days == 2 and kept["u2"].is_internal_user
 
+    by_sql = spark.sql(
+        "select c.eduqat_role, count(distinct e.enrollment_id) as n from mart_contact c "
+        "join stg_eduqat_enrollments e on e.user_email = c.email group by c.eduqat_role"
+    )
+    assert rows(by_sql) == [("learner", 2)]
+
     by_role = plans.metric_query(m["mart_contact"], ["number_of_contacts", "number_of_wa"], ["eduqat_role"])
     assert rows(by_role) == [(None, 1, 1), ("learner", 2, 1)]
     minutes = plans.metric_query(m["mart_enrollment"], ["total_learning_time_min"]).collect()[0][0]
