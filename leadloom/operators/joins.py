@@ -49,9 +49,10 @@ def left_join_fanout(fact: DataFrame, other: DataFrame, on: Sequence[str]) -> Da
     A small ``other`` is broadcast by the planner: nothing is shuffled, so no key
     can be hot. Beyond that size a left join could not split a hot key on its
     right side. Matches then come from an inner join, where both sides split, and
-    the remaining fact rows from an anti join against the distinct keys; the two
-    joins share the shuffle of the fact rows. Fact rows with a NULL key never
-    match and bypass both joins.
+    the remaining fact rows from a left join to the distinct keys. The two joins
+    share the shuffle of the fact rows; an anti join would not, because Catalyst
+    moves it below the fact's projection. Fact rows with a NULL key never match
+    and bypass both joins.
     """
     keys = list(on)
     if fits_broadcast(other):
@@ -60,7 +61,8 @@ def left_join_fanout(fact: DataFrame, other: DataFrame, on: Sequence[str]) -> Da
     keyed = fact.where(has_key)
     matches = keyed.join(other, on=keys, how="inner")
     present = _own_shuffle(other.select(*keys).where(has_key).distinct(), keys[0])
-    rest = keyed.join(present, on=keys, how="left_anti")
+    marked = keyed.join(present.withColumn("__present", F.lit(True)), on=keys, how="left")
+    rest = marked.where(F.col("__present").isNull()).drop("__present")
     return _stack([matches, rest, fact.where(~has_key)])
 
 
