@@ -2,7 +2,9 @@
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose the
 data and the cores. Each query is run once to warm up and then timed; all result
-columns are computed, none is collected.
+columns are computed, none is collected. The queries share the landed raw tables;
+landing them, which derives them from the benchmark tables, is timed by itself as
+``land_raw_tables``.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import sys
 import time
 
 from leadloom.bindings import CATALOG
+from leadloom.bindings.models import land_raw_tables
 from leadloom.session import local_session, release_shared
 
 HEADLINE = [
@@ -58,9 +61,12 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), app="bench")
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
     for name in names:
         run(spark, name, sf_dir)
+    start = time.perf_counter()
+    land_raw_tables(spark, sf_dir, again=True)
+    seconds = {"land_raw_tables": round(time.perf_counter() - start, 3)}
+    for name in names:
         seconds[name] = round(run(spark, name, sf_dir), 3)
     release_shared(spark)
     spark.stop()

@@ -423,24 +423,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _spread(scan: DataFrame) -> DataFrame:
+    """A benchmark table too small to give every core a task, over all cores."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def _source(spark: SparkSession, sf_dir: str, name: str, spread: bool) -> DataFrame:
     source = DERIVED[name][0]
     if source is _EVENTS_BY_SESSION or source is _EVENTS_BY_USER:
         keys = ["user_id", "event_type"] if source is _EVENTS_BY_SESSION else ["user_id"]
         events = table(spark, sf_dir, "events")
         return events.groupBy(*keys).agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-    return table(spark, sf_dir, source)
+    scan = table(spark, sf_dir, source)
+    return _spread(scan) if spread else scan
 
 
-def raw_text(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def raw_text(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """A derived raw table with its JSON columns still text."""
     exprs = [f"({e}) as `{c}`" for c, e in columns_of(name, "timestamp_ntz").items()]
-    return _source(spark, sf_dir, name).selectExpr(*exprs)
+    return _source(spark, sf_dir, name, spread).selectExpr(*exprs)
 
 
 def parsed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived raw table with its JSON columns as VARIANT, not yet landed."""
-    df = raw_text(spark, sf_dir, name)
+    df = raw_text(spark, sf_dir, name, spread=True)
     return df.withColumns({c: F.parse_json(F.col(c)) for c in JSON_COLUMNS.get(name, [])})
 
 
@@ -453,21 +460,22 @@ def land(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFra
 
     It is written at first use and read by every later query of the session. The
     models then scan it as they would scan any raw table: Spark stores VARIANT
-    columns shredded and reads only the JSON fields a model asks for. A benchmark
-    table too small to give every core a task is spread over the cores first.
+    columns shredded and reads only the JSON fields a model asks for.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _landed:
         path, df = shared_path(spark, f"raw-{name}"), rows()
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
         full_refresh(df, path, skip_if_empty=False)
         _landed[key] = path, df.schema
     path, schema = _landed[key]
     return spark.read.schema(schema).parquet(path)
 
 
+def forget_landed() -> None:
+    """Land the raw tables again at their next use."""
+    _landed.clear()
+
+
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived raw table, landed."""
     return land(spark, sf_dir, name, lambda: parsed(spark, sf_dir, name))
@@ -477,6 +485,6 @@ def raw_leads(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """The raw table of one lead sheet, landed."""
 
     def rows() -> DataFrame:
-        return raw_text(spark, sf_dir, "leads").where(F.col("data_source") == source)
+        return raw_text(spark, sf_dir, "leads", spread=True).where(F.col("data_source") == source)
 
     return land(spark, sf_dir, source, rows)

@@ -11,6 +11,7 @@ from leadloom.bindings.catalog import Catalog, flat
 from leadloom.bindings.model_sql import model, with_models
 from leadloom.operators import attach_list
 from leadloom.plans.marts import agg_enrollments, agg_purchases, latest_leads
+from leadloom.schemas import LEAD_SHEETS
 from leadloom.session import shared_path
 from leadloom.sources import materialize
 
@@ -31,12 +32,7 @@ class Models:
         return stage(derive.raw_leads(self.spark, self.sf_dir, name))
 
     def leads(self) -> DataFrame:
-        return plans.int_all_marketing_leads(
-            self.lead("leads_ads_community"),
-            self.lead("website_form_responses"),
-            self.lead("leads_course_strategi_ads"),
-            self.lead("branding_level_up"),
-        )
+        return plans.int_all_marketing_leads(*[self.lead(name) for name in LEAD_SHEETS])
 
     def users(self) -> DataFrame:
         return plans.stg_users(self.raw("users"), derive.INTERNAL_MOBILES)
@@ -136,16 +132,21 @@ class Models:
         )
 
 
+def land_raw_tables(spark: SparkSession, sf_dir: str, again: bool = False) -> int:
+    """Land all 13 raw tables now rather than at first use; returns their number."""
+    if again:
+        derive.forget_landed()
+    m = Models(spark, sf_dir)
+    tables = [m.raw(name) for name in derive.DERIVED if name != "leads"]
+    tables += [derive.raw_leads(spark, sf_dir, name) for name in LEAD_SHEETS]
+    return len([*tables, m.raw_conversations()])
+
+
 def _register(name: str, build) -> None:
     CATALOG.query(name, model(name))(lambda spark, sf_dir: flat(build(Models(spark, sf_dir))))
 
 
-for _source in (
-    "leads_ads_community",
-    "website_form_responses",
-    "leads_course_strategi_ads",
-    "branding_level_up",
-):
+for _source in LEAD_SHEETS:
     _register(f"stg_{_source}", lambda m, s=_source: m.lead(s))
 _register("stg_purchase_form_data", Models.purchases)
 _register("stg_users", Models.users)
