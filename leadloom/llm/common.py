@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadloom.session import shared_path
 
@@ -29,3 +31,24 @@ def need_columns(df: DataFrame, *names: str) -> None:
     for name in names:
         if df.columns.count(name) != 1:
             raise ValueError(f"exactly one column {name!r} is needed, there are {df.columns}")
+
+
+def with_python(df: DataFrame, inputs: list[Column], func, fields: str) -> DataFrame:
+    """df with further columns that func computes in Arrow batches.
+
+    func maps a list of Arrow arrays, one per input, to a list of arrays, one per field. All
+    columns of df pass through unread; the inputs travel under names of their own.
+    """
+    names = [f"_in{i}" for i in range(len(inputs))]
+    src = df.select("*", *(c.alias(n) for c, n in zip(inputs, names, strict=True)))
+    n_own = len(df.columns)
+    extra = T._parse_datatype_string(fields)
+    schema = T.StructType([*df.schema.fields, *extra.fields])
+
+    def run(batches):
+        for b in batches:
+            own = [b.column(i) for i in range(n_own)]
+            new = func([b.column(n_own + i) for i in range(len(names))])
+            yield pa.RecordBatch.from_arrays([*own, *new], names=[*b.schema.names[:n_own], *extra.names])
+
+    return src.mapInArrow(run, schema)

@@ -157,9 +157,13 @@ def mix(
 ) -> DataFrame:
     """docs with `_copies`: how often the plan takes each row, 0 for rows it leaves."""
     names = list(path)
-    given = plan.select(*(F.col(n).alias(f"_p{i}") for i, n in enumerate(names)), "full_epochs", "cut")
-    rows = docs.withColumns({f"_p{i}": F.coalesce(c.cast("string"), F.lit("")) for i, c in enumerate(path.values())})
     keys = [f"_p{i}" for i in range(len(names))]
+    given = plan.select(
+        *(F.col(n).alias(k) for n, k in zip(names, keys, strict=True)),
+        F.col("full_epochs").alias("_full"),
+        F.col("cut").alias("_cut"),
+    )
+    rows = docs.withColumns({k: F.coalesce(c.cast("string"), F.lit("")) for k, c in zip(keys, path.values(), strict=True)})
     out = _joined(rows, given, keys, plan.count())
-    last = (_seeded(F.col(id_col), F.col("full_epochs"), seed) <= F.col("cut")).cast("long")
-    return out.withColumn("_copies", F.col("full_epochs") + F.coalesce(last, F.lit(0))).drop(*keys, "full_epochs", "cut")
+    last = (_seeded(F.col(id_col), F.col("_full"), seed) <= F.col("_cut")).cast("long")
+    return out.withColumn("_copies", F.col("_full") + F.coalesce(last, F.lit(0))).drop(*keys, "_full", "_cut")

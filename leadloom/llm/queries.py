@@ -2,26 +2,85 @@
 
 from __future__ import annotations
 
+import functools
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, mixing
+from . import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    mixing,
+    quality,
+    simhash,
+    token_files,
+    toxicity,
+)
+from .ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def query(f):
-    QUERIES[f.__name__] = f
-    return f
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """A public vocabulary; the folder can be named in TOKENIZERS_DIR, and executors have it in
+    the same place."""
+    folder = os.environ.get("TOKENIZERS_DIR")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_quality_classifier(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_language_id(spark, sf_dir):
+    return language_id.language_id(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
+
+
+@query
+def op4_simhash_near_dedup(spark, sf_dir):
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+@query
+def op5_token_files(spark, sf_dir):
+    shards = token_files.write_tokens(
+        table(spark, sf_dir, "documents"),
+        token_files.shared_folder(spark, "token-shards"),
+        tokenizer_path("byte_bpe_50k.json"),
+        end_id=2,
+    )
+    return token_files.read_tokens(shards, with_ids=False)
+
+
+@query
+def op8_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 @query
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
