@@ -105,7 +105,7 @@ def united(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int
     return out
 
 
-def benchmark_hits(
+def _hits(
     docs: DataFrame,
     benchmark: DataFrame,
     window: int = 10,
@@ -116,14 +116,8 @@ def benchmark_hits(
     keep: tuple[str, ...] = (),
     max_bytes: int = MAX_BENCHMARK_BYTES,
 ) -> DataFrame:
-    """One row per document: doc_id, the columns in `keep`, n_words, spans (arrays of first and
-    last word, start and end character in the original text), items (ids that occur, ascending).
-
-    A null text has no words. Items without words and items with a null id find nothing; an
-    item with fewer words than the window is one window. Of equal items all count; rows that
-    repeat an id are scanned like any other. Without items no document has hits; without
-    documents the result is empty. `keep` must not name the columns n_words, spans, items.
-    """
+    """benchmark_hits with its results in _n_words, _spans and _items, which no column of docs is
+    taken to be named."""
     need_columns(docs, id_col, text_col)
     kept = [n for n in dict.fromkeys((id_col, *keep)) if n != text_col]
     with_text = text_col in keep
@@ -131,14 +125,14 @@ def benchmark_hits(
     span = pa.list_(pa.struct([(n, pa.int64()) for n in ("first", "last", "start", "end")]))
     head = docs.select(*(docs[n] for n in kept))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in head.schema]
-    fields += ["_text string", "n_words long", "spans array<struct<first:long,last:long,start:long,end:long>>", "items array<long>"]
+    fields += ["_text string", "_n_words long", "_spans array<struct<first:long,last:long,start:long,end:long>>", "_items array<long>"]
     none = "cast(array() as array<struct<first:long,last:long,start:long,end:long>>)"
     df = docs.select(
         *(docs[n] for n in kept),
         docs[text_col].alias("_text"),
-        F.lit(0).cast("long").alias("n_words"),
-        F.expr(none).alias("spans"),
-        F.expr("cast(array() as array<long>)").alias("items"),
+        F.lit(0).cast("long").alias("_n_words"),
+        F.expr(none).alias("_spans"),
+        F.expr("cast(array() as array<long>)").alias("_items"),
     )
 
     def scanner(some, last_pass):
@@ -147,7 +141,7 @@ def benchmark_hits(
             for b in batches:
                 n, spans, items = [], [], []
                 texts = b.column("_text").to_pylist()
-                for t, had, ids in zip(texts, b.column("spans").to_pylist(), b.column("items").to_pylist(), strict=True):
+                for t, had, ids in zip(texts, b.column("_spans").to_pylist(), b.column("_items").to_pylist(), strict=True):
                     k, ranges, more = scan(auto, t)
                     if had:
                         ranges = united([(h["first"], h["last"]) for h in had], ranges)
@@ -176,10 +170,23 @@ def benchmark_hits(
     return df.withColumnRenamed("_text", text_col) if with_text else df.drop("_text")
 
 
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, keep: tuple[str, ...] = (), **names) -> DataFrame:
+    """One row per document: doc_id, the columns in `keep`, n_words, spans (arrays of first and
+    last word, start and end character in the original text), items (ids that occur, ascending).
+
+    A null text has no words. Items without words and items with a null id find nothing; an
+    item with fewer words than the window is one window. Of equal items all count; rows that
+    repeat an id are scanned like any other. Without items no document has hits; without
+    documents the result is empty. `keep` must not name the columns n_words, spans, items.
+    """
+    out = _hits(docs, benchmark, window, keep=keep, **names)
+    return out.withColumnsRenamed({f"_{n}": n for n in ("n_words", "spans", "items")})
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, **names) -> DataFrame:
     """The documents, with all their columns, in which no benchmark window occurs."""
-    out = benchmark_hits(docs, benchmark, window, keep=tuple(docs.columns), **names)
-    return out.where(F.size("items") == 0).select(*docs.columns)
+    out = _hits(docs, benchmark, window, keep=tuple(docs.columns), **names)
+    return out.where(F.size("_items") == 0).select(*docs.columns)
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
