@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from . import (
     decontaminate,
     exact_dedup,
+    katz,
     language_id,
     mixing,
     quality,
     simhash,
+    substring_dedup,
     token_files,
     toxicity,
 )
@@ -50,6 +52,32 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=20, with_text=False)
+
+
+SQL["op1_substring_dedup"] = r"""
+with words as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), windows as (
+  select doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') as words
+  from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from words where len(w) >= 20)
+), later as (
+  select doc_id, i from windows
+  qualify row_number() over (partition by words order by doc_id, i) > 1
+), gone as (
+  select distinct doc_id, unnest(range(i, i + 20)) as p from later
+), removed as (
+  select doc_id, list(p) as ps from gone group by doc_id
+)
+select doc_id, len(w) as n_words, coalesce(len(ps), 0) as n_removed,
+       sha256(array_to_string(coalesce(case when ps is null then w else list_transform(
+         list_filter(list_zip(w, range(1, len(w) + 1)), x -> not list_contains(ps, x[2])), x -> x[1]) end, []), ' ')) as kept_sha256
+from words left join removed using (doc_id)
+"""
+
+
 @query
 def op2_quality_classifier(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"))
@@ -76,6 +104,11 @@ def op5_token_files(spark, sf_dir):
     return token_files.read_tokens(shards, with_ids=False)
 
 
+@query
+def op7_katz_scores(spark, sf_dir):
+    return katz.katz_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
