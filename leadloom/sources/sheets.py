@@ -47,8 +47,8 @@ HEADER_SYNONYMS: dict[str, str] = {
 # length at which the landing database cuts column names
 MAX_NAME_BYTES = 63
 
-# lines read beyond the header row, for headers with line breaks in them
-HEADER_LINES = 64
+# lines first read for a header; more are read until its record is whole
+FIRST_LINES = 64
 
 
 def normalize_headers(names: Sequence[str], max_bytes: int | None = None) -> list[str]:
@@ -62,16 +62,38 @@ def _all_text(width: int) -> T.StructType:
     return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
 
 
+def _records(lines: Sequence[str], wanted: int) -> list[list[str]] | None:
+    """The first ``wanted`` records; None if the lines end within one of them."""
+    found: list[list[str]] = []
+    try:
+        for record in csv.reader((f"{line}\n" for line in lines), strict=True):
+            if record:
+                found.append(record)
+            if len(found) == wanted:
+                break
+    except csv.Error:
+        return None
+    return found
+
+
 def _header(spark: SparkSession, path: str, header_row: int) -> list[str] | None:
-    """Normalised header cells; None for an empty sheet.
+    """Normalised header cells; None for a sheet without any record.
 
-    A bounded number of lines reaches the driver, enough for headers that
-    contain line breaks.
+    Only the lines up to the end of the header's record reach the driver, however
+    many line breaks the cells hold: the number of lines read doubles until the
+    record is whole.
     """
-    lines = spark.read.text(path).limit(header_row + 1 + HEADER_LINES).collect()
-    records = [r for r in csv.reader(f"{line.value}\n" for line in lines) if r]
-    if len(records) <= header_row:
+    text, n = spark.read.text(path), header_row + FIRST_LINES
+    while True:
+        lines = [line.value for line in text.limit(n).collect()]
+        records = _records(lines, header_row + 1)
+        if records is not None and len(records) > header_row or len(lines) < n:
+            break
+        n *= 2
+    if records == []:
         return None
+    if records is None or len(records) <= header_row:
+        raise ValueError(f"{path}: no readable header in row {header_row}")
     names = normalize_headers(records[header_row])
     repeated = sorted({n for n in names if names.count(n) > 1})
     if repeated or "" in names:
