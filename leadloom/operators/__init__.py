@@ -8,7 +8,7 @@ from leadloom.operators.aggregates import (
     reached_after,
     value_of_latest,
 )
-from leadloom.operators.attach import attach_list
+from leadloom.operators.attach import attach_rows
 from leadloom.operators.dedup import dedup_latest
 from leadloom.operators.joins import Repeated, drill_across, full_outer_on, left_join, left_join_fanout
 from leadloom.operators.keys import add_surrogate_key
@@ -30,7 +30,7 @@ __all__ = [
     "add_surrogate_key",
     "aggregate",
     "any_not_null",
-    "attach_list",
+    "attach_rows",
     "category_counts",
     "column_type_mismatches",
     "count_where",

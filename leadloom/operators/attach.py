@@ -1,4 +1,4 @@
-"""Attach child rows to their parent as an ordered list."""
+"""Attach child rows to their parent, in order."""
 
 from __future__ import annotations
 
@@ -9,33 +9,24 @@ from pyspark.sql import functions as F
 
 from leadloom.operators.joins import left_join_fanout
 
-# elements that one row of an attached list holds at most
-CHUNK = 1000
 
-
-def attach_list(
+def attach_rows(
     parents: DataFrame,
     children: DataFrame,
     key: str,
     position: str,
     fields: Sequence[str],
-    name: str,
-    chunk: int = CHUNK,
+    order: str,
+    keep_childless: bool = True,
 ) -> DataFrame:
-    """Parents with an array of child structs; no children gives an empty array.
+    """Parents with their children, one row per child, numbered from 1 in ``order``.
 
-    ``position`` is an integer, counted from 0 and unique within the key. A list
-    longer than ``chunk`` continues on further rows of the same parent, numbered
-    by ``part``: the chunk follows from the position alone, so a parent that owns
-    a third of all children is built by many tasks, and none of them holds more
-    than ``chunk`` elements of it at once. Element order is exact, in the parts
-    and across them.
+    ``position`` is an integer, counted from 0 and unique within the key, so the
+    number follows from it and no task needs all children of a parent: a parent
+    that owns a third of all children is spread over many tasks. Parents without
+    children get one row with NULLs, or none.
     """
-    item = F.struct(F.col(position), *[F.col(f) for f in fields])
-    part = F.floor(F.col(position) / F.lit(chunk)).cast("int").alias("part")
-    ordered = F.array_sort(F.collect_list(item))
-    bare = F.transform(ordered, lambda m: F.struct(*[m[f].alias(f) for f in fields]))
-    lists = children.groupBy(key, part).agg(bare.alias(name))
-    empty = F.array().cast(lists.schema[name].dataType)
-    joined = left_join_fanout(parents, lists, [key])
-    return joined.withColumns({"part": F.coalesce("part", F.lit(0)), name: F.coalesce(F.col(name), empty)})
+    named = children.select(key, (F.col(position) + 1).cast("long").alias(order), *fields)
+    if keep_childless:
+        return left_join_fanout(parents, named, [key])
+    return parents.join(named, on=key)

@@ -18,11 +18,11 @@ from leadloom.functions.normalize import (
     normalize_income,
     normalize_phone,
 )
-from leadloom.operators.attach import CHUNK
+from leadloom.operators.attach import attach_rows
 from leadloom.operators.dedup import dedup_latest
 from leadloom.operators.projection import any_not_null, project
 from leadloom.operators.unnest import unnest_array, unnest_object
-from leadloom.schemas import LEAD_LAYOUT, RAW
+from leadloom.schemas import LEAD_LAYOUT, RAW, STAMP
 
 # Fixed value: a header cut to 63 bytes by the landing database.
 BIDANG_USAHA_HEADER = "bidang_usaha_yang_sedang_dijalankan_saat_ini_cth_pakaian_makana"
@@ -123,7 +123,8 @@ def stg_purchase_form_data(raw: DataFrame, strict: bool = True) -> DataFrame:
 def stg_users(raw: DataFrame, internal_mobiles: Collection[str] = ()) -> DataFrame:
     """Users with a three-valued internal flag; the list is the caller's."""
     internal = flag_in_list(F.col("mobile"), internal_mobiles).alias("is_internal_user")
-    return raw.select(*RAW["users"], internal)
+    own = [c for c in RAW["users"] if c not in STAMP]
+    return raw.select(*own, internal, *STAMP)
 
 
 def stg_ai_chat_sessions(raw: DataFrame) -> DataFrame:
@@ -137,21 +138,75 @@ def stg_ai_chat_messages(raw: DataFrame) -> DataFrame:
 # --- learning platform -----------------------------------------------------
 
 
+# Columns of the staged accounts and courses, in order.
+USER_COLUMNS = (
+    "id",
+    "user_id",
+    "subid",
+    "name",
+    "user_name",
+    "email",
+    "phone_number",
+    "phone_country",
+    "phone_country_calling_code",
+    "description",
+    "avatar_url",
+    "role",
+    "status",
+    "total_course",
+    "total_enrollment",
+    "pre_signup_at",
+    "confirmed_at",
+    "last_loggin_at",
+    "created_at",
+    "stripe_customer_ids",
+    "metadata",
+    "data_source",
+    "extracted_at",
+)
+COURSE_COLUMNS = (
+    "id",
+    "slug",
+    "name",
+    "description",
+    "type",
+    "status",
+    "duration",
+    "total_student",
+    "rating",
+    "author",
+    "parent",
+    "timezone",
+    "progress_status",
+    "start_date",
+    "end_date",
+    "published_at",
+    "language_codes",
+    "categories",
+    "educators",
+    "images",
+    "prices",
+    "tags",
+    "metadata",
+    "data_source",
+    "extracted_at",
+)
+COURSE_NAMES = {
+    "id": "course_id",
+    "name": "course_name",
+    "type": "course_type",
+    "status": "course_status",
+    "duration": "duration_seconds",
+    "parent": "parent_course_id",
+}
+
+
 def stg_eduqat_users(raw: DataFrame) -> DataFrame:
-    return raw.select(*RAW["eduqat_users"])
+    return raw.select(*USER_COLUMNS)
 
 
 def stg_eduqat_courses(raw: DataFrame) -> DataFrame:
-    return raw.select(*RAW["eduqat_courses"]).withColumnsRenamed(
-        {
-            "id": "course_id",
-            "name": "course_name",
-            "type": "course_type",
-            "status": "course_status",
-            "duration": "duration_seconds",
-            "parent": "parent_course_id",
-        }
-    )
+    return raw.select(*(F.col(c).alias(COURSE_NAMES.get(c, c)) for c in COURSE_COLUMNS))
 
 
 # Output column -> path and type in the user document, and in the
@@ -176,22 +231,58 @@ METADATA_FIELDS = {
 }
 
 
+# Columns of the staged enrollments, in order.
+ENROLLMENT_COLUMNS = (
+    "enrollment_id",
+    "uid",
+    "user_id",
+    "course_id",
+    "price_id",
+    "schedule_id",
+    "order_uid",
+    *USER_FIELDS,
+    "enrollment_started_at",
+    "enrollment_completed_at",
+    "enrollment_expires_at",
+    "enrollment_created_at",
+    "learning_progress",
+    "learning_time",
+    "total_tracked_time",
+    "last_tracked_at",
+    "enrollment_type",
+    "timezone",
+    "order_data",
+    "prakerja_id",
+    "is_prakerja_user",
+    "prakerja_redeem_code",
+    "prakerja_redeem_at",
+    "certificate_count",
+    "user_data",
+    "metadata",
+    "certificates",
+    "user_groups",
+    "user_group_admins",
+    "data_source",
+    "extracted_at",
+)
+ENROLLMENT_NAMES = {
+    "enrollment_id": "id",
+    "enrollment_completed_at": "completed_at",
+    "enrollment_expires_at": "expires_at",
+    "enrollment_created_at": "created_at",
+}
+
+
 def stg_eduqat_enrollments(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Enrollments with the fields of their documents; completions stay behind."""
-    kept = [c for c in RAW["eduqat_enrollments"] if c != "completions"]
-    fields = [
-        json_as(F.col(doc), path, dtype, strict).alias(name)
+    fields = {
+        name: json_as(F.col(doc), path, dtype, strict)
         for doc, spec in (("user_data", USER_FIELDS), ("metadata", METADATA_FIELDS))
         for name, (path, dtype) in spec.items()
-    ]
-    certificates = json_len(F.col("certificates")).alias("certificate_count")
-    return raw.select(*kept, *fields, certificates).withColumnsRenamed(
-        {
-            "id": "enrollment_id",
-            "completed_at": "enrollment_completed_at",
-            "expires_at": "enrollment_expires_at",
-            "created_at": "enrollment_created_at",
-        }
+    }
+    fields["certificate_count"] = json_len(F.col("certificates"))
+    return raw.select(
+        *(fields.get(c, F.col(ENROLLMENT_NAMES.get(c, c))).alias(c) for c in ENROLLMENT_COLUMNS)
     )
 
 
@@ -237,14 +328,21 @@ def stg_enrollment_materials(
     return rows.drop("completions")
 
 
-def stg_eduqat_ai_conversations(raw: DataFrame, strict: bool = True, chunk: int = CHUNK) -> DataFrame:
-    """One row per message, numbered from 1.
-
-    A conversation with more than ``chunk`` messages is landed as several rows
-    numbered by ``part``; its numbering runs through.
-    """
-    before = F.col("part") * chunk if "part" in raw.columns else F.lit(0)
-    base = raw.withColumn("__before", before).select(
+def stg_eduqat_ai_conversations(conversations: DataFrame, messages: DataFrame) -> DataFrame:
+    """One row per message of a conversation, numbered from 1."""
+    said = messages.select(
+        "conversation_id",
+        "position",
+        F.col("session_id").alias("message_session_id"),
+        F.col("sender").alias("message_sender"),
+        F.col("value").alias("message_content"),
+        F.col("timestamp").alias("message_timestamp"),
+    )
+    fields = [c for c in said.columns if c not in ("conversation_id", "position")]
+    rows = attach_rows(
+        conversations, said, "conversation_id", "position", fields, "message_order", keep_childless=False
+    )
+    return rows.select(
         F.col("id").alias("submission_id"),
         "conversation_id",
         "user_id",
@@ -259,31 +357,11 @@ def stg_eduqat_ai_conversations(raw: DataFrame, strict: bool = True, chunk: int
         "educator_id",
         F.col("created_at").alias("conversation_created_at"),
         F.col("updated_at").alias("conversation_updated_at"),
-        "data_source",
-        "extracted_at",
-        "messages",
-        "__before",
-    )
-    value = F.col("value")
-    rows = unnest_array(
-        base,
-        F.col("messages"),
-        {
-            "message_session_id": json_text(value, "$.session_id"),
-            "message_sender": json_text(value, "$.sender"),
-            "message_content": json_text(value, "$.value"),
-            "message_timestamp": json_as(value, "$.timestamp", "timestamp_ntz", strict),
-        },
-        position="message_order",
-        base=1,
-    )
-    return rows.select(
-        *[c for c in base.columns if c not in ("data_source", "extracted_at", "messages", "__before")],
         "message_session_id",
         "message_sender",
         "message_content",
         "message_timestamp",
-        (F.col("message_order") + F.col("__before")).alias("message_order"),
+        "message_order",
         "data_source",
         "extracted_at",
     )

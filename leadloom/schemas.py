@@ -1,4 +1,4 @@
-"""Declared layouts: the 13 raw tables and the common lead layout.
+"""Declared layouts: the raw tables and the common lead layout.
 
 Types are Spark SQL types; ``varchar(n)`` is text with a checked length, and
 ``variant`` holds JSON. NUMERIC without a precision is ``decimal(38,6)``.
@@ -6,8 +6,10 @@ Types are Spark SQL types; ``varchar(n)`` is text with a checked length, and
 
 from __future__ import annotations
 
-_STAMP = {"data_source": "varchar(100)", "extracted_at": "timestamp_ntz"}
+# Provenance, the last columns of every raw table.
+STAMP = {"data_source": "varchar(100)", "extracted_at": "timestamp_ntz"}
 
+# Columns and types of the raw tables.
 RAW: dict[str, dict[str, str]] = {
     "purchase_form_data": {
         "customer_name": "varchar(255)",
@@ -20,7 +22,7 @@ RAW: dict[str, dict[str, str]] = {
         "amount": "decimal(38,6)",
         "payment_method": "varchar(100)",
         "payment_channel": "varchar(100)",
-        **_STAMP,
+        **STAMP,
     },
     "users": {
         "id": "string",
@@ -48,7 +50,7 @@ RAW: dict[str, dict[str, str]] = {
         "longitude": "double",
         "segment": "varchar(100)",
         "business_name": "varchar(255)",
-        **_STAMP,
+        **STAMP,
     },
     "ai_chat_messages": {
         "id": "string",
@@ -57,7 +59,7 @@ RAW: dict[str, dict[str, str]] = {
         "content": "string",
         "message_order": "int",
         "created_at": "timestamp_ntz",
-        **_STAMP,
+        **STAMP,
     },
     "ai_chat_sessions": {
         "id": "string",
@@ -66,7 +68,7 @@ RAW: dict[str, dict[str, str]] = {
         "title": "string",
         "created_at": "timestamp_ntz",
         "updated_at": "timestamp_ntz",
-        **_STAMP,
+        **STAMP,
     },
     "eduqat_enrollments": {
         "id": "varchar(255)",
@@ -89,7 +91,7 @@ RAW: dict[str, dict[str, str]] = {
         "certificates": "variant",
         "user_groups": "variant",
         "user_group_admins": "variant",
-        **_STAMP,
+        **STAMP,
     },
     "eduqat_users": {
         "id": "int",
@@ -113,7 +115,7 @@ RAW: dict[str, dict[str, str]] = {
         "confirmed_at": "timestamp_ntz",
         "last_loggin_at": "timestamp_ntz",
         "created_at": "timestamp_ntz",
-        **_STAMP,
+        **STAMP,
     },
     "eduqat_courses": {
         "id": "int",
@@ -139,7 +141,7 @@ RAW: dict[str, dict[str, str]] = {
         "start_date": "timestamp_ntz",
         "end_date": "timestamp_ntz",
         "published_at": "timestamp_ntz",
-        **_STAMP,
+        **STAMP,
     },
     "eduqat_ai_conversations": {
         "id": "int",
@@ -158,8 +160,17 @@ RAW: dict[str, dict[str, str]] = {
         "updated_at": "timestamp_ntz",
         "user_data": "variant",
         "educator_data": "variant",
-        "messages": "variant",
-        **_STAMP,
+        **STAMP,
+    },
+    # the messages of a conversation, one row each
+    "eduqat_ai_messages": {
+        "conversation_id": "varchar(255)",
+        "position": "int",
+        "session_id": "string",
+        "sender": "string",
+        "value": "string",
+        "timestamp": "timestamp_ntz",
+        **STAMP,
     },
     "eduqat_survey_results": {
         "enrollment_id": "varchar(255)",
@@ -171,7 +182,7 @@ RAW: dict[str, dict[str, str]] = {
         "survey_title": "string",
         "elements": "variant",
         "completed_at": "timestamp_ntz",
-        **_STAMP,
+        **STAMP,
     },
 }
 
@@ -191,7 +202,7 @@ LEAD_ADDED = {
     "loaded_at": "timestamp_ntz",
 }
 
-# Column order of every staged lead source.
+# Column order of every staged lead source.
 LEAD_LAYOUT = (
     "email",
     "phone_number",
@@ -221,6 +232,7 @@ UNIQUE_KEYS: dict[str, list[list[str]]] = {
     "eduqat_users": [["id"]],
     "eduqat_courses": [["id"]],
     "eduqat_ai_conversations": [["id"], ["conversation_id"]],
+    "eduqat_ai_messages": [["conversation_id", "position"]],
     "eduqat_survey_results": [["enrollment_id", "material_id"]],
 }
 
@@ -247,7 +259,7 @@ ITEM_NAMES: dict[str, dict[str, str]] = {
 
 
 def _extracted(table: str) -> dict[str, str]:
-    return {c: t for c, t in RAW[table].items() if c not in _STAMP}
+    return {c: t for c, t in RAW[table].items() if c not in STAMP}
 
 
 def source_query(table: str) -> str:
@@ -267,8 +279,6 @@ def item_fields(table: str) -> str:
     fields = {
         names.get(c, c): "string" if t.startswith(as_text) else t
         for c, t in _extracted(table).items()
-        # messages come from an endpoint of their own
-        if (table, c) != ("eduqat_ai_conversations", "messages")
     }
     return ", ".join(f"{c}: {t}" for c, t in fields.items())
 
