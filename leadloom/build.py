@@ -8,12 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom import plans
-from leadloom.operators.attach import attach_list
 from leadloom.operators.keys import add_surrogate_key
 from leadloom.operators.quality import violations_length, violations_null, violations_unique
 from leadloom.operators.setops import union_all
 from leadloom.schemas import ITEM_NAMES, KEEP_EMPTY, LEAD_ADDED, RAW, UNIQUE_KEYS, length_limits
-from leadloom.session import shared_path
+from leadloom.session import delete_folder, shared_path
 from leadloom.sources.landing import stamp, typed_load
 from leadloom.sources.sheets import MAX_NAME_BYTES, read_all_sheets, rename_synonyms
 from leadloom.sources.tables import materialize
@@ -54,19 +53,20 @@ def load_api_items(items: DataFrame, table: str, batch_ts: str, strict: bool = T
 
 def load_ai_conversations(
     conversations: DataFrame, messages: DataFrame, batch_ts: str, strict: bool = True
-) -> DataFrame:
-    """Raw conversations with their messages attached.
+) -> tuple[DataFrame, DataFrame]:
+    """Raw conversations, and their messages as a raw table of its own.
 
-    ``messages`` has conversation_id, an integer ``position`` from 0, and the
-    message fields. A conversation without messages gets NULL, as every empty
-    list does. Long conversations continue on further rows numbered ``part``.
+    ``messages`` has conversation_id, an integer ``position`` from 0 within the
+    conversation, and the message fields. A message is a row, so a conversation
+    may have any number of them; ``stg_eduqat_ai_conversations`` joins the two.
     """
-    table = "eduqat_ai_conversations"
-    fields = [c for c in messages.columns if c not in ("conversation_id", "position")]
-    nested = attach_list(conversations, messages, "conversation_id", "position", fields, "messages")
-    renames = {item: column for column, item in ITEM_NAMES[table].items()}
-    raw = stamp(nested.withColumnsRenamed(renames), table, batch_ts)
-    return typed_load(raw, {**RAW[table], "part": "int"}, strict)
+    talks, said = "eduqat_ai_conversations", "eduqat_ai_messages"
+    renames = {item: column for column, item in ITEM_NAMES[talks].items()}
+    rows = stamp(conversations.withColumnsRenamed(renames), talks, batch_ts)
+    return (
+        typed_load(rows, RAW[talks], strict),
+        typed_load(stamp(messages, said, batch_ts), RAW[said], strict),
+    )
 
 
 def raw_violations(raw: Mapping[str, DataFrame]) -> DataFrame:
@@ -91,7 +91,7 @@ def build_models(
     internal_mobiles: Collection[str] = (),
     strict: bool = True,
 ) -> dict[str, DataFrame]:
-    """All 20 models from the 13 raw tables.
+    """All 20 models from the raw tables.
 
     Staging models stay views. With ``base`` the intermediate models and the
     marts are written below it and read back, so that each is computed once;
@@ -120,7 +120,7 @@ def build_models(
     m["stg_eduqat_enrollments"] = plans.stg_eduqat_enrollments(raw["eduqat_enrollments"], strict)
     m["stg_enrollment_materials"] = plans.stg_enrollment_materials(raw["eduqat_enrollments"], strict)
     m["stg_eduqat_ai_conversations"] = plans.stg_eduqat_ai_conversations(
-        raw["eduqat_ai_conversations"], strict
+        raw["eduqat_ai_conversations"], raw["eduqat_ai_messages"]
     )
 
     m["int_all_marketing_leads"] = table(
@@ -142,6 +142,8 @@ def build_models(
         "int_user_retention", plans.int_user_retention(m["int_ai_chat_messages"])
     )
 
+    spark = raw["users"].sparkSession
+    stage = shared_path(spark, "per-email")
     m["mart_contact"] = table(
         "mart_contact",
         plans.mart_contact(
@@ -149,9 +151,11 @@ def build_models(
             m["stg_purchase_form_data"],
             m["stg_eduqat_users"],
             m["stg_eduqat_enrollments"],
-            stage=None if base is None else shared_path(raw["users"].sparkSession, "per-email"),
+            stage,
         ),
     )
+    if base is not None:
+        delete_folder(spark, stage)  # the mart is a table of its own now
     m["mart_enrollment"] = table(
         "mart_enrollment",
         plans.mart_enrollment(

@@ -1,8 +1,9 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-No side is broadcast by hint: Spark broadcasts a side only when its measured
-size is below ``spark.sql.autoBroadcastJoinThreshold``. Above that size the join
-is a sort-merge join, and adaptive execution splits an oversized partition. It
+No side is broadcast by hint: Spark broadcasts a side only when its own estimate,
+or the size that adaptive execution has measured, is below
+``spark.sql.autoBroadcastJoinThreshold``. Above that the join is a sort-merge join,
+and adaptive execution splits an oversized partition. It
 can split both sides of an inner join, the left side of a left or anti join and
 no side of a full join, and only if each side comes straight from the join's own
 shuffle; the operators below are written to meet these conditions.
@@ -36,27 +37,17 @@ def _own_shuffle(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(key, F.coalesce(F.col(key), F.lit(unused)))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Does Catalyst's size estimate stay below the session's broadcast limit?"""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
 def left_join_fanout(fact: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join in which ``other`` may repeat a key any number of times.
 
-    A small ``other`` is broadcast by the planner: nothing is shuffled, so no key
-    can be hot. Beyond that size a left join could not split a hot key on its
-    right side. Matches then come from an inner join, where both sides split, and
-    the remaining fact rows from a left join to the distinct keys. The two joins
-    share the shuffle of the fact rows; an anti join would not, because Catalyst
-    moves it below the fact's projection. Fact rows with a NULL key never match
-    and bypass both joins.
+    A left join could not split a hot key on its right side. So matches come from
+    an inner join, where both sides split, and the remaining fact rows from a left
+    join to the distinct keys. The two joins share the shuffle of the fact rows; an
+    anti join would not, because Catalyst moves it below the fact's projection.
+    Fact rows with a NULL key never match and bypass both joins. The plan is the
+    same at any size; Spark broadcasts ``other`` where it is small.
     """
     keys = list(on)
-    if fits_broadcast(other):
-        return fact.join(other, on=keys, how="left")
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     keyed = fact.where(has_key)
     matches = keyed.join(other, on=keys, how="inner")
@@ -87,7 +78,7 @@ class Repeated:
 
 
 def full_outer_on(
-    key: str, repeated: Sequence[Repeated], per_key: Sequence[DataFrame], stage: str | None = None
+    key: str, repeated: Sequence[Repeated], per_key: Sequence[DataFrame], stage: str
 ) -> DataFrame:
     """Full outer join of several tables on one key, NULL keys unmatched.
 
@@ -102,8 +93,9 @@ def full_outer_on(
        the other rows are appended.
 
     Apart from the key, the column names of the tables must not overlap. Each
-    repeated table doubles the number of times the rows of step 1 are read;
-    ``stage`` names a new folder to write them to, so that they are computed once.
+    repeated table doubles the number of times the rows of step 1 are read, so
+    they are written once, to the new folder ``stage``, which the caller deletes
+    when the result is no longer read.
     """
     marks = [f"__has_{i}" for i in range(len(repeated))]
     held = []
@@ -112,9 +104,8 @@ def full_outer_on(
         held.append(keys.where(F.col(key).isNotNull()).distinct().withColumn(mark, F.lit(True)))
     holders = _stack(held).groupBy(key).agg(*[F.max(m).alias(m) for m in marks])
     out = reduce(lambda a, b: a.join(b, on=key, how="full"), [*per_key, holders])
-    if stage is not None:
-        out.write.parquet(stage)
-        out = out.sparkSession.read.schema(out.schema).parquet(stage)
+    out.write.parquet(stage)
+    out = out.sparkSession.read.schema(out.schema).parquet(stage)
 
     for mark, table in zip(marks, repeated, strict=True):
         matched = table.rows.join(_own_shuffle(out.where(F.col(mark)), key), on=key)
@@ -135,9 +126,16 @@ def drill_across(
 ) -> DataFrame:
     """Join two fact tables after summarising each to the shared key.
 
-    Both summaries are already partitioned by the key, so the join adds no
+    Keys of either table stay; rows without a key are summarised as one. Both
+    summaries hold a key once and are partitioned by it, so the join adds no
     shuffle and cannot multiply rows.
     """
-    a = left.groupBy(key).agg(*[c.alias(n) for n, c in left_aggs.items()])
-    b = right.groupBy(key).agg(*[c.alias(n) for n, c in right_aggs.items()])
-    return a.join(b, on=key, how="left")
+    has_key = F.col(key).isNotNull()
+    parts = []
+    for rows in (lambda df: df.where(has_key), lambda df: df.where(~has_key)):
+        a = rows(left).groupBy(key).agg(*[c.alias(n) for n, c in left_aggs.items()])
+        b = rows(right).groupBy(key).agg(*[c.alias(n) for n, c in right_aggs.items()])
+        parts.append((a, b))
+    (a, b), (no_a, no_b) = parts
+    no_key = no_a.join(no_b, on=no_a[key].eqNullSafe(no_b[key]), how="full").drop(key)
+    return a.join(b, on=key, how="full").unionByName(no_key, allowMissingColumns=True)

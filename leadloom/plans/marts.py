@@ -75,8 +75,8 @@ def mart_contact(
     purchases: DataFrame,
     accounts: DataFrame,
     enrollments: DataFrame,
+    stage: str,
     normalize_keys: bool = False,
-    stage: str | None = None,
 ) -> DataFrame:
     """One row per e-mail and phone over leads, purchases and platform accounts.
 

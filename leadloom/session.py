@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -34,8 +36,8 @@ def local_session(cores: int | str = "*", app: str = "leadloom", **conf: str) ->
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder that all executors can reach, as the cluster names it.
 
-    Only a local session, where there is but one machine, gets a temporary folder
-    of its own when ``spark.checkpoint.dir`` is not set.
+    Only a session in a single process gets a temporary folder of its own when
+    ``spark.checkpoint.dir`` is not set.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -45,7 +47,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current is not None:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="leadloom-"))
     return spark.sparkContext.getCheckpointDir()
@@ -61,10 +63,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_forgetting: list[Callable[[], None]] = []
+
+
+def on_release(forget: Callable[[], None]) -> Callable[[], None]:
+    """Call forget whenever the shared folder is released."""
+    _forgetting.append(forget)
+    return forget
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release_shared(spark: SparkSession) -> None:
     """Delete what this application wrote below the shared folder.
 
-    For the end of an application: results that still read from there break.
+    For the end of an application: results that still read from there break. Whoever keeps
+    paths below the folder registers a function that forgets them with ``on_release``.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    for forget in _forgetting:
+        forget()
+    delete_folder(spark, _application_folder(spark))
