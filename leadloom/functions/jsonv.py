@@ -10,10 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# JSON texts that count as "nothing" when a nested value is landed
-FALSY_JSON = ("null", "false", "0", "0.0", "-0", "-0.0", '""', "[]", "{}")
-
-
 def json_text(v: Column, path: str) -> Column:
     """Scalar as text, object or array as JSON text."""
     return F.try_variant_get(v, F.lit(path), "string")
@@ -52,7 +48,16 @@ def json_pack(v: Column, falsy_to_null: bool = True) -> Column:
     """VARIANT as landed: empty or false values are stored as NULL."""
     if not falsy_to_null:
         return v
-    return F.when(~F.to_json(v).isin(*FALSY_JSON), v)
+    kind = F.schema_of_variant(v)
+    number = F.try_variant_get(v, F.lit("$"), "double")
+    falsy = (
+        kind.isin("VOID", "OBJECT<>", "ARRAY<VOID>")
+        & F.coalesce(F.array_size(json_array(v)) == 0, F.lit(True))
+        | (kind == "BOOLEAN") & ~F.try_variant_get(v, F.lit("$"), "boolean")
+        | (kind == "STRING") & (F.try_variant_get(v, F.lit("$"), "string") == "")
+        | (kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")) & (number == 0)
+    )
+    return F.when(~F.coalesce(falsy, F.lit(False)), v)
 
 
 def earliest_in_object(v: Column, path: str, field: str) -> Column:

@@ -79,21 +79,23 @@ def split_rejects(df: DataFrame, bad: str | Column = "_corrupt_record") -> tuple
 def page_completeness(pages: DataFrame, items: DataFrame, id_field: str, limit: int) -> DataFrame:
     """Is the extract of each endpoint complete?
 
-    ``pages`` has one row per landed page (endpoint, reported, total_pages,
+    ``pages`` has one row per landed page (endpoint, page, reported, total_pages,
     item_count), ``items`` one row per item (endpoint, ``id_field``). An extract
     is complete when it holds as many distinct items as the server reports, and
-    the last page was reached: a page shorter than ``limit``, or as many pages as
-    the server announced.
+    the end was reached: there are as many pages as the server announced, or, if
+    it announced none, the page with the highest number is shorter than ``limit``.
+    Where the server reports no count, completeness is unknown (NULL), unless the
+    end was not reached.
     """
     by_page = pages.groupBy("endpoint").agg(
         F.max("reported").alias("reported"),
         F.sum("item_count").cast("long").alias("fetched"),
         F.count("*").alias("pages"),
         F.max("total_pages").alias("total_pages"),
-        F.count_if(F.col("item_count") < limit).alias("short_pages"),
+        F.max_by("item_count", "page").alias("last_page_items"),
     )
     ids = items.groupBy("endpoint").agg(F.count_distinct(id_field).alias("distinct_ids"))
     joined = by_page.join(ids, on="endpoint", how="left").fillna({"distinct_ids": 0})
-    reached_end = F.coalesce(F.col("pages") >= F.col("total_pages"), F.col("short_pages") > 0)
-    complete = reached_end & (F.col("distinct_ids") >= F.coalesce("reported", F.lit(0)))
+    reached_end = F.coalesce(F.col("pages") >= F.col("total_pages"), F.col("last_page_items") < limit)
+    complete = reached_end & (F.col("distinct_ids") >= F.col("reported"))
     return joined.withColumn("complete", complete)

@@ -19,11 +19,12 @@ from leadloom.sources.sheets import (
     sheet_paths,
     write_sheet,
 )
-from leadloom.sources.tables import full_refresh, materialize, read_source, read_tables
+from leadloom.sources.tables import current_path, full_refresh, materialize, read_source, read_tables
 
 __all__ = [
     "HEADER_SYNONYMS",
     "explode_pages",
+    "current_path",
     "full_refresh",
     "json_text_column",
     "materialize",

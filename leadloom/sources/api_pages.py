@@ -75,11 +75,19 @@ def read_api_pages(
     return explode_pages(pages, items_field, ("page_file",))
 
 
-def page_stats(pages: DataFrame, endpoint: str | Column, items_field: str = "items") -> DataFrame:
-    """Per page: endpoint, what the server reports, and how many items it holds."""
+def page_stats(
+    pages: DataFrame, endpoint: str | Column, items_field: str = "items", page: Column | None = None
+) -> DataFrame:
+    """Per page: endpoint, page number, what the server reports, and how many items it holds.
+
+    The page number is the last number in the name of the landed file unless ``page`` gives it.
+    """
     name = F.col(endpoint) if isinstance(endpoint, str) else endpoint
+    if page is None:
+        page = F.regexp_extract("page_file", r"(\d+)[^/\d]*$", 1).try_cast("long")
     return pages.select(
         name.alias("endpoint"),
+        page.alias("page"),
         F.coalesce(F.col("count"), F.col("meta.total_count")).alias("reported"),
         F.col("meta.total_pages").alias("total_pages"),
         F.coalesce(F.array_size(F.col(items_field)), F.lit(0)).cast("long").alias("item_count"),

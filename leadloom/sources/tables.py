@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -56,10 +57,16 @@ def read_source(
             raise ValueError("a JDBC query takes no parameters")
         df = spark.read.format("jdbc").options(**jdbc_options(source, query, partition)).load()
     elif query is not None:
-        read_source(spark, source).createOrReplaceTempView("src")
-        df = spark.sql(query, args=dict(params or {}))
+        # a view of its own, so that no view of the caller is replaced
+        name = f"src_{uuid.uuid4().hex}"
+        read_source(spark, source).createOrReplaceTempView(name)
+        try:
+            named = re.sub(r"^\s*with\b", ",", query, count=1, flags=re.IGNORECASE)
+            df = spark.sql(f"WITH src AS (SELECT * FROM {name}) {named}", args=dict(params or {}))
+        finally:
+            spark.catalog.dropTempView(name)
     elif "/" in source:
-        df = spark.read.parquet(source)
+        df = spark.read.parquet(current_path(spark, source))
     else:
         df = spark.read.table(source)
     return df if columns is None else df.select(*columns)
@@ -73,40 +80,60 @@ def read_tables(
     return union_by_name(named, tag_column="table_name" if add_table_name_column else None)
 
 
+# marks a version of a refreshed table as complete; of the marked ones the last is current
+_MARK = "_CURRENT"
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Complete versions of the refreshed table at ``path``, oldest first; none for other paths."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    root = jvm.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root) or not fs.getFileStatus(root).isDirectory():
+        return []
+    names = [e.getPath().getName() for e in fs.listStatus(root) if e.getPath().getName().startswith("version-")]
+    return sorted(n for n in names if fs.exists(jvm.Path(root, f"{n}/{_MARK}")))
+
+
+def current_path(spark: SparkSession, path: str) -> str:
+    """Folder of the current rows of a table: its last version, or the path itself."""
+    versions = _versions(spark, path)
+    return f"{path.rstrip('/')}/{versions[-1]}" if versions else path
+
+
 def full_refresh(df: DataFrame, path: str, skip_if_empty: bool = True) -> int:
     """Replace the table at ``path`` and return its row count.
 
-    The rows are written next to the table first and moved in place afterwards: a
-    failed job leaves the old table as it was, and so does an empty extract (0 is
-    returned). The result is counted from the written files, the query runs
-    once. Schema and rows are replaced together. Between the two renames a
-    reader may find no table; a catalog with transactions would close that gap.
+    The rows become a new version below ``path``, which counts from the moment its
+    empty mark file is created: nothing is moved, readers (``read_source``) see the
+    old rows or the new ones, never a mixture or a gap, and a failed job or an empty
+    extract (0 is returned) leaves the old version as it was. The result is counted
+    from the written files, the query runs once. Schema and rows are replaced
+    together. The version before stays for readers that have begun with it; older
+    ones are deleted.
     """
     spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(conf)
-    parent, tag = target.getParent(), uuid.uuid4().hex
-    staged = jvm.org.apache.hadoop.fs.Path(parent, f"_{target.getName()}-staged-{tag}")
-    old = jvm.org.apache.hadoop.fs.Path(parent, f"_{target.getName()}-old-{tag}")
+    jvm = spark._jvm.org.apache.hadoop.fs
+    root = jvm.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = _versions(spark, path)
+    number = int(before[-1].split("-")[1]) + 1 if before else 0
+    name = f"version-{number:09d}-{uuid.uuid4().hex}"
+    target = f"{path.rstrip('/')}/{name}"
+    done = False
     try:
-        df.write.mode("overwrite").parquet(staged.toString())
-        rows = spark.read.schema(df.schema).parquet(staged.toString()).count()
+        df.write.parquet(target)
+        rows = spark.read.schema(df.schema).parquet(target).count()
         if rows == 0 and skip_if_empty:
             return 0
-        replaced = fs.exists(target)
-        if replaced and not fs.rename(target, old):
-            raise OSError(f"cannot move the old table away from {path}")
-        if not fs.rename(staged, target):
-            if replaced:
-                fs.rename(old, target)
-            raise OSError(f"cannot move the new table to {path}")
-        if replaced:
-            fs.delete(old, True)
-        return rows
+        fs.create(jvm.Path(f"{target}/{_MARK}")).close()
+        done = True
     finally:
-        if fs.exists(staged):
-            fs.delete(staged, True)
+        if not done:
+            fs.delete(jvm.Path(target), True)
+    for old in before[:-1]:
+        fs.delete(jvm.Path(root, old), True)
+    return rows
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view", base: str | None = None) -> DataFrame:
@@ -122,6 +149,7 @@ def materialize(df: DataFrame, name: str, kind: str = "view", base: str | None =
         raise ValueError("kind must be 'view', or 'table' with a base folder")
     path = f"{base.rstrip('/')}/{name}"
     full_refresh(df, path, skip_if_empty=False)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    table = spark.read.schema(df.schema).parquet(current_path(spark, path))
     table.createOrReplaceTempView(name)
     return table
