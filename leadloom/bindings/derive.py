@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from leadloom.functions.normalize import BUSINESS_AGE, EMPLOYEE_COUNT, INCOME
-from leadloom.session import shared_path
-from leadloom.sources.tables import full_refresh
+from leadloom.session import on_release, shared_path
+from leadloom.sources.tables import current_path, full_refresh
 
 BATCH_TS = "2024-06-10 00:00:00"
 
@@ -172,6 +172,13 @@ _META_FLAG = (
     "when 2 then '\"is_prakerja_user\":null,' else '' end"
 )
 
+_ENROLLMENT_TYPE = f"(case {_O} % 3 when 0 then 'manual' when 1 then 'self' else 'group' end)"
+_REDEEMED = (
+    f"(case when {_O} % 5 = 0 then ',\"prakerja_redeem_at\":\"' || {_DAY} || "
+    f"'T15:45:00+07:00\",\"prakerja_redeem_code\":\"rc' || {_text(f'{_O} % 700')} || '\"' "
+    f"when {_O} % 5 = 1 then ',\"prakerja_redeem_code\":null' else '' end)"
+)
+
 
 def _material(no: str, body: str) -> str:
     return f"'\"' || {_text(no)} || '\":{{{{{body}}}}}'"
@@ -236,9 +243,9 @@ ENROLLMENTS: dict[str, str] = {
         "',\"role\":\"learner\",\"status\":\"ACTIVE\"}}'"
     ),
     "metadata": (
-        f"'{{{{' || {_META_FLAG} || '\"prakerja_id\":\"pk' || {_text(f'{_O} % 100')} || '\",\"started_at\":\"' || {_DAY} || "
+        f"'{{{{' || {_META_FLAG} || '\"prakerja_id\":\"pk' || {_text(f'{_O} % 100')} || '\"' || {_REDEEMED} || ',\"started_at\":\"' || {_DAY} || "
         f"'T08:00:00Z\",\"tracked_time\":{{{{\"last_tracked_at\":\"' || {_DAY} || 'T12:00:00Z\",\"total\":' || "
-        f"{_text(f'{_O} % 9000')} || '}}}},\"type\":\"manual\"}}}}'"
+        f"{_text(f'{_O} % 9000')} || '}}}},\"type\":\"' || {_ENROLLMENT_TYPE} || '\"}}}}'"
     ),
     "completions": (
         f"case {_O} % 7 when 0 then null when 1 then '{{{{\"materials\":null}}}}' "
@@ -466,11 +473,12 @@ def land(spark: SparkSession, sf_dir: str, name: str, rows: Callable[[], DataFra
     if key not in _landed:
         path, df = shared_path(spark, f"raw-{name}"), rows()
         full_refresh(df, path, skip_if_empty=False)
-        _landed[key] = path, df.schema
+        _landed[key] = current_path(spark, path), df.schema
     path, schema = _landed[key]
     return spark.read.schema(schema).parquet(path)
 
 
+@on_release
 def forget_landed() -> None:
     """Land the raw tables again at their next use."""
     _landed.clear()

@@ -12,7 +12,7 @@ from leadloom.bindings.catalog import Catalog, flat
 from leadloom.bindings.model_sql import with_models
 from leadloom.build import raw_violations
 from leadloom.functions.jsonv import json_pack, json_text
-from leadloom.schemas import RAW, UNIQUE_KEYS, length_limits
+from leadloom.schemas import KEEP_EMPTY, RAW, UNIQUE_KEYS, length_limits
 from leadloom.session import shared_path
 
 CATALOG = Catalog()
@@ -122,31 +122,37 @@ def scan_api_pages_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
         from customer group by 1, 2
     ), ids as (
         select c_mktsegment as endpoint, count(distinct c_custkey) as distinct_ids,
-               count(*) + (case when c_mktsegment = 'BUILDING' then 1 else 0 end) as reported
+               case c_mktsegment when 'AUTOMOBILE' then null when 'BUILDING' then count(*) + 1 else count(*) end as reported
         from customer group by c_mktsegment
+    ), ends as (
+        select endpoint, count(*) as pages, cast(sum(item_count) as bigint) as fetched,
+               arg_max(item_count, page) as last_page_items,
+               case endpoint when 'MACHINERY' then count(*) when 'FURNITURE' then count(*) + 1 end as total_pages
+        from pages group by endpoint
     )
-    select p.endpoint, max(i.reported) as reported, cast(sum(p.item_count) as bigint) as fetched,
-           count(*) as pages, cast(null as bigint) as total_pages,
-           count(*) filter (where p.item_count < 100) as short_pages,
-           max(i.distinct_ids) as distinct_ids,
-           count(*) filter (where p.item_count < 100) > 0 and max(i.distinct_ids) >= max(i.reported) as complete
-    from pages p join ids i on p.endpoint = i.endpoint group by p.endpoint
+    select p.endpoint, i.reported, p.fetched, p.pages, p.total_pages, p.last_page_items, i.distinct_ids,
+           (case when p.total_pages is null then p.last_page_items < 100 else p.pages >= p.total_pages end)
+           and i.distinct_ids >= i.reported as complete
+    from ends p join ids i on p.endpoint = i.endpoint
     """,
 )
 def page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Endpoints that report too many items, no count, all their pages, and one page more."""
     customer = derive.table(spark, sf_dir, "customer").select(
         F.col("c_mktsegment").alias("endpoint"), F.col("c_custkey").alias("id")
     )
-    # one endpoint reports one item more than it delivers
-    more = F.when(F.col("endpoint") == "BUILDING", 1).otherwise(0)
-    claimed = customer.groupBy("endpoint").agg(F.count("*").alias("n"))
-    claimed = claimed.select("endpoint", (F.col("n") + more).alias("count"))
     page = F.floor(F.col("id") / 100).alias("page")
-    bodies = customer.groupBy("endpoint", page).agg(F.collect_list(F.struct("id")).alias("items"))
-    pages = bodies.join(claimed, on="endpoint").withColumn(
-        "meta", F.lit(None).cast("struct<total_pages: bigint, total_count: bigint>")
+    n, endpoint = F.count("*"), F.col("endpoint")
+    claimed = customer.groupBy("endpoint").agg(
+        F.when(endpoint == "BUILDING", n + 1).when(endpoint != "AUTOMOBILE", n).alias("count"),
+        F.when(endpoint == "MACHINERY", F.count_distinct(page))
+        .when(endpoint == "FURNITURE", F.count_distinct(page) + 1)
+        .alias("announced"),
     )
-    stats = src.page_stats(pages, "endpoint")
+    bodies = customer.groupBy("endpoint", page).agg(F.collect_list(F.struct("id")).alias("items"))
+    meta = F.struct(F.col("announced").alias("total_pages"), F.lit(None).cast("long").alias("total_count"))
+    pages = bodies.join(claimed, on="endpoint").withColumn("meta", meta)
+    stats = src.page_stats(pages, "endpoint", page=F.col("page"))
     items = src.explode_pages(pages, "items", keep=("endpoint",))
     return ops.page_completeness(stats, items, "id", limit=100)
 
@@ -154,25 +160,24 @@ def page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.query(
     "attach_messages",
     """
-    select d.doc_id, d.lang, 0 as part, count(c.turn) as n_messages,
-           coalesce(string_agg(c.role, ',' order by c.turn), '') as roles,
-           cast(coalesce(sum(length(c."text")), 0) as bigint) as n_chars
-    from documents d left join conversations c on d.doc_id = c.conv_id group by d.doc_id, d.lang
+    select d.doc_id, d.lang, c.turn + 1 as message_order, c.role, length(c."text") as n_chars
+    from documents d left join conversations c on d.doc_id = c.conv_id
+    union all
+    select -1, null, row_number() over (order by event_id), event_type, length(props) from events where event_id % 3 = 0
     """,
 )
 def attach_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their turns, and one parent with a third of all events, a row per child."""
     parents = derive.table(spark, sf_dir, "documents").select("doc_id", "lang")
     children = derive.table(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "doc_id")
-    docs = ops.attach_list(parents, children, "doc_id", "turn", ["role", "text"], "messages")
-    chars = F.transform("messages", lambda m: F.char_length(m["text"]).cast("long"))
-    return docs.select(
-        "doc_id",
-        "lang",
-        "part",
-        F.size("messages").cast("long").alias("n_messages"),
-        F.array_join(F.transform("messages", lambda m: m["role"]), ",").alias("roles"),
-        F.aggregate(chars, F.lit(0).cast("long"), lambda a, b: a + b).alias("n_chars"),
+    talks = ops.attach_rows(parents, children, "doc_id", "turn", ["role", "text"], "message_order")
+    hot = (F.col("event_id") % 3 - 1).alias("doc_id")  # -1 for these
+    said = derive.table(spark, sf_dir, "events").where("event_id % 3 = 0").select(
+        hot, F.floor(F.col("event_id") / 3).alias("place"), F.col("event_type").alias("role"), F.col("props").alias("text")
     )
+    chats = ops.attach_rows(said.select("doc_id").distinct(), said, "doc_id", "place", ["role", "text"], "message_order")
+    both = talks.unionByName(chats, allowMissingColumns=True)
+    return both.select("doc_id", "lang", "message_order", "role", F.char_length("text").cast("long").alias("n_chars"))
 
 
 # --- surveys found in enrollments ------------------------------------------------
@@ -281,25 +286,72 @@ def normalize_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @CATALOG.query(
-    "scan_all_sheets",
-    with_models("raw_leads")
-    + f"""
-    select {_SHEET_COLUMNS}, sheet_name from raw_leads where data_source = 'leads_ads_community'
-    union all
-    select coalesce(email, ''), coalesce(phone_number, ''), null, null, null, coalesce("timestamp", ''),
-           null, data_source from raw_leads where data_source = 'website_form_responses'
-    """.replace("sheet_name from", "data_source as sheet_name from"),
+    "scan_sheet_header_row",
+    """
+    select cast(o_orderkey as varchar) as nomor, coalesce(o_orderpriority, '') as prioritas from orders
+    """,
 )
+def scan_sheet_header_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that all start with a title row above the header, its cells full of line breaks."""
+    orders = derive.table(spark, sf_dir, "orders")
+    note = "\n" * 70
+    path = shared_path(spark, "titled")
+    titled = orders.select(F.col("o_orderkey").cast("string").alias("Nomor"), F.col("o_orderpriority").alias("Prioritas"))
+    src.write_sheet(titled.toDF(f"Laporan{note}pesanan", "dibuat"), f"{path}/all")
+    # the header as the first row below the title, in every file
+    rows = spark.read.option("multiLine", "true").options(quote='"', escape='"').csv(f"{path}/all", header=True)
+    head = spark.createDataFrame([("Nomor", "Prioritas")], ["a", "b"])
+    for k in range(2):
+        part = rows.toDF("a", "b").where(F.pmod(F.crc32(F.col("a").cast("binary")), F.lit(2)) == k)
+        sheet = head.unionByName(part).coalesce(1).toDF(f"Laporan{note}pesanan", "dibuat")
+        sheet.write.options(quote='"', escape='"').csv(f"{path}/parts/{k}", header=True)
+    sheets = [src.read_sheet(spark, f"{path}/parts/{k}", header_row=1) for k in range(2)]
+    return sheets[0].unionByName(sheets[1])
+
+
+@CATALOG.query(
+    "scan_sheet_multiline_header",
+    """
+    select coalesce(c_name, '') as nama_pelanggan, coalesce(c_mktsegment, '') as segmen,
+           'Provinsi ' || c_nationkey as provinsi from customer
+    """,
+)
+def scan_sheet_multiline_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A header cell that holds more line breaks than most sheets have rows."""
+    customer = derive.table(spark, sf_dir, "customer")
+    path = shared_path(spark, "tall")
+    province = F.concat(F.lit("Provinsi "), F.col("c_nationkey").cast("string"))
+    typed = customer.select("c_name", "c_mktsegment", province).toDF("Nama" + "\n" * 200 + "Pelanggan", "Segmen", "Provinsi")
+    src.write_sheet(typed, path)
+    return src.read_sheet(spark, path)
+
+
+_SHEET_OF = {
+    "leads_ads_community": list(_SHEET),
+    "website_form_responses": [" Email ", "No. HP/Telp", "Created Time"],
+    "leads_course_strategi_ads": [" Email ", "Full Name", "Provinsi"],
+    "branding_level_up": ["No. HP/Telp", "Created Time", " Email "],
+    "Template": [" Email "],
+}
+_SHEET_NAMES = dict(zip(_SHEET, _SHEET_SQL, strict=True))
+
+
+def _all_sheets_sql() -> str:
+    parts = []
+    for name, headers in _SHEET_OF.items():
+        if name != "Template":
+            has = {_SHEET_NAMES[h] for h in headers}
+            columns = ", ".join(f"{e if c in has else 'cast(null as varchar)'} as {c}" for c, e in _SHEET_SQL.items())
+            parts.append(f"select {columns}, data_source as sheet_name from raw_leads where data_source = '{name}'")
+    return with_models("raw_leads") + " " + " union all ".join(parts)
+
+
+@CATALOG.query("scan_all_sheets", _all_sheets_sql())
 def scan_all_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    headers = {
-        "leads_ads_community": list(_SHEET),
-        "website_form_responses": [" Email ", "No. HP/Telp", "Created Time"],
-        "Template": [" Email "],
-    }
     paths = {}
-    for name, names in headers.items():
+    for name, headers in _SHEET_OF.items():
         source = "branding_level_up" if name == "Template" else name
-        paths[name] = _landed_sheet(spark, derive.raw_leads(spark, sf_dir, source), names)
+        paths[name] = _landed_sheet(spark, derive.raw_leads(spark, sf_dir, source), headers)
     return src.read_all_sheets(spark, paths, exclude=["Template"])
 
 
@@ -425,6 +477,46 @@ def typed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(src.typed_load(text, RAW["purchase_form_data"]))
 
 
+_NOTHING = "('[]', '{}', 'null', 'false', '0', '\"\"')"
+_DECIMALS = {"purchase_form_data": ("amount",), "eduqat_courses": ("rating",)}
+
+
+def _typed_sql(table: str) -> str:
+    columns = []
+    for c in derive.columns_of(table, "timestamp"):
+        if c == "completions":
+            # its members are compared by json_typeof and the staged materials; here, that it is there
+            columns.append("completions is not null as completions")
+        elif c in derive.JSON_COLUMNS.get(table, ()) and (table, c) != ("users", "interests"):
+            columns.append(f'case when "{c}" in {_NOTHING} then null else "{c}" end as "{c}"')
+        elif c == "birth_date":
+            columns.append("cast(birth_date as varchar) as birth_date")
+        elif c in _DECIMALS.get(table, ()):
+            columns.append(f'cast(cast("{c}" as decimal(38, 6)) as double) as "{c}"')
+        else:
+            columns.append(f'"{c}"')
+    return with_models(f"raw_{table}") + f" select {', '.join(columns)} from raw_{table}"
+
+
+def _typed(table: str) -> None:
+    @CATALOG.query(f"typed_load_{table}", _typed_sql(table))
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """An extract of texts, its timestamps with an offset, its JSON not parsed."""
+        raw = derive.raw_text(spark, sf_dir, table)
+        stamps = [c for c, t in raw.dtypes if t == "timestamp_ntz" and c != "extracted_at"]
+        text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+        text = text.withColumns({c: F.concat(F.col(c), F.lit("+07:00")) for c in stamps})
+        loaded = src.typed_load(text, RAW[table], keep_empty=KEEP_EMPTY.get(table, ()))
+        if "completions" in loaded.columns:
+            loaded = loaded.withColumn("completions", F.col("completions").isNotNull())
+        return flat(loaded)
+
+
+for _table in derive.DERIVED:
+    if _table != "leads":
+        _typed(_table)
+
+
 @CATALOG.query(
     "retype_column",
     "select o_orderkey, case when o_orderstatus = 'O' then null when o_orderkey % 2 = 0 then 'true' else 'false' end as order_data from orders",
@@ -442,7 +534,7 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     src.full_refresh(derive.table(spark, sf_dir, "part").withColumn("old", F.lit(1)), path)
     src.full_refresh(part, path)
     src.full_refresh(part.where(F.col("p_partkey") < 0), path)
-    return spark.read.parquet(path)
+    return src.read_source(spark, path)
 
 
 @CATALOG.query(
@@ -461,14 +553,12 @@ def materialize_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.query(
     "materialize_table",
     """
-    select c_mktsegment, c_nationkey, count(*) as customers from customer where c_acctbal > 0
+    select c_mktsegment, c_nationkey, count(*) as customers from customer
     group by c_mktsegment, c_nationkey
     """,
 )
 def materialize_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = src.materialize(
-        derive.table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0), "positive_customer"
-    )
+    customer = src.materialize(derive.table(spark, sf_dir, "customer"), "all_customers")
     counts = customer.groupBy("c_mktsegment", "c_nationkey").agg(F.count("*").alias("customers"))
     return src.materialize(counts, "customer_counts", "table", shared_path(spark, "tables"))
 
@@ -516,16 +606,18 @@ def assert_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select("doc_id", F.array_join("violated", ",").alias("violated"))
 
 
-_CHECKED = ("eduqat_enrollments", "eduqat_users", "eduqat_courses", "eduqat_survey_results")
+_TALKS = ("eduqat_ai_conversations", "eduqat_ai_messages")
+_CHECKED = (*[t for t in derive.DERIVED if t != "leads"], *_TALKS)
 
 
 def _contract_sql() -> str:
     parts = []
     for table in _CHECKED:
-        too_long = " or ".join(f'length("{c}") > {n}' for c, n in length_limits(table).items())
+        there = derive.DERIVED[table][1] if table in derive.DERIVED else RAW[table]
+        too_long = " or ".join(f'length("{c}") > {n}' for c, n in length_limits(table).items() if c in there)
         head = f"select '{table}' as table_name, '{{}}' as rule, count(*) as violations from "
         parts.append(head.format("length") + f"raw_{table} where {too_long}")
-        for key in UNIQUE_KEYS[table]:
+        for key in UNIQUE_KEYS.get(table, []):
             cols = ", ".join(key)
             twice = f"(select {cols} from raw_{table} group by {cols} having count(*) > 1)"
             nulls = " or ".join(f"{c} is null" for c in key)
@@ -536,7 +628,11 @@ def _contract_sql() -> str:
 
 @CATALOG.query("assert_raw_contract", _contract_sql())
 def assert_raw_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_violations({t: derive.raw(spark, sf_dir, t) for t in _CHECKED})
+    from leadloom.bindings.models import Models
+
+    m = Models(spark, sf_dir)
+    raw = {t: derive.raw(spark, sf_dir, t) for t in _CHECKED if t not in _TALKS}
+    return raw_violations(raw | dict(zip(_TALKS, (m.raw_conversations(), m.raw_messages()), strict=True)))
 
 
 _BROKEN = """

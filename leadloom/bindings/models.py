@@ -9,7 +9,7 @@ from leadloom import plans
 from leadloom.bindings import derive
 from leadloom.bindings.catalog import Catalog, flat
 from leadloom.bindings.model_sql import model, with_models
-from leadloom.operators import attach_list
+from leadloom.build import load_ai_conversations
 from leadloom.plans.marts import agg_enrollments, agg_purchases, latest_leads
 from leadloom.schemas import LEAD_SHEETS
 from leadloom.session import shared_path
@@ -74,10 +74,26 @@ class Models:
             self.purchases(),
             self.accounts(),
             self.enrollments(),
-            stage=shared_path(self.spark, "per-email"),
+            shared_path(self.spark, "per-email"),
             **options,
         )
 
+    def _written(self, name: str, rows) -> DataFrame:
+        return derive.land(self.spark, self.sf_dir, name, rows)
+
+    def contact_table(self) -> DataFrame:
+        """The contact mart as a written table; metrics read it as often as they like."""
+        return self._written("mart_contact", self.contact)
+
+    def enrollment_table(self) -> DataFrame:
+        return self._written("mart_enrollment", self.enrollment)
+
+    def material_table(self) -> DataFrame:
+        return self._written("mart_materials", self.material)
+
+    def retention_table(self) -> DataFrame:
+        return self._written("int_user_retention", self.retention)
+
     def enrollment(self) -> DataFrame:
         return plans.mart_enrollment(self.enrollments(), self.courses(), self.purchases())
 
@@ -88,58 +104,64 @@ class Models:
         return plans.mart_materials(self.materials(), self.enrollments(), self.courses())
 
     def raw_conversations(self) -> DataFrame:
-        """Conversation documents, their messages nested as a JSON array."""
-        return derive.land(
-            self.spark, self.sf_dir, "eduqat_ai_conversations", self._nested_conversations
-        )
+        return derive.land(self.spark, self.sf_dir, "eduqat_ai_conversations", lambda: self._talks()[0])
+
+    def raw_messages(self) -> DataFrame:
+        return derive.land(self.spark, self.sf_dir, "eduqat_ai_messages", lambda: self._talks()[1])
 
-    def _nested_conversations(self) -> DataFrame:
-        turns = derive.table(self.spark, self.sf_dir, "conversations")
-        stamp = F.lit("2024-02-01T09:00:00Z")
-        messages = turns.select(
-            "conv_id",
-            "turn",
-            F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("session_id"),
+    def _talks(self) -> tuple[DataFrame, DataFrame]:
+        """Conversations and messages as their endpoints give them, loaded.
+
+        Besides the benchmark's conversations there is one, `all`, that holds a third
+        of all events.
+        """
+        key = F.col("conv_id")
+        turns = derive.table(self.spark, self.sf_dir, "conversations").select(
+            F.concat(F.lit("c"), key.cast("string")).alias("conversation_id"),
+            F.col("turn").cast("int").alias("position"),
+            F.concat(F.lit("c"), key.cast("string")).alias("session_id"),
             F.when(F.col("role") == "user", "human").otherwise("ai").alias("sender"),
             F.col("text").alias("value"),
-            stamp.alias("timestamp"),
+            F.lit("2024-02-01T09:00:00Z").alias("timestamp"),
         )
-        parents = turns.groupBy("conv_id").agg(F.count("*").alias("turns"))
-        docs = attach_list(
-            parents, messages, "conv_id", "turn", ["session_id", "sender", "value", "timestamp"], "messages"
+        # event ids are unique, so those of one conversation are positions in it
+        events = derive.table(self.spark, self.sf_dir, "events").where("event_id % 3 = 0")
+        hot = events.select(
+            F.lit("all").alias("conversation_id"),
+            F.floor(F.col("event_id") / 3).cast("int").alias("position"),
+            F.lit("all").alias("session_id"),
+            F.lit("human").alias("sender"),
+            F.col("event_type").alias("value"),
+            F.lit("2024-02-01T09:00:00Z").alias("timestamp"),
         )
-        key = F.col("conv_id")
-        ntz = "timestamp_ntz"
-        return docs.select(
-            key.cast("int").alias("id"),
-            F.concat(F.lit("c"), key.cast("string")).alias("conversation_id"),
-            F.concat(F.lit("u"), (key % 15).cast("string")).alias("user_id"),
-            F.concat(F.lit("e"), key.cast("string")).alias("enrollment_id"),
-            (key % 60).cast("int").alias("course_id"),
-            (key % 9).cast("int").alias("material_id"),
-            F.when(key % 2 == 0, "WAITING").otherwise("COMPLETED").alias("status"),
-            F.col("turns").cast("int").alias("score"),
+        counts = derive.table(self.spark, self.sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("n"))
+        fields = lambda i, n, name: [
+            i.cast("int").alias("id"),
+            name.alias("conversation_id"),
+            F.concat(F.lit("u"), (i % 15).cast("string")).alias("user_id"),
+            F.concat(F.lit("e"), i.cast("string")).alias("enrollment_id"),
+            (i % 60).cast("int").alias("course_id"),
+            (i % 9).cast("int").alias("material_id"),
+            F.when(i % 2 == 0, "WAITING").otherwise("COMPLETED").alias("status"),
+            n.cast("int").alias("score"),
             F.lit("").alias("content"),
-            F.lit(None).cast("string").alias("audio_url"),
             F.lit("site").alias("x_site_id"),
             F.lit("").alias("educator_id"),
-            F.lit("2024-02-01 09:00:00").cast(ntz).alias("created_at"),
-            F.lit(None).cast(ntz).alias("updated_at"),
-            F.to_variant_object("messages").alias("messages"),
-            "part",
-            F.lit("eduqat_ai_conversations").alias("data_source"),
-            F.lit(derive.BATCH_TS).cast(ntz).alias("extracted_at"),
-        )
+            F.lit("2024-02-01 09:00:00").alias("created_at"),
+        ]
+        talks = counts.select(*fields(key, F.col("n"), F.concat(F.lit("c"), key.cast("string"))))
+        whole = events.agg(F.count("*").alias("n")).select(*fields(F.lit(-1), F.col("n"), F.lit("all")))
+        return load_ai_conversations(talks.unionByName(whole), turns.unionByName(hot), derive.BATCH_TS)
 
 
 def land_raw_tables(spark: SparkSession, sf_dir: str, again: bool = False) -> int:
-    """Land all 13 raw tables now rather than at first use; returns their number."""
+    """Land all raw tables now rather than at first use; returns their number."""
     if again:
         derive.forget_landed()
     m = Models(spark, sf_dir)
     tables = [m.raw(name) for name in derive.DERIVED if name != "leads"]
     tables += [derive.raw_leads(spark, sf_dir, name) for name in LEAD_SHEETS]
-    return len([*tables, m.raw_conversations()])
+    return len([*tables, m.raw_conversations(), m.raw_messages()])
 
 
 def _register(name: str, build) -> None:
@@ -193,10 +215,16 @@ CATALOG.query("dedup_cross_source", model("latest_leads"))(
            row_number() over (partition by conv_id order by turn) as message_order,
            'eduqat_ai_conversations' as data_source, timestamp '2024-06-10 00:00:00' as extracted_at
     from conversations
+    union all
+    select -1, 'all', 'u-1', 'e-1', -1, -1, 'COMPLETED', cast(count(*) over () as integer), '', null, 'site', '',
+           timestamp '2024-02-01 09:00:00', null, 'all', 'human', event_type, timestamp '2024-02-01 09:00:00',
+           row_number() over (order by event_id), 'eduqat_ai_conversations', timestamp '2024-06-10 00:00:00'
+    from events where event_id % 3 = 0
     """,
 )
 def stg_eduqat_ai_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.stg_eduqat_ai_conversations(Models(spark, sf_dir).raw_conversations())
+    m = Models(spark, sf_dir)
+    return plans.stg_eduqat_ai_conversations(m.raw_conversations(), m.raw_messages())
 
 
 @CATALOG.query(
@@ -263,7 +291,7 @@ def int_user_retention_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def metric_contacts_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = ["number_of_contacts", "number_of_emails", "number_of_wa", "number_of_product_users"]
-    return plans.metric_query(Models(spark, sf_dir).contact(), metrics, ["provinsi_usaha", "eduqat_role"])
+    return plans.metric_query(Models(spark, sf_dir).contact_table(), metrics, ["provinsi_usaha", "eduqat_role"])
 
 
 @CATALOG.query(
@@ -289,7 +317,7 @@ def metric_enrollments_by_course_type(spark: SparkSession, sf_dir: str) -> DataF
         "total_learning_time_min",
     ]
     dims = ["course_type", "started_at_marketing_year"]
-    mart = Models(spark, sf_dir).enrollment()
+    mart = Models(spark, sf_dir).enrollment_table()
     return flat(plans.metric_query(mart, metrics, dims, where=F.col("enrollment_type") == "manual"))
 
 
@@ -312,7 +340,7 @@ def metric_materials_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
         "number_of_materials_completed",
         "total_material_time_min",
     ]
-    mart = Models(spark, sf_dir).material()
+    mart = Models(spark, sf_dir).material_table()
     return flat(plans.metric_query(mart, metrics, ["material_type", "course_name"]))
 
 
@@ -330,4 +358,4 @@ def metric_materials_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def metric_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = [f"retained_{n}d_count" for n in (7, 14, 30, 60, 90)]
-    return plans.metric_query(Models(spark, sf_dir).retention(), metrics, ["is_internal_user"])
+    return plans.metric_query(Models(spark, sf_dir).retention_table(), metrics, ["is_internal_user"])

@@ -11,10 +11,9 @@ from leadloom import operators as ops
 from leadloom import plans
 from leadloom.bindings import derive
 from leadloom.bindings.catalog import Catalog, flat
-from leadloom.bindings.model_sql import sql_email, sql_map, sql_phone, with_models
+from leadloom.bindings.model_sql import BUSINESS_AGE, EMPLOYEE_COUNT, INCOME, sql_email, sql_map, sql_phone, with_models
 from leadloom.bindings.models import Models
 from leadloom.functions.jsonv import json_object
-from leadloom.functions.normalize import BUSINESS_AGE, EMPLOYEE_COUNT, INCOME
 from leadloom.session import shared_path
 
 CATALOG = Catalog()
@@ -297,7 +296,7 @@ def lateral_unnest_object(spark: SparkSession, sf_dir: str) -> DataFrame:
     select e.enrollment_id, e.purchase_rows, e.learning_time_seconds, m.materials, m.tracked_seconds
     from (select enrollment_id, count(*) as purchase_rows, max(learning_time_seconds) as learning_time_seconds
           from mart_enrollment group by 1) e
-    left join (select enrollment_id, count(*) as materials, sum(material_tracked_time_seconds) as tracked_seconds
+    full join (select enrollment_id, count(*) as materials, sum(material_tracked_time_seconds) as tracked_seconds
                from mart_materials group by 1) m on e.enrollment_id = m.enrollment_id
     """,
 )
@@ -312,6 +311,36 @@ def drill_across(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _drill_email(name: str, right: str, right_sql: str, right_aggs) -> None:
+    """Contacts by e-mail next to a fact table, keys of either side kept."""
+    sql = with_models("mart_contact", right) + f"""
+    select coalesce(c.email, r.email) as email, c.contacts, c.phones, r.* exclude (email)
+    from (select email, count(*) as contacts, count(distinct phone_number) as phones from mart_contact group by 1) c
+    full join (select email, {right_sql} from {right} group by 1) r on c.email is not distinct from r.email
+    """
+
+    @CATALOG.query(name, sql)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = Models(spark, sf_dir)
+        facts = m.enrollment() if right == "mart_enrollment" else m.material()
+        contacts = {"contacts": F.count("*"), "phones": F.count_distinct("phone_number")}
+        return ops.drill_across(m.contact_table(), facts, "email", contacts, right_aggs())
+
+
+_drill_email(
+    "drill_across_email_enrollments",
+    "mart_enrollment",
+    "count(distinct enrollment_id) as enrollments, max(purchased_at) as last_purchase",
+    lambda: {"enrollments": F.count_distinct("enrollment_id"), "last_purchase": F.max("purchased_at")},
+)
+_drill_email(
+    "drill_across_email_materials",
+    "mart_materials",
+    "count(*) as materials, max(material_completed_at) as last_material",
+    lambda: {"materials": F.count("*"), "last_material": F.max("material_completed_at")},
+)
+
+
 # --- aggregates -----------------------------------------------------------------
 
 
@@ -562,12 +591,30 @@ def string_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive.table(spark, sf_dir, "customer").select(
         "c_custkey",
         F.regexp_replace(name, "[^0-9]", "").alias("digits"),
-        F.substring(name, 10, 1000).alias("tail"),
+        F.expr("substring(c_name, 10)").alias("tail"),
         F.length(name).cast("long").alias("name_length"),
         F.lower("c_mktsegment").alias("segment"),
     )
 
 
+@CATALOG.query(
+    "string_functions_long",
+    """
+    select doc_id, length(substr("text", 10)) as tail_length, md5(substr("text", 10)) as tail,
+           md5(lower("text")) as low from documents
+    """,
+)
+def string_functions_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of any length, of which nothing is cut."""
+    tail = F.expr("substring(text, 10)")
+    return derive.table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.length(tail).cast("long").alias("tail_length"),
+        F.md5(tail).alias("tail"),
+        F.md5(F.lower("text")).alias("low"),
+    )
+
+
 @CATALOG.query(
     "last_activity",
     with_models("raw_eduqat_users")
@@ -778,5 +825,5 @@ def json_typeof(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def metric_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = ["number_of_materials", "number_of_materials_started", "number_of_materials_completed"]
-    mart = Models(spark, sf_dir).material()
+    mart = Models(spark, sf_dir).material_table()
     return plans.metric_query(mart, metrics, where=F.col("material_is_required"))
