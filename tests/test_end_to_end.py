@@ -17,7 +17,7 @@ from leadloom.build import (
     load_source_table,
     raw_violations,
 )
-from leadloom.schemas import item_fields
+from leadloom.schemas import RAW, item_fields
 from tests.helpers import rows
 
 BATCH = "2024-06-10 00:00:00"
@@ -110,7 +110,7 @@ def load_platform(spark, tmp_path):
     pages = src.read_pages(spark, str(base / "messages"), message, "data")
     messages = src.explode_pages(pages, "data", position="position")
     messages = messages.withColumn("conversation_id", F.col("session_id"))
-    raw["eduqat_ai_conversations"] = load_ai_conversations(talks, messages, BATCH)
+    raw["eduqat_ai_conversations"], raw["eduqat_ai_messages"] = load_ai_conversations(talks, messages, BATCH)
 
     result = {"id": "r1", "type": "survey", "title": "Kepuasan", "elements": [{"question": "Puas?", "type": "scale", "responses": [5]}]}
     results = spark.createDataFrame([("e1", "102", json.dumps(result))], "enrollment_id string, material_id string, t string")
@@ -144,9 +144,9 @@ def load_product(spark):
 
 def test_landed_files_to_metrics(spark, tmp_path):
     raw = load_leads(spark, tmp_path) | load_platform(spark, tmp_path) | load_product(spark)
-    assert len(raw) == 13
+    assert len(raw) == 14
     landed = {name: src.materialize(df, f"raw_{name}", "table", str(tmp_path / "raw")) for name, df in raw.items()}
-    checked = {n: landed[n] for n in ("eduqat_users", "eduqat_courses", "eduqat_enrollments", "eduqat_survey_results")}
+    checked = {n: df for n, df in landed.items() if n in RAW}
     assert raw_violations(checked).where("violations > 0").isEmpty()
 
     m = build_models(landed, str(tmp_path / "models"), internal_mobiles=["62899"])

@@ -11,6 +11,7 @@ from leadloom.bindings.models import Models
 from leadloom.operators import column_type_mismatches, row_audit, violations_unique
 from leadloom.build import build_models
 from leadloom.plans.marts import agg_purchases
+from leadloom.session import shared_path
 from leadloom.schemas import LEAD_LAYOUT, LEAD_SHEETS, RAW
 from tests.helpers import rows
 
@@ -81,7 +82,7 @@ def test_contact_joins_all_sides(spark):
     enrollments = spark.createDataFrame(
         [("b@x.y", 10, 50.0, None, True, t(5)), ("b@x.y", 20, 100.0, 2, None, t(6)), ("c@x.y", 1, 1.0, None, False, t(7))], ENROLLMENT
     )
-    mart = plans.mart_contact(leads, purchases, accounts, enrollments)
+    mart = plans.mart_contact(leads, purchases, accounts, enrollments, shared_path(spark, "stage"))
     assert len(mart.columns) == 37
     got = {r.contact_key: r for r in mart.collect()}
     assert sorted(got) == ["A@x.y|", "a@x.y|+62811111111", "a@x.y|+62822222222", "b@x.y|", "c@x.y|", "|+62833333333"]
@@ -96,7 +97,7 @@ def test_contact_joins_all_sides(spark):
     assert got["c@x.y|"].total_certificates is None
     assert got["|+62833333333"].full_name == "No mail"
 
-    merged = plans.mart_contact(leads, purchases, accounts, enrollments, normalize_keys=True)
+    merged = plans.mart_contact(leads, purchases, accounts, enrollments, shared_path(spark, "stage"), normalize_keys=True)
     by_key = {r.contact_key: r for r in merged.collect()}
     assert "A@x.y|" not in by_key and by_key["a@x.y|+62811111111"].total_purchases == 3
 
@@ -151,14 +152,12 @@ def test_enrollment_fans_out_over_purchases(models):
     assert audit.row_count > audit.key_count
 
 
-def test_conversation_numbering_runs_through_parts(spark, models):
-    raw = models.raw_conversations()
-    split = raw.withColumn("__n", F.array_size(F.try_variant_get("messages", F.lit("$"), "array<variant>")))
-    assert split.agg(F.max("__n")).collect()[0][0] <= 1000
-    texts = spark.createDataFrame([(1, 0, '[{"value":"a"},{"value":"b"}]'), (1, 1, '[{"value":"c"}]')], "id int, part int, t string")
-    whole = raw.drop("id", "part", "messages").limit(1).crossJoin(texts.withColumn("messages", F.parse_json("t")).drop("t"))
-    got = plans.stg_eduqat_ai_conversations(whole, chunk=2).select("message_content", "message_order")
-    assert rows(got) == [("a", 1), ("b", 2), ("c", 3)]
+def test_a_hot_conversation_is_numbered_exactly(models):
+    got = plans.stg_eduqat_ai_conversations(models.raw_conversations(), models.raw_messages())
+    hot = got.where("conversation_id = 'all'")
+    n = hot.count()
+    assert n >= models.raw_messages().count() // 3
+    assert sorted(r.message_order for r in hot.select("message_order").collect()) == list(range(1, n + 1))
 
 
 def test_survey_questions_keep_json(models):
@@ -196,7 +195,7 @@ def test_metric_columns_exist(models):
 def test_build_models(spark, models, tmp_path, tables):
     raw = {name: models.raw(name) for name in derive.DERIVED if name != "leads"}
     raw |= {name: derive.raw_leads(spark, models.sf_dir, name) for name in LEAD_SHEETS}
-    raw["eduqat_ai_conversations"] = models.raw_conversations()
+    raw["eduqat_ai_conversations"], raw["eduqat_ai_messages"] = models.raw_conversations(), models.raw_messages()
     base = str(tmp_path) if tables else None
     built = build_models(raw, base, derive.INTERNAL_MOBILES)
     assert len(built) == 20

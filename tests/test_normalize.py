@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from leadloom import functions as fn
+from leadloom.bindings import model_sql
 
 
 def apply(spark, function, values, dtype="string"):
@@ -89,9 +90,9 @@ def test_email_values(spark):
 @pytest.mark.parametrize(
     "function, values",
     [
-        (fn.normalize_business_age, fn.BUSINESS_AGE),
-        (fn.normalize_income, fn.INCOME),
-        (fn.normalize_employee_count, fn.EMPLOYEE_COUNT),
+        (fn.normalize_business_age, model_sql.BUSINESS_AGE),
+        (fn.normalize_income, model_sql.INCOME),
+        (fn.normalize_employee_count, model_sql.EMPLOYEE_COUNT),
     ],
 )
 def test_categories(spark, function, values):

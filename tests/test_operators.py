@@ -145,7 +145,7 @@ def test_full_outer_on(spark, conf, broadcast, leads, accounts, purchases, enrol
     dfs = [spark.createDataFrame(t, f"email string, {n} string") for t, n in zip(tables, "lape")]
     repeated = [ops.Repeated.split(df, "email") for df in dfs[:2]]
     expected = full_join_model(tables)
-    for stage in (None, shared_path(spark, "stage")):
+    for stage in (shared_path(spark, "stage"), shared_path(spark, "again")):
         got = ops.full_outer_on("email", repeated, dfs[2:], stage).select("email", *"lape")
         assert rows(got) == expected
 
@@ -154,7 +154,7 @@ def test_full_outer_on_integer_key_and_equivalent_chain(spark):
     a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (None, "n")], "k int, a string")
     b = spark.createDataFrame([(1, "p"), (3, "q")], "k int, b string")
     keyed = ops.Repeated(a.where("k is not null"), keys=a, unkeyed=a.where("k is null"))
-    got = ops.full_outer_on("k", [keyed], [b]).select("k", "a", "b")
+    got = ops.full_outer_on("k", [keyed], [b], shared_path(spark, "stage")).select("k", "a", "b")
     assert rows(got) == rows(a.join(b, on="k", how="full").select("k", "a", "b"))
 
 
@@ -188,11 +188,10 @@ def skewed(spark, conf):
 
 def test_full_outer_splits_a_hot_key(spark, skewed):
     per_key = spark.range(0, 5000).select(F.concat(F.lit("u"), F.col("id")).alias("email"), F.col("id").alias("p"))
-    got = ops.full_outer_on("email", [ops.Repeated(skewed)], [per_key])
+    got = ops.full_outer_on("email", [ops.Repeated(skewed)], [per_key], shared_path(spark, "stage"))
     plan = final_plan(got)
-    # the full join sees each key once
-    assert "SortMergeJoin(skew=true)" in plan
-    assert "HashAggregate" in plan.split("FullOuter")[1]
+    # the full join, which sees each key once, is done and written
+    assert "SortMergeJoin(skew=true)" in plan and "FullOuter" not in plan
     assert got.count() == 60000 + 1000
 
 
@@ -224,7 +223,15 @@ def test_drill_across_does_not_multiply(spark):
     a = spark.createDataFrame([(1, 10), (1, 20), (2, 5)], "k int, x int")
     b = spark.createDataFrame([(1, 1), (1, 1), (1, 1), (3, 9)], "k int, y int")
     got = ops.drill_across(a, b, "k", {"x": F.sum("x")}, {"y": F.sum("y")})
-    assert rows(got) == [(1, 30, 3), (2, 5, None)]
+    assert rows(got) == [(1, 30, 3), (2, 5, None), (3, None, 9)]
+
+
+def test_drill_across_keeps_rows_without_a_key(spark):
+    a = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "k int, x int")
+    b = spark.createDataFrame([(None, 7)], "k int, y int")
+    aggs = {"x": F.sum("x")}, {"y": F.sum("y")}
+    assert rows(ops.drill_across(a, b, "k", *aggs)) == [(None, 3, 7), (1, 3, None)]
+    assert rows(ops.drill_across(a.where("k = 1"), b, "k", *aggs)) == [(None, None, 7), (1, 3, None)]
 
 
 # --- unions, unnesting, attaching, keys -------------------------------------------------
@@ -256,28 +263,28 @@ def test_unnest_drops_parents_without_members(spark):
 
 
 @pytest.mark.parametrize("broadcast", ["10MB", "-1"])
-@pytest.mark.parametrize("chunk", [1, 3, 1000])
-def test_attach_list_in_parts(spark, conf, chunk, broadcast):
+def test_attach_rows(spark, conf, broadcast):
     conf(spark__sql__autoBroadcastJoinThreshold=broadcast)
     parents = spark.createDataFrame([("a",), ("b",), ("none",)], "k string")
-    data = [("a", i, f"m{i}") for i in range(7)] + [("b", 0, "only")]
+    data = [("a", i, f"m{i}") for i in range(1001)] + [("b", 0, "only")]
     random.Random(1).shuffle(data)
     children = spark.createDataFrame(data, "k string, pos int, text string").repartition(3)
-    got = ops.attach_list(parents, children, "k", "pos", ["text"], "msgs", chunk=chunk)
+    got = ops.attach_rows(parents, children, "k", "pos", ["text"], "n")
     by_key = defaultdict(list)
-    for r in sorted(got.collect(), key=lambda r: r.part):
-        assert len(r.msgs) <= chunk
-        by_key[r.k] += [m.text for m in r.msgs]
-    assert by_key == {"a": [f"m{i}" for i in range(7)], "b": ["only"], "none": []}
+    for r in sorted(got.collect(), key=lambda r: (r.k, r.n or 0)):
+        by_key[r.k].append((r.n, r.text))
+    assert by_key == {"a": [(i + 1, f"m{i}") for i in range(1001)], "b": [(1, "only")], "none": [(None, None)]}
+    assert ops.attach_rows(parents, children, "k", "pos", ["text"], "n", keep_childless=False).count() == 1002
 
 
-def test_attach_list_splits_a_hot_parent(spark, skewed):
+def test_attach_rows_splits_a_hot_parent(spark, skewed):
     """A third of the children belong to one parent."""
     children = skewed.withColumn("pos", F.monotonically_increasing_id())
-    parents = children.select("email").distinct().unionByName(spark.createDataFrame([("none",)], "email string"))
-    got = ops.attach_list(parents, children, "email", "pos", ["pad"], "pads", chunk=50)
+    names = F.when(F.col("id") == 4000, "hot").otherwise(F.concat(F.lit("u"), F.col("id")))
+    parents = spark.range(0, 4001).select(names.alias("email"))
+    got = ops.attach_rows(parents, children, "email", "pos", ["pad"], "n")
     assert "SortMergeJoin(skew=true)" in final_plan(got)
-    assert got.agg(F.sum(F.size("pads"))).collect()[0][0] == 60000
+    assert got.where("n is not null").count() == 60000
 
 
 def test_surrogate_key(spark):
@@ -327,21 +334,30 @@ def test_column_types(spark):
 def test_page_completeness(spark):
     pages = spark.createDataFrame(
         [
-            # all there: two full pages and a short one
-            ("users", 5, None, 2), ("users", 5, None, 2), ("users", 5, None, 1),
+            # all there: two full pages and a short one, read in another order
+            ("users", 3, 5, None, 1), ("users", 1, 5, None, 2), ("users", 2, 5, None, 2),
             # the server repeats its first page
-            ("courses", 4, None, 2), ("courses", 4, None, 2), ("courses", 4, None, 0),
+            ("courses", 1, 4, None, 2), ("courses", 2, 4, None, 2), ("courses", 3, 4, None, 0),
             # last announced page not fetched
-            ("talks", 6, 3, 2), ("talks", 6, 3, 2),
-            ("empty", 0, None, 0),
+            ("talks", 1, 6, 3, 2), ("talks", 2, 6, 3, 2),
+            ("empty", 1, 0, None, 0),
+            # a short page in the middle is not the end
+            ("gap", 1, 5, None, 2), ("gap", 2, 5, None, 1), ("gap", 3, 5, None, 2),
+            # nothing reported: unknown if the end was reached, else not complete
+            ("silent", 1, None, None, 1),
+            ("cut", 1, None, None, 2),
         ],
-        "endpoint string, reported long, total_pages long, item_count long",
+        "endpoint string, page long, reported long, total_pages long, item_count long",
     )
     items = [("users", i) for i in range(5)] + [("courses", i % 2) for i in range(4)] + [("talks", i) for i in range(4)]
+    items += [("gap", i) for i in range(5)] + [("silent", 0), ("cut", 0), ("cut", 1)]
     got = ops.page_completeness(pages, spark.createDataFrame(items, "endpoint string, id long"), "id", limit=2)
     assert {r.endpoint: (r.fetched, r.distinct_ids, r.complete) for r in got.collect()} == {
         "users": (5, 5, True),
         "courses": (4, 2, False),
         "talks": (4, 4, False),
         "empty": (0, 0, True),
+        "gap": (5, 5, False),
+        "silent": (1, 1, None),
+        "cut": (2, 2, False),
     }

@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from leadloom import session
+from leadloom import plans, session
 from leadloom import sources as src
 from leadloom.build import (
     load_ai_conversations,
@@ -87,6 +87,19 @@ def test_read_sheet_with_line_breaks(spark, tmp_path):
     assert rows(df) == [("one\ntwo", "x")]
 
 
+def test_headers_of_any_height(spark, tmp_path):
+    tall = '"Nama' + "\n" * 70 + 'lengkap",B,Provinsi\n1,2,3\n'
+    df = src.read_sheet(spark, put(tmp_path / "a.csv", tall))
+    assert df.columns == ["nama_lengkap", "b", "provinsi"] and rows(df) == [("1", "2", "3")]
+    title = '"Judul' + "\n" * 700 + '",x\nA,B,C\n1,2,3\n'
+    df = src.read_sheet(spark, put(tmp_path / "b.csv", title), header_row=1)
+    assert df.columns == ["a", "b", "c"] and rows(df) == [("1", "2", "3")]
+    with pytest.raises(ValueError, match="no readable header"):
+        src.read_sheet(spark, put(tmp_path / "c.csv", "only a title\n"), header_row=1)
+    with pytest.raises(ValueError, match="no readable header"):
+        src.read_sheet(spark, put(tmp_path / "d.csv", '"never closed,B\n1,2\n'))
+
+
 def test_empty_sheet_and_bad_headers(spark, tmp_path):
     empty = src.read_sheet(spark, put(tmp_path / "e.csv", ""))
     assert empty.columns == [] and empty.count() == 0
@@ -170,7 +183,7 @@ def test_pages_one_document_per_file(spark, tmp_path):
     assert rows(got.select("id")) == [(i,) for i in range(6)]
     assert got.where(F.col("page_file").endswith("1.json")).count() == 2
     stats = src.page_stats(read_pages(spark, str(tmp_path / "p"), "id long"), F.lit("users"))
-    assert rows(stats) == [("users", 6, None, 0)] + [("users", 6, None, 2)] * 3
+    assert rows(stats) == [("users", 0, 6, None, 2), ("users", 1, 6, None, 2), ("users", 2, 6, None, 2), ("users", 9, 6, None, 0)]
 
 
 def test_pages_with_meta_and_positions(spark, tmp_path):
@@ -178,7 +191,7 @@ def test_pages_with_meta_and_positions(spark, tmp_path):
     path = put(tmp_path / "p" / "1.json", json.dumps(doc))
     pages = read_pages(spark, path, "id long", items_field="data")
     assert rows(src.explode_pages(pages, "data", position="pos")) == [(0, 5), (1, 4)]
-    assert rows(src.page_stats(pages, F.lit("x"), "data")) == [("x", 3, 2, 2)]
+    assert rows(src.page_stats(pages, F.lit("x"), "data")) == [("x", 1, 3, 2, 2)]
 
 
 def test_items_keep_json_and_broken_pages_are_set_apart(spark, tmp_path):
@@ -236,6 +249,10 @@ def test_read_source_prunes_columns(spark, sf_small):
     assert rows(bound) == [("NATION_4",)]
     with pytest.raises(ValueError):
         src.read_source(spark, {"url": "jdbc:x"}, query="select :k", params={"k": 1})
+    spark.range(1).createOrReplaceTempView("src")
+    named = "with few as (select n_name from src where n_nationkey < 2) select * from few"
+    assert src.read_source(spark, f"{sf_small}/nation.parquet", query=named).count() == 2
+    assert spark.table("src").columns == ["id"]
     src.read_source(spark, f"{sf_small}/nation.parquet").createOrReplaceTempView("nations")
     assert src.read_source(spark, "nations").count() == 25
 
@@ -255,13 +272,16 @@ def test_full_refresh(spark, tmp_path):
     assert src.full_refresh(spark.range(5), path) == 5
     # new rows and a new schema
     assert src.full_refresh(spark.range(3).withColumn("x", F.lit("a")), path) == 3
-    assert spark.read.parquet(path).columns == ["id", "x"]
+    begun = src.read_source(spark, path)
+    assert begun.columns == ["id", "x"]
     # an empty extract leaves the table
     assert src.full_refresh(spark.range(0), path) == 0
-    assert spark.read.parquet(path).count() == 3
+    assert src.read_source(spark, path).count() == 3
     assert src.full_refresh(spark.range(0), path, skip_if_empty=False) == 0
-    assert spark.read.parquet(path).count() == 0
-    assert os.listdir(tmp_path) == ["t"]
+    assert src.read_source(spark, path).count() == 0
+    # who began with the version before can still read it
+    assert begun.count() == 3
+    assert len(os.listdir(path)) == 2
 
 
 def test_full_refresh_keeps_the_table_when_the_job_fails(spark, tmp_path):
@@ -270,8 +290,8 @@ def test_full_refresh_keeps_the_table_when_the_job_fails(spark, tmp_path):
     broken = spark.range(5).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
     with pytest.raises(Exception):
         src.full_refresh(broken, path)
-    assert spark.read.parquet(path).count() == 5
-    assert os.listdir(tmp_path) == ["t"]
+    assert src.read_source(spark, path).count() == 5
+    assert len(os.listdir(path)) == 1
 
 
 def test_materialize(spark, tmp_path):
@@ -373,11 +393,22 @@ def test_load_ai_conversations(spark):
     msgs = spark.createDataFrame(
         [("c1", 1, "ai", "b"), ("c1", 0, "human", "a")], "conversation_id string, position int, sender string, value string"
     )
-    raw = load_ai_conversations(conv, msgs, BATCH)
-    got = {r.id: r for r in src.json_text_column(raw, "messages", "user_data").collect()}
-    assert got[1].messages == '[{"sender":"human","value":"a"},{"sender":"ai","value":"b"}]'
-    assert got[1].user_data == '{"name":"x"}'
-    assert got[2].messages is None
+    raw, said = load_ai_conversations(conv, msgs, BATCH)
+    got = {r.id: r for r in src.json_text_column(raw, "user_data").collect()}
+    assert got[1].user_data == '{"name":"x"}' and got[2].user_data is None
+    assert rows(said.select("conversation_id", "position", "sender", "value")) == [("c1", 0, "human", "a"), ("c1", 1, "ai", "b")]
+
+
+def test_a_long_conversation_keeps_its_keys(spark):
+    conv = spark.createDataFrame([(1, "c1")], "id int, conversation_id string")
+    msgs = spark.range(1001).select(
+        F.lit("c1").alias("conversation_id"), F.col("id").cast("int").alias("position"), F.col("id").cast("string").alias("value")
+    )
+    raw, said = load_ai_conversations(conv, msgs, BATCH)
+    found = raw_violations({"eduqat_ai_conversations": raw, "eduqat_ai_messages": said})
+    assert found.where("violations > 0").isEmpty()
+    staged = plans.stg_eduqat_ai_conversations(raw, said).select("message_order", "message_content")
+    assert sorted(staged.collect()) == [(i + 1, str(i)) for i in range(1001)]
 
 
 def test_survey_worklist_and_load(spark):
