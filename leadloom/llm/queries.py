@@ -68,13 +68,15 @@ with words as (
   qualify row_number() over (partition by words order by doc_id, i) > 1
 ), gone as (
   select distinct doc_id, unnest(range(i, i + 20)) as p from later
-), removed as (
-  select doc_id, list(p) as ps from gone group by doc_id
+), kept as (
+  select w.doc_id, count(g.p) as n_removed,
+         string_agg(w.word, ' ' order by w.p) filter (where g.p is null) as kept
+  from (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from words) w
+  left join gone g on g.doc_id = w.doc_id and g.p = w.p
+  group by w.doc_id
 )
-select doc_id, len(w) as n_words, coalesce(len(ps), 0) as n_removed,
-       sha256(array_to_string(coalesce(case when ps is null then w else list_transform(
-         list_filter(list_zip(w, range(1, len(w) + 1)), x -> not list_contains(ps, x[2])), x -> x[1]) end, []), ' ')) as kept_sha256
-from words left join removed using (doc_id)
+select doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from words left join kept using (doc_id)
 """
 
 
