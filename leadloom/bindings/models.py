@@ -12,7 +12,7 @@ from leadloom.bindings.model_sql import model, with_models
 from leadloom.build import load_ai_conversations
 from leadloom.plans.marts import agg_enrollments, agg_purchases, latest_leads
 from leadloom.schemas import LEAD_SHEETS
-from leadloom.session import shared_path
+from leadloom.session import delete_folder, shared_path
 from leadloom.sources import materialize
 
 CATALOG = Catalog()
@@ -23,6 +23,12 @@ class Models:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        # folders that only a model not yet written reads
+        self.scratch: list[str] = []
+
+    def _scratch(self, name: str) -> str:
+        self.scratch.append(shared_path(self.spark, name))
+        return self.scratch[-1]
 
     def raw(self, name: str) -> DataFrame:
         return derive.raw(self.spark, self.sf_dir, name)
@@ -65,8 +71,7 @@ class Models:
     def leads_table(self) -> DataFrame:
         """The stacked leads as a written table: the contact mart reads it more
         than once, and a lost executor does not bring the staging back."""
-        base = shared_path(self.spark, "models")
-        return materialize(self.leads(), "int_all_marketing_leads", "table", base)
+        return materialize(self.leads(), "int_all_marketing_leads", "table", self._scratch("models"))
 
     def contact(self, **options: bool) -> DataFrame:
         return plans.mart_contact(
@@ -74,7 +79,7 @@ class Models:
             self.purchases(),
             self.accounts(),
             self.enrollments(),
-            shared_path(self.spark, "per-email"),
+            self._scratch("per-email"),
             **options,
         )
 
@@ -83,7 +88,10 @@ class Models:
 
     def contact_table(self) -> DataFrame:
         """The contact mart as a written table; metrics read it as often as they like."""
-        return self._written("mart_contact", self.contact)
+        table = self._written("mart_contact", self.contact)
+        while self.scratch:
+            delete_folder(self.spark, self.scratch.pop())
+        return table
 
     def enrollment_table(self) -> DataFrame:
         return self._written("mart_enrollment", self.enrollment)
