@@ -21,11 +21,14 @@ from xxhash import xxh64_intdigest
 
 from .common import need_columns, written
 from .components import components
+from .packed import pack_sorted, unpack_sorted
 
 #: Levels of the trie whose counts come to the driver.
 TOP_BITS = 12
 #: Fingerprints of two subtrees that one task takes, unless TOP_BITS is reached.
-TASK_SIZE = 16_384
+TASK_SIZE = 131_072
+#: Partitions over which the pairs of subtrees are dealt, at most.
+MAX_TASKS = 10_000
 #: Node pairs that a task handles at once, and links that it holds before it merges them.
 CHUNK = 1 << 17
 
@@ -227,28 +230,37 @@ def linked_fingerprints(fps: DataFrame, max_bits: int = 4, top_bits: int = TOP_B
     prefix = lambda depth: F.shiftrightunsigned("fp", 64 - depth) if depth else F.lit(0).cast("long")
     counts = dict(fps.groupBy(prefix(top_bits).alias("p")).count().collect())
     tasks = trie_tasks(counts, top_bits, max_bits, task_size)
-    sides = [(d, p, k, side) for k, (d, a, b) in enumerate(tasks) for side, p in ((0, a), (1, b)) if side == 0 or a != b]
-    depths = sorted({s[0] for s in sides})
-    schema = "depth int, prefix long, task long, side int"
-    wanted = spark.createDataFrame(sides, schema) if sides else spark.createDataFrame([], schema)
-    nodes = F.array(*(F.struct(F.lit(d).alias("depth"), prefix(d).alias("prefix")) for d in depths or [0]))
-    rows = fps.select("fp", F.explode(nodes).alias("n")).select("fp", "n.depth", "n.prefix")
-    rows = rows.join(wanted, ["depth", "prefix"]).select("task", "side", "fp")
-
-    def run(group: pa.Table) -> pa.Table:
-        fp = group.column("fp").to_numpy().view(np.uint64)
-        side = group.column("side").to_numpy()
-        order = np.argsort(fp)
-        fp, side = fp[order], side[order]
-        n_a = int((side == 0).sum())
-        # side 0 has the smaller prefix, so it comes first
-        label = linked(fp, n_a if n_a < len(fp) else None, max_bits)
-        far = np.flatnonzero(label != np.arange(len(fp)))
-        signed = fp.view(np.int64)
-        return pa.table({"a": signed[far], "b": signed[label[far]]})
-
-    links = rows.groupBy("task").applyInArrow(run, "a long, b long")
-    return components(links)
+    used = sorted({(d, p) for d, a, b in tasks for p in (a, b)})
+    depths = sorted({d for d, _ in used}) or [0]
+    node = F.explode(F.array(*(F.struct(F.lit(d).alias("depth"), prefix(d).alias("prefix")) for d in depths)))
+    rows = fps.select("fp", node.alias("n")).select("fp", "n.depth", "n.prefix")
+    wanted = spark.createDataFrame(used, "depth int, prefix long")
+
+    def packed(group: pa.Table) -> pa.Table:
+        values = np.sort(group.column("fp").to_numpy().view(np.uint64))
+        one = {n: group.column(n)[:1] for n in ("depth", "prefix")}
+        return pa.table(one | {"fps": pa.array([pack_sorted(values)], pa.binary())})
+
+    # a subtree is one row, so a pair of them is one row, too
+    nodes = rows.join(wanted, ["depth", "prefix"]).groupBy("depth", "prefix")
+    nodes = written(nodes.applyInArrow(packed, "depth int, prefix long, fps binary"), "fingerprint-nodes")
+    pairs = spark.createDataFrame([(k, *t) for k, t in enumerate(tasks)], "task long, depth int, a long, b long")
+    for side in ("a", "b"):
+        pairs = pairs.join(nodes.select("depth", F.col("prefix").alias(side), F.col("fps").alias(f"fps_{side}")), ["depth", side])
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                x, y = (unpack_sorted(b.column(f"fps_{n}")[i].as_py()) for n in ("a", "b"))
+                own = b.column("a")[i] == b.column("b")[i]
+                fp = x if own else np.concatenate([x, y])  # the smaller prefix comes first
+                label = linked(fp, None if own else len(x), max_bits)
+                far = np.flatnonzero(label != np.arange(len(fp)))
+                signed = fp.view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(signed[far]), pa.array(signed[label[far]])], ["a", "b"])
+
+    spread = pairs.repartition(max(1, min(len(tasks), MAX_TASKS)), "task")
+    return components(spread.mapInArrow(run, "a long, b long"))
 
 
 def simhash_components(
