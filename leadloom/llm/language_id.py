@@ -8,8 +8,9 @@ more are cut into several, so no cell of the forward table underflows.
 
 Probabilities start from how often a piece occurs anywhere in a language's words and are then
 re-estimated by expectation-maximisation, with expected counts from forward and backward sums.
-The counts come from all training documents; they are sums per language and piece, so what
-reaches the driver is bounded by the vocabulary times the number of languages.
+The counts are sums per language and piece, so what reaches the driver is bounded by the
+vocabulary times the number of languages. A language with more than `TRAIN_DOCS` training
+documents is learned from about that many, those with the smallest hash; every text is scored.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ LIMIT = 24
 LONGEST = 10
 #: Expected count that every piece has besides what was counted.
 SMOOTH = 0.01
+#: Training documents per language, about, at most.
+TRAIN_DOCS = 10_000
 #: Words that are segmented at once.
 BATCH = 16_384
 #: Texts whose words are counted together.
@@ -231,12 +234,18 @@ def _counts(rows: DataFrame, langs: list[str], path: str, prob: np.ndarray | Non
     return out.reshape(len(langs), -1)
 
 
-def train(rows: DataFrame, path: str, rounds: int = 1) -> tuple[list[str], np.ndarray]:
+def train(rows: DataFrame, path: str, rounds: int = 1, train_docs: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray]:
     """Languages and piece probabilities from rows (text, lang); a null lang does not train."""
     rows = rows.where("lang is not null and text is not null")
-    langs = sorted(r[0] for r in rows.select("lang").distinct().collect())
+    counts = dict(rows.groupBy("lang").count().collect())
+    langs = sorted(counts)
     if not langs:
         return [], np.zeros((0, 0))
+    share = F.lit(1.0)
+    for lang, n in counts.items():
+        if n > train_docs:
+            share = F.when(F.col("lang") == lang, train_docs / n).otherwise(share)
+    rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30))
     prob = None
     for _ in range(rounds + 1):
         count = _counts(rows, langs, path, prob) + SMOOTH
@@ -279,14 +288,20 @@ def identify(
 
 
 def language_id(
-    docs: DataFrame, path: str, rounds: int = 1, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
+    docs: DataFrame,
+    path: str,
+    rounds: int = 1,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    train_docs: int = TRAIN_DOCS,
 ) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row. Rows with a null language or whose
-    crc32(doc_id) mod 3 is 1 (held out) train nothing. Repeated rows count as often as they
-    occur. An empty table gives an empty result."""
+    crc32(doc_id) mod 3 is 1 (held out) train nothing; of the others, about `train_docs` per
+    language do. Repeated rows count as often as they occur. An empty table gives an empty result."""
     need_columns(docs, lang_col)
     held = id_bucket(docs[id_col], 3) == 1
     rows = docs.where(~held).select(docs[text_col].alias("text"), docs[lang_col].alias("lang"))
-    langs, prob = train(rows, path, rounds)
+    langs, prob = train(rows, path, rounds, train_docs)
     out = identify(docs, path, langs, prob, id_col, text_col)
     return out.select("doc_id", (id_bucket(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
