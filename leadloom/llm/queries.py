@@ -149,7 +149,7 @@ MIX_SEED = 7
 
 
 def mix_path(docs: DataFrame) -> dict[str, Column]:
-    number = F.coalesce(F.try_to_number(F.regexp_extract(docs["source"], "([0-9]+)$", 1), F.lit("9999")).cast("int"), F.lit(0))
+    number = F.coalesce(F.regexp_extract(docs["source"], "([0-9]+)$", 1).try_cast("int"), F.lit(0))
     domain = F.when(number < 9, "web").when(number < 15, "books").otherwise("forum")
     return {"domain": domain, "language": docs["lang"], "origin": docs["source"]}
 
