@@ -227,7 +227,7 @@ def test_token_file_is_plain_zstandard_and_checked(tmp_path):
 
 @pytest.mark.parametrize(
     "text",
-    ["", " ", "a b", " a", "a ", "\n", "a\n", "a\nb", "a \nb", "x\n\ny", "é\xa0b c", "it's don't", "<|endoftext|> a", "a\x1cb \x1c c", "1 2,3 $$", "日本 語x", "\t a", "a\x85 b", "a  b"],
+    ["", " ", "a b", " a", "a ", "\n", "a\n", "a\nb", "a \nb", "x\n\ny", "é\xa0b c", "it's don't", "a!! b%%% c.,; d_e f\"g x's! y.'", "a.b c-d", "<|endoftext|> a", "end<|endoftext|>", "a\x1cb \x1c c", "1 2,3 $$", "日本 語x", "\t a", "a\x85 b", "a  b"],
 )
 def test_encoder_equals_library(text):
     e = token_files.encoder(TOKENIZER)
