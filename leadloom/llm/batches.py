@@ -21,7 +21,7 @@ from .common import need_columns, written
 from .packed import pack, unpack
 
 #: Bytes of text in a batch, apart from a longer single document.
-BATCH_BYTES = 16_000_000
+BATCH_BYTES = 6_000_000
 
 SCHEMA = "batch long, n long, ids binary, nulls binary, sizes binary, text binary"
 

@@ -234,9 +234,10 @@ class Pairs:
         if n_docs == 0:
             self.h_count[first] = 0
         self.asked = self.h_count > 0
-        h = before[self.asked].astype(np.uint64)
-        w = np.where(self.w_id >= 0, self.w_id, _UNKNOWN)[self.asked].astype(np.uint64)
-        key, back = np.unique((h << _32) | w, return_inverse=True)
+        key = before[self.asked].astype(np.uint64) << _32
+        key |= np.where(self.w_id >= 0, self.w_id, _UNKNOWN)[self.asked].astype(np.uint64)
+        del before, h_count
+        key, back = np.unique(key, return_inverse=True)
         train = np.bincount(back, tokens.train[self.asked], len(key))
         own = np.zeros(len(key), np.int64)
         own[back] = self.h_count[self.asked]
