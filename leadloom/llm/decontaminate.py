@@ -83,15 +83,14 @@ def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int,
     return [(chars(at[a][0]), chars(at[b][1])) for a, b in ranges]
 
 
-def _slices(benchmark: DataFrame, item_col: str, text_col: str, limit: int) -> list[list[tuple[int, str]]]:
-    """The items in slices of about `limit` bytes of text, read one after another."""
+def _slices(benchmark: DataFrame, item_col: str, text_col: str, limit: int) -> list[DataFrame]:
+    """The items in slices of about `limit` bytes of text."""
     rows = benchmark.select(
         benchmark[item_col].cast("long").alias("item"), F.coalesce(benchmark[text_col], F.lit("")).alias("text")
     ).where("item is not null")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // limit))
-    part = F.pmod(F.xxhash64("item"), F.lit(parts))
-    return [[(r[0], r[1]) for r in rows.where(part == k).collect()] for k in range(parts)]
+    return [rows.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k) for k in range(parts)]
 
 
 def united(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -163,7 +162,8 @@ def _hits(
         return run
 
     slices = _slices(benchmark, item_col, item_text_col, max_bytes)
-    for k, some in enumerate(slices):
+    for k, part in enumerate(slices):
+        some = [(r[0], r[1]) for r in part.collect()]  # its size is bounded, by max_bytes or one item
         df = df.mapInArrow(scanner(some, k == len(slices) - 1), ", ".join(fields))
         if k < len(slices) - 1:
             df = written(df, "benchmark-pass")  # one automaton in memory at a time
