@@ -8,8 +8,8 @@ is used up. Each leaf then gives full epochs and one last, partial epoch: a pref
 of its documents in the seeded order of that epoch.
 
 The prefix is cut without sorting a leaf in one task: documents fall into 65,536 buckets of
-their seeded key, token sums per bucket find the bucket in which the cut lies, and only that
-bucket is sorted.
+their seeded key, token sums find the bucket in which the cut lies, in two steps of at most 256
+sums per leaf, and only that bucket is sorted.
 """
 
 from __future__ import annotations
@@ -22,7 +22,10 @@ from .common import ASCII_SPACE, need_columns, written
 
 #: Leaves up to which the plan of the mix is broadcast; above, it is joined like any table.
 BROADCAST_LEAVES = 20_000
-_DIGITS = 4
+#: Digits of the seeded key that tell buckets apart, and digits that are looked at in one step.
+DIGITS, STEP = 4, 2
+#: Above every key.
+END = "~"
 
 
 def word_count(text: Column) -> Column:
@@ -124,27 +127,33 @@ def mix_plan(
 
     keyed = _joined(light, plan.where("rest > 0").select(*names, "full_epochs", "rest"), names, n_leaves)
     keyed = keyed.select(*names, "rest", "_tokens", _seeded(F.col("_id"), F.col("full_epochs"), seed).alias("key"))
-    keyed = keyed.withColumn("bucket", F.substring("key", 1, _DIGITS))
-    sums = keyed.groupBy(*names, "rest", "bucket").agg(F.sum("_tokens").alias("t"))
-    upto = W.partitionBy(*names).orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)
-    sums = sums.withColumn("upto", F.sum("t").over(upto))
-    at = written(
-        sums.groupBy(*names)
-        .agg(
-            F.min(F.when(F.col("upto") > F.col("rest"), F.col("bucket"))).alias("at"),
-            F.max(F.when(F.col("upto") <= F.col("rest"), F.col("upto"))).alias("below"),
+    # the bucket of the cut, digit by digit: a leaf has at most 16^STEP sums to add up at a time
+    cuts = plan.where("rest > 0").select(*names, F.lit("").alias("at"), F.lit(0).cast("long").alias("below"))
+    for digits in range(STEP, DIGITS + 1, STEP):
+        inside = _joined(keyed, cuts, names, n_leaves).where(F.col("key").startswith(F.col("at")))
+        bucket = F.substring("key", 1, digits).alias("bucket")
+        sums = inside.groupBy(*names, "rest", "below", bucket).agg(F.sum("_tokens").alias("t"))
+        run = F.sum("t").over(W.partitionBy(*names).orderBy("bucket").rowsBetween(W.unboundedPreceding, 0))
+        upto = F.col("below") + F.col("run")
+        cuts = written(
+            sums.withColumn("run", run)
+            .groupBy(*names)
+            .agg(
+                # no bucket exceeds what is left to take: all documents are in
+                F.coalesce(F.min(F.when(upto > F.col("rest"), F.col("bucket"))), F.lit(END)).alias("at"),
+                F.coalesce(F.max(F.when(upto <= F.col("rest"), upto)), F.max("below")).alias("below"),
+            ),
+            "mix-cuts",
         )
-        .withColumn("below", F.coalesce("below", F.lit(0))),
-        "mix-cuts",
-    )
-    inside = _joined(keyed, at, names, n_leaves).where(F.col("bucket") == F.col("at"))
+        if digits < DIGITS:
+            keyed = _joined(keyed, cuts.select(*names, F.col("at").alias("_at")), names, n_leaves)
+            keyed = keyed.where(F.col("key").startswith(F.col("_at"))).drop("_at")
+    inside = _joined(keyed, cuts, names, n_leaves).where(F.col("key").startswith(F.col("at")))
     inside = inside.groupBy(*names, "rest", "below", "key").agg(F.sum("_tokens").alias("t"))
     run = F.sum("t").over(W.partitionBy(*names).orderBy("key").rowsBetween(W.unboundedPreceding, 0))
     inside = inside.withColumn("run", run).where("below + run <= rest").groupBy(*names).agg(F.max("key").alias("last"))
-    # without a key in the cut bucket, the cut lies at its lower edge; without a cut bucket, all are in
-    cut = at.join(inside, names, "left").select(
-        *names, F.coalesce("last", "at", F.lit("~")).alias("cut")
-    )
+    # without a key that fits in the cut bucket, the cut lies at its lower edge
+    cut = cuts.join(inside, names, "left").select(*names, F.coalesce("last", "at").alias("cut"))
     return written(plan.join(cut, names, "left").drop("rest"), "mix-plan")
 
 
