@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from leadloom import plans, session
 from leadloom import sources as src
+from leadloom.bindings import derive
 from leadloom.build import (
     load_ai_conversations,
     load_api_items,
@@ -322,6 +323,15 @@ def test_release_shared(spark, monkeypatch):
     assert not os.path.exists(os.path.dirname(path)) and os.path.exists(keep)
 
 
+def test_released_raw_tables_are_landed_again(spark, monkeypatch, sf_small):
+    derive.forget_landed()
+    monkeypatch.setattr(session, "_application_folder", lambda s: f"{ensure_checkpoint_dir(s)}/leadloom/third-app")
+    n = derive.raw(spark, sf_small, "users").count()
+    session.release_shared(spark)
+    assert derive.raw(spark, sf_small, "users").count() == n
+    derive.forget_landed()
+
+
 # --- load steps -----------------------------------------------------------------------
 
 
