@@ -26,7 +26,7 @@ from .packed import pack_sorted, unpack_sorted
 #: Levels of the trie whose counts come to the driver.
 TOP_BITS = 12
 #: Fingerprints of two subtrees that one task takes, unless TOP_BITS is reached.
-TASK_SIZE = 131_072
+TASK_SIZE = 65_536
 #: Partitions over which the pairs of subtrees are dealt, at most.
 MAX_TASKS = 10_000
 #: Node pairs that a task handles at once, and links that it holds before it merges them.
