@@ -18,10 +18,12 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs as pafs
 from pyspark import TaskContext
@@ -39,58 +41,119 @@ _DOC = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("frame", "<u4"), ("first",
 
 #: Ids per frame, apart from a longer last document.
 FRAME_IDS = 65_536
-#: Distinct words whose ids a worker remembers.
-CACHE_WORDS = 1_000_000
+#: Characters that are encoded at once, apart from a longer last text.
+PART_CHARS = 12_000_000
+#: Distinct words whose ids a worker remembers, about, in each of two halves.
+CACHE_WORDS = 600_000
+
+
+class _Memory(dict):
+    """Computes what neither it nor the memory before it holds."""
+
+    def __init__(self, compute, older: dict | None = None):
+        self.compute = compute
+        self.older = older or {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
+        return value
+
+    def renewed(self) -> _Memory:
+        """Itself, or when it is full a new one that still looks things up in this one."""
+        if len(self) < CACHE_WORDS:
+            return self
+        self.older = {}
+        return _Memory(self.compute, self)
 
 
 class Encoder:
     """The tokenizers library with a memory of words.
 
     A byte-level vocabulary never joins across the space before a word, so a text without
-    doubled white space is encoded word by word, each with its leading space, and each distinct
-    word once. New words go to the library together, a line break between them, whose id then
-    parts them again. Any other text goes to the library whole. tests/llm compare both ways.
+    doubled white space is encoded word by word, and each distinct word once. Most words are
+    letters, perhaps with signs after them or a line break between two of them; the letters and
+    the signs are units of the vocabulary's own splitting, and the letters go straight to the
+    library's merges. All other words, and all other texts, go through the library's whole encoding. Vocabularies
+    for which this does not hold are recognised and used without it. tests/llm compare both ways.
     """
 
     _double = re.compile(r"\s\s")
-    _inner = re.compile(r"\s").search
+    #: Letters that every version of Unicode has, and signs after them, but for the apostrophe.
+    _simple = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        probe = [self._encode(x) for x in ("\n", "a\n b", "a", " b")]
-        self.line = probe[0]
-        self.by_word = len(self.line) == 1 and probe[1].tolist() == [*probe[2], *self.line, *probe[3]]
+        self.tokenize = self.tokenizer.model.tokenize
+        self.known = _Memory(self._word)
+        plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        others = [b for b in range(256) if b not in plain]
+        self.table = {b: 256 + i for i, b in enumerate(others)}  # the byte-level alphabet
+        self.space = chr(self.table[32])
+        self.signs = _Memory(lambda x: self._encode(x).tobytes() if x else b"")
+        probe = " Word, über zwei.\nThree x1 don't é."
+        self.by_word = len(self.signs["\n"]) == 4 and self._by_words([probe])[0] == self._encode(probe).tobytes()
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if not self._inner(w)]
-        if plain:
-            ids = self._encode(" " + "\n ".join(plain))
-            at = np.flatnonzero(ids == self.line[0])
-            if len(at) == len(plain) - 1:
-                raw, ends = ids.tobytes(), [*(at * 4).tolist(), len(ids) * 4]
-                starts = [0, *(e + 4 for e in ends[:-1])]
-                self.known.update(zip(plain, map(raw.__getitem__, map(slice, starts, ends)), strict=True))
-        for w in words:
-            if w not in self.known:
-                self.known[w] = self._encode(" " + w).tobytes()
+    def _letters(self, letters: str, space: str) -> bytes:
+        """Ids of letters, with or without a space before them."""
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(self.table)
+        return array("I", [t.id for t in self.tokenize(self.space + letters if space else letters)]).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word and the space before it."""
+        if word.isascii() and word.isalpha():
+            return array("I", [t.id for t in self.tokenize(self.space + word)]).tobytes()
+        return self._line(word, " ")
+
+    def _line(self, word: str, space: str) -> bytes:
+        found = self._simple(word)
+        if found is not None:
+            letters, signs = found.groups()
+            if not signs:
+                return self._letters(letters, space)
+            known = self.known.get(letters) if space else None  # the same letters without signs
+            return (known or self._letters(letters, space)) + self.signs[signs]
+        head, line, tail = word.partition("\n")
+        if not (head and line):
+            return self._encode(space + word).tobytes()
+        rest = self._line(tail, "") if tail else b""
+        return self._line(head, space) + self.signs["\n"] + rest
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts: their distinct words are looked up once, and numpy puts the ids in place."""
+        self.known = self.known.renewed()
+        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        words = lists.values.dictionary_encode()
+        edges = lists.offsets.to_numpy()
+        found = list(map(self.known.__getitem__, words.dictionary.to_pylist()))
+        place = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        first = [t.partition(" ")[0] for t in texts]  # a first word has no space before it
+        place[edges[:-1]] = len(found) + np.arange(len(texts))
+        found += [self._line(w, "") if w else b"" for w in first]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
+        n = sizes[place]
+        end = np.cumsum(n)
+        out = ids[np.repeat((np.cumsum(sizes) - sizes)[place] - end + n, n) + np.arange(n.sum())]
+        cut = np.concatenate([[0], end])[edges]
+        return [out[i:j].tobytes() for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        plain = [self.by_word and not self._double.search(t) for t in texts]
+        found = iter(self._by_words([t for t, p in zip(texts, plain, strict=True) if p]) if any(plain) else ())
+        return [next(found) if p else self._encode(t).tobytes() for t, p in zip(texts, plain, strict=True)]
 
     def __call__(self, text: str) -> bytes:
-        if not self.by_word or self._double.search(text):
-            return self._encode(text).tobytes()
-        first, *words = text.split(" ")
-        new = set(words).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > CACHE_WORDS:
-                self.known = {}
-                new = set(words)
-            self._learn(list(new))
-        return self._encode(first).tobytes() + b"".join(map(self.known.__getitem__, words))
+        return self.many([text])[0]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -196,6 +259,22 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return full + path.removeprefix(base)
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[list[int | None], list[str]]]:
+    """Ids and texts of a batch, some at a time."""
+    ids: list[int | None] = []
+    texts: list[str] = []
+    size = 0
+    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        ids.append(doc_id)
+        texts.append(text.as_py() or "")
+        size += len(texts[-1])
+        if size > PART_CHARS:
+            yield ids, texts
+            ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def write_tokens(
     docs: DataFrame,
     folder: str,
@@ -231,8 +310,9 @@ def write_tokens(
                 stream = files.open_output_stream(attempt)
                 writer = ShardWriter(stream, frame_ids)
             encode = encoder(tokenizer_path)
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                writer.add(doc_id, encode(text.as_py() or "") + end)
+            for ids, texts in _parts(b):
+                for doc_id, found in zip(ids, encode.many(texts), strict=True):
+                    writer.add(doc_id, found + end)
         if writer is not None:
             writer.close()
             stream.close()
