@@ -1,7 +1,8 @@
 """Toxicity by bags of subwords: averaged embeddings into a linear softmax.
 
 A word is its own hashed bucket and those of its character n-grams, so a misspelling shares
-most buckets with the word it comes from. A passage is the mean of its distinct words' embeddings, and a
+most buckets with the word it comes from. A run without separators is one word, hashed in full
+however long it is. A passage is the mean of its distinct words' embeddings, and a
 softmax over it gives the class; embeddings and softmax are trained together, by stochastic
 gradient descent in numpy, on a bounded sample of labelled documents.
 
@@ -13,6 +14,7 @@ its most suspicious passage does, and that passage also stands for it in each ro
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,8 +33,8 @@ START = 1e-4
 GRAMS = (3, 4, 5, 6, 7)
 PASSAGE = 100
 TEXTS = 2_000
-#: Words whose subwords are hashed at once.
-WORDS = 20_000
+#: Bytes of words whose subwords are hashed at once; a longer word is hashed in several turns.
+BYTES = 200_000
 #: Words without meaning that are added to each passage, so that a few words repeated do not pass for many.
 PAD = 10
 
@@ -51,34 +53,69 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of each word, one word after another, and how many each word has."""
-    buckets, counts = [], []
-    for i in range(0, len(words), WORDS):
-        b, n = _subwords(words[i : i + WORDS])
+    buckets, counts = [np.zeros(0, np.int32)], np.zeros(len(words), np.int64)
+    for at, b, n in subword_runs(words):
         buckets.append(b)
-        counts.append(n)
-    if not words:
-        return np.zeros(0, np.int32), np.zeros(0, np.int64)
-    return np.concatenate(buckets), np.concatenate(counts)
+        counts[at : at + len(n)] += n
+    return np.concatenate(buckets), counts
+
+
+def subword_runs(words: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Runs of about BYTES bytes as (first word, buckets, buckets of each word); a word that is
+    longer makes several runs."""
+    first = size = 0
+    for i, w in enumerate(words):
+        if i > first and size + len(w) + 2 > BYTES:
+            yield first, *_subwords(words[first:i])
+            first, size = i, 0
+        size += len(w) + 2
+        if size > BYTES and i == first:
+            for b in _long_word(w):
+                yield i, b, np.array([len(b)])
+            first, size = i + 1, 0
+    if first < len(words):
+        yield first, *_subwords(words[first:])
+
+
+def _grams(flat: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The hash of the k bytes from each place on, for each k of GRAMS; the last k - 1 are not valid."""
+    m = np.uint64(0x100000001B3)
+    h = np.zeros(len(flat), np.uint64)
+    for k in range(1, min(max(GRAMS), len(flat)) + 1):
+        h[: len(flat) - k + 1] = h[: len(flat) - k + 1] * m + flat[k - 1 :] + np.uint64(1)
+        if k in GRAMS:
+            yield k, h
+
+
+def _long_word(w: bytes) -> Iterator[np.ndarray]:
+    """What _subwords finds in one word, from overlapping parts of it."""
+    marked = np.frombuffer(b"<" + w + b">", np.uint8)
+    m = 0x100000001B3
+    power = np.cumprod(np.full(BYTES, m, np.uint64))
+    whole = 0
+    for s in range(0, len(marked), BYTES):
+        flat = marked[s : s + BYTES + max(GRAMS) - 1].astype(np.uint64)
+        own = flat[:BYTES]
+        whole += int((own * power[: len(own)]).sum()) * pow(m, s, 1 << 64)
+        for k, h in _grams(flat):
+            yield _mix(h[: min(BYTES, len(flat) - k + 1)] + np.uint64(k << 56))
+    yield _mix(np.array([whole % (1 << 64)], np.uint64) + np.uint64(255 << 56))
 
 
 def _subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    marked = [b"<" + w[:64] + b">" for w in words]  # the whole word is one of the buckets, too
+    marked = [b"<" + w + b">" for w in words]  # the whole word is one of the buckets, too
     size = np.fromiter(map(len, marked), np.int64, len(marked))
     flat = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
     start = np.cumsum(size) - size
     word = np.repeat(np.arange(len(marked), dtype=np.int32), size)
     at = np.arange(len(flat)) - start[word]
-    m = np.uint64(0x100000001B3)
-    power = np.cumprod(np.full(66, m))
+    power = np.cumprod(np.full(size.max(), 0x100000001B3, np.uint64))
     out_w = [np.arange(len(marked), dtype=np.int32)]
     out_b = [_mix(np.add.reduceat(flat * power[at], start) + np.uint64(255 << 56))]
-    h = np.zeros(len(flat), np.uint64)
-    for k in range(1, max(GRAMS) + 1):  # the hash of the k bytes from each place on
-        h[: len(flat) - k + 1] = h[: len(flat) - k + 1] * m + flat[k - 1 :] + np.uint64(1)
-        if k in GRAMS:
-            ok = np.flatnonzero(at + k <= size[word])
-            out_w.append(word[ok])
-            out_b.append(_mix(h[ok] + np.uint64(k << 56)))
+    for k, h in _grams(flat):
+        ok = np.flatnonzero(at + k <= size[word])
+        out_w.append(word[ok])
+        out_b.append(_mix(h[ok] + np.uint64(k << 56)))
     word = np.concatenate(out_w)
     return np.concatenate(out_b)[np.argsort(word, kind="stable")], np.bincount(word)
 
@@ -91,10 +128,12 @@ class Model:
 
     def word_logits(self, words: list[bytes]) -> np.ndarray:
         """What a word adds to the logit of its passage: the model is linear after the mean."""
-        bucket, n = subwords(words)
-        if not words:
-            return np.zeros(0)
-        return np.add.reduceat((self.embed @ self.out)[bucket], np.cumsum(n) - n) / n
+        value = self.embed @ self.out
+        total, size = np.zeros(len(words)), np.zeros(len(words))
+        for at, bucket, n in subword_runs(words):
+            total[at : at + len(n)] += np.add.reduceat(value[bucket], np.cumsum(n) - n)
+            size[at : at + len(n)] += n
+        return total / size
 
 
 def passages(at: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:

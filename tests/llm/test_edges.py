@@ -280,6 +280,26 @@ def test_misspelt_words_share_vectors():
     assert min(logit[:2]) > 3 * abs(logit[2])
 
 
+def test_toxic_word_at_the_end_of_a_long_run(monkeypatch):
+    rng = np.random.default_rng(7)
+    plain = ["".join(rng.choice(list("bdfgklnprstv"), 6)) for _ in range(300)]
+    rows = [(" ".join([*rng.choice(plain, 40), *["zyxomuj"] * (i % 2)]), i % 2) for i in range(400)]
+    model = toxicity.train(rows)
+    for run in ("bdfg" * 17, "日本語" * 8, "bdfg" * 3000):
+        end, clean = toxicity.score_texts(model, [run + "zyxomuj", run + plain[0]])
+        assert end > clean
+    words = [("bdfg" * 17 + "zyxomuj").encode(), b"ab", "日本語".encode() * 50, b"x" * 500, b"y" * 79, b"c"]
+    bucket, n = toxicity.subwords(words)
+    size = np.array([len(w) + 2 for w in words])
+    assert n.tolist() == [1 + sum(max(0, s - k + 1) for k in toxicity.GRAMS) for s in size]
+    logits = model.word_logits(words)
+    monkeypatch.setattr(toxicity, "BYTES", 40)  # all the same in several turns
+    more, again = toxicity.subwords(words)
+    assert again.tolist() == n.tolist() and np.allclose(model.word_logits(words), logits)
+    for a, b in zip(np.split(bucket, np.cumsum(n)), np.split(more, np.cumsum(n)), strict=True):
+        assert sorted(a.tolist()) == sorted(b.tolist())
+
+
 def test_mixing(spark, docs, empty):
     path = queries.mix_path(docs)
     plan = mixing.mix_plan(docs, path, queries.MIX_WEIGHTS, budget=0.5, max_epochs=2)
