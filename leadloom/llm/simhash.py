@@ -15,8 +15,9 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from .common import need_columns, written
@@ -211,17 +212,19 @@ def trie_tasks(counts: dict[int, int], top: int, budget: int, size: int) -> list
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) per row; fp is the fingerprint as a signed long."""
+def fingerprints(
+    docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text", more: tuple[str, ...] = ()
+) -> DataFrame:
+    """(doc_id, the columns in more, fp) per row; fp is the fingerprint as a signed long."""
     need_columns(docs, id_col, text_col)
+    src = docs.select(docs[id_col].cast("long").alias("doc_id"), *(docs[n] for n in more), docs[text_col].alias("text"))
 
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            fp = np.array([fingerprint(t, shingle) for t in b.column(b.num_columns - 1).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fp.view(np.int64))], [*b.schema.names[:-1], "fp"])
 
-    src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    return src.mapInArrow(run, T.StructType([*src.schema.fields[:-1], T.StructField("fp", T.LongType())]))
 
 
 def linked_fingerprints(fps: DataFrame, max_bits: int = 4, top_bits: int = TOP_BITS, task_size: int = TASK_SIZE) -> DataFrame:
@@ -263,6 +266,15 @@ def linked_fingerprints(fps: DataFrame, max_bits: int = 4, top_bits: int = TOP_B
     return components(spread.mapInArrow(run, "a long, b long"))
 
 
+def _rooted(rows: DataFrame, rank: Column, max_bits: int) -> DataFrame:
+    """(fp, least, root) per distinct fingerprint: its smallest rank and its component's fingerprint."""
+    distinct = written(rows.groupBy("fp").agg(F.min(rank).alias("least")), "distinct-fingerprints")
+    groups = written(linked_fingerprints(distinct.select("fp"), max_bits), "fingerprint-groups")
+    return distinct.join(groups, distinct["fp"] == groups["node"], "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def simhash_components(
     docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -275,11 +287,7 @@ def simhash_components(
     empty table gives an empty result; other columns are ignored.
     """
     rows = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    groups = written(linked_fingerprints(distinct.select("fp"), max_bits), "fingerprint-groups")
-    tagged = distinct.join(groups, distinct["fp"] == groups["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    tagged = _rooted(rows, F.col("doc_id"), max_bits)
     least = tagged.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = tagged.join(least, "root").select(F.col("fp").alias("g_fp"), "component_id")
     return rows.join(by_fp, rows["fp"] == by_fp["g_fp"]).select(
@@ -290,10 +298,16 @@ def simhash_components(
 def drop_near_duplicates(
     docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The documents, with all columns, whose id names their component: one per group.
-
-    Rows that repeat an id count as one document, of which one row stays.
+    """The documents, with all columns, of which one row per component stays: that with the
+    smallest id, null ids last, and of several with that id the smallest hash of the text. Of
+    rows that repeat both id and text any one stays.
     """
-    groups = simhash_components(docs, shingle, max_bits, id_col, text_col)
-    keep = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(F.col("_keep"))).drop("_keep").dropDuplicates([id_col])
+    need_columns(docs, id_col, text_col)
+    number = F.coalesce(docs[id_col].cast("long").cast("string"), F.lit(""))
+    text = F.coalesce(F.concat(F.lit(" "), docs[text_col]), F.lit(""))
+    keyed = docs.withColumn("_key", F.unhex(F.sha2(F.concat(number, text).cast("binary"), 256)))
+    rows = written(fingerprints(keyed, shingle, id_col, text_col, ("_key",)), "fingerprints")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("_key").alias("key"))
+    least = _rooted(rows, rank, max_bits).groupBy("root").agg(F.min("least").alias("least"))
+    keep = least.select(F.col("least.key").alias("_key"), F.col("root").alias("_root"))
+    return keyed.join(keep, "_key").dropDuplicates(["_root"]).select(*docs.columns)

@@ -158,6 +158,17 @@ def test_simhash(docs, empty):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 6, 7, 9, 10]
 
 
+def test_one_document_of_each_group_whatever_its_id(spark):
+    rng = np.random.default_rng(11)
+    a, b, c, d, e, f = (" ".join(f"w{x}" for x in rng.integers(0, 10_000, 60)) for _ in range(6))
+    rows = [(None, a), (None, b), (None, c), (3, c), (5, d), (5, e), (5, e), (7, e), (None, None), (8, f), (8, None)]
+    df = spark.createDataFrame([(i, k, t) for k, (i, t) in enumerate(rows)], "doc_id long, _x int, text string").repartition(3)
+    kept = simhash.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert got == sorted([(None, a), (None, b), (3, c), (5, d), (5, e), (8, f), (8, None)], key=str)
+
+
 @pytest.mark.parametrize("task_size", [4, 64, 10_000])
 def test_trie_join_against_all_pairs(spark, task_size):
     rng = np.random.default_rng(task_size)
