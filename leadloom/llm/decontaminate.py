@@ -39,21 +39,25 @@ def windows_of(text: str | None, window: int) -> set[bytes]:
     return {b" ".join(words[i : i + window]) for i in range(max(1, len(words) - window + 1))}
 
 
-def build_automaton(items: list[tuple[int, str | None]], window: int):
+def _ascending(ids: set[int | None]) -> list[int | None]:
+    return sorted(ids, key=lambda i: (i is None, i or 0))
+
+
+def build_automaton(items: list[tuple[int | None, str | None]], window: int):
     """The automaton over all windows; each ends in (number of words, items that have it)."""
-    having: dict[bytes, set[int]] = {}
+    having: dict[bytes, set[int | None]] = {}
     for item_id, text in items:
         for w in windows_of(text, window):
             having.setdefault(w, set()).add(item_id)
     auto = ahocorasick.Automaton()
     for w, ids in having.items():
-        auto.add_word(f" {w.decode('latin-1')} ", (w.count(b" ") + 1, tuple(sorted(ids))))
+        auto.add_word(f" {w.decode('latin-1')} ", (w.count(b" ") + 1, tuple(_ascending(ids))))
     if having:
         auto.make_automaton()
     return auto
 
 
-def scan(auto, text: str | None) -> tuple[int, list[tuple[int, int]], list[int]]:
+def scan(auto, text: str | None) -> tuple[int, list[tuple[int, int]], list[int | None]]:
     """Words in the text, merged hit ranges as (first, last) word, items that occur."""
     words = fold(text).split()
     if not words or not len(auto):
@@ -72,7 +76,7 @@ def scan(auto, text: str | None) -> tuple[int, list[tuple[int, int]], list[int]]
     hit = np.concatenate([[0], (np.cumsum(change[:-1]) > 0).astype(np.int8), [0]])
     edge = np.flatnonzero(np.diff(hit))
     ranges = [(int(a), int(b) - 1) for a, b in zip(edge[::2], edge[1::2], strict=True)]
-    return len(words), ranges, sorted({i for _, x in found for i in x[1]})
+    return len(words), ranges, _ascending({i for _, x in found for i in x[1]})
 
 
 def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -83,14 +87,15 @@ def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int,
     return [(chars(at[a][0]), chars(at[b][1])) for a, b in ranges]
 
 
-def _slices(benchmark: DataFrame, item_col: str, text_col: str, limit: int) -> list[DataFrame]:
-    """The items in slices of about `limit` bytes of text."""
+def _slices(benchmark: DataFrame, item_col: str, text_col: str, limit: int, null_ids: bool) -> list[DataFrame]:
+    """The items in slices of about `limit` bytes of text; items without an id are dealt by their text."""
     rows = benchmark.select(
         benchmark[item_col].cast("long").alias("item"), F.coalesce(benchmark[text_col], F.lit("")).alias("text")
-    ).where("item is not null")
+    ).where(F.col("item").isNotNull() | F.lit(null_ids))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = max(1, -(-size // limit))
-    return [rows.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == k) for k in range(parts)]
+    dealt = F.when(F.col("item").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("item"))
+    return [rows.where(F.pmod(dealt, F.lit(parts)) == k) for k in range(parts)]
 
 
 def united(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -114,6 +119,7 @@ def _hits(
     item_text_col: str = "text",
     keep: tuple[str, ...] = (),
     max_bytes: int = MAX_BENCHMARK_BYTES,
+    null_ids: bool = True,
 ) -> DataFrame:
     """benchmark_hits with its results in _n_words, _spans and _items, which no column of docs is
     taken to be named."""
@@ -152,7 +158,7 @@ def _hits(
                             for r, p in zip(ranges, places, strict=True)
                         ]
                     )
-                    items.append(sorted({*ids, *more}))
+                    items.append(_ascending({*ids, *more}))
                 arrays = [b.column(i) for i in range(len(kept) + 1)]
                 if last_pass and not with_text:
                     arrays[-1] = pa.nulls(b.num_rows, pa.string())
@@ -161,7 +167,7 @@ def _hits(
 
         return run
 
-    slices = _slices(benchmark, item_col, item_text_col, max_bytes)
+    slices = _slices(benchmark, item_col, item_text_col, max_bytes, null_ids)
     for k, part in enumerate(slices):
         some = [(r[0], r[1]) for r in part.collect()]  # its size is bounded, by max_bytes or one item
         df = df.mapInArrow(scanner(some, k == len(slices) - 1), ", ".join(fields))
@@ -170,28 +176,34 @@ def _hits(
     return df.withColumnRenamed("_text", text_col) if with_text else df.drop("_text")
 
 
-def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, keep: tuple[str, ...] = (), **names) -> DataFrame:
+def benchmark_hits(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, keep: tuple[str, ...] = (), null_ids: bool = False, **names
+) -> DataFrame:
     """One row per document: doc_id, the columns in `keep`, n_words, spans (arrays of first and
     last word, start and end character in the original text), items (ids that occur, ascending).
 
-    A null text has no words. Items without words and items with a null id find nothing; an
-    item with fewer words than the window is one window. Of equal items all count; rows that
+    A null text has no words. Items without words find nothing, nor do items with a null id
+    unless `null_ids` is given; then all of them are one null at the end of items. An item with fewer words than the window is one window. Of equal items all count; rows that
     repeat an id are scanned like any other. Without items no document has hits; without
     documents the result is empty. `keep` must not name the columns n_words, spans, items.
     """
-    out = _hits(docs, benchmark, window, keep=keep, **names)
+    out = _hits(docs, benchmark, window, keep=keep, null_ids=null_ids, **names)
     return out.withColumnsRenamed({f"_{n}": n for n in ("n_words", "spans", "items")})
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, **names) -> DataFrame:
-    """The documents, with all their columns, in which no benchmark window occurs."""
+    """The documents, with all their columns, in which no benchmark window occurs, of items
+    with a null id neither."""
     out = _hits(docs, benchmark, window, keep=tuple(docs.columns), **names)
     return out.where(F.size("_items") == 0).select(*docs.columns)
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated and the spans."""
-    hits = benchmark_hits(docs, benchmark, window)
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+
+    Items with a null id count, together as one item, and are left out of the hashed list.
+    """
+    hits = benchmark_hits(docs, benchmark, window, null_ids=True)
     listed = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["last"] - s["first"] + 1)
     return hits.select(

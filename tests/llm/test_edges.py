@@ -354,6 +354,26 @@ def test_decontamination(spark, docs, empty):
     assert (only["start"], only["end"]) == (2, 8)
 
 
+def test_benchmark_items_without_an_id(spark):
+    import duckdb
+    import pyarrow as pa
+
+    text = [" ".join(f"{c}{i}" for i in range(14)) for c in "abcd"]
+    docs = [(1, text[0]), (2, f"{text[1]} {text[2]}"), (3, text[3]), (4, f"{text[0]} {text[1]}"), (5, None)]
+    items = [(None, text[0]), (None, text[2]), (7, text[1]), (12, text[1]), (None, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [i for i, _ in docs], "text": [t for _, t in docs]}))
+    con.register("benchmark", pa.table({"item_id": [i for i, _ in items], "text": [t for _, t in items]}))
+    want = sorted(con.execute(queries.SQL["op10_benchmark_decontamination"]).fetchall())
+    assert sorted(tuple(r) for r in decontaminate.contamination_report(df, benchmark).collect()) == want
+    assert [r[3] for r in want] == [1, 3, 0, 3, 0]
+    split = decontaminate.benchmark_hits(df, benchmark, null_ids=True, max_bytes=60).collect()
+    assert {r["doc_id"]: r["items"] for r in split} == {1: [None], 2: [7, 12, None], 3: [], 4: [7, 12, None], 5: []}
+    assert sorted(r["doc_id"] for r in decontaminate.decontaminate(df, benchmark).collect()) == [3, 5]
+
+
 def test_pipeline_edges(spark, docs, empty, tmp_path):
     folder = str(tmp_path)
     spark.createDataFrame([(1, "nothing of this occurs anywhere")], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
