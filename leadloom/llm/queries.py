@@ -19,6 +19,7 @@ from . import (
     simhash,
     substring_dedup,
     token_files,
+    topk,
     toxicity,
 )
 from .ship import ship
@@ -260,3 +261,28 @@ select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items,
        sha256(coalesce(listed, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from words left join covered using (doc_id) left join found using (doc_id)
 """
+
+
+@query
+def op11_exact_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
+SQL["op11_exact_top_k"] = r"""
+with whole as (
+  select row_number() over () as r, vec_id, embedding from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as (
+  select r, vec_id, unnest(range(1, len(embedding) + 1)) as i, floor(256 * unnest(embedding)::double)::bigint as w from whole
+), products as (
+  select q.r as q, d.r as d, sum(q.w * d.w)::bigint as score
+  from parts q join parts d on d.i = q.i and d.r <> q.r
+  where q.vec_id % 50 = 0 group by all
+), scored as (
+  select q.r, q.vec_id as query_id, d.vec_id, coalesce(p.score, 0) as score
+  from whole q join whole d on d.r <> q.r left join products p on p.q = q.r and p.d = d.r
+  where q.vec_id % 50 = 0
+)
+select query_id, row_number() over (partition by r order by score desc, vec_id nulls last) as rank, vec_id, score
+from scored qualify rank <= 5
+"""
