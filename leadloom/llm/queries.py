@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontaminate,
+    divergence,
     exact_dedup,
     katz,
     language_id,
@@ -286,3 +287,44 @@ with whole as (
 select query_id, row_number() over (partition by r order by score desc, vec_id nulls last) as rank, vec_id, score
 from scored qualify rank <= 5
 """
+
+
+@query
+def op12_source_divergence(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"), min_docs=30, top_terms=50)
+
+
+SQL["op12_source_divergence"] = r"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w
+  from documents
+), occurring as (
+  select r, lang, source, term, count(*) as n from (select r, lang, source, unnest(w) as term from d) group by all
+), kept as (
+  select lang, term, count(*) over (partition by lang) as v
+  from occurring group by lang, term having count(*) >= 30
+), groups as (
+  select distinct lang, source from d
+), counts as (
+  select lang, source, term, v, coalesce(sum(n), 0)::hugeint as c
+  from groups join kept using (lang) left join occurring using (lang, source, term) group by all
+), rated as (
+  select lang, source, term, c,
+         1 + (1000000000 * (c + 5)) // (sum(c) over (partition by lang, source) + 5 * v)::hugeint as p
+  from counts
+), languages as (
+  select lang, term, 1 + (1000000000 * (c + 5)) // (sum(c) over (partition by lang) + 5 * v)::hugeint as q
+  from (select lang, term, v, sum(c)::hugeint as c from counts group by all)
+), parts as (
+  select g.lang, g.source, 'pair' as part, h.source as item,
+         coalesce((select sum(abs(a.p - b.p)) from rated a join rated b using (lang, term)
+                   where a.lang = g.lang and a.source = g.source and b.source = h.source), 0)::bigint as value
+  from groups g join groups h on h.lang = g.lang and h.source <> g.source
+  union all
+  select lang, source, 'term', term, (p - q)::bigint from rated join languages using (lang, term) where c > 0 and p > q
+)
+select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+from parts qualify part = 'pair' or rank <= 50
+"""
