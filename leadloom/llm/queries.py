@@ -13,6 +13,7 @@ from . import (
     decontaminate,
     divergence,
     exact_dedup,
+    filter_audit,
     katz,
     language_id,
     mixing,
@@ -328,3 +329,54 @@ with d as (
 select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
 from parts qualify part = 'pair' or rank <= 50
 """
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SQL["op13_filter_audit"] = r"""
+with marks as (
+  select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id
+), d as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text, coalesce(good, false) as good,
+         coalesce(toxic, false) as toxic, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents left join marks using (doc_id)
+), failing as (
+  select part, good, toxic, [
+           len(w) < 100,
+           100 * len(list_distinct(w)) < 80 * len(w),
+           100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+           regexp_matches(text, '[#$%&*|]'),
+           coalesce(coalesce(doc_id, 9223372036854775807) > min(coalesce(doc_id, 9223372036854775807)) over (partition by text), false)
+         ] as fails
+  from d
+), cells as (
+  select part, good, toxic, fails, count(*) as n from failing group by all
+), letters as (
+  select unnest(['A', 'B', 'C', 'D', 'E']) as x
+), orders as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps as (
+  select filter_order, step, filter_order[step] as x, ascii(filter_order[step]) - 64 as nr,
+         list_transform(range(1, step), lambda i: ascii(filter_order[i]) - 64) as before
+  from orders, (select unnest(range(1, 6))::int as step)
+), judged as (
+  select part, filter_order, step, x, n, good, toxic, fails[nr] as failed,
+         len(list_filter(fails, lambda f: f)) as n_fails, len(list_filter(before, lambda i: fails[i])) = 0 as alive
+  from cells, steps
+), counted as (
+  select part, filter_order, step, x,
+         sum(if(alive and not failed, n, 0))::bigint as kept,
+         sum(if(alive and failed, n, 0))::bigint as removed,
+         sum(if(not alive and failed, n, 0))::bigint as redundant,
+         sum(if(failed and n_fails = 1, n, 0))::bigint as unique_fails,
+         sum(if(alive and failed and good, n, 0))::bigint as good_lost,
+         sum(if(alive and failed and toxic, n, 0))::bigint as toxic_lost
+  from judged group by all
+)
+select * exclude (x), sum(removed) over (partition by part, x)::bigint as shapley from counted
+"""
