@@ -62,24 +62,25 @@ def op1_substring_dedup(spark, sf_dir):
 
 SQL["op1_substring_dedup"] = r"""
 with words as (
-  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+  select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents
 ), windows as (
-  select doc_id, i, array_to_string(list_slice(w, i, i + 19), ' ') as words
-  from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from words where len(w) >= 20)
+  select r, coalesce(doc_id, 9223372036854775807) as id, i, array_to_string(list_slice(w, i, i + 19), ' ') as words
+  from (select r, doc_id, w, unnest(range(1, len(w) - 18)) as i from words where len(w) >= 20)
 ), later as (
-  select doc_id, i from windows
-  qualify row_number() over (partition by words order by doc_id, i) > 1
+  select r, i from windows
+  qualify id > min(id) over (partition by words) or i > min(i) over (partition by words, r)
 ), gone as (
-  select distinct doc_id, unnest(range(i, i + 20)) as p from later
+  select distinct r, unnest(range(i, i + 20)) as p from later
 ), kept as (
-  select w.doc_id, count(g.p) as n_removed,
+  select w.r, count(g.p) as n_removed,
          string_agg(w.word, ' ' order by w.p) filter (where g.p is null) as kept
-  from (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from words) w
-  left join gone g on g.doc_id = w.doc_id and g.p = w.p
-  group by w.doc_id
+  from (select r, unnest(w) as word, unnest(range(1, len(w) + 1)) as p from words) w
+  left join gone g on g.r = w.r and g.p = w.p
+  group by w.r
 )
 select doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
-from words left join kept using (doc_id)
+from words left join kept using (r)
 """
 
 

@@ -7,10 +7,11 @@ count of a window and never underestimates it. Its width grows with the number o
 it is never in one place: each batch gets back one bit for each of its own cells. Windows with a
 cell of count 1 occur once and are done with.
 
-The second pass sends the other windows, once per batch, as 96 bits of hash with document and
-start, to the block of their hash. There they are grouped exactly, and all but the earliest go
-back to their batch, which removes the words that they cover. A window that a block marks for
-nothing costs a few bytes; none is lost.
+The second pass sends the other windows, once per batch, as 128 bits of hash with id, row and
+start, to the block of their hash. There they are grouped exactly, and all that have a smaller id
+elsewhere go back to their batch by row and start, which removes the words that they cover. The
+id decides the order alone, so rows that share an id are never taken for each other. A window
+that a block marks for nothing costs a few bytes; none is lost.
 """
 
 from __future__ import annotations
@@ -148,46 +149,56 @@ def _estimated(win: Windows, answers: list[dict], bits: int, block_bits: int) ->
     return repeated
 
 
-_REPLY = "batch long, ids binary, starts binary"
-_SENT = "block long, batch long, h1 binary, h2 binary, ids binary, starts binary"
+_REPLY = "batch long, rows binary, starts binary"
+_SENT = "block long, batch long, h1 binary, h2 binary, ids binary, rows binary, starts binary"
+
+
+def _first_of(changed: np.ndarray) -> np.ndarray:
+    """For sorted values, the index of the first of each run; `changed` marks the runs' first ones."""
+    return np.flatnonzero(changed)[np.cumsum(changed) - 1]
+
+
+def _starts(*sorted_keys: np.ndarray) -> np.ndarray:
+    new = np.ones(len(sorted_keys[0]), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in sorted_keys], axis=0)
+    return new
 
 
 def _candidates(table: DataFrame, window: int, bits: int, block_bits: int) -> DataFrame:
-    """Windows estimated repeated, once per batch, by block of their hash; and, in a block of
-    its own below zero, the starts that the batch itself knows to be later ones."""
+    """Windows estimated repeated, by block of their hash; and, in a block of its own below zero,
+    the places that the batch itself knows to be later ones. Of each window a batch sends the
+    places with its smallest id, one per row: a single one unless rows share an id."""
 
     def run(parts):
         for row in rows_of(parts):
             batch = Batch(row)
             win = Windows(batch, window)
             at = np.flatnonzero(_estimated(win, row["answers"] or [], bits, block_bits))
-            ids = to_unsigned(batch.order_ids[win.doc[at]])
-            start = win.start[at].astype(np.uint64)
-            h1, h2 = win.h1[at], win.h2[at] >> np.uint64(32)
-            order = np.lexsort((start, ids, h2, h1))
-            h1, h2, ids, start = h1[order], h2[order], ids[order], start[order]
-            new = np.ones(len(h1), bool)
-            new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-            group = np.cumsum(new) - 1
-            first = np.flatnonzero(new)
-            later = (ids != ids[first][group]) | (start != start[first][group])
-            out = {n: [] for n in ("block", "batch", "h1", "h2", "ids", "starts")}
-
-            def send(block, a, b, i, s, out=out, batch=batch):
-                values = (block, batch.number, pack_sorted(a), pack(b), pack(i), pack(s))
+            doc, start = win.doc[at], win.start[at]
+            ids = to_unsigned(batch.order_ids[doc])
+            h1, h2 = win.h1[at], win.h2[at]
+            order = np.lexsort((start, doc, ids, h2, h1))
+            h1, h2, ids, doc, start = h1[order], h2[order], ids[order], doc[order], start[order]
+            smallest = ids == ids[_first_of(_starts(h1, h2))] if len(ids) else np.zeros(0, bool)
+            sent = smallest & _starts(h1, h2, ids, doc)
+            out = {n.split()[0]: [] for n in _SENT.split(", ")}
+
+            def send(block, cut, out=out, batch=batch, h1=h1, h2=h2, ids=ids, doc=doc, start=start):
+                place = doc[cut].astype(np.uint64), start[cut].astype(np.uint64)
+                values = (block, batch.number, pack_sorted(h1[cut]), pack(h2[cut]), pack(ids[cut]), *map(pack, place))
                 for name, v in zip(out, values, strict=True):
                     out[name].append(v)
 
-            if later.any():
-                i, s = ids[later], start[later]
-                order = np.lexsort((s, i))
-                send(-1 - batch.number, h1[:0], h2[:0], np.diff(i[order], prepend=np.uint64(0)), s[order])
-            h1, h2, ids, start = h1[first], h2[first], ids[first], start[first]
-            edges = _parts(h1, 64 - block_bits, 1 << block_bits) if block_bits else np.array([0, len(h1)])
-            edges[-1] = len(h1)
+            known = np.flatnonzero(~sent)
+            if len(known):
+                known = known[np.lexsort((start[known], doc[known]))]
+                h = np.zeros(len(ids), np.uint64)
+                send(-1 - batch.number, known, h1=h, h2=h, ids=h)
+            sent = np.flatnonzero(sent)
+            edges = _parts(h1[sent], 64 - block_bits, 1 << block_bits) if block_bits else np.array([0, len(sent)])
+            edges[-1] = len(sent)
             for k in np.flatnonzero(np.diff(edges)).tolist():
-                cut = slice(edges[k], edges[k + 1])
-                send(k, h1[cut], h2[cut], ids[cut], start[cut])
+                send(k, sent[edges[k] : edges[k + 1]])
             if out["block"]:
                 yield pa.RecordBatch.from_pydict(out)
 
@@ -195,34 +206,29 @@ def _candidates(table: DataFrame, window: int, bits: int, block_bits: int) -> Da
 
 
 def _later(sent: DataFrame) -> DataFrame:
-    """(batch, ids, starts) of the windows that start earlier elsewhere, grouped exactly."""
+    """(batch, rows, starts) of the windows that start earlier elsewhere, grouped exactly."""
 
     def run(group: pa.Table) -> pa.Table:
-        schema = pa.schema([("batch", pa.int64()), ("ids", pa.binary()), ("starts", pa.binary())])
+        schema = pa.schema([("batch", pa.int64()), ("rows", pa.binary()), ("starts", pa.binary())])
         if group.column("block")[0].as_py() < 0:
-            return group.select(["batch", "ids", "starts"]).cast(schema)
+            return group.select(["batch", "rows", "starts"]).cast(schema)
         get = lambda name, f: [f(x.as_py()) for x in group.column(name)]
         each = get("h1", unpack_sorted)
         size = [len(x) for x in each]
         h1 = np.concatenate(each)
-        h2, ids, start = (np.concatenate(get(n, unpack)) for n in ("h2", "ids", "starts"))
+        h2, ids, doc, start = (np.concatenate(get(n, unpack)) for n in ("h2", "ids", "rows", "starts"))
         source = np.repeat(np.arange(len(size)), size)
-        order = np.lexsort((start, ids, h2, h1))
-        a, b, i, s = h1[order], h2[order], ids[order], start[order]
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        first = np.flatnonzero(new)[np.cumsum(new) - 1]
-        late = (i != i[first]) | (s != s[first])
-        source, i, s = source[order][late], i[late], s[late]
-        order = np.lexsort((s, i, source))
-        source, i, s = source[order], i[order], s[order]
-        edges = np.searchsorted(source, np.arange(len(size) + 1))
-        out = {"batch": [], "ids": [], "starts": []}
+        order = np.lexsort((ids, h2, h1))
+        first = _first_of(_starts(h1[order], h2[order]))
+        late = order[ids[order] != ids[order][first]]
+        late = late[np.lexsort((start[late], doc[late], source[late]))]
+        edges = np.searchsorted(source[late], np.arange(len(size) + 1))
+        out = {"batch": [], "rows": [], "starts": []}
         for k in np.flatnonzero(np.diff(edges)).tolist():
-            cut = slice(edges[k], edges[k + 1])
+            cut = late[edges[k] : edges[k + 1]]
             out["batch"].append(group.column("batch")[k].as_py())
-            out["ids"].append(pack_sorted(i[cut]))
-            out["starts"].append(pack(s[cut]))
+            out["rows"].append(pack(doc[cut]))
+            out["starts"].append(pack(start[cut]))
         return pa.table(out, schema=schema)
 
     return sent.groupBy("block").applyInArrow(run, _REPLY)
@@ -232,12 +238,11 @@ def _cut(table: DataFrame, window: int, with_text: bool) -> DataFrame:
     def run(parts):
         for row in rows_of(parts):
             batch = Batch(row)
-            ids, back = np.unique(to_unsigned(batch.order_ids), return_inverse=True)
             marks: dict[int, list[np.ndarray]] = {}
             for a in row["answers"] or []:
-                i, s = unpack_sorted(a["ids"]), unpack(a["starts"]).astype(np.int64)
-                rank = np.searchsorted(ids, i)
-                edges = np.searchsorted(rank, np.arange(len(ids) + 1))
+                # sorted by row
+                doc, s = unpack(a["rows"]).astype(np.int64), unpack(a["starts"]).astype(np.int64)
+                edges = np.searchsorted(doc, np.arange(len(batch.ids) + 1))
                 for k in np.flatnonzero(np.diff(edges)).tolist():
                     marks.setdefault(k, []).append(s[edges[k] : edges[k + 1]])
             out = {"doc_id": [], "n_words": [], "n_removed": [], "kept_sha256": []} | ({"text": []} if with_text else {})
@@ -245,10 +250,9 @@ def _cut(table: DataFrame, window: int, with_text: bool) -> DataFrame:
             for k, raw in enumerate(batch.texts()):
                 words = raw.split()
                 n = len(words)
-                starts = marks.get(int(back[k]))
+                starts = marks.get(k)
                 if starts:
                     s = np.concatenate(starts)
-                    s = s[s + window <= n]
                     change = np.zeros(n + 1, np.int64)
                     np.add.at(change, s, 1)
                     np.add.at(change, s + window, -1)
@@ -287,8 +291,9 @@ def remove_repeats(
     Words are runs between ASCII white space, unchanged. A word is removed if a window of
     `window` words that covers it also starts earlier: in a smaller doc_id, or earlier in the
     same document. Windows are judged on the input. Null texts have no words, texts shorter than
-    the window lose none. A null id is larger than any other. Rows that repeat an id and a text
-    share their windows' places, so neither is earlier than the other. An empty table gives an
+    the window lose none. A null id is larger than any other. Rows that share an id (or have none)
+    are documents of their own, and none is earlier than another: a window that two of them have
+    goes from both if a smaller id has it, and stays in both otherwise. An empty table gives an
     empty result; other columns are ignored.
     """
     table = batches(docs, id_col, text_col)

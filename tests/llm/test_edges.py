@@ -89,6 +89,20 @@ def test_substrings_random(spark):
         assert got[i] == (len(gone), " ".join(x for j, x in enumerate(w) if j not in gone))
 
 
+@pytest.mark.parametrize("parts", [1, 4])
+@pytest.mark.parametrize("shared", [5, None])
+def test_substrings_of_rows_that_share_an_id(spark, parts, shared):
+    p = " ".join(f"p{i}" for i in range(25))
+    x = " ".join(f"x{i}" for i in range(30))
+    twice = f"{x} {x}"
+    rows = [(1, p), (shared, p), (shared, x), (shared, x), (shared, twice), (9 if shared else None, x)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    got = sorted((r["text"] == "", r["n_words"], r["n_removed"]) for r in substring_dedup.remove_repeats(df).collect())
+    # the repeat inside the long row goes; of the rows with x only the one with the larger id
+    last = (True, 30, 30) if shared else (False, 30, 0)
+    assert got == sorted([(False, 25, 0), (True, 25, 25), (False, 30, 0), (False, 30, 0), (False, 60, 30), last])
+
+
 def test_quality(docs, empty):
     got = by_id(quality.quality(docs))
     assert all(0 <= r["score"] <= 1 for rows in got.values() for r in rows)
