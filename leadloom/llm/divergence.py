@@ -36,7 +36,7 @@ BLOCK_BYTES = 128_000_000
 
 #: Postings of a piece of a run, and of a lane of the corrections.
 PIECE_ENTRIES = 16_384
-LANE_ENTRIES = 500_000
+LANE_ENTRIES = 20_000
 
 #: Sources of a block; a tile holds two blocks.
 BLOCK_SOURCES = 128
@@ -78,51 +78,45 @@ class Block:
     def runs(self, shards: int) -> Iterator[dict]:
         """Pieces, sorted by shard, language and term."""
         for lang, docs in sorted(self.docs.items()):
+            terms = sorted(docs)
+            place = dict(zip(terms, range(len(terms)), strict=True))
             sources = sorted(s for name, s in self.count if name == lang)
-            counts = [self.count[lang, s] for s in sources]
-            by_shard: dict[int, list[bytes]] = defaultdict(list)
+            at, code, number = [], [], []
+            for i, s in enumerate(sources):
+                count = self.count[lang, s]
+                at.append(np.fromiter(map(place.__getitem__, count), np.int64, len(count)))
+                number.append(np.fromiter(count.values(), np.int64, len(count)))
+                code.append(np.full(len(count), i, np.int64))
+            at, code, number = np.concatenate(at), np.concatenate(code), np.concatenate(number)
             start = zlib.crc32(lang.encode())
-            for t in docs:
-                by_shard[zlib.crc32(t, start) % shards].append(t)
-            for shard, terms in sorted(by_shard.items()):
-                terms.sort()
-                yield from _pieces(shard, lang, terms, docs, sources, counts)
-
-
-def _pieces(shard, lang, terms, docs, sources, counts) -> Iterator[dict]:
-    names: list[bytes] = []
-    lists: list[int] = []
-    codes: list[int] = []
-    number: list[int] = []
-
-    def piece() -> dict:
-        text = b" ".join(names)
-        return {
-            "shard": shard,
-            "lang": lang,
-            "first": names[0],
-            "sources": sources,
-            "text_size": len(text),
-            "terms": zstandard.ZstdCompressor(level=1).compress(text),
-            "docs": pack(np.array([docs[t] for t in names], np.uint64)),
-            "lists": pack(np.array(lists, np.uint64)),
-            "codes": pack(np.array(codes, np.uint64)),
-            "counts": pack(np.array(number, np.uint64)),
-        }
-
-    size = 0
-    for t in terms:
-        held = [(i, c[t]) for i, c in enumerate(counts) if t in c]
-        names.append(t)
-        lists.append(len(held))
-        codes.extend(i for i, _ in held)
-        number.extend(n for _, n in held)
-        size += len(t)
-        if len(codes) >= PIECE_ENTRIES or size >= 40 * PIECE_ENTRIES:
-            yield piece()
-            names, lists, codes, number, size = [], [], [], [], 0
-    if names:
-        yield piece()
+            shard = np.fromiter((zlib.crc32(t, start) % shards for t in terms), np.int64, len(terms))
+            order = np.lexsort((code, at, shard[at]))
+            code, number = code[order], number[order]
+            by_shard = np.argsort(shard, kind="stable")
+            lists = np.bincount(at, minlength=len(terms))[by_shard]
+            ends = np.cumsum(lists)
+            weight = np.cumsum(lists + np.fromiter(map(len, terms), np.int64, len(terms))[by_shard] // 40)
+            shard = shard[by_shard]
+            first = 0
+            while first < len(terms):
+                last = np.searchsorted(weight, (weight[first - 1] if first else 0) + PIECE_ENTRIES) + 1
+                last = min(last, np.searchsorted(shard, shard[first], side="right"))
+                names = [terms[i] for i in by_shard[first:last].tolist()]
+                cut = slice(ends[first - 1] if first else 0, ends[last - 1])
+                text = b" ".join(names)
+                yield {
+                    "shard": int(shard[first]),
+                    "lang": lang,
+                    "first": names[0],
+                    "sources": sources,
+                    "text_size": len(text),
+                    "terms": zstandard.ZstdCompressor(level=1).compress(text),
+                    "docs": pack(np.fromiter(map(docs.__getitem__, names), np.uint64, len(names))),
+                    "lists": pack(lists[first:last].astype(np.uint64)),
+                    "codes": pack(code[cut].astype(np.uint64)),
+                    "counts": pack(number[cut].astype(np.uint64)),
+                }
+                first = int(last)
 
 
 _RUN = pa.schema(
