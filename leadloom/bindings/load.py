@@ -326,6 +326,19 @@ def scan_sheet_multiline_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.read_sheet(spark, path)
 
 
+@CATALOG.query(
+    "scan_sheet_line_breaks",
+    "select cast(doc_id as varchar) as nomor, coalesce(text, '') as isi, coalesce(source, '') as sumber from documents",
+)
+def scan_sheet_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file whose cells are whole texts with line breaks and quotes, cut into records by many
+    tasks: most cells lie over a border between chunks."""
+    documents = derive.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    path = shared_path(spark, "texts")
+    src.write_sheet(documents.toDF("Nomor", "Isi", "Sumber").coalesce(1), path)
+    return src.read_sheet(spark, path, chunk_chars=2_000)
+
+
 _SHEET_OF = {
     "leads_ads_community": list(_SHEET),
     "website_form_responses": [" Email ", "No. HP/Telp", "Created Time"],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 import re
 from collections.abc import Collection, Mapping, Sequence
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadloom.operators.setops import union_by_name
+from leadloom.sources.records import CHUNK_CHARS, Records
 
 # Normalised sheet header -> column name.
 HEADER_SYNONYMS: dict[str, str] = {
@@ -47,9 +48,6 @@ HEADER_SYNONYMS: dict[str, str] = {
 # length at which the landing database cuts column names
 MAX_NAME_BYTES = 63
 
-# lines first read for a header; more are read until its record is whole
-FIRST_LINES = 64
-
 
 def normalize_headers(names: Sequence[str], max_bytes: int | None = None) -> list[str]:
     """Lower case, anything but a-z, 0-9 and _ to _, runs of _ to one, none at
@@ -62,84 +60,71 @@ def _all_text(width: int) -> T.StructType:
     return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
 
 
-def _records(lines: Sequence[str], wanted: int) -> list[list[str]] | None:
-    """The first ``wanted`` records; None if the lines end within one of them."""
-    found: list[list[str]] = []
-    try:
-        for record in csv.reader((f"{line}\n" for line in lines), strict=True):
-            if record:
-                found.append(record)
-            if len(found) == wanted:
-                break
-    except csv.Error:
-        return None
-    return found
-
-
-def _header(spark: SparkSession, path: str, header_row: int) -> list[str] | None:
-    """Normalised header cells; None for a sheet without any record.
-
-    Only the lines up to the end of the header's record reach the driver, however
-    many line breaks the cells hold: the number of lines read doubles until the
-    record is whole.
-    """
-    text, n = spark.read.text(path), header_row + FIRST_LINES
-    while True:
-        lines = [line.value for line in text.limit(n).collect()]
-        records = _records(lines, header_row + 1)
-        if records is not None and len(records) > header_row or len(lines) < n:
-            break
-        n *= 2
-    if records == []:
-        return None
-    if records is None or len(records) <= header_row:
-        raise ValueError(f"{path}: no readable header in row {header_row}")
-    names = normalize_headers(records[header_row])
+def _header(text: str, where: str) -> list[str]:
+    """Normalised cells of a header's record."""
+    names = normalize_headers(next(csv.reader(io.StringIO(text, newline=""))))
     repeated = sorted({n for n in names if names.count(n) > 1})
     if repeated or "" in names:
-        raise ValueError(f"{path}: empty or repeated headers after normalisation: {repeated or ['']}")
+        raise ValueError(f"{where}: empty or repeated headers after normalisation: {repeated or ['']}")
     return names
 
 
-def read_sheet(spark: SparkSession, path: str, header_row: int = 0, multi_line: bool = True) -> DataFrame:
-    """One sheet, all columns text, headers normalised.
+def _headers(records: Records, header_row: int) -> tuple[dict[str, list[str]], set[str]]:
+    """Header of each sheet that has any record, and the sheets that have rows below it.
 
-    ``path`` is a CSV file, or a folder of CSV files that all repeat the header.
-    Short rows are padded and empty cells read as the empty string; cells beyond
-    the header are cut. With ``header_row`` > 0 the rows above the header are
-    ignored. Cells may contain line breaks, so a file is read by one task (a
-    spreadsheet holds a bounded number of cells); ``multi_line=False`` lets Spark
-    split files that have one row per line.
+    The driver gets one row per sheet and distinct header, with the header's record; all other
+    text stays in the tasks.
     """
-    options = {"multiLine": str(multi_line).lower(), "quote": '"', "escape": '"'}
-    names = _header(spark, path, header_row)
-    if names is None:
-        return spark.createDataFrame([], T.StructType([]))
-    reader = spark.read.options(**options).schema(_all_text(len(names)))
-    if header_row == 0:
-        rows = reader.option("enforceSchema", "true").csv(path, header=True)
-    else:
-        rows = _below_header(reader.csv(path, header=False), header_row)
-    return rows.toDF(*names).na.fill("")
-
-
-def _below_header(rows: DataFrame, header_row: int) -> DataFrame:
-    """Drop the first rows of every file.
+    unclosed = records.unclosed()
+    if unclosed:
+        raise ValueError(f"no readable header or row: a quoted cell never closes in {', '.join(unclosed)}")
+    files = records.counts().join(records.numbered(number=header_row), ["sheet", "file"], "left")
+    found = files.groupBy("sheet", "text").agg(F.min("file").alias("file"), F.max("n").alias("n")).collect()
+    headers: dict[str, list[str]] = {}
+    filled = set()
+    for r in sorted(found, key=lambda r: r.file):
+        if r.text is None:
+            raise ValueError(f"{r.file}: no readable header in row {header_row}")
+        names = _header(r.text, r.file)
+        if headers.setdefault(r.sheet, names) != names:
+            raise ValueError(f"{r.file}: another header than in the files before it")
+        if r.n > header_row + 1:
+            filled.add(r.sheet)
+    return headers, filled
+
+
+# as the reader of whole files takes them
+_CSV = {"quote": '"', "escape": '"', "multiLine": "true"}
+
+
+def _cells(rows: DataFrame, width: int) -> DataFrame:
+    """sheet and the cells c0, c1, ... of records; short rows are padded, cells beyond are cut."""
+    parsed = rows.select("sheet", F.from_csv("text", _all_text(width).simpleString()[7:-1].replace(":", " "), _CSV).alias("c"))
+    return parsed.select("sheet", *[F.coalesce(F.col(f"c.c{i}"), F.lit("")).alias(f"c{i}") for i in range(width)])
+
+
+def read_sheet(
+    spark: SparkSession,
+    path: str,
+    header_row: int = 0,
+    multi_line: bool = True,
+    chunk_chars: int = CHUNK_CHARS,
+) -> DataFrame:
+    """One sheet, all columns text, headers normalised.
 
-    monotonically_increasing_id numbers the rows of a task in file order, so the
-    rows at the top of a file are those next to the smallest number seen in the
-    file's first block.
+    ``path`` is a CSV file, or a folder of CSV files that all repeat the header; another header
+    in one of them raises. Short rows are padded and empty cells read as the empty string; cells
+    beyond the header are cut; empty lines are no rows. With ``header_row`` > 0 the rows above the
+    header are ignored. Cells may contain line breaks, and a file of any size is read by many
+    tasks all the same (``leadloom.sources.records``); a cell that never closes raises. With
+    ``multi_line=False`` every line is a row. The text is written once, in chunks, below the
+    shared folder.
     """
-    placed = rows.select(
-        "*",
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.file_block_start").alias("__block"),
-        F.monotonically_increasing_id().alias("__at"),
-    )
-    tops = placed.where(F.col("__block") == 0).groupBy("__file").agg(F.min("__at").alias("__top"))
-    marked = placed.join(tops, on="__file", how="left")
-    above = (F.col("__block") == 0) & (F.col("__at") - F.col("__top") <= header_row)
-    return marked.where(~F.coalesce(above, F.lit(False))).select(*rows.columns)
+    records = Records(spark, {"": path}, multi_line, chunk_chars)
+    headers, _ = _headers(records, header_row)
+    if not headers:
+        return spark.createDataFrame([], T.StructType([]))
+    return _cells(records.numbered(after=header_row), len(headers[""])).drop("sheet").toDF(*headers[""])
 
 
 def sheet_paths(spark: SparkSession, folder: str) -> dict[str, str]:
@@ -157,11 +142,35 @@ def read_all_sheets(
     header_row: int = 0,
     exclude: Collection[str] = (),
     multi_line: bool = True,
+    chunk_chars: int = CHUNK_CHARS,
 ) -> DataFrame:
-    """All sheets of a workbook, stacked by column name and tagged sheet_name."""
+    """All sheets of a workbook, stacked by column name and tagged sheet_name.
+
+    A column that a sheet lacks reads NULL there; a sheet without rows adds no columns. All sheets
+    are read by the same few jobs, however many there are.
+    """
     kept = {name: path for name, path in paths.items() if name not in exclude}
-    sheets = {name: read_sheet(spark, path, header_row, multi_line) for name, path in kept.items()}
-    return union_by_name(sheets, tag_column="sheet_name", skip_empty=True)
+    if not kept:
+        return spark.createDataFrame([], T.StructType([]))
+    records = Records(spark, kept, multi_line, chunk_chars)
+    headers, filled = _headers(records, header_row)
+    headers = {name: headers[name] for name in kept if name in filled}
+    if not headers:
+        return spark.createDataFrame([], T.StructType([]))
+    width = max(map(len, headers.values()))
+    cells = _cells(records.numbered(after=header_row), width)
+    # name -> position -> sheets that have it there; the tag follows the first sheet's columns
+    place: dict[str, dict[int, list[str]]] = {}
+    for sheet, names in headers.items():
+        for i, name in enumerate([*names, "sheet_name"]):
+            place.setdefault(name, {}).setdefault(i, []).append(sheet)
+    sheet = F.col("sheet")
+    columns = {
+        name: F.coalesce(*[F.when(sheet.isin(sheets), F.col(f"c{i}")) for i, sheets in at.items() if i < width])
+        for name, at in place.items()
+        if name != "sheet_name"
+    }
+    return cells.select(*[sheet.alias(n) if n == "sheet_name" else columns[n].alias(n) for n in place])
 
 
 def rename_synonyms(

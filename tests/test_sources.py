@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import io
 import json
 import os
 
+import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from leadloom import plans, session
@@ -21,6 +26,7 @@ from leadloom.operators import split_rejects
 from leadloom.schemas import RAW, item_fields, source_query
 from leadloom.session import ensure_checkpoint_dir, shared_path
 from leadloom.sources.api_pages import read_pages
+from leadloom.sources.records import _line_states
 from leadloom.sources.tables import jdbc_options
 from tests.helpers import rows
 
@@ -63,7 +69,7 @@ def test_read_sheet_pads_and_cuts(spark, tmp_path):
 
 
 @pytest.mark.parametrize("multi_line", [True, False])
-@pytest.mark.parametrize("split", ["128MB", "64B"])
+@pytest.mark.parametrize("split", ["128MB", "250B"])
 def test_read_sheet_below_a_title(spark, conf, tmp_path, split, multi_line):
     conf(spark__sql__files__maxPartitionBytes=split)
     body = "".join(f"v{i},w{i}\n" for i in range(60))
@@ -101,6 +107,94 @@ def test_headers_of_any_height(spark, tmp_path):
         src.read_sheet(spark, put(tmp_path / "d.csv", '"never closed,B\n1,2\n'))
 
 
+def by_machine(text):
+    """Records of a text, character by character."""
+    out, record, cell, state = [], [], "", "start"
+    text = text + "\n" if text and not text.endswith("\n") else text
+    for c in text:
+        if state == "quoted":
+            state = "closing" if c == '"' else state
+            cell += "" if c == '"' else c
+        elif state == "closing" and c == '"':
+            cell, state = cell + '"', "quoted"
+        elif c in ",\n":
+            record.append(cell)
+            if c == "\n":
+                if record != [""] or state != "start":
+                    out.append(record)
+                record = []
+            cell, state = "", "start"
+        elif c == '"' and state == "start":
+            state = "quoted"
+        else:
+            cell, state = cell + c, "plain"
+    return out if state == "start" else None
+
+
+@given(st.text(alphabet='a",\n', max_size=60))
+def test_line_states(text):
+    """The state after every line is that of a machine that reads characters."""
+    after, state = _line_states(True), 0
+    for line in text.split("\n"):
+        state = after(line, state)
+    # an open quote swallows the end
+    assert (by_machine(text) is None) == bool(state)
+
+
+def sheet_text(rng, rows):
+    cell = lambda: "".join(rng.choice(list('ab"\n, é'), int(rng.integers(0, 9))))
+    quoted = lambda c: '"' + c.replace('"', '""') + '"'
+    plain = lambda c: c.replace(",", "").replace("\n", "").lstrip('"')
+    lines = ['"Kolom\n""A""",B,C']
+    for _ in range(rows):
+        cells = [cell() for _ in range(3)]
+        lines.append(",".join(quoted(c) if rng.random() < 0.7 else plain(c) or "x" for c in cells))
+    return lines
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("chunk_chars", [1, 40, 10_000])
+def test_cells_over_the_borders_of_chunks(spark, tmp_path, chunk_chars, end):
+    rng = np.random.default_rng(chunk_chars)
+    files = {n: end.join(sheet_text(rng, 40)) + end for n in "xyz"}
+    for n, text in files.items():
+        (tmp_path / "s").mkdir(exist_ok=True)
+        (tmp_path / "s" / f"{n}.csv").write_bytes(text.encode())
+    df = src.read_sheet(spark, str(tmp_path / "s"), chunk_chars=chunk_chars)
+    want = []
+    for text in files.values():
+        # line ends inside quotes are data, those that end a record are not
+        want += [tuple(c for c in r) for r in csv.reader(io.StringIO(text, newline=""))][1:]
+    assert df.columns == ["kolom_a", "b", "c"]
+    assert rows(df) == sorted(want, key=lambda r: [(True, v) for v in r])
+
+
+def test_splits_of_one_file(spark, conf, tmp_path):
+    """Spark cuts the file inside cells; text that looks like rows stays in its cell."""
+    rng = np.random.default_rng(8)
+    body = "".join(f'{i},"{"9,9" + chr(10)}{"x" * int(rng.integers(0, 50))}",end\n' for i in range(200))
+    path = put(tmp_path / "s.csv", f"A,B,C\n{body}")
+    conf(spark__sql__files__maxPartitionBytes="2KB", spark__sql__files__openCostInBytes="1")
+    assert spark.read.text(path).rdd.getNumPartitions() > 3
+    got = src.read_sheet(spark, path).collect()
+    assert sorted(int(r.a) for r in got) == list(range(200)) and {r.c for r in got} == {"end"}
+    assert all(r.b.startswith("9,9\n") for r in got)
+
+
+def test_headers_must_agree(spark, tmp_path):
+    put(tmp_path / "s" / "1.csv", "A,B\n1,2\n")
+    put(tmp_path / "s" / "2.csv", "B,A\n1,2\n")
+    put(tmp_path / "s" / "3.csv", "")
+    with pytest.raises(ValueError, match="another header"):
+        src.read_sheet(spark, str(tmp_path / "s"))
+
+
+def test_unclosed_cell_far_from_the_header(spark, tmp_path):
+    path = put(tmp_path / "s.csv", "A,B\n" + "1,2\n" * 500 + '1,"2\n' + "1,2\n" * 500)
+    with pytest.raises(ValueError, match="never closes in .*s.csv"):
+        src.read_sheet(spark, path, chunk_chars=100)
+
+
 def test_empty_sheet_and_bad_headers(spark, tmp_path):
     empty = src.read_sheet(spark, put(tmp_path / "e.csv", ""))
     assert empty.columns == [] and empty.count() == 0
