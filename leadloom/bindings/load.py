@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -550,6 +552,20 @@ def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.read_source(spark, path)
 
 
+@CATALOG.query(
+    "concurrent_refresh",
+    "select o_orderkey, o_orderstatus, o_totalprice from orders",
+)
+def concurrent_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writers that race to refresh one table: every one becomes a version, and none is lost."""
+    orders = derive.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    path = shared_path(spark, "raced")
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda s: src.full_refresh(orders.where(F.col("o_orderstatus") == s), path), "FOP"))
+    kept = [src.read_source(spark, path, version=v.number) for v in src.versions(spark, path)]
+    return ops.union_all(*kept)
+
+
 @CATALOG.query(
     "materialize_view",
     "select s_nationkey, count(*) as suppliers, max(s_acctbal) as best from supplier where s_acctbal > 0 group by 1",

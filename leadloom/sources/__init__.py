@@ -1,6 +1,7 @@
 """Readers, load steps and writers."""
 
 from leadloom.sources.api_pages import explode_pages, page_stats, parse_pages, read_api_pages, read_pages
+from leadloom.sources.commits import ConcurrentRefresh, Version, commit, vacuum, versions
 from leadloom.sources.landing import (
     json_text_column,
     parse_items,
@@ -22,7 +23,10 @@ from leadloom.sources.sheets import (
 from leadloom.sources.tables import current_path, full_refresh, materialize, read_source, read_tables
 
 __all__ = [
+    "ConcurrentRefresh",
     "HEADER_SYNONYMS",
+    "Version",
+    "commit",
     "explode_pages",
     "current_path",
     "full_refresh",
@@ -45,5 +49,7 @@ __all__ = [
     "survey_load",
     "survey_worklist",
     "typed_load",
+    "vacuum",
+    "versions",
     "write_sheet",
 ]

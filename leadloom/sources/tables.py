@@ -9,6 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from leadloom.operators.setops import union_by_name
+from leadloom.sources.commits import commit, version_path
 
 # rows fetched per round trip; JDBC drivers default to far fewer or to all rows
 JDBC_FETCH_SIZE = "10000"
@@ -44,11 +45,13 @@ def read_source(
     query: str | None = None,
     partition: Mapping[str, object] | None = None,
     params: Mapping[str, object] | None = None,
+    version: int | None = None,
 ) -> DataFrame:
     """Whole table, named columns, or the result of a projection query.
 
     ``source`` is a Parquet path, a catalog table name, or JDBC options. Column
-    selection reaches the scan in each case. A query names its table ``src``,
+    selection reaches the scan in each case. ``version`` names an earlier version
+    of a refreshed table. A query names its table ``src``,
     unless it runs on a JDBC source, and may have named ``params`` (``:name``);
     Spark cannot bind parameters of a JDBC query.
     """
@@ -59,14 +62,14 @@ def read_source(
     elif query is not None:
         # a view of its own, so that no view of the caller is replaced
         name = f"src_{uuid.uuid4().hex}"
-        read_source(spark, source).createOrReplaceTempView(name)
+        read_source(spark, source, version=version).createOrReplaceTempView(name)
         try:
             named = re.sub(r"^\s*with\b", ",", query, count=1, flags=re.IGNORECASE)
             df = spark.sql(f"WITH src AS (SELECT * FROM {name}) {named}", args=dict(params or {}))
         finally:
             spark.catalog.dropTempView(name)
     elif "/" in source:
-        df = spark.read.parquet(current_path(spark, source))
+        df = spark.read.parquet(current_path(spark, source, version))
     else:
         df = spark.read.table(source)
     return df if columns is None else df.select(*columns)
@@ -80,60 +83,32 @@ def read_tables(
     return union_by_name(named, tag_column="table_name" if add_table_name_column else None)
 
 
-# marks a version of a refreshed table as complete; of the marked ones the last is current
-_MARK = "_CURRENT"
+def current_path(spark: SparkSession, path: str, version: int | None = None) -> str:
+    """Folder of the rows of a table: its last or a given version, or the path itself if the table
+    was never refreshed."""
+    return version_path(spark, path, version) or path
 
 
-def _versions(spark: SparkSession, path: str) -> list[str]:
-    """Complete versions of the refreshed table at ``path``, oldest first; none for other paths."""
-    jvm = spark._jvm.org.apache.hadoop.fs
-    root = jvm.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root) or not fs.getFileStatus(root).isDirectory():
-        return []
-    names = [e.getPath().getName() for e in fs.listStatus(root) if e.getPath().getName().startswith("version-")]
-    return sorted(n for n in names if fs.exists(jvm.Path(root, f"{n}/{_MARK}")))
-
-
-def current_path(spark: SparkSession, path: str) -> str:
-    """Folder of the current rows of a table: its last version, or the path itself."""
-    versions = _versions(spark, path)
-    return f"{path.rstrip('/')}/{versions[-1]}" if versions else path
-
-
-def full_refresh(df: DataFrame, path: str, skip_if_empty: bool = True) -> int:
+def full_refresh(
+    df: DataFrame,
+    path: str,
+    skip_if_empty: bool = True,
+    expected: int | None = None,
+    retain_seconds: float = 86_400,
+) -> int:
     """Replace the table at ``path`` and return its row count.
 
-    The rows become a new version below ``path``, which counts from the moment its
-    empty mark file is created: nothing is moved, readers (``read_source``) see the
-    old rows or the new ones, never a mixture or a gap, and a failed job or an empty
-    extract (0 is returned) leaves the old version as it was. The result is counted
-    from the written files, the query runs once. Schema and rows are replaced
-    together. The version before stays for readers that have begun with it; older
-    ones are deleted.
+    The rows become the next version of the table (``leadloom.sources.commits``): nothing is
+    moved, readers (``read_source``) see the old rows or the new ones, never a mixture or a gap,
+    and a failed job or an empty extract (0 is returned) leaves the old version as it was. The
+    result is counted from the written files, the query runs once. Schema and rows are replaced
+    together. Of two refreshes at the same time each becomes a version, one after the other; a
+    refresh that must follow a version that its caller has read names it as ``expected`` and
+    raises ``ConcurrentRefresh`` if another came in between. A replaced version stays for
+    ``retain_seconds``, for readers that have begun with it.
     """
-    spark = df.sparkSession
-    jvm = spark._jvm.org.apache.hadoop.fs
-    root = jvm.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    before = _versions(spark, path)
-    number = int(before[-1].split("-")[1]) + 1 if before else 0
-    name = f"version-{number:09d}-{uuid.uuid4().hex}"
-    target = f"{path.rstrip('/')}/{name}"
-    done = False
-    try:
-        df.write.parquet(target)
-        rows = spark.read.schema(df.schema).parquet(target).count()
-        if rows == 0 and skip_if_empty:
-            return 0
-        fs.create(jvm.Path(f"{target}/{_MARK}")).close()
-        done = True
-    finally:
-        if not done:
-            fs.delete(jvm.Path(target), True)
-    for old in before[:-1]:
-        fs.delete(jvm.Path(root, old), True)
-    return rows
+    made = commit(df, path, lambda rows: rows > 0 or not skip_if_empty, expected, retain_seconds)
+    return made.rows if made is not None else 0
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view", base: str | None = None) -> DataFrame:
@@ -148,8 +123,8 @@ def materialize(df: DataFrame, name: str, kind: str = "view", base: str | None =
     if kind != "table" or base is None:
         raise ValueError("kind must be 'view', or 'table' with a base folder")
     path = f"{base.rstrip('/')}/{name}"
-    full_refresh(df, path, skip_if_empty=False)
-    spark = df.sparkSession
-    table = spark.read.schema(df.schema).parquet(current_path(spark, path))
+    made = commit(df, path)
+    # the version just made, also if another writer has refreshed the table since
+    table = df.sparkSession.read.schema(df.schema).parquet(f"{path}/{made.folder}")
     table.createOrReplaceTempView(name)
     return table

@@ -5,6 +5,7 @@ import datetime as dt
 import io
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -26,6 +27,7 @@ from leadloom.operators import split_rejects
 from leadloom.schemas import RAW, item_fields, source_query
 from leadloom.session import ensure_checkpoint_dir, shared_path
 from leadloom.sources.api_pages import read_pages
+from leadloom.sources.commits import _Folder
 from leadloom.sources.records import _line_states
 from leadloom.sources.tables import jdbc_options
 from tests.helpers import rows
@@ -374,9 +376,69 @@ def test_full_refresh(spark, tmp_path):
     assert src.read_source(spark, path).count() == 3
     assert src.full_refresh(spark.range(0), path, skip_if_empty=False) == 0
     assert src.read_source(spark, path).count() == 0
-    # who began with the version before can still read it
+    # who began with a version before can still read it, also after two refreshes
+    src.full_refresh(spark.range(9), path)
     assert begun.count() == 3
-    assert len(os.listdir(path)) == 2
+    assert [v.rows for v in src.versions(spark, path)] == [5, 3, 0, 9]
+    assert src.read_source(spark, path, version=1).columns == ["id", "x"]
+    assert src.read_source(spark, path, query="select count(*) as n from src", version=0).first().n == 5
+    with pytest.raises(ValueError, match="keeps no version 7"):
+        src.read_source(spark, path, version=7)
+    # replaced versions go when their time is over
+    src.full_refresh(spark.range(1), path, retain_seconds=0)
+    assert [v.number for v in src.versions(spark, path)] == [4]
+    assert len(data_folders(path)) == 1
+
+
+def data_folders(path):
+    return [n for n in os.listdir(path) if n.startswith("data-")]
+
+
+def test_a_refresh_that_must_follow_a_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    src.full_refresh(spark.range(5), path, expected=-1)
+    src.full_refresh(spark.range(6), path, expected=0)
+    with pytest.raises(src.ConcurrentRefresh, match="version 1 is current, not 0"):
+        src.full_refresh(spark.range(7), path, expected=0)
+    assert src.read_source(spark, path).count() == 6 and len(data_folders(path)) == 2
+
+
+def test_racing_refreshes_are_all_kept(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with ThreadPoolExecutor(6) as pool:
+        rows = list(pool.map(lambda n: src.full_refresh(spark.range(n), path), range(1, 13)))
+    assert rows == list(range(1, 13))
+    made = src.versions(spark, path)
+    assert [v.number for v in made] == list(range(12)) and sorted(v.rows for v in made) == rows
+    assert src.read_source(spark, path).count() == made[-1].rows
+    # of those that must follow the same version one gets through
+    def follow(n):
+        try:
+            return src.full_refresh(spark.range(n), path, expected=11)
+        except src.ConcurrentRefresh:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        got = [n for n in pool.map(follow, range(1, 5)) if n is not None]
+    assert len(got) == 1 and src.read_source(spark, path).count() == got[0]
+    assert len(data_folders(path)) == 13
+
+
+def test_the_name_of_a_version_is_taken_once(spark, tmp_path):
+    folder = _Folder(spark, str(tmp_path))
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda n: folder.put_if_absent("_commits/1.json", str(n)), range(24)))
+    assert won.count(True) == 1 and folder.read("_commits/1.json") == str(won.index(True))
+    assert folder.names("_commits") == ["1.json"]
+
+
+def test_vacuum(spark, tmp_path):
+    path = str(tmp_path / "t")
+    src.full_refresh(spark.range(5), path)
+    spark.range(2).write.parquet(f"{path}/data-left")
+    assert src.vacuum(spark, path) == []
+    assert src.vacuum(spark, path, older_than_seconds=-1) == ["data-left"]
+    assert src.read_source(spark, path).count() == 5
 
 
 def test_full_refresh_keeps_the_table_when_the_job_fails(spark, tmp_path):
@@ -386,7 +448,7 @@ def test_full_refresh_keeps_the_table_when_the_job_fails(spark, tmp_path):
     with pytest.raises(Exception):
         src.full_refresh(broken, path)
     assert src.read_source(spark, path).count() == 5
-    assert len(os.listdir(path)) == 1
+    assert len(data_folders(path)) == 1
 
 
 def test_materialize(spark, tmp_path):
