@@ -541,6 +541,46 @@ def retype_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(src.retype(derive.table(spark, sf_dir, "orders").select("o_orderkey", flag), "order_data"))
 
 
+@CATALOG.query(
+    "stable_surrogate_key",
+    """
+    with first_extract as (
+        select c_custkey, 0 as copy from customer where c_custkey % 3 <> 0
+        union all select c_custkey, 1 from customer where c_custkey % 10 = 1
+    ), later_extract as (
+        select c_custkey, 0 as copy from customer where c_custkey % 5 <> 0
+        union all select c_custkey, 1 from customer where c_custkey % 10 in (1, 2)
+    ), numbered as (
+        select c_custkey, copy, row_number() over (order by c_custkey, copy) as id
+        from first_extract where c_custkey % 3 <> 0 or copy = 1
+    ), added as (
+        select c_custkey, copy, (select max(id) from numbered) + row_number() over (order by c_custkey, copy) as id
+        from (select *, row_number() over (partition by c_custkey order by copy) as nth from later_extract) l
+        where nth > (select count(*) from numbered n where n.c_custkey = l.c_custkey)
+    ), dictionary as (
+        select c_custkey, id, row_number() over (partition by c_custkey order by id) as nth
+        from (select c_custkey, id from numbered union all select c_custkey, id from added)
+    )
+    select l.c_custkey, d.id
+    from (select c_custkey, row_number() over (partition by c_custkey) as nth from later_extract) l
+    join dictionary d using (c_custkey, nth)
+    """,
+)
+def stable_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later extract, with rows gone, new ones, and some more often than before, keeps the
+    numbers of the first."""
+    customer = derive.table(spark, sf_dir, "customer").select("c_custkey")
+    key = F.col("c_custkey")
+    path = shared_path(spark, "keys")
+    extracts = [
+        customer.where(key % 3 != 0).union(customer.where(key % 10 == 1)),
+        customer.where(key % 5 != 0).union(customer.where((key % 10).isin(1, 2))),
+    ]
+    for extract in extracts:
+        keyed = ops.stable_surrogate_key(extract, ["c_custkey"], path)
+    return keyed.select("c_custkey", "id")
+
+
 @CATALOG.query("full_refresh", "select * from part")
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second, empty extract leaves the first one in place."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom import plans
-from leadloom.operators.keys import add_surrogate_key
+from leadloom.operators.keys import add_surrogate_key, stable_surrogate_key
 from leadloom.operators.quality import violations_length, violations_null, violations_unique
 from leadloom.operators.setops import union_all
 from leadloom.schemas import ITEM_NAMES, KEEP_EMPTY, LEAD_ADDED, RAW, UNIQUE_KEYS, length_limits
@@ -26,17 +26,23 @@ def load_lead_sheets(
     header_row: int = 0,
     exclude: Collection[str] = (),
     multi_line: bool = True,
+    key_dictionary: str | None = None,
 ) -> DataFrame:
     """Raw table of one lead workbook: sheet name -> CSV export.
 
     Synonyms are renamed once, after all sheets are stacked, and names are cut to
     the length limit after that. The provenance columns stay text, and an ``id``
     of the sheets becomes ``source_id``. The new ``id`` is fixed once the table is
-    written, so write it before building on it.
+    written, so write it before building on it; with a folder ``key_dictionary`` a row
+    that the sheets still hold has the ``id`` of the load before.
     """
     rows = rename_synonyms(read_all_sheets(spark, paths, header_row, exclude, multi_line))
     rows = rows.toDF(*[c[:MAX_NAME_BYTES] for c in rows.columns])
-    rows = add_surrogate_key(stamp(rows, data_source, batch_ts, as_text=True))
+    stamped = stamp(rows, data_source, batch_ts, as_text=True)
+    if key_dictionary is None:
+        rows = add_surrogate_key(stamped)
+    else:
+        rows = stable_surrogate_key(stamped, rows.columns, key_dictionary)
     return rows.withColumn("loaded_at", F.lit(batch_ts).cast(LEAD_ADDED["loaded_at"]))
 
 

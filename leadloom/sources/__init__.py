@@ -1,7 +1,7 @@
 """Readers, load steps and writers."""
 
+from leadloom.commits import ConcurrentRefresh, Version, commit, vacuum, versions
 from leadloom.sources.api_pages import explode_pages, page_stats, parse_pages, read_api_pages, read_pages
-from leadloom.sources.commits import ConcurrentRefresh, Version, commit, vacuum, versions
 from leadloom.sources.landing import (
     json_text_column,
     parse_items,

@@ -8,8 +8,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leadloom.commits import commit, version_path
 from leadloom.operators.setops import union_by_name
-from leadloom.sources.commits import commit, version_path
 
 # rows fetched per round trip; JDBC drivers default to far fewer or to all rows
 JDBC_FETCH_SIZE = "10000"
@@ -98,7 +98,7 @@ def full_refresh(
 ) -> int:
     """Replace the table at ``path`` and return its row count.
 
-    The rows become the next version of the table (``leadloom.sources.commits``): nothing is
+    The rows become the next version of the table (``leadloom.commits``): nothing is
     moved, readers (``read_source``) see the old rows or the new ones, never a mixture or a gap,
     and a failed job or an empty extract (0 is returned) leaves the old version as it was. The
     result is counted from the written files, the query runs once. Schema and rows are replaced

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
 import re
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from itertools import product
 
 import pytest
@@ -298,6 +300,48 @@ def test_surrogate_key(spark):
     assert plain.columns == ["id", "source_id", "v"]
 
 
+def numbers(df, keys, path, **options):
+    got = {}
+    for r in ops.stable_surrogate_key(df, keys, path, **options).collect():
+        got.setdefault(tuple(r[k] for k in keys), []).append(r["id"])
+    return {k: sorted(v) for k, v in got.items()}
+
+
+@pytest.mark.parametrize("heavy_rows", [100_000, 3])
+def test_keys_that_stay(spark, tmp_path, heavy_rows):
+    path = str(tmp_path / "keys")
+    table = lambda *v: spark.createDataFrame([(x, i) for i, x in enumerate(v)], "v string, at long").repartition(3)
+    first = numbers(table(*"bcaaab", None, ""), ["v"], path, heavy_rows=heavy_rows)
+    assert first == {(None,): [1], ("",): [2], ("a",): [3, 4, 5], ("b",): [6, 7], ("c",): [8]}
+    # some rows gone, some new, some more often
+    second = numbers(table(*"aaaaaabbd", None), ["v"], path, heavy_rows=heavy_rows)
+    assert second == {(None,): [1], ("a",): [3, 4, 5, 9, 10, 11], ("b",): [6, 7], ("d",): [12]}
+    assert numbers(table(*"dcca"), ["v"], path, heavy_rows=heavy_rows) == {("d",): [12], ("c",): [8, 13], ("a",): [3]}
+    assert numbers(table(*"dcca"), ["v"], path, heavy_rows=heavy_rows) == {("d",): [12], ("c",): [8, 13], ("a",): [3]}
+    assert numbers(table("x").where("false"), ["v"], path) == {}
+    # three refreshes met new rows; nothing else was written beside the dictionary
+    assert sum(n.startswith("segment-") for n in os.listdir(path)) == 3
+
+
+def test_keys_of_several_columns_and_an_own_id(spark, tmp_path):
+    df = spark.createDataFrame([("a", None, 9), ("a", "b", 8), (None, "ab", 7)], "x string, y string, id long")
+    got = ops.stable_surrogate_key(df, ["x", "y", "id"], str(tmp_path / "k"), start=0)
+    assert got.columns == ["id", "x", "y", "source_id"]
+    assert sorted((r.id, r.source_id) for r in got.collect()) == [(0, 7), (1, 9), (2, 8)]
+
+
+def test_racing_refreshes_share_a_dictionary(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    parts = [spark.range(k * 10, k * 10 + 20).withColumnRenamed("id", "v") for k in range(5)]
+    with ThreadPoolExecutor(5) as pool:
+        got = list(pool.map(lambda df: numbers(df, ["v"], path), parts))
+    merged = {}
+    for g in got:
+        for k, v in g.items():
+            assert merged.setdefault(k, v) == v
+    assert sorted(n for v in merged.values() for n in v) == list(range(1, 61))
+
+
 def test_surrogate_key_of_few_or_no_rows(spark):
     few = spark.createDataFrame([("b",), ("a",)], "v string")
     assert rows(ops.add_surrogate_key(few, [F.col("v")], name="n", start=0)) == [(0, "a"), (1, "b")]

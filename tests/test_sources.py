@@ -23,11 +23,11 @@ from leadloom.build import (
     load_source_table,
     raw_violations,
 )
+from leadloom.commits import _Folder
 from leadloom.operators import split_rejects
 from leadloom.schemas import RAW, item_fields, source_query
 from leadloom.session import ensure_checkpoint_dir, shared_path
 from leadloom.sources.api_pages import read_pages
-from leadloom.sources.commits import _Folder
 from leadloom.sources.records import _line_states
 from leadloom.sources.tables import jdbc_options
 from tests.helpers import rows
@@ -259,6 +259,15 @@ def test_load_lead_sheets(spark, tmp_path):
     ]
 
 
+def test_lead_ids_stay_at_the_next_load(spark, tmp_path):
+    path, keys = tmp_path / "a.csv", str(tmp_path / "keys")
+    put(path, "id,Email\n9,a@b.c\n8,x@y.z\n")
+    load = lambda batch: load_lead_sheets(spark, {"A": str(path)}, "leads_ads_community", batch, key_dictionary=keys)
+    assert rows(load(BATCH).select("id", "source_id", "email")) == [(1, "8", "x@y.z"), (2, "9", "a@b.c")]
+    put(path, "id,Email\n1,new@y.z\n9,a@b.c\n")
+    assert rows(load("2024-06-11 00:00:00").select("id", "source_id", "email")) == [(2, "9", "a@b.c"), (3, "1", "new@y.z")]
+
+
 def test_sheet_paths(spark, tmp_path):
     put(tmp_path / "wb" / "Sheet 1.csv", "A\n1\n")
     put(tmp_path / "wb" / "Two" / "part-0.csv", "A\n2\n")
