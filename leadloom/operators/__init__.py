@@ -10,7 +10,7 @@ from leadloom.operators.aggregates import (
 )
 from leadloom.operators.attach import attach_rows
 from leadloom.operators.dedup import dedup_latest
-from leadloom.operators.joins import Repeated, drill_across, full_outer_on, left_join, left_join_fanout
+from leadloom.operators.joins import Repeated, drill_across, full_outer_on, heavy_keys, left_join, left_join_fanout
 from leadloom.operators.keys import add_surrogate_key, stable_surrogate_key
 from leadloom.operators.projection import any_not_null, not_null, project
 from leadloom.operators.quality import (
@@ -38,6 +38,7 @@ __all__ = [
     "distinct_days",
     "drill_across",
     "full_outer_on",
+    "heavy_keys",
     "left_join",
     "left_join_fanout",
     "not_null",

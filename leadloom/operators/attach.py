@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadloom.operators.joins import left_join_fanout
+from leadloom.operators.joins import HEAVY_ROWS, left_join_fanout
 
 
 def attach_rows(
@@ -18,6 +18,7 @@ def attach_rows(
     fields: Sequence[str],
     order: str,
     keep_childless: bool = True,
+    heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Parents with their children, one row per child, numbered from 1 in ``order``.
 
@@ -28,5 +29,5 @@ def attach_rows(
     """
     named = children.select(key, (F.col(position) + 1).cast("long").alias(order), *fields)
     if keep_childless:
-        return left_join_fanout(parents, named, [key])
+        return left_join_fanout(parents, named, [key], heavy_rows)
     return parents.join(named, on=key)

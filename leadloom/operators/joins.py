@@ -6,7 +6,8 @@ or the size that adaptive execution has measured, is below
 and adaptive execution splits an oversized partition. It
 can split both sides of an inner join, the left side of a left or anti join and
 no side of a full join, and only if each side comes straight from the join's own
-shuffle; the operators below are written to meet these conditions.
+shuffle; the operators below are written to meet these conditions, or measure the
+keys that adaptive execution could not split and salt them.
 """
 
 from __future__ import annotations
@@ -37,24 +38,58 @@ def _own_shuffle(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(key, F.coalesce(F.col(key), F.lit(unused)))
 
 
-def left_join_fanout(fact: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
+# rows of a key in one task of a join beyond which its other rows go to further tasks
+HEAVY_ROWS = 200_000
+
+# keys that the sketch of frequent keys reports and tracks; its memory is bounded by the second
+REPORTED, TRACKED = 1_000, 100_000
+
+
+def heavy_keys(df: DataFrame, on: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> dict[str, int]:
+    """Keys with more than about ``heavy_rows`` rows, as JSON text, with their estimated count.
+
+    One aggregate over the key columns, with a frequent-items sketch: a key that holds more than a
+    small share of all rows (1 in ``TRACKED``) is found, whatever the number of keys. Keys with a
+    NULL part match nothing and do not count.
+    """
+    keyed = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on]))
+    sketch = keyed.select(_key_text(on).alias("key")).agg(F.expr(f"approx_top_k(key, {REPORTED}, {TRACKED})").alias("top"))
+    top = sketch.first().top or []
+    return {r["item"]: r["count"] for r in top if r["count"] > heavy_rows}
+
+
+def _key_text(on: Sequence[str]) -> Column:
+    return F.to_json(F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(on)]))
+
+
+def left_join_fanout(
+    fact: DataFrame, other: DataFrame, on: Sequence[str], heavy_rows: int = HEAVY_ROWS
+) -> DataFrame:
     """Left join in which ``other`` may repeat a key any number of times.
 
-    A left join could not split a hot key on its right side. So matches come from
-    an inner join, where both sides split, and the remaining fact rows from a left
-    join to the distinct keys. The two joins share the shuffle of the fact rows; an
-    anti join would not, because Catalyst moves it below the fact's projection.
-    Fact rows with a NULL key never match and bypass both joins. The plan is the
-    same at any size; Spark broadcasts ``other`` where it is small.
+    One join gives matched and unmatched rows, and reads each side once. Adaptive execution splits
+    a key that is hot in ``fact``, also NULL, but could not split one that is hot in ``other``. So
+    the heavy keys of ``other`` are measured first, from its key columns. If there are any, their
+    rows in ``other`` are dealt to salts, as many as their count asks for, by a hash of the row;
+    their ``fact`` rows go to every salt, where a copy that meets nothing is dropped, because a
+    heavy key is known to match in another salt. All other keys have salt 0.
     """
     keys = list(on)
-    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    keyed = fact.where(has_key)
-    matches = keyed.join(other, on=keys, how="inner")
-    present = _own_shuffle(other.select(*keys).where(has_key).distinct(), keys[0])
-    marked = keyed.join(present.withColumn("__present", F.lit(True)), on=keys, how="left")
-    rest = marked.where(F.col("__present").isNull()).drop("__present")
-    return _stack([matches, rest, fact.where(~has_key)])
+    heavy = heavy_keys(other, keys, heavy_rows)
+    if not heavy:
+        return fact.join(other, on=keys, how="left")
+    names = F.create_map(*[F.lit(x) for key, n in heavy.items() for x in (key, -(-n // heavy_rows))])
+    # NULL where the key is not heavy; a key with a NULL part never is
+    salts = F.try_element_at(names, _key_text(keys))
+    hashed = [F.col(c) for c, t in other.dtypes if not t.startswith(("variant", "map"))]
+    dealt = other.select(
+        "*", F.coalesce(F.pmod(F.xxhash64(*hashed), salts), F.lit(0)).cast("int").alias("__salt"), F.lit(True).alias("__met")
+    )
+    copies = fact.select(
+        "*", salts.isNotNull().alias("__heavy"), F.explode(F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1)).alias("__salt")
+    )
+    joined = copies.join(dealt, on=[*keys, "__salt"], how="left")
+    return joined.where(~F.col("__heavy") | F.col("__met").isNotNull()).drop("__salt", "__heavy", "__met")
 
 
 @dataclass(frozen=True)
@@ -126,16 +161,13 @@ def drill_across(
 ) -> DataFrame:
     """Join two fact tables after summarising each to the shared key.
 
-    Keys of either table stay; rows without a key are summarised as one. Both
-    summaries hold a key once and are partitioned by it, so the join adds no
-    shuffle and cannot multiply rows.
+    Keys of either table stay; rows without a key are summarised as one. The key is
+    grouped and joined inside a struct, which is never NULL itself and equals another
+    one that holds NULL. So each table is read once, both summaries hold a key once and
+    are partitioned by it, and the join adds no shuffle and cannot multiply rows.
     """
-    has_key = F.col(key).isNotNull()
-    parts = []
-    for rows in (lambda df: df.where(has_key), lambda df: df.where(~has_key)):
-        a = rows(left).groupBy(key).agg(*[c.alias(n) for n, c in left_aggs.items()])
-        b = rows(right).groupBy(key).agg(*[c.alias(n) for n, c in right_aggs.items()])
-        parts.append((a, b))
-    (a, b), (no_a, no_b) = parts
-    no_key = no_a.join(no_b, on=no_a[key].eqNullSafe(no_b[key]), how="full").drop(key)
-    return a.join(b, on=key, how="full").unionByName(no_key, allowMissingColumns=True)
+    packed = F.struct(F.col(key).alias("key")).alias("__key")
+    a = left.groupBy(packed).agg(*[c.alias(n) for n, c in left_aggs.items()])
+    b = right.groupBy(packed).agg(*[c.alias(n) for n, c in right_aggs.items()])
+    joined = a.join(b, on="__key", how="full")
+    return joined.select(F.col("__key.key").alias(key), *left_aggs, *right_aggs)

@@ -166,11 +166,12 @@ def test_full_outer_on_integer_key_and_equivalent_chain(spark):
     st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), KEYS), max_size=15),
 )
 @pytest.mark.parametrize("broadcast", ["10MB", "-1"])
-def test_left_join_fanout(spark, conf, broadcast, left, right):
+@pytest.mark.parametrize("heavy_rows", [1000, 1])
+def test_left_join_fanout(spark, conf, broadcast, heavy_rows, left, right):
     conf(spark__sql__autoBroadcastJoinThreshold=broadcast)
     fact = spark.createDataFrame([(*k, i) for i, k in enumerate(left)], "c int, e string, x int")
     other = spark.createDataFrame([(*k, i) for i, k in enumerate(right)], "c int, e string, y int")
-    got = ops.left_join_fanout(fact, other, ["c", "e"]).select("c", "e", "x", "y")
+    got = ops.left_join_fanout(fact, other, ["c", "e"], heavy_rows).select("c", "e", "x", "y")
     expected = fact.join(other, on=["c", "e"], how="left").select("c", "e", "x", "y")
     assert rows(got) == rows(expected)
 
@@ -198,21 +199,31 @@ def test_full_outer_splits_a_hot_key(spark, skewed):
 
 
 @pytest.mark.parametrize("hot_side", ["fact", "other"])
-def test_fanout_splits_a_hot_key_on_either_side(spark, skewed, hot_side):
+def test_fanout_splits_a_hot_key_on_either_side(spark, conf, skewed, hot_side):
     small = spark.range(0, 3000).select(
         F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("u"), F.col("id"))).alias("email"),
         F.col("id").alias("y"),
     )
     fact, other = (skewed, small) if hot_side == "fact" else (small, skewed)
     fact = fact.select(F.concat("email", F.lit("")).alias("email"), *[F.col(c).alias(f"f_{c}") for c in fact.columns[1:]])
-    got = ops.left_join_fanout(fact, other, ["email"])
+    got = ops.left_join_fanout(fact, other, ["email"], heavy_rows=1000)
     plan = final_plan(got)
-    assert "SortMergeJoin(skew=true)" in plan
-    # both joins read one shuffle of the fact rows
-    assert "ReusedExchange" in plan
+    assert plan.count("SortMergeJoin") == 1 and plan.count("Range (") == 2
+    if hot_side == "fact":
+        assert "SortMergeJoin(skew=true)" in plan and "__salt" not in plan
+    else:
+        conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert "__salt" in plan and max(sizes) < sum(sizes) / 4
     assert got.count() == fact.join(other, on="email", how="left").count()
 
 
+def test_heavy_keys(spark, skewed):
+    keyed = skewed.withColumn("c", F.lit(1)).unionByName(spark.range(5000).select(F.lit(None).alias("email"), F.lit("").alias("pad"), F.lit(2).alias("c")))
+    assert ops.heavy_keys(keyed, ["c", "email"], 1000) == {'{"k0":1,"k1":"hot"}': 20000}
+    assert ops.heavy_keys(keyed, ["email"], 30000) == {} and ops.heavy_keys(keyed.where("false"), ["email"]) == {}
+
+
 def test_left_join_broadcasts_a_small_lookup(spark):
     fact = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
     dim = spark.range(5).select(F.col("id").alias("k"), F.lit("x").alias("name"))
@@ -233,6 +244,7 @@ def test_drill_across_keeps_rows_without_a_key(spark):
     b = spark.createDataFrame([(None, 7)], "k int, y int")
     aggs = {"x": F.sum("x")}, {"y": F.sum("y")}
     assert rows(ops.drill_across(a, b, "k", *aggs)) == [(None, 3, 7), (1, 3, None)]
+    assert final_plan(ops.drill_across(a, b, "k", *aggs)).count("Scan ExistingRDD") == 2
     assert rows(ops.drill_across(a.where("k = 1"), b, "k", *aggs)) == [(None, None, 7), (1, 3, None)]
 
 
@@ -279,13 +291,15 @@ def test_attach_rows(spark, conf, broadcast):
     assert ops.attach_rows(parents, children, "k", "pos", ["text"], "n", keep_childless=False).count() == 1002
 
 
-def test_attach_rows_splits_a_hot_parent(spark, skewed):
+def test_attach_rows_splits_a_hot_parent(spark, conf, skewed):
     """A third of the children belong to one parent."""
     children = skewed.withColumn("pos", F.monotonically_increasing_id())
     names = F.when(F.col("id") == 4000, "hot").otherwise(F.concat(F.lit("u"), F.col("id")))
     parents = spark.range(0, 4001).select(names.alias("email"))
-    got = ops.attach_rows(parents, children, "email", "pos", ["pad"], "n")
-    assert "SortMergeJoin(skew=true)" in final_plan(got)
+    got = ops.attach_rows(parents, children, "email", "pos", ["pad"], "n", heavy_rows=1000)
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < sum(sizes) / 4
     assert got.where("n is not null").count() == 60000
 
 
