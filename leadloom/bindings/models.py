@@ -79,7 +79,6 @@ class Models:
             self.purchases(),
             self.accounts(),
             self.enrollments(),
-            self._scratch("per-email"),
             **options,
         )
 

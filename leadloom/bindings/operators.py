@@ -14,7 +14,6 @@ from leadloom.bindings.catalog import Catalog, flat
 from leadloom.bindings.model_sql import BUSINESS_AGE, EMPLOYEE_COUNT, INCOME, sql_email, sql_map, sql_phone, with_models
 from leadloom.bindings.models import Models
 from leadloom.functions.jsonv import json_object
-from leadloom.session import shared_path
 
 CATALOG = Catalog()
 
@@ -226,7 +225,6 @@ def join_full_outer_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
             agg_purchases(m.purchases()).select("email", "total_purchases"),
             agg_enrollments(m.enrollments()).select("email", "enrolled_courses_count"),
         ],
-        stage=shared_path(spark, "per-key"),
     ).select("email", "phone_number", "nama_usaha", "total_purchases", "user_id", "enrolled_courses_count")
 
 

@@ -12,7 +12,6 @@ from leadloom.operators.keys import add_surrogate_key, stable_surrogate_key
 from leadloom.operators.quality import violations_length, violations_null, violations_unique
 from leadloom.operators.setops import union_all
 from leadloom.schemas import ITEM_NAMES, KEEP_EMPTY, LEAD_ADDED, RAW, UNIQUE_KEYS, length_limits
-from leadloom.session import delete_folder, shared_path
 from leadloom.sources.landing import stamp, typed_load
 from leadloom.sources.sheets import MAX_NAME_BYTES, read_all_sheets, rename_synonyms
 from leadloom.sources.tables import materialize
@@ -148,8 +147,6 @@ def build_models(
         "int_user_retention", plans.int_user_retention(m["int_ai_chat_messages"])
     )
 
-    spark = raw["users"].sparkSession
-    stage = shared_path(spark, "per-email")
     m["mart_contact"] = table(
         "mart_contact",
         plans.mart_contact(
@@ -157,11 +154,8 @@ def build_models(
             m["stg_purchase_form_data"],
             m["stg_eduqat_users"],
             m["stg_eduqat_enrollments"],
-            stage,
         ),
     )
-    if base is not None:
-        delete_folder(spark, stage)  # the mart is a table of its own now
     m["mart_enrollment"] = table(
         "mart_enrollment",
         plans.mart_enrollment(

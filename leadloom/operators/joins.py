@@ -25,19 +25,6 @@ def left_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column)
     return fact.join(dim, on=on, how="left")
 
 
-def _own_shuffle(df: DataFrame, key: str) -> DataFrame:
-    """Give the next join on ``key``, which is never NULL, a shuffle of its own.
-
-    A grouped side is already partitioned by the key, so the join would read the
-    grouping's shuffle through the aggregate, and adaptive execution would not
-    split the other side. The rewritten key hides the partitioning. It is typed
-    as not null, so that no null test is pushed below the grouping's shuffle,
-    which other branches of the plan share.
-    """
-    unused = "" if dict(df.dtypes)[key] == "string" else 0
-    return df.withColumn(key, F.coalesce(F.col(key), F.lit(unused)))
-
-
 # rows of a key in one task of a join beyond which its other rows go to further tasks
 HEAVY_ROWS = 200_000
 
@@ -113,39 +100,78 @@ class Repeated:
 
 
 def full_outer_on(
-    key: str, repeated: Sequence[Repeated], per_key: Sequence[DataFrame], stage: str
+    key: str, repeated: Sequence[Repeated], per_key: Sequence[DataFrame], heavy_rows: int = HEAVY_ROWS
 ) -> DataFrame:
     """Full outer join of several tables on one key, NULL keys unmatched.
 
-    The result of a chain of full joins on the coalesced key is, per key, the
-    cross product of the tables that have the key. A full join cannot split a hot
-    key, so only tables that hold a key once go through one:
+    The result of a chain of full joins on the coalesced key is, per key, the cross product of
+    the tables that have the key. It is made in one pass: the rows of all tables are tagged and
+    stacked, one shuffle brings a key together as a list of rows per table, and the lists are
+    expanded; an empty one gives NULLs. ``per_key`` tables hold a key at most once and never NULL.
 
-    1. The ``per_key`` tables, which hold a key at most once and never NULL, are
-       joined with the distinct keys of the ``repeated`` tables: one row per key
-       that also says which repeated tables hold the key.
-    2. Each repeated table is inner-joined to the rows that it is known to match;
-       the other rows are appended.
+    Keys with more than ``heavy_rows`` rows in a repeated table are measured first, from its key
+    column. Such a table's rows are dealt to chunks, by a hash of the row, and a key's cells are
+    the combinations of its chunks: a row goes to every cell of its chunk, a row of another table
+    to all cells. A cell in which a chunk is empty gives nothing, because the table is known to
+    hold the key elsewhere. So no task gets more than about ``heavy_rows`` rows of a key and table.
 
-    Apart from the key, the column names of the tables must not overlap. Each
-    repeated table doubles the number of times the rows of step 1 are read, so
-    they are written once, to the new folder ``stage``, which the caller deletes
-    when the result is no longer read.
+    Apart from the key, the column names of the tables must not overlap. All columns travel, so
+    tables should be selected to what is needed.
     """
-    marks = [f"__has_{i}" for i in range(len(repeated))]
-    held = []
-    for mark, table in zip(marks, repeated, strict=True):
-        keys = (table.rows if table.keys is None else table.keys).select(key)
-        held.append(keys.where(F.col(key).isNotNull()).distinct().withColumn(mark, F.lit(True)))
-    holders = _stack(held).groupBy(key).agg(*[F.max(m).alias(m) for m in marks])
-    out = reduce(lambda a, b: a.join(b, on=key, how="full"), [*per_key, holders])
-    out.write.parquet(stage)
-    out = out.sparkSession.read.schema(out.schema).parquet(stage)
-
-    for mark, table in zip(marks, repeated, strict=True):
-        matched = table.rows.join(_own_shuffle(out.where(F.col(mark)), key), on=key)
-        out = _stack([matched, out.where(F.col(mark).isNull())])
-    return _stack([out, *[t.unkeyed for t in repeated if t.unkeyed is not None]]).drop(*marks)
+    counts = [heavy_keys(t.rows if t.keys is None else t.keys, [key], heavy_rows) for t in repeated]
+    chunks = {
+        k: [-(-c[k] // heavy_rows) if k in c else 1 for c in counts] for k in set().union(*counts)
+    }
+    tables = [(t, None) for t in per_key] + [(t.rows, i) for i, t in enumerate(repeated)]
+    tagged = [_in_cells(t, key, chunks, i).select(key, "__cell", _packed(t, key).alias(f"__p{n}")) for n, (t, i) in enumerate(tables)]
+    lists = [
+        (F.first(f"__p{n}", ignorenulls=True) if i is None else F.collect_list(f"__p{n}")).alias(f"__p{n}")
+        for n, (_, i) in enumerate(tables)
+    ]
+    out = _stack(tagged).groupBy(key, "__cell").agg(*lists)
+    if chunks:
+        dealt = _chunks_of(key, chunks)
+        for n, (_, i) in enumerate(tables):
+            if i is not None:
+                out = out.where((F.size(f"__p{n}") > 0) | (F.coalesce(F.get(dealt, F.lit(i)), F.lit(1)) == 1))
+    for n, (_, i) in enumerate(tables):
+        if i is not None:
+            out = out.withColumn(f"__p{n}", F.explode_outer(f"__p{n}"))
+    names = [(n, c) for n, (t, _) in enumerate(tables) for c in t.columns if c != key]
+    out = out.select(key, *[F.col(f"__p{n}.`{c}`").alias(c) for n, c in names])
+    return _stack([out, *[t.unkeyed for t in repeated if t.unkeyed is not None]])
+
+
+def _packed(table: DataFrame, key: str) -> Column:
+    names = [f"`{c}`" for c in table.columns if c != key]
+    return F.struct(*names) if names else F.struct(F.lit(True).alias("here"))
+
+
+def _chunks_of(key: str, chunks: Mapping[str, Sequence[int]]) -> Column:
+    """Chunks of a row's key per repeated table; NULL if the key is not heavy."""
+    items = [x for k, c in chunks.items() for x in (F.lit(k), F.array(*map(F.lit, c)))]
+    return F.try_element_at(F.create_map(*items), _key_text([key]))
+
+
+def _in_cells(table: DataFrame, key: str, chunks: Mapping[str, Sequence[int]], i: int | None) -> DataFrame:
+    """A copy of each row for every cell it belongs to. Cells are numbered by their chunks, the
+    first table's chunk counting fastest; ``i`` is the table's place among the repeated ones."""
+    if not chunks:
+        return table.withColumn("__cell", F.lit(0).cast("long"))
+    dealt = _chunks_of(key, chunks)
+    product = lambda a: F.aggregate(a, F.lit(1).cast("long"), lambda x, n: x * n)
+    if i is None:
+        cells = F.sequence(F.lit(0).cast("long"), product(dealt) - 1)
+    else:
+        hashed = [F.col(f"`{c}`") for c, t in table.dtypes if not t.startswith(("variant", "map"))]
+        below, mine = product(F.slice(dealt, 1, i)), F.get(dealt, F.lit(i))
+        chunk = F.pmod(F.xxhash64(*hashed), mine)
+        others = F.call_function("div", product(dealt), mine)
+        cells = F.transform(
+            F.sequence(F.lit(0).cast("long"), others - 1),
+            lambda q: F.call_function("div", q, below) * below * mine + chunk * below + q % below,
+        )
+    return table.withColumn("__cell", F.explode(F.coalesce(cells, F.array(F.lit(0).cast("long")))))
 
 
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from leadloom import operators as ops
 from leadloom.functions import json_text
-from leadloom.session import shared_path
 from tests.helpers import final_plan, first_plan, rows
 
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -147,8 +146,8 @@ def test_full_outer_on(spark, conf, broadcast, leads, accounts, purchases, enrol
     dfs = [spark.createDataFrame(t, f"email string, {n} string") for t, n in zip(tables, "lape")]
     repeated = [ops.Repeated.split(df, "email") for df in dfs[:2]]
     expected = full_join_model(tables)
-    for stage in (shared_path(spark, "stage"), shared_path(spark, "again")):
-        got = ops.full_outer_on("email", repeated, dfs[2:], stage).select("email", *"lape")
+    for heavy_rows in (1000, 1):
+        got = ops.full_outer_on("email", repeated, dfs[2:], heavy_rows).select("email", *"lape")
         assert rows(got) == expected
 
 
@@ -156,7 +155,7 @@ def test_full_outer_on_integer_key_and_equivalent_chain(spark):
     a = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (None, "n")], "k int, a string")
     b = spark.createDataFrame([(1, "p"), (3, "q")], "k int, b string")
     keyed = ops.Repeated(a.where("k is not null"), keys=a, unkeyed=a.where("k is null"))
-    got = ops.full_outer_on("k", [keyed], [b], shared_path(spark, "stage")).select("k", "a", "b")
+    got = ops.full_outer_on("k", [keyed], [b]).select("k", "a", "b")
     assert rows(got) == rows(a.join(b, on="k", how="full").select("k", "a", "b"))
 
 
@@ -189,13 +188,21 @@ def skewed(spark, conf):
     return spark.range(0, 60000, 1, 8).select(hot.alias("email"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
 
 
-def test_full_outer_splits_a_hot_key(spark, skewed):
+def test_full_outer_splits_a_hot_key(spark, conf, skewed):
     per_key = spark.range(0, 5000).select(F.concat(F.lit("u"), F.col("id")).alias("email"), F.col("id").alias("p"))
-    got = ops.full_outer_on("email", [ops.Repeated(skewed)], [per_key], shared_path(spark, "stage"))
-    plan = final_plan(got)
-    # the full join, which sees each key once, is done and written
-    assert "SortMergeJoin(skew=true)" in plan and "FullOuter" not in plan
-    assert got.count() == 60000 + 1000
+    accounts = spark.range(0, 3000).select(F.when(F.col("id") < 2500, "hot").otherwise(F.concat(F.lit("u"), F.col("id"))).alias("email"), F.col("id").alias("a"))
+    few = skewed.where("email != 'hot' or pad < '04'")
+    got = ops.full_outer_on("email", [ops.Repeated(accounts), ops.Repeated(few)], [per_key], heavy_rows=100)
+    # one shuffle of each table, no join
+    plan = first_plan(got)
+    assert plan.count("Exchange") == 1 and plan.count("Range (") == 3 and "Join" not in plan
+    hot = few.where("email = 'hot'").count()
+    assert hot > 250 and got.where("email = 'hot'").count() == hot * 2500
+    keys = accounts.select("email").union(few.select("email")).union(per_key.select("email")).distinct().count()
+    assert got.where("email != 'hot'").count() >= keys - 1
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < sum(sizes) / 4
 
 
 @pytest.mark.parametrize("hot_side", ["fact", "other"])
