@@ -301,6 +301,75 @@ def metric_contacts_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.metric_query(Models(spark, sf_dir).contact_table(), metrics, ["provinsi_usaha", "eduqat_role"])
 
 
+def _from_summary(
+    spark: SparkSession, loads: list[DataFrame], metrics: list[str], dims: list[str]
+) -> DataFrame:
+    """Metrics by each dimension alone, from one summary of several loads."""
+    dictionary, path = shared_path(spark, "codes"), shared_path(spark, "summary")
+    for load in loads:
+        plans.metric_summary(load, metrics, dims, dictionary).write.mode("append").parquet(path)
+    summary = spark.read.parquet(path)
+    parts = []
+    for d in dims:
+        rows = plans.metrics_from_summary(summary, metrics, [d])
+        parts.append(rows.select(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value"), *metrics))
+    return parts[0].unionByName(parts[1])
+
+
+@CATALOG.query(
+    "metric_contacts_from_summary",
+    with_models("mart_contact")
+    + """
+    select 'provinsi_usaha' as dimension, provinsi_usaha as value, count(distinct contact_key) as number_of_contacts,
+           count(distinct email) as number_of_emails, count(distinct phone_number) as number_of_wa,
+           count(distinct eduqat_user_id) as number_of_product_users
+    from mart_contact group by provinsi_usaha
+    union all
+    select 'eduqat_role', eduqat_role, count(distinct contact_key), count(distinct email),
+           count(distinct phone_number), count(distinct eduqat_user_id)
+    from mart_contact group by eduqat_role
+    """,
+)
+def metric_contacts_from_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second load holds the first again, which distinct counts must not notice."""
+    metrics = ["number_of_contacts", "number_of_emails", "number_of_wa", "number_of_product_users"]
+    mart = Models(spark, sf_dir).contact_table()
+    loads = [mart.where("phone_number is not null"), mart]
+    return _from_summary(spark, loads, metrics, ["provinsi_usaha", "eduqat_role"])
+
+
+@CATALOG.query(
+    "metric_enrollments_from_summary",
+    with_models("mart_enrollment")
+    + """
+    select 'course_type' as dimension, course_type as value,
+           count(distinct enrollment_id) as number_of_enrollments,
+           count(distinct enrollment_started_at) as number_of_enrollments_started,
+           count(distinct enrollment_completed_at) as number_of_enrollments_completed,
+           avg(days_to_complete) as avg_days_to_complete,
+           cast(sum(round(cast(cast(learning_time_seconds as decimal(18, 6)) / 60 as decimal(18, 9)), 2))
+                as double) as total_learning_time_min
+    from mart_enrollment group by course_type
+    union all
+    select 'started_at_marketing_year', cast(started_at_marketing_year as varchar), count(distinct enrollment_id),
+           count(distinct enrollment_started_at), count(distinct enrollment_completed_at), avg(days_to_complete),
+           cast(sum(round(cast(cast(learning_time_seconds as decimal(18, 6)) / 60 as decimal(18, 9)), 2)) as double)
+    from mart_enrollment group by started_at_marketing_year
+    """,
+)
+def metric_enrollments_from_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics = [
+        "number_of_enrollments",
+        "number_of_enrollments_started",
+        "number_of_enrollments_completed",
+        "avg_days_to_complete",
+        "total_learning_time_min",
+    ]
+    mart = Models(spark, sf_dir).enrollment_table()
+    manual = F.col("enrollment_type").eqNullSafe("manual")
+    return flat(_from_summary(spark, [mart.where(manual), mart.where(~manual)], metrics, ["course_type", "started_at_marketing_year"]))
+
+
 @CATALOG.query(
     "metric_enrollments_by_course_type",
     with_models("mart_enrollment")

@@ -24,6 +24,7 @@ from leadloom.plans.staging import (
     stg_users,
     stg_website_form_responses,
 )
+from leadloom.plans.summary import metric_summary, metrics_from_summary
 
 __all__ = [
     "DIMENSIONS",
@@ -36,6 +37,8 @@ __all__ = [
     "mart_materials",
     "mart_materials_from_raw",
     "metric_query",
+    "metric_summary",
+    "metrics_from_summary",
     "stg_ai_chat_messages",
     "stg_ai_chat_sessions",
     "stg_branding_level_up",

@@ -21,6 +21,11 @@ class Metric:
     def expression(self) -> Column:
         return self.build(F.col(self.column))
 
+    @property
+    def kind(self) -> str:
+        """What a summary keeps of it: ``distinct``, ``mean``, ``minutes`` or ``sum``."""
+        return {_distinct: "distinct", F.avg: "mean", _minutes: "minutes"}.get(self.build, "sum")
+
 
 def _distinct(c: Column) -> Column:
     return F.count_distinct(c)

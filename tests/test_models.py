@@ -179,6 +179,27 @@ def test_metrics(spark):
         plans.metric_query(df, ["number_of_enrollments", "number_of_materials"])
 
 
+def test_metrics_from_a_summary(spark, tmp_path):
+    """Any roll-up of two loads equals the metrics of their rows."""
+    schema = "region string, kind string, enrollment_id string, enrollment_started_at timestamp_ntz, days_to_complete int, learning_time_seconds long"
+    at = [dt.datetime(2024, 1, d, 1, 2, 3, 456) for d in range(1, 6)]
+    rows = [
+        ("x" if i % 3 else None, "kl"[i % 2], f"e{i % 7}" if i % 5 else None, at[i % 5] if i % 4 else None, i % 6 or None, i * 37)
+        for i in range(60)
+    ]
+    metrics = ["number_of_enrollments", "number_of_enrollments_started", "avg_days_to_complete", "total_learning_time_min"]
+    loads = [spark.createDataFrame(r, schema) for r in (rows[:35], rows[35:])]
+    path = str(tmp_path / "summary")
+    for df in loads:
+        plans.metric_summary(df, metrics, ["region", "kind"], str(tmp_path / "codes")).write.mode("append").parquet(path)
+    summary, whole = spark.read.parquet(path), loads[0].union(loads[1])
+    for dims in ([], ["region"], ["kind"], ["region", "kind"]):
+        for where in (None, F.col("kind") == "k"):
+            got = plans.metrics_from_summary(summary, metrics, dims, where)
+            want = plans.metric_query(whole, metrics, dims, where)
+            assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 def test_metric_columns_exist(models):
     tables = {
         "mart_contact": models.contact(),
