@@ -159,6 +159,50 @@ def page_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.page_completeness(stats, items, "id", limit=100)
 
 
+@CATALOG.query(
+    "extract_faults",
+    """
+    with items as (
+        select c_mktsegment as endpoint, c_custkey as id, cast(floor(c_custkey / 10) as bigint) + 1 as page from customer
+        union all
+        select c_mktsegment, c_custkey, cast(floor(c_custkey / 10) as bigint) + 2 from customer where c_custkey % 100 = 9
+    ), landed as (
+        select distinct endpoint, page, 1 as copy from items where page % 7 <> 3 and page not in (1, 2)
+        union all
+        select distinct endpoint, page, 2 from items where page % 21 = 5
+    ), ends as (
+        select endpoint, min(page) as low, max(page) as high, max(page) + 2 as total from landed group by endpoint
+    ), missing as (
+        select endpoint, page, lead(page) over (partition by endpoint order by page) as following
+        from (select distinct endpoint, page from landed)
+    ), kept as (
+        select distinct i.* from items i join landed l on l.endpoint = i.endpoint and l.page = i.page
+    )
+    select endpoint, 'missing' as kind, page + 1 as first, following - 1 as last, following - page - 1 as n
+    from missing where following > page + 1
+    union all select endpoint, 'missing', 1, low - 1, low - 1 from ends where low > 1
+    union all select endpoint, 'missing', high + 1, total, total - high from ends
+    union all select endpoint, 'repeated', page, page, count(*) - 1 from landed group by endpoint, page having count(*) > 1
+    union all
+    select endpoint, 'overlap', page, page, count(*) from (
+        select endpoint, page, page > min(page) over (partition by endpoint, id) as again from kept
+    ) where again group by endpoint, page
+    """,
+)
+def extract_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as pages, of which some never came, some came twice, and some repeat items."""
+    customer = derive.table(spark, sf_dir, "customer")
+    page = F.floor(F.col("c_custkey") / 10) + 1
+    item = customer.select(F.col("c_mktsegment").alias("endpoint"), F.col("c_custkey").alias("id"), page.alias("page"))
+    items = item.union(item.where("id % 100 = 9").withColumn("page", F.col("page") + 1))
+    once = items.select("endpoint", "page").distinct()
+    landed = once.where("page % 7 <> 3 and page not in (1, 2)")
+    landed = landed.union(once.where("page % 21 = 5"))
+    total = landed.groupBy("endpoint").agg((F.max("page") + 2).alias("total_pages"))
+    kept = items.join(landed.distinct(), ["endpoint", "page"])
+    return ops.extract_faults(landed.join(total, "endpoint"), kept, bucket=50)
+
+
 @CATALOG.query(
     "attach_messages",
     """

@@ -10,6 +10,7 @@ from leadloom.operators.aggregates import (
 )
 from leadloom.operators.attach import attach_rows
 from leadloom.operators.dedup import dedup_latest
+from leadloom.operators.islands import extract_faults, gaps, runs
 from leadloom.operators.joins import Repeated, drill_across, full_outer_on, heavy_keys, left_join, left_join_fanout
 from leadloom.operators.keys import add_surrogate_key, stable_surrogate_key
 from leadloom.operators.projection import any_not_null, not_null, project
@@ -37,7 +38,9 @@ __all__ = [
     "dedup_latest",
     "distinct_days",
     "drill_across",
+    "extract_faults",
     "full_outer_on",
+    "gaps",
     "heavy_keys",
     "left_join",
     "left_join_fanout",
@@ -46,6 +49,7 @@ __all__ = [
     "project",
     "reached_after",
     "row_audit",
+    "runs",
     "split_rejects",
     "stable_surrogate_key",
     "union_all",

@@ -82,15 +82,15 @@ def page_completeness(pages: DataFrame, items: DataFrame, id_field: str, limit:
     ``pages`` has one row per landed page (endpoint, page, reported, total_pages,
     item_count), ``items`` one row per item (endpoint, ``id_field``). An extract
     is complete when it holds as many distinct items as the server reports, and
-    the end was reached: there are as many pages as the server announced, or, if
-    it announced none, the page with the highest number is shorter than ``limit``.
+    the end was reached: there are as many different pages as the server announced,
+    or, if it announced none, the page with the highest number is shorter than ``limit``.
     Where the server reports no count, completeness is unknown (NULL), unless the
     end was not reached.
     """
     by_page = pages.groupBy("endpoint").agg(
         F.max("reported").alias("reported"),
         F.sum("item_count").cast("long").alias("fetched"),
-        F.count("*").alias("pages"),
+        F.count_distinct("page").alias("pages"),
         F.max("total_pages").alias("total_pages"),
         F.max_by("item_count", "page").alias("last_page_items"),
     )

@@ -396,6 +396,42 @@ def test_column_types(spark):
     assert ops.column_type_mismatches(df, declared) == [("d", "boolean", "string"), ("e", "string", "missing")]
 
 
+@SLOW
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.one_of(st.none(), st.integers(-9, 25))), max_size=25), st.sampled_from([1, 4, 100]))
+def test_runs_and_gaps(spark, values, bucket):
+    df = spark.createDataFrame(values, "k string, v int")
+    want_runs, want_gaps = [], []
+    for k in "ab":
+        mine = sorted({v for x, v in values if x == k and v is not None})
+        cuts = [i for i in range(1, len(mine)) if mine[i] > mine[i - 1] + 1]
+        for i, j in zip([0, *cuts], [*cuts, len(mine)], strict=True):
+            want_runs += [(k, mine[i], mine[j - 1], mine[j - 1] - mine[i] + 1)] if mine else []
+        want_gaps += [(k, mine[i - 1] + 1, mine[i] - 1, mine[i] - mine[i - 1] - 1) for i in cuts]
+    assert sorted(map(tuple, ops.runs(df, ["k"], "v", bucket).collect())) == want_runs
+    assert sorted(map(tuple, ops.gaps(df, ["k"], "v", bucket).collect())) == want_gaps
+
+
+def test_extract_faults(spark):
+    pages = [("a", 2, 9), ("a", 3, None), ("a", 3, 9), ("a", 6, 9), ("b", 1, None), ("b", 2, None), ("c", None, 1)]
+    items = [("a", 2, 1), ("a", 3, 1), ("a", 3, 2), ("a", 3, 2), ("a", 6, 1), ("b", 1, 1), ("b", 2, None), ("b", 2, None)]
+    got = ops.extract_faults(
+        spark.createDataFrame(pages, "endpoint string, page long, total_pages long"),
+        spark.createDataFrame(items, "endpoint string, page long, id long"),
+    )
+    assert sorted(map(tuple, got.collect())) == [
+        ("a", "missing", 1, 1, 1),
+        ("a", "missing", 4, 5, 2),
+        ("a", "missing", 7, 9, 3),
+        ("a", "overlap", 3, 3, 1),
+        ("a", "overlap", 6, 6, 1),
+        ("a", "repeated", 3, 3, 1),
+    ]
+    # landed twice with another missing: as many rows as pages, and yet not complete
+    twice = spark.createDataFrame([("x", 1, 4, 2, 2), ("x", 1, 4, 2, 2)], "endpoint string, page long, reported long, total_pages long, item_count long")
+    ids = spark.createDataFrame([("x", i) for i in range(4)], "endpoint string, id long")
+    assert not ops.page_completeness(twice, ids, "id", limit=2).first().complete
+
+
 def test_page_completeness(spark):
     pages = spark.createDataFrame(
         [
