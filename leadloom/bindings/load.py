@@ -12,7 +12,7 @@ from leadloom import sources as src
 from leadloom.bindings import derive
 from leadloom.bindings.catalog import Catalog, flat
 from leadloom.bindings.model_sql import with_models
-from leadloom.build import raw_violations
+from leadloom.build import land_raw, raw_violations
 from leadloom.functions.jsonv import json_pack, json_text
 from leadloom.schemas import KEEP_EMPTY, RAW, UNIQUE_KEYS, length_limits
 from leadloom.session import shared_path
@@ -748,6 +748,36 @@ def assert_raw_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_violations(raw | dict(zip(_TALKS, (m.raw_conversations(), m.raw_messages()), strict=True)))
 
 
+@CATALOG.query(
+    "land_raw_contract",
+    """
+    with extract as (
+        select o_orderkey as id, case when o_orderkey % 10 = 0 then null else o_custkey end as enrollment,
+               repeat('x', cast(o_orderkey % 120 as integer)) as long_text from orders
+    )
+    select 'not null enrollment_id, material_id' as rule, count(*) filter (where enrollment is null) as violations from extract
+    union all select 'unique enrollment_id, material_id', count(*) from
+        (select enrollment from extract where enrollment is not null group by enrollment having count(*) > 1)
+    union all select 'length', count(*) filter (where length(long_text) > 50) from extract
+    union all select 'rows', count(*) from extract
+    """,
+)
+def land_raw_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survey results that break all rules of their table, counted while they are landed."""
+    orders = derive.table(spark, sf_dir, "orders")
+    extract = orders.select(
+        F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey")).cast("string").alias("enrollment_id"),
+        F.lit("m").alias("material_id"),
+        F.repeat(F.lit("x"), (F.col("o_orderkey") % 120).cast("int")).alias("survey_type"),
+    )
+    path = shared_path(spark, "contract")
+    raw = src.typed_load(extract, RAW["eduqat_survey_results"], strict=False)
+    version, violations = land_raw(raw, "eduqat_survey_results", path)
+    # driver values that are counts of the landed rows
+    found = [*violations.items(), ("rows", version.rows)]
+    return spark.createDataFrame(found, "rule string, violations long")
+
+
 _BROKEN = """
     case o_orderkey % 5 when 0 then null when 1 then '{"k":' when 2 then '{"k":' || cast(o_orderkey as string) || '}'
     when 3 then '[1,2' else '{"k":null}' end

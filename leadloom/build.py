@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom import plans
+from leadloom.commits import Version, commit
 from leadloom.operators.keys import add_surrogate_key, stable_surrogate_key
-from leadloom.operators.quality import violations_length, violations_null, violations_unique
+from leadloom.operators.quality import violations_unique
 from leadloom.operators.setops import union_all
 from leadloom.schemas import ITEM_NAMES, KEEP_EMPTY, LEAD_ADDED, RAW, UNIQUE_KEYS, length_limits
 from leadloom.sources.landing import stamp, typed_load
@@ -74,22 +76,62 @@ def load_ai_conversations(
     )
 
 
+def contract(table: str) -> tuple[dict[str, Column], list[list[str]]]:
+    """Rules of a raw table: name -> condition of a violating row, and the keys that are unique."""
+    too_long = [F.coalesce(F.char_length(F.col(c)) > n, F.lit(False)) for c, n in length_limits(table).items()]
+    keys = UNIQUE_KEYS.get(table, [])
+    rules = {"length": reduce(lambda a, b: a | b, too_long, F.lit(False))}
+    for key in keys:
+        rules[f"not null {', '.join(key)}"] = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+    return rules, keys
+
+
 def raw_violations(raw: Mapping[str, DataFrame]) -> DataFrame:
-    """Declared keys and lengths of raw tables: one row per table and rule."""
+    """Declared keys and lengths of raw tables: one row per table and rule. A table is read once
+    for all rules that look at a row, and once, key columns only, for each unique key."""
     found = []
     for table, df in raw.items():
-        rules = {"length": violations_length(df, length_limits(table))}
-        for key in UNIQUE_KEYS.get(table, []):
-            rules[f"unique {', '.join(key)}"] = violations_unique(df, key)
-            rules[f"not null {', '.join(key)}"] = violations_null(df, key)
-        for rule, rows in rules.items():
-            count = rows.agg(F.count("*").alias("violations"))
-            found.append(
-                count.select(F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), "violations")
-            )
+        rules, keys = contract(table)
+        counts = F.array(*[F.struct(F.lit(r).alias("rule"), F.count_if(c).alias("violations")) for r, c in rules.items()])
+        parts = [df.agg(counts.alias("c")).select(F.explode("c").alias("c")).select("c.*")]
+        for key in keys:
+            twice = violations_unique(df, key).agg(F.count("*").alias("violations"))
+            parts.append(twice.select(F.lit(f"unique {', '.join(key)}").alias("rule"), "violations"))
+        found += [p.select(F.lit(table).alias("table_name"), "rule", "violations") for p in parts]
     return union_all(*found)
 
 
+class ContractViolation(ValueError):
+    """Rows that were to be landed break rules of their table."""
+
+
+def land_raw(
+    df: DataFrame, table: str, path: str, refuse: bool = False, expected: int | None = None
+) -> tuple[Version | None, dict[str, int]]:
+    """Refresh a raw table and check its contract in the same write.
+
+    Rules that look at a row are counted while the rows are written; unique keys are checked on
+    the key columns of the written files, so the extract itself runs once. Returns the version and
+    the violations per rule. With ``refuse`` rows that break a rule become no version, and
+    ContractViolation names the rules.
+    """
+    rules, keys = contract(table)
+    seen = Observation()
+    counts = [F.count_if(c).alias(f"r{i}") for i, c in enumerate(rules.values())]
+    violations: dict[str, int] = {}
+
+    def accept(rows: int, written: DataFrame) -> bool:
+        observed = seen.get
+        violations.update({r: observed[f"r{i}"] for i, r in enumerate(rules)})
+        violations.update({f"unique {', '.join(k)}": violations_unique(written, k).count() for k in keys})
+        return not (refuse and any(violations.values()))
+
+    version = commit(df.observe(seen, *counts), path, accept, expected)
+    if version is None:
+        raise ContractViolation(f"{table}: " + ", ".join(f"{n} rows or keys break {r}" for r, n in violations.items() if n))
+    return version, violations
+
+
 def build_models(
     raw: Mapping[str, DataFrame],
     base: str | None = None,

@@ -107,7 +107,7 @@ def full_refresh(
     raises ``ConcurrentRefresh`` if another came in between. A replaced version stays for
     ``retain_seconds``, for readers that have begun with it.
     """
-    made = commit(df, path, lambda rows: rows > 0 or not skip_if_empty, expected, retain_seconds)
+    made = commit(df, path, lambda rows, _: rows > 0 or not skip_if_empty, expected, retain_seconds)
     return made.rows if made is not None else 0
 
 

@@ -17,6 +17,8 @@ from leadloom import plans, session
 from leadloom import sources as src
 from leadloom.bindings import derive
 from leadloom.build import (
+    ContractViolation,
+    land_raw,
     load_ai_conversations,
     load_api_items,
     load_lead_sheets,
@@ -539,6 +541,19 @@ def test_raw_violations(spark):
     ]
 
 
+def test_contract_of_landed_rows(spark, tmp_path):
+    path = str(tmp_path / "users")
+    load = lambda *r: src.typed_load(spark.createDataFrame(r, "id int, role string").repartition(3), RAW["eduqat_users"], strict=False)
+    version, violations = land_raw(load((1, "a"), (2, "b")), "eduqat_users", path, refuse=True)
+    assert version.rows == 2 and violations == {"length": 0, "not null id": 0, "unique id": 0}
+    bad = load((1, "a" * 51), (1, "b"), (None, None))
+    with pytest.raises(ContractViolation, match="1 rows or keys break length, 1 .* not null id, 1 .* unique id"):
+        land_raw(bad, "eduqat_users", path, refuse=True)
+    assert src.read_source(spark, path).count() == 2 and len(data_folders(path)) == 1
+    version, violations = land_raw(bad, "eduqat_users", path)
+    assert version.number == 1 and set(violations.values()) == {1}
+
+
 def test_retype_and_parse_items(spark):
     df = spark.createDataFrame([(1, True), (2, None)], "id int, flag boolean")
     assert rows(src.json_text_column(src.retype(df, "flag"), "flag")) == [(1, "true"), (2, None)]
