@@ -14,6 +14,7 @@ from leadloom.bindings.catalog import Catalog, flat
 from leadloom.bindings.model_sql import BUSINESS_AGE, EMPLOYEE_COUNT, INCOME, sql_email, sql_map, sql_phone, with_models
 from leadloom.bindings.models import Models
 from leadloom.functions.jsonv import json_object
+from leadloom.session import shared_path
 
 CATALOG = Catalog()
 
@@ -456,6 +457,31 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@CATALOG.query(
+    "dedup_latest_folded",
+    """
+    select o_custkey, o_orderstatus, o_orderkey, o_orderdate from (
+        select *, row_number() over (partition by o_custkey, o_orderstatus
+                                     order by o_orderdate desc nulls last, o_orderkey) as rn from orders
+    ) where rn = 1
+    """,
+)
+def dedup_latest_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three extracts, the oldest of them late, folded into the rows kept so far."""
+    orders = derive.table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_orderkey", "o_orderdate")
+    kept = ops.LatestRows(
+        spark,
+        shared_path(spark, "latest"),
+        ["o_custkey", "o_orderstatus"],
+        [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").asc()],
+        buckets=16,
+    )
+    few = orders.where("o_custkey % 100 = 7")
+    for extract in (orders.where("o_orderkey % 3 <> 0"), few, orders.where("o_orderkey % 3 = 0")):
+        kept.fold(extract)
+    return kept.read()
+
+
 @CATALOG.query(
     "top1_per_group",
     """

@@ -13,6 +13,7 @@ from leadloom.operators.dedup import dedup_latest
 from leadloom.operators.islands import extract_faults, gaps, runs
 from leadloom.operators.joins import Repeated, drill_across, full_outer_on, heavy_keys, left_join, left_join_fanout
 from leadloom.operators.keys import add_surrogate_key, stable_surrogate_key
+from leadloom.operators.latest import LatestRows
 from leadloom.operators.projection import any_not_null, not_null, project
 from leadloom.operators.quality import (
     column_type_mismatches,
@@ -27,6 +28,7 @@ from leadloom.operators.setops import union_all, union_by_name
 from leadloom.operators.unnest import unnest_array, unnest_object
 
 __all__ = [
+    "LatestRows",
     "Repeated",
     "add_surrogate_key",
     "aggregate",

@@ -53,6 +53,52 @@ def test_dedup_limits_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+def keeper(spark, path, buckets=8):
+    return ops.LatestRows(spark, path, ["k"], [F.col("t").desc_nulls_last(), F.col("id").asc()], buckets)
+
+
+@settings(SLOW, max_examples=4)
+@given(st.lists(st.lists(st.tuples(st.one_of(st.none(), st.sampled_from("abcdef")), st.one_of(st.none(), st.integers(0, 3))), max_size=8), min_size=1, max_size=3))
+def test_folding_extracts_equals_one_run(spark, tmp_path_factory, extracts):
+    kept, n, all_rows = keeper(spark, str(tmp_path_factory.mktemp("latest"))), 0, []
+    for extract in extracts:
+        data = [(k, t, n + i) for i, (k, t) in enumerate(extract)]
+        n += len(data)
+        all_rows += data
+        kept.fold(spark.createDataFrame(data, "k string, t int, id int"))
+        assert rows(kept.read()) == rows(latest(spark.createDataFrame(all_rows, "k string, t int, id int")))
+
+
+def test_a_fold_touches_the_buckets_of_its_keys(spark, tmp_path):
+    path = str(tmp_path / "latest")
+    kept = keeper(spark, path)
+    schema = "k string, t int, id int"
+    first = kept.fold(spark.createDataFrame([(f"k{i}", 1, i) for i in range(100)], schema))
+    assert first == list(range(8))
+    begun = kept.read()
+    touched = kept.fold(spark.createDataFrame([("k1", 2, 1000), ("k1", 0, 1001), ("k2", 0, 1002)], schema))
+    assert len(touched) <= 2
+    assert {r.id for r in kept.read().where("k in ('k1', 'k2')").collect()} == {1000, 2}
+    assert kept.read().count() == 100 and begun.where("t = 2").count() == 0
+    with pytest.raises(ValueError, match="columns of the extract"):
+        kept.fold(spark.range(1))
+    with pytest.raises(ValueError, match="has 8 buckets"):
+        keeper(spark, path, 4).read()
+    # replaced rows go with their time
+    kept.fold(spark.createDataFrame([("k3", 9, 9)], schema), retain_seconds=0)
+    assert kept.read().where("t = 9").count() == 1 and kept.read().count() == 100
+    with pytest.raises(Exception):
+        begun.count()
+
+
+def test_racing_folds_are_all_kept(spark, tmp_path):
+    kept = keeper(spark, str(tmp_path / "latest"))
+    parts = [spark.createDataFrame([(f"k{i}", p, i) for i in range(5)], "k string, t int, id int") for p in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(kept.fold, parts))
+    assert {r.t for r in kept.read().collect()} == {3} and kept.read().count() == 5
+
+
 # --- aggregates ----------------------------------------------------------------------
 
 
