@@ -174,14 +174,10 @@ class Records:
         self.starts = _starts(self.chunks.drop("text"))
         self._multi_line = multi_line
 
-    def unclosed(self) -> list[str]:
-        """Files that end inside a quoted cell; the first few."""
-        last = self.starts.groupBy("file").agg(F.max_by("end", F.struct("block", "seq")).alias("end"))
-        return sorted(r.file for r in last.where("end = 1").limit(5).collect())
-
-    def counts(self) -> DataFrame:
-        """(sheet, file, n): records of each file that has any."""
-        return self.starts.groupBy("sheet", "file").agg(F.sum("n").alias("n")).where("n > 0")
+    def files(self) -> DataFrame:
+        """(sheet, file, n, unclosed): records of each file, and whether it ends inside a cell."""
+        last = F.max_by("end", F.struct("block", "seq")) == 1
+        return self.starts.groupBy("sheet", "file").agg(F.sum("n").alias("n"), last.alias("unclosed"))
 
     def numbered(self, number: int | None = None, after: int | None = None) -> DataFrame:
         """(sheet, file, number, text) of all records, of those after a number, or of one number

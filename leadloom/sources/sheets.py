@@ -75,11 +75,12 @@ def _headers(records: Records, header_row: int) -> tuple[dict[str, list[str]], s
     The driver gets one row per sheet and distinct header, with the header's record; all other
     text stays in the tasks.
     """
-    unclosed = records.unclosed()
+    files = records.files().join(records.numbered(number=header_row), ["sheet", "file"], "left").where("n > 0 or unclosed")
+    by_header = files.groupBy("sheet", "text", "unclosed").agg(F.min("file").alias("file"), F.max("n").alias("n"))
+    found = by_header.collect()
+    unclosed = sorted(r.file for r in found if r.unclosed)
     if unclosed:
         raise ValueError(f"no readable header or row: a quoted cell never closes in {', '.join(unclosed)}")
-    files = records.counts().join(records.numbered(number=header_row), ["sheet", "file"], "left")
-    found = files.groupBy("sheet", "text").agg(F.min("file").alias("file"), F.max("n").alias("n")).collect()
     headers: dict[str, list[str]] = {}
     filled = set()
     for r in sorted(found, key=lambda r: r.file):
