@@ -34,21 +34,20 @@ def need_columns(df: DataFrame, *names: str) -> None:
 
 
 def with_python(df: DataFrame, inputs: list[Column], func, fields: str) -> DataFrame:
-    """df with further columns that func computes in Arrow batches.
+    """(row, fields): the rows of df, each as one struct, and columns that func computes from the
+    inputs in Arrow batches. No column of df can clash with the new ones, whatever its name.
 
-    func maps a list of Arrow arrays, one per input, to a list of arrays, one per field. All
-    columns of df pass through unread; the inputs travel under names of their own.
+    func maps a list of Arrow arrays, one per input, to a list of arrays, one per field.
     """
-    names = [f"_in{i}" for i in range(len(inputs))]
-    src = df.select("*", *(c.alias(n) for c, n in zip(inputs, names, strict=True)))
-    n_own = len(df.columns)
+    src = df.select(F.struct("*").alias("row"), *(c.alias(f"in{i}") for i, c in enumerate(inputs)))
     extra = T._parse_datatype_string(fields)
-    schema = T.StructType([*df.schema.fields, *extra.fields])
+    schema = T.StructType([src.schema.fields[0], *extra.fields])
+
+    n = len(inputs)
 
     def run(batches):
         for b in batches:
-            own = [b.column(i) for i in range(n_own)]
-            new = func([b.column(n_own + i) for i in range(len(names))])
-            yield pa.RecordBatch.from_arrays([*own, *new], names=[*b.schema.names[:n_own], *extra.names])
+            new = func([b.column(1 + i) for i in range(n)])
+            yield pa.RecordBatch.from_arrays([b.column(0), *new], names=["row", *extra.names])
 
     return src.mapInArrow(run, schema)

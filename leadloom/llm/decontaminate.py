@@ -121,32 +121,30 @@ def _hits(
     max_bytes: int = MAX_BENCHMARK_BYTES,
     null_ids: bool = True,
 ) -> DataFrame:
-    """benchmark_hits with its results in _n_words, _spans and _items, which no column of docs is
-    taken to be named."""
+    """(row, text, n_words, spans, items): the id and the columns in keep as one struct, so that no
+    name can clash, without the text, which is beside it if it is kept."""
     need_columns(docs, id_col, text_col)
     kept = [n for n in dict.fromkeys((id_col, *keep)) if n != text_col]
     with_text = text_col in keep
     need_columns(docs, *kept)
     span = pa.list_(pa.struct([(n, pa.int64()) for n in ("first", "last", "start", "end")]))
-    head = docs.select(*(docs[n] for n in kept))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in head.schema]
-    fields += ["_text string", "_n_words long", "_spans array<struct<first:long,last:long,start:long,end:long>>", "_items array<long>"]
-    none = "cast(array() as array<struct<first:long,last:long,start:long,end:long>>)"
+    spans_type = "array<struct<first:long,last:long,start:long,end:long>>"
     df = docs.select(
-        *(docs[n] for n in kept),
-        docs[text_col].alias("_text"),
-        F.lit(0).cast("long").alias("_n_words"),
-        F.expr(none).alias("_spans"),
-        F.expr("cast(array() as array<long>)").alias("_items"),
+        F.struct(*(docs[n] for n in kept)).alias("row"),
+        docs[text_col].alias("text"),
+        F.lit(0).cast("long").alias("n_words"),
+        F.expr(f"cast(array() as {spans_type})").alias("spans"),
+        F.expr("cast(array() as array<long>)").alias("items"),
     )
+    schema = df.schema
 
     def scanner(some, last_pass):
         def run(batches):
             auto = build_automaton(some, window)
             for b in batches:
                 n, spans, items = [], [], []
-                texts = b.column("_text").to_pylist()
-                for t, had, ids in zip(texts, b.column("_spans").to_pylist(), b.column("_items").to_pylist(), strict=True):
+                columns = (b.column(k).to_pylist() for k in ("text", "spans", "items"))
+                for t, had, ids in zip(*columns, strict=True):
                     k, ranges, more = scan(auto, t)
                     if had:
                         ranges = united([(h["first"], h["last"]) for h in had], ranges)
@@ -159,21 +157,23 @@ def _hits(
                         ]
                     )
                     items.append(_ascending({*ids, *more}))
-                arrays = [b.column(i) for i in range(len(kept) + 1)]
-                if last_pass and not with_text:
-                    arrays[-1] = pa.nulls(b.num_rows, pa.string())
-                arrays += [pa.array(n, pa.int64()), pa.array(spans, span), pa.array(items, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, b.schema.names)
+                text = pa.nulls(b.num_rows, pa.string()) if last_pass and not with_text else b.column("text")
+                found = [pa.array(n, pa.int64()), pa.array(spans, span), pa.array(items, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([b.column("row"), text, *found], b.schema.names)
 
         return run
 
     slices = _slices(benchmark, item_col, item_text_col, max_bytes, null_ids)
     for k, part in enumerate(slices):
         some = [(r[0], r[1]) for r in part.collect()]  # its size is bounded, by max_bytes or one item
-        df = df.mapInArrow(scanner(some, k == len(slices) - 1), ", ".join(fields))
+        df = df.mapInArrow(scanner(some, k == len(slices) - 1), schema)
         if k < len(slices) - 1:
             df = written(df, "benchmark-pass")  # one automaton in memory at a time
-    return df.withColumnRenamed("_text", text_col) if with_text else df.drop("_text")
+    return df
+
+
+def _kept(docs: DataFrame, names, text_col: str) -> list:
+    return [F.col("text").alias(n) if n == text_col else F.col(f"row.`{n}`") for n in names]
 
 
 def benchmark_hits(
@@ -187,15 +187,17 @@ def benchmark_hits(
     repeat an id are scanned like any other. Without items no document has hits; without
     documents the result is empty. `keep` must not name the columns n_words, spans, items.
     """
+    text_col, id_col = names.get("text_col", "text"), names.get("id_col", "doc_id")
     out = _hits(docs, benchmark, window, keep=keep, null_ids=null_ids, **names)
-    return out.withColumnsRenamed({f"_{n}": n for n in ("n_words", "spans", "items")})
+    shown = _kept(docs, dict.fromkeys((id_col, *keep)), text_col)
+    return out.select(*shown, "n_words", "spans", "items")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, **names) -> DataFrame:
     """The documents, with all their columns, in which no benchmark window occurs, of items
     with a null id neither."""
     out = _hits(docs, benchmark, window, keep=tuple(docs.columns), **names)
-    return out.where(F.size("_items") == 0).select(*docs.columns)
+    return out.where(F.size("items") == 0).select(*_kept(docs, docs.columns, names.get("text_col", "text")))
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:

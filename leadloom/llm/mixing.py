@@ -157,22 +157,31 @@ def mix_plan(
     return written(plan.join(cut, names, "left").drop("rest"), "mix-plan")
 
 
+def mixed(docs: DataFrame, path: dict[str, Column], plan: DataFrame, seed: int = 0, id_col: str = "doc_id") -> DataFrame:
+    """(row, copies): the documents, each as one struct, and how often the plan takes it."""
+    names = list(path)
+    given = plan.select(*names, "full_epochs", "cut")
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        docs[id_col].alias("id"),
+        *(F.coalesce(c.cast("string"), F.lit("")).alias(f"p{i}") for i, c in enumerate(path.values())),
+    )
+    keys = [f"p{i}" for i in range(len(names))]
+    out = _joined(rows, given.toDF(*keys, "full_epochs", "cut"), keys, plan.count())
+    last = (_seeded(F.col("id"), F.col("full_epochs"), seed) <= F.col("cut")).cast("long")
+    return out.select("row", (F.col("full_epochs") + F.coalesce(last, F.lit(0))).alias("copies"))
+
+
 def mix(
     docs: DataFrame,
     path: dict[str, Column],
     plan: DataFrame,
     seed: int = 0,
     id_col: str = "doc_id",
+    name: str = "_copies",
 ) -> DataFrame:
-    """docs with `_copies`: how often the plan takes each row, 0 for rows it leaves."""
-    names = list(path)
-    keys = [f"_p{i}" for i in range(len(names))]
-    given = plan.select(
-        *(F.col(n).alias(k) for n, k in zip(names, keys, strict=True)),
-        F.col("full_epochs").alias("_full"),
-        F.col("cut").alias("_cut"),
-    )
-    rows = docs.withColumns({k: F.coalesce(c.cast("string"), F.lit("")) for k, c in zip(keys, path.values(), strict=True)})
-    out = _joined(rows, given, keys, plan.count())
-    last = (_seeded(F.col(id_col), F.col("_full"), seed) <= F.col("_cut")).cast("long")
-    return out.withColumn("_copies", F.col("_full") + F.coalesce(last, F.lit(0))).drop(*keys, "_full", "_cut")
+    """docs with the column `name`: how often the plan takes each row, 0 for rows it leaves. A
+    column of docs with that name raises."""
+    if name in docs.columns:
+        raise ValueError(f"the documents have a column {name!r} already")
+    return mixed(docs, path, plan, seed, id_col).select("row.*", F.col("copies").alias(name))

@@ -144,7 +144,7 @@ def shape(word: str) -> str:
     """Runs of capitals, small letters and digits as A, a, 0; repeated signs as two."""
     for pattern, to in _SHAPE:
         word = pattern.sub(to, word)
-    return _RUN.sub(r"\1\1", word)[:12]
+    return _RUN.sub(r"\1\1", word)
 
 
 def features(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -154,7 +154,7 @@ def features(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
     for t in texts:
         words = (t or "").split()
         for w in set(words).difference(known):
-            known[w] = xxh32_intdigest(f"{shape(w)} {min(len(w), 15)}")
+            known[w] = xxh32_intdigest(f"{shape(w)} {len(w)}")
         h = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         n = max(len(h), 1)
         pairs = (h[1:] * 31 + h[:-1]) % 1_000_003
@@ -244,8 +244,8 @@ def _voted(texts: DataFrame) -> DataFrame:
     return src.mapInArrow(run, "h long, votes string")
 
 
-def scored(docs: DataFrame, scorer: Scorer, text_col: str = "text", name: str = "_quality") -> DataFrame:
-    """docs with the probability that a document is good."""
+def scored(docs: DataFrame, scorer: Scorer, text_col: str = "text") -> DataFrame:
+    """(row, score): the documents, each as one struct, with the probability that it is good."""
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
 
     def func(columns):
@@ -253,7 +253,7 @@ def scored(docs: DataFrame, scorer: Scorer, text_col: str = "text", name: str =
         parts = [shared.value.score(texts[i : i + 1000]) for i in range(0, len(texts), 1000)]
         return [pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())]
 
-    return with_python(docs, [docs[text_col]], func, f"{name} double")
+    return with_python(docs, [docs[text_col]], func, "score double")
 
 
 def quality(
@@ -268,11 +268,11 @@ def quality(
     need_columns(docs, id_col, text_col)
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     _, scorer = fit(src, "text", train_docs)
-    out = scored(src, scorer, "text", "score")
-    return out.select("doc_id", "score", (F.col("score") >= threshold).alias("accepted"))
+    out = scored(src, scorer, "text")
+    return out.select("row.doc_id", "score", (F.col("score") >= threshold).alias("accepted"))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = 0.5, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """The documents, with all columns, that score at least the threshold."""
     _, scorer = fit(docs, text_col, train_docs)
-    return scored(docs, scorer, text_col).where(F.col("_quality") >= threshold).drop("_quality")
+    return scored(docs, scorer, text_col).where(F.col("score") >= threshold).select("row.*")

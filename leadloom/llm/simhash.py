@@ -305,9 +305,12 @@ def drop_near_duplicates(
     need_columns(docs, id_col, text_col)
     number = F.coalesce(docs[id_col].cast("long").cast("string"), F.lit(""))
     text = F.coalesce(F.concat(F.lit(" "), docs[text_col]), F.lit(""))
-    keyed = docs.withColumn("_key", F.unhex(F.sha2(F.concat(number, text).cast("binary"), 256)))
-    rows = written(fingerprints(keyed, shingle, id_col, text_col, ("_key",)), "fingerprints")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("_key").alias("key"))
+    key = F.unhex(F.sha2(F.concat(number, text).cast("binary"), 256)).alias("key")
+    few = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), key)
+    rows = written(fingerprints(few, shingle, more=("key",)), "fingerprints")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     least = _rooted(rows, rank, max_bits).groupBy("root").agg(F.min("least").alias("least"))
-    keep = least.select(F.col("least.key").alias("_key"), F.col("root").alias("_root"))
-    return keyed.join(keep, "_key").dropDuplicates(["_root"]).select(*docs.columns)
+    keep = least.select("least.key", "root")
+    # the documents' own columns travel as one struct, so that none can clash
+    keyed = docs.select(F.struct("*").alias("row"), key)
+    return keyed.join(keep, "key").dropDuplicates(["root"]).select("row.*")

@@ -46,7 +46,11 @@ ROWS = [
 @pytest.fixture(scope="module")
 def docs(spark):
     df = spark.createDataFrame(ROWS, SCHEMA).repartition(3)
-    clash = ("score", "fp", "batch", "rank", "tokens", "cut", "n_words", "key", "digest", "kept", "p", "_x")
+    clash = (
+        *("score", "fp", "batch", "rank", "tokens", "cut", "n_words", "key", "digest", "kept", "p", "_x"),
+        *("_key", "_root", "root", "_quality", "_in0", "in0", "row", "least", "_text", "_n_words", "_spans", "_items"),
+        *("spans", "items", "_p0", "p0", "_full", "_cut", "full_epochs", "copies", "id", "_id", "_y", "hash", "domain"),
+    )
     return df.withColumns({n: F.lit(n) for n in clash})
 
 
@@ -124,6 +128,12 @@ def test_label_model_finds_accuracies():
         assert abs(model.table[h, 1, 1] - a) < 0.04 and abs(model.table[h, 0, 0] - a) < 0.06
 
 
+def test_shapes_of_long_words_differ():
+    a, b = ("x1" * 8 + end for end in ("!!", "2y"))
+    (one, _), (other, _) = quality.features([a, b])
+    assert set(one.tolist()) != set(other.tolist()) and quality.shape(a) != quality.shape(b)
+
+
 def test_language(docs, empty):
     got = by_id(language_id.language_id(docs, VOCABULARY))
     assert [got[i][0]["lang_pred"] for i in (1, 2, 3, 9)] == ["und"] * 4
@@ -289,6 +299,34 @@ def test_toxicity(spark, docs, empty):
     assert len(toxicity.toxicity(docs, labels.where("false")).collect()) == len(ROWS)
 
 
+def test_conflicting_labels_have_a_rule(spark):
+    """Whatever the order of the label rows, an id is toxic if any of them says so."""
+    docs = spark.createDataFrame([(i, "bad vile words" if i % 2 else "good kind words") for i in range(80)], "doc_id long, text string")
+    pairs = [(i, y) for i in range(80) for y in ((0, 1) if i % 2 else (0, 0))]
+    scores = []
+    for rows in (pairs, pairs[::-1]):
+        labels = spark.createDataFrame(rows, "doc_id long, toxic int").coalesce(1)
+        scores.append({r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, labels).collect()})
+    assert scores[0] == scores[1] and min(scores[0][i] for i in range(1, 80, 2)) > 0.9
+
+
+def test_a_long_repeated_id_trains_once(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 100)
+    rows = [(1, "b b"), (1, "a a"), (1, None), (4, LONG), (5, "c")]
+    got = toxicity._sample(spark.createDataFrame(rows, "doc_id long, text string"), [1, 4, 5]).collect()
+    assert [(r[0], bytes(r[1])) for r in got] == [(1, b"a a"), (5, b"c")]
+
+
+def test_passages_overlap_by_half():
+    at = np.arange(1000)
+    passage, word = toxicity.passages(at, 1000)
+    sets = [set(word[passage == k].tolist()) for k in range(passage.max() + 1)]
+    assert max(map(len, sets)) <= toxicity.PASSAGE and set().union(*sets) == set(range(1000))
+    # any run of half a passage lies in one
+    assert all(any(set(range(i, i + 49)) <= s for s in sets) for i in range(950))
+    assert toxicity.passages(at[:100], 1000)[0].max() == 0
+
+
 def test_misspelt_words_share_vectors():
     rng = np.random.default_rng(5)
     plain = ["".join(rng.choice(list("bdfgklnprstv"), 6)) for _ in range(300)]
