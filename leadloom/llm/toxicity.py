@@ -7,8 +7,9 @@ softmax over it gives the class; embeddings and softmax are trained together, by
 gradient descent in numpy, on a bounded sample of labelled documents.
 
 A label belongs to a whole document, while the words that earn it may stand in one place of a
-long one. So documents are cut into passages of at most `PASSAGE` words, a document scores as
-its most suspicious passage does, and that passage also stands for it in each round of training.
+long one. So documents are cut into passages of at most `PASSAGE` words, which overlap by half, a
+document scores as its most suspicious passage does, and that passage also stands for it in each
+round of training.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ from .common import id_bucket, need_columns
 
 #: Labelled documents that train the model, at most: those with the smallest seeded hash.
 TRAIN_DOCS = 4_000
+#: Bytes of words that a training document has at most; longer ones train nothing. With TRAIN_DOCS
+#: this bounds what the driver gets.
+TRAIN_BYTES = 50_000
 BUCKETS = 1 << 17
 DIM = 8
 #: What the sum of squared steps of a bucket starts from: rare buckets move little at first.
@@ -137,10 +141,17 @@ class Model:
 
 
 def passages(at: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (passage, word) pairs of a text; passages are of even size, PASSAGE at most."""
+    """Distinct (passage, word) pairs of a text. Passages are of even size, PASSAGE at most, and
+    overlap by half, so that a run of words on the border of one lies inside another."""
     n = len(at)
     k = -(-n // PASSAGE)
-    pairs = np.unique((np.arange(n) * k // max(n, 1)) * n_words + at)
+    if k > 1:
+        # a passage is two neighbouring halves
+        half = np.arange(n) * 2 * k // n
+        pairs = np.concatenate([(half * n_words + at)[half < 2 * k - 1], ((half - 1) * n_words + at)[half > 0]])
+    else:
+        pairs = at
+    pairs = np.unique(pairs)
     return pairs // n_words, pairs % n_words
 
 
@@ -150,6 +161,11 @@ def passage_logits(value: np.ndarray, passage: np.ndarray, word: np.ndarray) ->
 
 def train(rows: list[tuple[str | None, int]], epochs: int = 12, rate: float = 0.5, seed: int = 1) -> Model:
     """The model from (text, label) rows; without both labels it knows only the base rate."""
+    return train_words([(words_of(t), y) for t, y in rows], epochs, rate, seed)
+
+
+def train_words(rows: list[tuple[list[bytes], int]], epochs: int = 12, rate: float = 0.5, seed: int = 1) -> Model:
+    """The same from the words of the texts."""
     rng = np.random.default_rng(seed)
     label = np.array([y for _, y in rows], np.float64)
     model = Model(rng.normal(0, 0.1, (BUCKETS, DIM)), rng.normal(0, 0.1, DIM), 0.0)
@@ -157,11 +173,10 @@ def train(rows: list[tuple[str | None, int]], epochs: int = 12, rate: float = 0.
     model.bias = float(np.log(share / (1 - share)))
     known: dict[bytes, int] = {}
     docs = []
-    for text, _ in rows:
-        words = words_of(text)
+    for words, _ in rows:
         for w in set(words).difference(known):
             known[w] = len(known)
-        docs.append(np.fromiter(map(known.__getitem__, words), np.int32, len(words)))
+        docs.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
     filled = np.flatnonzero([len(x) > 0 for x in docs])
     label, docs = label[filled], [passages(docs[i], len(known)) for i in filled]
     if len(set(label.tolist())) < 2:
@@ -221,6 +236,20 @@ def score_texts(model: Model, texts: list[str | None]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
+def _sample(src: DataFrame, ids: list[int]) -> DataFrame:
+    """(doc_id, words) of the training documents, one row per id, at most TRAIN_BYTES each."""
+
+    def run(batches):
+        for b in batches:
+            words = [b" ".join(words_of(t.as_py())) for t in b.column(1)]
+            short = [w if 0 < len(w) <= TRAIN_BYTES else None for w in words]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(short, pa.binary())], ["doc_id", "words"])
+
+    some = src.where(F.col("doc_id").isin(ids) if ids else F.lit(False))
+    found = some.mapInArrow(run, "doc_id long, words binary").where("words is not null")
+    return found.groupBy("doc_id").agg(F.min("words").alias("words")).orderBy("doc_id")
+
+
 def toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -236,11 +265,13 @@ def toxicity(
     `train_docs` with the smallest seeded hash do, half of them of each label if there are
     enough, and the base rate is put right afterwards. Null texts and texts without words score
     the base rate, as do all texts where the labels show but one class. Rows with a null label or
-    without a text train nothing. A label that is repeated counts once.
+    without a text train nothing, nor do texts of more than TRAIN_BYTES of words. An id counts
+    once: its label is 1 if any of its label rows says so, and of several texts the one whose
+    words come first trains.
     """
     need_columns(docs, id_col, text_col)
-    marked = labels.select(labels[id_col].alias("_id"), labels[label_col].cast("int").alias("_y"))
-    marked = marked.where("_id is not null and _y in (0, 1)").dropDuplicates(["_id"])
+    marked = labels.select(labels[id_col].cast("long").alias("_id"), labels[label_col].cast("int").alias("_y"))
+    marked = marked.where("_id is not null and _y in (0, 1)").groupBy("_id").agg(F.max("_y").alias("_y"))
     marked = marked.where(id_bucket(F.col("_id"), 4) != 2)
     counts = dict(marked.groupBy("_y").count().collect())
     order = F.xxhash64(F.lit(17), "_id")
@@ -250,11 +281,8 @@ def toxicity(
         chosen = some if chosen is None else chosen.union(some)
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     ids = {r[0]: r[1] for r in chosen.collect()}
-    rows = [
-        (r[1], ids[r[0]])
-        for r in src.where(F.col("doc_id").isin(list(ids)) if ids else F.lit(False)).orderBy("doc_id", "text").collect()
-    ]
-    model = train(rows)
+    rows = [(bytes(r[1]).split(), ids[r[0]]) for r in _sample(src, list(ids)).collect()]
+    model = train_words(rows)
     if rows and len(counts) == 2:
         # the classes were drawn evenly; the base rate of all labels is put back
         drawn = sum(y for _, y in rows) / len(rows)
