@@ -289,8 +289,10 @@ def write_tokens(
     shard, path, bytes, docs, n_tokens, start (ids in all shards before it).
 
     A null text is empty and has the end id only. Rows with a null id come first; rows that
-    repeat an id stand next to each other, by text. An empty table writes no shard. A task
-    writes to a name of its own and then renames it, so a repeated task does no harm.
+    repeat an id stand next to each other, by a hash of the text and then the text, and may lie in
+    several shards. An empty table writes no shard. Every attempt of a task writes a file of its
+    own, and the rows name the files of the attempts that Spark took; files of lost attempts may
+    stay in the folder and are read by nobody.
     """
     need_columns(docs, id_col, text_col)
     spark = docs.sparkSession
@@ -300,14 +302,13 @@ def write_tokens(
         task = TaskContext.get()
         writer = stream = None
         files, base = opened(folder)
-        name = f"{base}/shard-{task.partitionId():06d}.zst"
-        attempt = f"{base}/.attempt-{task.taskAttemptId()}"
+        name = f"shard-{task.partitionId():06d}-{task.taskAttemptId()}.zst"
         for b in batches:
             if not b.num_rows:
                 continue
             if writer is None:
                 files.create_dir(base, recursive=True)
-                stream = files.open_output_stream(attempt)
+                stream = files.open_output_stream(f"{base}/{name}", compression=None)
                 writer = ShardWriter(stream, frame_ids)
             encode = encoder(tokenizer_path)
             for ids, texts in _parts(b):
@@ -316,13 +317,10 @@ def write_tokens(
         if writer is not None:
             writer.close()
             stream.close()
-            if files.get_file_info(name).type != pafs.FileType.NotFound:
-                files.delete_file(name)
-            files.move(attempt, name)
             row = {
                 "shard": [task.partitionId()],
-                "path": [f"{folder}/shard-{task.partitionId():06d}.zst"],
-                "bytes": [files.get_file_info(name).size],
+                "path": [f"{folder}/{name}"],
+                "bytes": [files.get_file_info(f"{base}/{name}").size],
                 "docs": [len(writer.docs)],
                 "n_tokens": [writer.total],
             }
@@ -331,8 +329,10 @@ def write_tokens(
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     done = (
-        src.repartitionByRange(n, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        src.withColumn("hash", F.xxhash64("text"))
+        .repartitionByRange(n, "doc_id", "hash")
+        .sortWithinPartitions("doc_id", "hash", "text")
+        .drop("hash")
         .mapInArrow(run, "shard long, path string, bytes long, docs long, n_tokens long")
         .collect()
     )
