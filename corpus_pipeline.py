@@ -42,7 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     path = mix_path(docs)
     plan = mixing.mix_plan(docs, path, MIX_WEIGHTS, budget=MIX_BUDGET, max_epochs=1, seed=MIX_SEED)
-    return mixing.mix(docs, path, plan, MIX_SEED).where("_copies > 0").select(*docs.columns)
+    return mixing.mixed(docs, path, plan, MIX_SEED).where("copies > 0").select("row.*")
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
