@@ -3,14 +3,16 @@
 A fixed public vocabulary of byte sequences gives the pieces. Per language each piece has a
 probability, and the probability of a word is the sum, over all ways to cut it into pieces, of
 the product of their probabilities: a forward algorithm over byte positions. Texts are lower-
-cased and cut at ASCII white space; each word carries a leading space, and words of `LIMIT` bytes and
-more are cut into several, so no cell of the forward table underflows.
+cased and cut at ASCII white space; each word carries a leading space. All pieces of the vocabulary
+count, and words are summed whole: those of up to `SHORT` bytes in plain numbers, which cannot
+underflow so soon, longer ones in logarithms.
 
 Probabilities start from how often a piece occurs anywhere in a language's words and are then
 re-estimated by expectation-maximisation, with expected counts from forward and backward sums.
 The counts are sums per language and piece, so what reaches the driver is bounded by the
 vocabulary times the number of languages. A language with more than `TRAIN_DOCS` training
-documents is learned from about that many, those with the smallest hash; every text is scored.
+documents is learned from about that many, those with the smallest hash of id and text; every
+text is scored.
 """
 
 from __future__ import annotations
@@ -25,9 +27,11 @@ from pyspark.sql import functions as F
 
 from .common import id_bucket, need_columns
 
-#: Bytes of a word that are segmented together, its space included, and of the longest piece.
-LIMIT = 24
-LONGEST = 10
+#: Bytes of a word, its space included, up to which its sums are plain numbers: 24 factors of at
+#: least 10^-12 stay above the smallest double.
+SHORT = 24
+#: Cells of a table of sums that are in memory at once, a single long word apart.
+CELLS = 4_000_000
 #: Expected count that every piece has besides what was counted.
 SMOOTH = 0.01
 #: Training documents per language, about, at most.
@@ -43,9 +47,9 @@ class Pieces:
 
     def __init__(self, path: str):
         pieces = [base64.b64decode(line.split()[0]) for line in open(path, "rb") if line.strip()]
-        pieces = [p for p in pieces if len(p) <= LONGEST]
         pieces += [bytes([b]) for b in range(256) if bytes([b]) not in set(pieces)]
         self.n = len(pieces)
+        self.longest = max(map(len, pieces))
         state = {b"": 0}
         for p in pieces:
             for k in range(1, len(p) + 1):
@@ -93,7 +97,7 @@ class Pieces:
         state = np.zeros(len(flat), np.int32)
         place = np.arange(len(flat))
         out = []
-        for k in range(1, LONGEST + 1):
+        for k in range(1, self.longest + 1):
             inside = at[place] + k <= size[word[place]]
             place, state = place[inside], state[inside]
             state = self.step(state, flat[place + k - 1])
@@ -114,10 +118,12 @@ def pieces_of(path: str) -> Pieces:
 
 def _grouped(size: np.ndarray, spans, by_start: bool = False):
     """The spans ordered by where they end (or start), and the edges of each position."""
-    k = np.concatenate([np.full(len(w), k, np.int8) for k, w, _, _ in spans])
+    k = np.concatenate([np.full(len(w), k, np.int64) for k, w, _, _ in spans])
     word, at, piece = (np.concatenate([s[i] for s in spans]) for i in (1, 2, 3))
     end = at + k
-    key = (at if by_start else end).astype(np.int8)
+    key = at if by_start else end
+    if int(size.max()) < 128:
+        key = key.astype(np.int8)  # sorted by counting
     order = np.argsort(key, kind="stable")
     edges = np.searchsorted(key[order], np.arange(int(size.max()) + 2))
     return word[order], at[order], piece[order], end[order], edges
@@ -151,38 +157,110 @@ def backward(size: np.ndarray, grouped, prob: np.ndarray) -> np.ndarray:
     return table
 
 
+def _log_sums(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Logarithms of the sums of exponentials of runs of rows."""
+    most = np.maximum.reduceat(values, edges)
+    run = np.repeat(np.arange(len(edges)), np.diff(np.append(edges, len(values))))
+    return most + np.log(np.add.reduceat(np.exp(values - most[run]), edges))
+
+
+def _log_steps(size: np.ndarray, spans, by_start: bool):
+    """Per position, in the order of the algorithm: the position, the words (one per run of spans),
+    the runs' edges, and for each span the word, the position it comes from and its piece."""
+    word, at, piece, end, edges = _grouped(size, spans, by_start)
+    here, there = (at, end) if by_start else (end, at)
+    places = range(len(edges) - 3, -1, -1) if by_start else range(1, len(edges) - 1)
+    for j in places:
+        cut = np.arange(edges[j], edges[j + 1])
+        cut = cut[np.argsort(word[cut], kind="stable")]
+        w = word[cut]
+        first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])) if len(w) else w
+        if len(w):
+            yield j, w[first], first, w, there[cut], piece[cut]
+
+
+def log_forward(size: np.ndarray, spans, log_prob: np.ndarray, rows: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms of forward sums, positions x words x languages, and those of whole words. With
+    `rows`, at least one more than the longest piece, only so many positions are kept."""
+    n = int(size.max()) + 1 if rows is None else rows
+    table = np.zeros((n, len(size), len(log_prob)))
+    whole = np.zeros((len(size), len(log_prob)))
+    for j, words, first, w, start, piece in _log_steps(size, spans, False):
+        new = _log_sums(table[start % n, w] + log_prob.T[piece], first)
+        table[j % n, words] = new
+        done = size[words] == j
+        whole[words[done]] = new[done]
+    return table, whole
+
+
+def log_backward(size: np.ndarray, spans, log_prob: np.ndarray) -> np.ndarray:
+    table = np.zeros((int(size.max()) + 1, len(size), len(log_prob)))
+    for j, words, first, w, end, piece in _log_steps(size, spans, True):
+        table[j, words] = _log_sums(table[end, w] + log_prob.T[piece], first)
+    return table
+
+
+def _batches_of(words: list[bytes], n_langs: int):
+    """Numbers of the words in batches, short ones first, each with whether it is of short ones.
+    Words of like length are together; a batch's full table has CELLS cells or one word."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    short = np.flatnonzero(size <= SHORT)
+    for i in range(0, len(short), BATCH):
+        yield short[i : i + BATCH], True
+    long = np.flatnonzero(size > SHORT)
+    long = long[np.argsort(size[long], kind="stable")]
+    i = 0
+    while i < len(long):
+        # words ascend in length, so the last one of a batch decides the table's height
+        cells = (size[long[i : i + BATCH]] + 1) * n_langs * np.arange(1, min(BATCH, len(long) - i) + 1)
+        n = max(1, int(np.searchsorted(cells, CELLS, side="right")))
+        yield long[i : i + n], False
+        i += n
+
+
 def expected(pieces: Pieces, words: list[bytes], counts: np.ndarray, prob: np.ndarray) -> np.ndarray:
     """Expected counts of pieces (languages x pieces) for words that occur counts times."""
     out = np.zeros(prob.shape)
-    for i in range(0, len(words), BATCH):
-        size, spans = pieces.spans(words[i : i + BATCH])
-        ahead = forward(size, _grouped(size, spans), prob)
-        by_start = _grouped(size, spans, by_start=True)
-        behind = backward(size, by_start, prob)
-        word, at, piece, end, _ = by_start
+    log_prob = np.log(prob)
+    for some, short in _batches_of(words, len(prob)):
+        size, spans = pieces.spans([words[i] for i in some.tolist()])
+        times = counts[:, some]
+        if short:
+            ahead = forward(size, _grouped(size, spans), prob)
+            by_start = _grouped(size, spans, by_start=True)
+            behind = backward(size, by_start, prob)
+            word, at, piece, end, _ = by_start
+            for k in range(len(prob)):
+                scale = times[k] / behind[0, k]
+                weight = ahead[at, k, word] * behind[end, k, word] * prob[k][piece] * scale[word]
+                out[k] += np.bincount(piece, weight, pieces.n)
+            continue
+        ahead, whole = log_forward(size, spans, log_prob)
+        behind = log_backward(size, spans, log_prob)
+        word, at, piece, end, _ = _grouped(size, spans)
         for k in range(len(prob)):
-            scale = counts[k, i : i + BATCH] / behind[0, k]
-            weight = ahead[at, k, word] * behind[end, k, word] * prob[k][piece] * scale[word]
-            out[k] += np.bincount(piece, weight, pieces.n)
+            share = np.exp(ahead[at, word, k] + behind[end, word, k] + log_prob[k][piece] - whole[word, k])
+            out[k] += np.bincount(piece, share * times[k][word], pieces.n)
     return out
 
 
 def word_scores(pieces: Pieces, words: list[bytes], prob: np.ndarray) -> np.ndarray:
     """Log probability of each word in each language (words x languages)."""
     out = np.empty((len(words), len(prob)))
-    for i in range(0, len(words), BATCH):
-        size, spans = pieces.spans(words[i : i + BATCH])
-        table = forward(size, _grouped(size, spans), prob)
-        out[i : i + BATCH] = np.log(table[size, :, np.arange(len(size))])
+    log_prob = np.log(prob)
+    for some, short in _batches_of(words, len(prob)):
+        size, spans = pieces.spans([words[i] for i in some.tolist()])
+        if short:
+            table = forward(size, _grouped(size, spans), prob)
+            out[some] = np.log(table[size, :, np.arange(len(size))])
+        else:
+            out[some] = log_forward(size, spans, log_prob, pieces.longest + 1)[1]
     return out
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """Lower-cased words; longer ones are cut, and each part is a word."""
-    words = (text or "").lower().encode().split()
-    if words and max(map(len, words)) >= LIMIT:
-        words = [w[i : i + LIMIT - 1] for w in words for i in range(0, len(w), LIMIT - 1)]
-    return words
+    """Lower-cased words."""
+    return (text or "").lower().encode().split()
 
 
 def has_letter(text: str | None) -> bool:
@@ -218,11 +296,11 @@ def _counts(rows: DataFrame, langs: list[str], path: str, prob: np.ndarray | Non
                 for x, at in zip(lang[start:], numbers):
                     count[index[x]] += np.bincount(at, minlength=len(words)) if len(at) else 0
                 if prob is None:
-                    for i in range(0, len(words), BATCH):
-                        _, spans = pieces.spans(words[i : i + BATCH])
+                    for some, _ in _batches_of(words, len(langs)):
+                        _, spans = pieces.spans([words[i] for i in some.tolist()])
                         for _, w, _, piece in spans:
                             for k in range(len(langs)):
-                                total[k] += np.bincount(piece, count[k, i + w], pieces.n)
+                                total[k] += np.bincount(piece, count[k, some[w]], pieces.n)
                 else:
                     total += expected(pieces, words, count, prob)
         at = np.flatnonzero(total)
@@ -235,8 +313,10 @@ def _counts(rows: DataFrame, langs: list[str], path: str, prob: np.ndarray | Non
 
 
 def train(rows: DataFrame, path: str, rounds: int = 1, train_docs: int = TRAIN_DOCS) -> tuple[list[str], np.ndarray]:
-    """Languages and piece probabilities from rows (text, lang); a null lang does not train."""
+    """Languages and piece probabilities from rows (text, lang and, if they have ids, doc_id: copies
+    of a text are then sampled one by one); a null lang does not train."""
     rows = rows.where("lang is not null and text is not null")
+    seed = F.xxhash64("doc_id", "text") if "doc_id" in rows.columns else F.xxhash64("text")
     counts = dict(rows.groupBy("lang").count().collect())
     langs = sorted(counts)
     if not langs:
@@ -245,7 +325,7 @@ def train(rows: DataFrame, path: str, rounds: int = 1, train_docs: int = TRAIN_D
     for lang, n in counts.items():
         if n > train_docs:
             share = F.when(F.col("lang") == lang, train_docs / n).otherwise(share)
-    rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * (1 << 30))
+    rows = rows.where(F.pmod(seed, F.lit(1 << 30)) < share * (1 << 30)).select("text", "lang")
     prob = None
     for _ in range(rounds + 1):
         count = _counts(rows, langs, path, prob) + SMOOTH
@@ -301,7 +381,9 @@ def language_id(
     language do. Repeated rows count as often as they occur. An empty table gives an empty result."""
     need_columns(docs, lang_col)
     held = id_bucket(docs[id_col], 3) == 1
-    rows = docs.where(~held).select(docs[text_col].alias("text"), docs[lang_col].alias("lang"))
+    rows = docs.where(~held).select(
+        docs[id_col].cast("string").alias("doc_id"), docs[text_col].alias("text"), docs[lang_col].alias("lang")
+    )
     langs, prob = train(rows, path, rounds, train_docs)
     out = identify(docs, path, langs, prob, id_col, text_col)
     return out.select("doc_id", (id_bucket(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")

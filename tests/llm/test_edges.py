@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -143,24 +144,58 @@ def test_language(docs, empty):
     assert {r["lang_pred"] for r in language_id.language_id(none, VOCABULARY).collect()} == {"und"}
 
 
+def log_of(x):
+    """Logarithm of a fraction of any size."""
+    shift = x.denominator.bit_length() - x.numerator.bit_length()
+    return math.log(x * 2**shift) - shift * math.log(2)
+
+
+def test_long_words_are_learned_and_scored_whole(monkeypatch):
+    """Logarithms and plain sums give the same, and batches of words do not matter."""
+    pieces = language_id.Pieces(VOCABULARY)
+    rng = np.random.default_rng(2)
+    prob = rng.random((2, pieces.n)) + 0.01
+    prob /= prob.sum(axis=1, keepdims=True)
+    words = [b" " + bytes(rng.choice(list(b"abenort-"), int(n))) for n in rng.integers(1, 23, 60)]
+    count = rng.integers(0, 4, (2, len(words))).astype(float)
+    plain = language_id.word_scores(pieces, words, prob), language_id.expected(pieces, words, count, prob)
+    monkeypatch.setattr(language_id, "SHORT", 3)
+    monkeypatch.setattr(language_id, "CELLS", 200)
+    logs = language_id.word_scores(pieces, words, prob), language_id.expected(pieces, words, count, prob)
+    assert np.allclose(plain[0], logs[0]) and np.allclose(plain[1], logs[1])
+
+
+def test_copies_of_a_text_train_a_language(spark):
+    rows = [(i, "le chat dort sur le tapis", "fr") for i in range(300)] + [(1000 + i, f"the cat sleeps {i}", "en") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.language_id(df, VOCABULARY, train_docs=100)
+    assert {r["lang_pred"] for r in got.where("doc_id < 1000").collect()} == {"fr"}
+
+
 def test_forward_sums_all_segmentations():
     pieces = language_id.Pieces(VOCABULARY)
     rng = np.random.default_rng(0)
     prob = rng.random((2, pieces.n))
     prob /= prob.sum(axis=1, keepdims=True)
-    words = [b" the", b" a", b" xyzzy", " über".encode(), b" thereation"]
+    # the last ones are longer than plain sums can be, and hold pieces of more than 10 bytes
+    words = [b" the", b" a", b" xyzzy", " über".encode(), b" thereation", b" government"]
+    words += [b" government-information-of-the-international", "  日本語のテキストは長い".encode()[1:] * 3, b" " + b"x" * 400]
     size, spans = pieces.spans(words)
     found = [{} for _ in words]
     for k, word, at, piece in spans:
         for w, a, p in zip(word.tolist(), at.tolist(), piece.tolist(), strict=True):
             found[w][a, a + k] = p
 
-    def total(w, a, lang):
-        n = len(words[w])
-        return 1.0 if a == n else sum(prob[lang, p] * total(w, e, lang) for (s, e), p in found[w].items() if s == a)
+    assert any(k > 10 and len(word) for k, word, _, _ in spans) and pieces.longest > 10
+
+    def total(w, lang):
+        sums = [Fraction(0)] * len(words[w]) + [Fraction(1)]
+        for (s, e), p in sorted(found[w].items(), reverse=True):
+            sums[s] += Fraction(prob[lang, p]) * sums[e]
+        return sums[0]
 
     got = language_id.word_scores(pieces, words, prob)
-    want = [[math.log(total(w, 0, lang)) for lang in (0, 1)] for w in range(len(words))]
+    want = [[log_of(total(w, lang)) for lang in (0, 1)] for w in range(len(words))]
     assert np.allclose(got, want)
     # expected counts add up to the number of bytes when weighted with the pieces' lengths
     count = language_id.expected(pieces, words, np.ones((2, len(words))), prob)
