@@ -1,14 +1,16 @@
 """Passages of benchmark items in documents, found with one Aho-Corasick automaton.
 
-The automaton holds every window of `window` consecutive words of every item, with a space
-before and after. It is built once from the benchmark table, whose size is checked, and each
-document is scanned once. A hit gives word positions, and from those byte and character
-offsets in the original text.
+The automaton holds every window of `window` consecutive words of every item, as the numbers
+of its words in a few digits each, so a window has a few nodes per word at most. It is built once from the benchmark table,
+whose size is checked, and each document is scanned once. A hit gives word positions, and from
+those byte and character offsets in the original text.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -24,7 +26,7 @@ _FOLD = bytes(0x20 if b in _SPACES else b + 32 if 65 <= b <= 90 else b for b in
 _WORD = re.compile(rb"[^ ]+")
 
 #: Benchmark text that one automaton may hold, in bytes; a larger benchmark takes several passes.
-MAX_BENCHMARK_BYTES = 400_000
+MAX_BENCHMARK_BYTES = 1_000_000
 
 
 def fold(text: str | None) -> bytes:
@@ -32,43 +34,66 @@ def fold(text: str | None) -> bytes:
     return (text or "").encode().translate(_FOLD)
 
 
-def windows_of(text: str | None, window: int) -> set[bytes]:
-    words = fold(text).split()
-    if not words:
-        return set()
-    return {b" ".join(words[i : i + window]) for i in range(max(1, len(words) - window + 1))}
-
-
 def _ascending(ids: set[int | None]) -> list[int | None]:
     return sorted(ids, key=lambda i: (i is None, i or 0))
 
 
-def build_automaton(items: list[tuple[int | None, str | None]], window: int):
-    """The automaton over all windows; each ends in (number of words, items that have it)."""
-    having: dict[bytes, set[int | None]] = {}
-    for item_id, text in items:
-        for w in windows_of(text, window):
-            having.setdefault(w, set()).add(item_id)
-    auto = ahocorasick.Automaton()
-    for w, ids in having.items():
-        auto.add_word(f" {w.decode('latin-1')} ", (w.count(b" ") + 1, tuple(_ascending(ids))))
-    if having:
-        auto.make_automaton()
-    return auto
+class Scanner:
+    """The automaton over all windows of some items. A word is written as its number in the items,
+    in DIGITS digits that have an alphabet per place, so a window can only be found at a word."""
+
+    def __init__(self, items: list[tuple[int | None, str | None]], window: int):
+        self.sign: dict[bytes, str] = {}
+        having: dict[str, set[int | None]] = {}
+        for item_id, text in items:
+            words = [self.sign.setdefault(w, _sign(len(self.sign))) for w in fold(text).split()]
+            for i in range(max(1, len(words) - window + 1) if words else 0):
+                having.setdefault("".join(words[i : i + window]), set()).add(item_id)
+        self.auto = ahocorasick.Automaton()
+        for w, ids in having.items():
+            self.auto.add_word(w, (len(w) // DIGITS, tuple(_ascending(ids))))
+        if having:
+            self.auto.make_automaton()
+
+    def hits(self, words: list[bytes]) -> list[tuple[int, tuple]]:
+        """(last word, (number of words, items)) of each window that occurs."""
+        if not words or not len(self.auto):
+            return []
+        text = "".join(map(self.sign.get, words, repeat(_NO_SIGN)))
+        return [(end // DIGITS, found) for end, found in self.auto.iter(text)]
+
+
+#: Digits of a word's number and how many values each but the last has: a node of the automaton has
+#: no more children, which it searches in sequence.
+DIGITS, BASE = 3, 100
+
+#: What stands for words that no item has.
+_NO_SIGN = "\x01" * DIGITS
 
 
-def scan(auto, text: str | None) -> tuple[int, list[tuple[int, int]], list[int | None]]:
+def _sign(n: int) -> str:
+    low = "".join(chr(2 + k * BASE + n // BASE**k % BASE) for k in range(DIGITS - 1))
+    return low + chr(2 + (DIGITS - 1) * BASE + n // BASE ** (DIGITS - 1))
+
+
+_scanners: dict[str, Scanner] = {}
+
+
+def _scanner(key: str, items: list[tuple[int | None, str | None]], window: int) -> Scanner:
+    """The scanner of this worker process for one slice of a benchmark, built once."""
+    if key not in _scanners:
+        _scanners.clear()
+        _scanners[key] = Scanner(items, window)
+    return _scanners[key]
+
+
+def scan(scanner: Scanner, text: str | None) -> tuple[int, list[tuple[int, int]], list[int | None]]:
     """Words in the text, merged hit ranges as (first, last) word, items that occur."""
     words = fold(text).split()
-    if not words or not len(auto):
-        return len(words), [], []
-    joined = b" ".join(words).decode("latin-1")
-    found = list(auto.iter(f" {joined} "))
+    found = scanner.hits(words)
     if not found:
         return len(words), [], []
-    # position of the space after each word in the padded text, in which a match ends
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-    last = np.searchsorted(ends, np.array([end for end, _ in found], np.int64))
+    last = np.array([end for end, _ in found], np.int64)
     n = np.array([x[0] for _, x in found], np.int64)
     change = np.zeros(len(words) + 1, np.int64)
     np.add.at(change, last - n + 1, 1)
@@ -139,8 +164,10 @@ def _hits(
     schema = df.schema
 
     def scanner(some, last_pass):
+        key = uuid.uuid4().hex
+
         def run(batches):
-            auto = build_automaton(some, window)
+            auto = _scanner(key, some, window)
             for b in batches:
                 n, spans, items = [], [], []
                 columns = (b.column(k).to_pylist() for k in ("text", "spans", "items"))

@@ -471,3 +471,10 @@ def test_pipeline_edges(spark, docs, empty, tmp_path):
             assert now.columns == table.columns
             now = spark.createDataFrame(now.collect(), table.schema)
         assert corpus_pipeline.STAGES[-1][1](spark, now, folder).count() == now.count()
+
+
+def test_word_signs_are_distinct_and_aligned():
+    signs = [decontaminate._sign(n) for n in (*range(20_500), 1_000_000, 10**6 + 100, 5 * 10**6)]
+    assert len(set(signs)) == len(signs) and {len(x) for x in signs} == {decontaminate.DIGITS}
+    places = [{x[k] for x in signs} | {decontaminate._NO_SIGN[0]} for k in range(decontaminate.DIGITS)]
+    assert places[0] & places[1] == places[1] & places[2] == {decontaminate._NO_SIGN[0]}
