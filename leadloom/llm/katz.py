@@ -84,6 +84,8 @@ class Words:
         left = float(((1 - d) * np.arange(CUT + 1) * n_r[: CUT + 1])[1:].sum())
         total = float(n if left > 0 else n + 1)
         first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        if first[-1] >= _UNKNOWN:
+            raise OverflowError("more distinct words than the 32 bits of a word's number can tell apart")
         return cls(n, int(sum(sizes)), d, first, left / total if left > 0 else 1 / total, total)
 
     def prob(self, count: np.ndarray) -> np.ndarray:
