@@ -33,15 +33,14 @@ def with_previous(df: DataFrame, by: Sequence[str], value: str, bucket: int = BU
 
 
 def runs(df: DataFrame, by: Sequence[str], value: str, bucket: int = BUCKET) -> DataFrame:
-    """Runs of consecutive numbers: by, first, last, n."""
+    """Runs of consecutive numbers of each group: by, first, last, n. A NULL group has none."""
     names = [f"`{b}`" for b in by]
     starts = with_previous(df, by, value, bucket).where(F.col("previous").isNull() | (F.col(value) > F.col("previous") + 1))
     # a run ends where the next one's gap begins; one row per run, so a window is small
     following = Window.partitionBy(*names).orderBy(value)
     most = df.groupBy(*names).agg(F.max(F.col(value)).cast("long").alias("__most"))
     ends = starts.select(*names, F.col(value).alias("first"), F.lead("previous").over(following).alias("__end"))
-    same = ends.join(most, list(by)) if by else ends.crossJoin(most)
-    return same.select(*names, "first", F.coalesce("__end", "__most").alias("last")).withColumn("n", F.col("last") - F.col("first") + 1)
+    return ends.join(most, list(by)).select(*names, "first", F.coalesce("__end", "__most").alias("last")).withColumn("n", F.col("last") - F.col("first") + 1)
 
 
 def gaps(df: DataFrame, by: Sequence[str], value: str, bucket: int = BUCKET) -> DataFrame:
