@@ -344,12 +344,15 @@ def scan_sheet_header_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "titled")
     titled = orders.select(F.col("o_orderkey").cast("string").alias("Nomor"), F.col("o_orderpriority").alias("Prioritas"))
     src.write_sheet(titled.toDF(f"Laporan{note}pesanan", "dibuat"), f"{path}/all")
-    # the header as the first row below the title, in every file
+    # the header as the first row below the title, in every file; a file per task of the scan
     rows = spark.read.option("multiLine", "true").options(quote='"', escape='"').csv(f"{path}/all", header=True)
-    head = spark.createDataFrame([("Nomor", "Prioritas")], ["a", "b"])
+    n = max(1, rows.rdd.getNumPartitions())
+    head = spark.range(n).select(F.col("id").cast("int").alias("part"), F.lit("Nomor").alias("a"), F.lit("Prioritas").alias("b"))
     for k in range(2):
-        part = rows.toDF("a", "b").where(F.pmod(F.crc32(F.col("a").cast("binary")), F.lit(2)) == k)
-        sheet = head.unionByName(part).coalesce(1).toDF(f"Laporan{note}pesanan", "dibuat")
+        body = rows.toDF("a", "b").where(F.pmod(F.crc32(F.col("a").cast("binary")), F.lit(2)) == k)
+        body = body.select(F.pmod(F.xxhash64("a"), F.lit(n)).cast("int").alias("part"), "a", "b", F.lit(1).alias("below"))
+        sheet = head.withColumn("below", F.lit(0)).unionByName(body).repartitionById(n, "part").sortWithinPartitions("below")
+        sheet = sheet.select("a", "b").toDF(f"Laporan{note}pesanan", "dibuat")
         sheet.write.options(quote='"', escape='"').csv(f"{path}/parts/{k}", header=True)
     sheets = [src.read_sheet(spark, f"{path}/parts/{k}", header_row=1) for k in range(2)]
     return sheets[0].unionByName(sheets[1])
@@ -377,11 +380,11 @@ def scan_sheet_multiline_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     "select cast(doc_id as varchar) as nomor, coalesce(text, '') as isi, coalesce(source, '') as sumber from documents",
 )
 def scan_sheet_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file whose cells are whole texts with line breaks and quotes, cut into records by many
-    tasks: most cells lie over a border between chunks."""
+    """Files, one per task that reads the table, whose cells are whole texts with line breaks and
+    quotes, each cut into records by many tasks: most cells lie over a border between chunks."""
     documents = derive.table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     path = shared_path(spark, "texts")
-    src.write_sheet(documents.toDF("Nomor", "Isi", "Sumber").coalesce(1), path)
+    src.write_sheet(documents.toDF("Nomor", "Isi", "Sumber"), path)
     return src.read_sheet(spark, path, chunk_chars=2_000)
 
 

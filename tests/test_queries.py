@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pathlib
+
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
 from check_oracle import TABLES, compare
-from leadloom.bindings import CATALOG
+from leadloom import sources
+from leadloom.bindings import CATALOG, load
 from tests.helpers import first_plan
 
 NAMES = sorted(CATALOG.queries)
@@ -74,3 +77,19 @@ def test_lookups_are_broadcast(spark, sf_small):
 def test_deduplications_limit_before_the_shuffle(spark, sf_small):
     plan = first_plan(contract.queries()["int_all_marketing_leads"](spark, sf_small))
     assert plan.count("WindowGroupLimit") == 6
+
+
+def test_sheets_are_written_by_many_tasks(spark, conf, tmp_path, sf_small, monkeypatch):
+    documents = [(i, f'line {i}\n"quoted", and more', None if i % 5 == 0 else "web") for i in range(40)]
+    orders = [(i, f"{i % 3}-LOW") for i in range(40)]
+    spark.createDataFrame(documents, "doc_id long, text string, source string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_orderpriority string").repartition(4).write.parquet(f"{tmp_path}/orders.parquet")
+    conf(spark__sql__files__openCostInBytes="1000000000")  # a task per file
+    read = []
+    whole = sources.read_sheet
+    monkeypatch.setattr(load.src, "read_sheet", lambda s, path, **k: read.append(path) or whole(s, path, **k))
+    got = contract.queries()["scan_sheet_line_breaks"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted((str(i), t, s or "") for i, t, s in documents)
+    got = contract.queries()["scan_sheet_header_row"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == sorted((str(i), p) for i, p in orders)
+    assert [len(list(pathlib.Path(p).glob("*.csv"))) for p in read] == [4, 4, 4]
