@@ -417,6 +417,17 @@ JSON_COLUMNS: dict[str, list[str]] = {
 }
 
 
+# Expressions that several columns of a table repeat, by projection. Spark computes them once per
+# row, and each projection in a method of its own: the one generated for all columns of the
+# enrollments would be longer than the JVM compiles (8,000 bytes), and interpreted.
+SHARED: dict[str, list[dict[str, str]]] = {
+    "orders": [
+        {"__day": _DAY, "__order": _text(_O), "__customer": _text(_C), "__buyer": _text(_BUYER_NO)},
+        {"__first": _M1.format(), "__second": _M2.format()},
+    ],
+}
+
+
 def columns_of(name: str, ts: str) -> Mapping[str, str]:
     """Column -> expression of a derived table in an engine's type names."""
     return {c: e.format(ts=ts) for c, e in DERIVED[name][1].items()}
@@ -448,8 +459,19 @@ def _source(spark: SparkSession, sf_dir: str, name: str, spread: bool) -> DataFr
 
 def raw_text(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """A derived raw table with its JSON columns still text."""
-    exprs = [f"({e}) as `{c}`" for c, e in columns_of(name, "timestamp_ntz").items()]
-    return _source(spark, sf_dir, name, spread).selectExpr(*exprs)
+    rows, shared = _source(spark, sf_dir, name, spread), {}
+    for made in SHARED.get(DERIVED[name][0], []):
+        rows = rows.selectExpr("*", *[f"{_with(shared, e)} as `{c}`" for c, e in made.items()])
+        shared = {**made, **shared}  # the longer expressions first
+    columns = columns_of(name, "timestamp_ntz")
+    return rows.selectExpr(*[f"({_with(shared, e)}) as `{c}`" for c, e in columns.items()])
+
+
+def _with(shared: Mapping[str, str], text: str) -> str:
+    """An expression in terms of columns that hold parts of it."""
+    for c, part in shared.items():
+        text = text.replace(part, f"`{c}`")
+    return text
 
 
 def parsed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

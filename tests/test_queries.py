@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pathlib
+import re
 
 import duckdb
 import pytest
@@ -10,7 +11,7 @@ import pytest
 import __spark_entry__ as contract
 from check_oracle import TABLES, compare
 from leadloom import sources
-from leadloom.bindings import CATALOG, load
+from leadloom.bindings import CATALOG, derive, load
 from tests.helpers import first_plan
 
 NAMES = sorted(CATALOG.queries)
@@ -93,3 +94,13 @@ def test_sheets_are_written_by_many_tasks(spark, conf, tmp_path, sf_small, monke
     got = contract.queries()["scan_sheet_header_row"](spark, str(tmp_path)).collect()
     assert sorted(map(tuple, got)) == sorted((str(i), p) for i, p in orders)
     assert [len(list(pathlib.Path(p).glob("*.csv"))) for p in read] == [4, 4, 4]
+
+
+def test_derived_tables_run_in_methods_that_are_compiled(spark, capsys, sf_small):
+    """The JVM interprets methods of more than 8,000 bytes."""
+    for name in ("eduqat_enrollments", "purchase_form_data"):
+        capsys.readouterr()
+        derive.raw_text(spark, sf_small, name).explain("codegen")
+        derive.parsed(spark, sf_small, name).explain("codegen")
+        sizes = re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)
+        assert sizes and max(map(int, sizes)) < 8000
