@@ -33,21 +33,23 @@ def need_columns(df: DataFrame, *names: str) -> None:
             raise ValueError(f"exactly one column {name!r} is needed, there are {df.columns}")
 
 
-def with_python(df: DataFrame, inputs: list[Column], func, fields: str) -> DataFrame:
+def with_python(df: DataFrame, inputs: list[str], func, fields: str) -> DataFrame:
     """(row, fields): the rows of df, each as one struct, and columns that func computes from the
-    inputs in Arrow batches. No column of df can clash with the new ones, whatever its name.
+    columns named in Arrow batches. No column of df can clash with the new ones, whatever its name;
+    the inputs travel in the struct only.
 
     func maps a list of Arrow arrays, one per input, to a list of arrays, one per field.
     """
-    src = df.select(F.struct("*").alias("row"), *(c.alias(f"in{i}") for i, c in enumerate(inputs)))
+    src = df.select(F.struct("*").alias("row"))
     extra = T._parse_datatype_string(fields)
     schema = T.StructType([src.schema.fields[0], *extra.fields])
 
-    n = len(inputs)
+    at = [df.columns.index(c) for c in inputs]
 
     def run(batches):
         for b in batches:
-            new = func([b.column(1 + i) for i in range(n)])
-            yield pa.RecordBatch.from_arrays([b.column(0), *new], names=["row", *extra.names])
+            row = b.column(0)
+            new = func([row.field(i) for i in at])
+            yield pa.RecordBatch.from_arrays([row, *new], names=["row", *extra.names])
 
     return src.mapInArrow(run, schema)

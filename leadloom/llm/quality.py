@@ -253,7 +253,7 @@ def scored(docs: DataFrame, scorer: Scorer, text_col: str = "text") -> DataFrame
         parts = [shared.value.score(texts[i : i + 1000]) for i in range(0, len(texts), 1000)]
         return [pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())]
 
-    return with_python(docs, [docs[text_col]], func, "score double")
+    return with_python(docs, [text_col], func, "score double")
 
 
 def quality(

@@ -41,8 +41,8 @@ _DOC = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("frame", "<u4"), ("first",
 
 #: Ids per frame, apart from a longer last document.
 FRAME_IDS = 65_536
-#: Characters that are encoded at once, apart from a longer last text.
-PART_CHARS = 12_000_000
+#: Characters that are encoded at once, apart from a longer last text: some 50 MB in a worker.
+PART_CHARS = 4_000_000
 #: Distinct words whose ids a worker remembers, about, in each of two halves.
 CACHE_WORDS = 600_000
 

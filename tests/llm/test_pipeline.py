@@ -5,13 +5,14 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
 
 import corpus_pipeline
 from check_oracle import TABLES, compare
-from leadloom.llm import quality, queries
+from leadloom.llm import quality, queries, token_files
 
 SF = "/root/testdata/sf0.001"
 
@@ -149,3 +150,18 @@ def test_pipeline_stage_by_stage(spark):
         start += len(t)
     assert sorted(tuple(r) for r in run("token files", mix)) == want
     assert sorted(tuple(r) for r in corpus_pipeline.run(spark, SF).collect()) == want
+
+
+def test_texts_travel_once_and_are_encoded_in_small_parts(spark):
+    """Workers and Arrow buffers of all stages share an executor's memory."""
+    docs = spark.createDataFrame([(1, "Some words here.", "en"), (2, None, None), (3, "", "de")], "doc_id long, text string, lang string")
+    out = quality.scored(docs, quality.fit_scorer([], np.zeros(0)))
+    sent = out._jdf.queryExecution().analyzed().children().head().output()
+    assert sent.length() == 1  # the row, and no second copy of its text
+    want = [float(quality.fit_scorer([], np.zeros(0)).score([t])[0]) for t in ("Some words here.", None, "")]
+    assert [tuple(r.row) for r in out.collect()] == [tuple(r) for r in docs.collect()]
+    assert [r.score for r in out.collect()] == want
+    batch = pa.record_batch([pa.array(range(100)), pa.array(["word " * 20_000] * 100)], ["doc_id", "text"])
+    parts = list(token_files._parts(batch))
+    assert [i for ids, _ in parts for i in ids] == list(range(100))
+    assert max(sum(map(len, texts)) for _, texts in parts) <= 4_200_000
