@@ -20,6 +20,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,37 +44,19 @@ _DOC = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("frame", "<u4"), ("first",
 FRAME_IDS = 65_536
 #: Characters that are encoded at once, apart from a longer last text: some 50 MB in a worker.
 PART_CHARS = 4_000_000
-#: Distinct words whose ids a worker remembers, about, in each of two halves.
+#: Distinct words whose ids a worker remembers at most, once a part is done; some 40 bytes each.
 CACHE_WORDS = 600_000
-
-
-class _Memory(dict):
-    """Computes what neither it nor the memory before it holds."""
-
-    def __init__(self, compute, older: dict | None = None):
-        self.compute = compute
-        self.older = older or {}
-
-    def __missing__(self, key):
-        value = self.older.get(key)
-        if value is None:
-            value = self.compute(key)
-        self[key] = value
-        return value
-
-    def renewed(self) -> _Memory:
-        """Itself, or when it is full a new one that still looks things up in this one."""
-        if len(self) < CACHE_WORDS:
-            return self
-        self.older = {}
-        return _Memory(self.compute, self)
+#: Runs of signs whose ids a worker remembers.
+CACHE_SIGNS = 10_000
 
 
 class Encoder:
     """The tokenizers library with a memory of words.
 
     A byte-level vocabulary never joins across the space before a word, so a text without
-    doubled white space is encoded word by word, and each distinct word once. Most words are
+    doubled white space is encoded word by word, and each distinct word of a part once. What was
+    found is remembered in Arrow arrays, which take a fraction of what Python objects would; when
+    they are full, the words that were used last stay. Most words are
     letters, perhaps with signs after them or a line break between two of them; the letters and
     the signs are units of the vocabulary's own splitting, and the letters go straight to the
     library's merges. All other words, and all other texts, go through the library's whole encoding. Vocabularies
@@ -89,14 +72,16 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
-        self.known = _Memory(self._word)
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
+        self.used = np.zeros(0, np.int64)  # the part in which each word was met last
+        self.part = 0
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         others = [b for b in range(256) if b not in plain]
         self.table = {b: 256 + i for i, b in enumerate(others)}  # the byte-level alphabet
         self.space = chr(self.table[32])
-        self.signs = _Memory(lambda x: self._encode(x).tobytes() if x else b"")
+        self.signs = lru_cache(CACHE_SIGNS)(lambda x: self._encode(x).tobytes() if x else b"")
         probe = " Word, über zwei.\nThree x1 don't é."
-        self.by_word = len(self.signs["\n"]) == 4 and self._by_words([probe])[0] == self._encode(probe).tobytes()
+        self.by_word = len(self.signs("\n")) == 4 and self._by_words([probe])[0] == self._encode(probe).tobytes()
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -107,44 +92,60 @@ class Encoder:
             letters = letters.encode().decode("latin-1").translate(self.table)
         return array("I", [t.id for t in self.tokenize(self.space + letters if space else letters)]).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a word and the space before it."""
+    def _word(self, word: str, known: dict[str, bytes]) -> bytes:
+        """Ids of a word and the space before it; known: those of other words."""
         if word.isascii() and word.isalpha():
             return array("I", [t.id for t in self.tokenize(self.space + word)]).tobytes()
-        return self._line(word, " ")
+        return self._line(word, " ", known)
 
-    def _line(self, word: str, space: str) -> bytes:
+    def _line(self, word: str, space: str, known: dict[str, bytes]) -> bytes:
         found = self._simple(word)
         if found is not None:
             letters, signs = found.groups()
             if not signs:
                 return self._letters(letters, space)
-            known = self.known.get(letters) if space else None  # the same letters without signs
-            return (known or self._letters(letters, space)) + self.signs[signs]
+            same = known.get(letters) if space else None  # the same letters without signs
+            return (same or self._letters(letters, space)) + self.signs(signs)
         head, line, tail = word.partition("\n")
         if not (head and line):
             return self._encode(space + word).tobytes()
-        rest = self._line(tail, "") if tail else b""
-        return self._line(head, space) + self.signs["\n"] + rest
+        rest = self._line(tail, "", known) if tail else b""
+        return self._line(head, space, known) + self.signs("\n") + rest
+
+    def _found(self, words: pa.StringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct words and the space before each, remembered or computed."""
+        self.part += 1
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(at.is_null())
+        known: dict[str, bytes] = {}
+        for w in new.to_pylist():
+            known[w] = self._word(w, known)
+        at = at.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.used[at[at >= 0]] = self.part
+        at[at < 0] = len(self.words) + np.arange(len(new))
+        self.words = pa.concat_arrays([self.words, new])
+        self.ids = pa.concat_arrays([self.ids, pa.array(list(known.values()), pa.large_binary())])
+        self.used = np.concatenate([self.used, np.full(len(new), self.part)])
+        found = self.ids.take(pa.array(at))
+        if len(self.words) > CACHE_WORDS:
+            last = pa.array(np.argsort(-self.used, kind="stable")[: CACHE_WORDS // 2])
+            self.words, self.ids, self.used = self.words.take(last), self.ids.take(last), self.used[last]
+        return found
 
     def _by_words(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts: their distinct words are looked up once, and numpy puts the ids in place."""
-        self.known = self.known.renewed()
+        """Ids of texts: their distinct words are looked up once, and Arrow puts the ids in place."""
         lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
         words = lists.values.dictionary_encode()
         edges = lists.offsets.to_numpy()
-        found = list(map(self.known.__getitem__, words.dictionary.to_pylist()))
-        place = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         first = [t.partition(" ")[0] for t in texts]  # a first word has no space before it
-        place[edges[:-1]] = len(found) + np.arange(len(texts))
-        found += [self._line(w, "") if w else b"" for w in first]
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        ids = np.frombuffer(b"".join(found), "<u4")
-        n = sizes[place]
-        end = np.cumsum(n)
-        out = ids[np.repeat((np.cumsum(sizes) - sizes)[place] - end + n, n) + np.arange(n.sum())]
-        cut = np.concatenate([[0], end])[edges]
-        return [out[i:j].tobytes() for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+        alone = pa.array([self._line(w, "", {}) if w else b"" for w in first], pa.large_binary())
+        place = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        place[edges[:-1]] = len(words.dictionary) + np.arange(len(texts))
+        joined = pa.concat_arrays([self._found(words.dictionary), alone]).take(pa.array(place))
+        _, starts, ids = joined.buffers()
+        cut = np.frombuffer(starts, np.int64)[edges]
+        content = memoryview(ids or b"")
+        return [content[i:j].tobytes() for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
 
     def many(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""

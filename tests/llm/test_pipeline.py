@@ -1,6 +1,7 @@
 """The pipeline, and the operators that SQL expresses, against brute force and SQL."""
 
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -165,3 +166,28 @@ def test_texts_travel_once_and_are_encoded_in_small_parts(spark):
     parts = list(token_files._parts(batch))
     assert [i for ids, _ in parts for i in ids] == list(range(100))
     assert max(sum(map(len, texts)) for _, texts in parts) <= 4_200_000
+
+
+def test_remembered_words_take_little_memory(monkeypatch):
+    """Two workers remember words beside an executor's heap, on text that hardly repeats them as well."""
+    encode = token_files.Encoder(queries.tokenizer_path("byte_bpe_50k.json"))
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghij"))
+    words = sorted({"".join(w) for w in letters[rng.integers(0, 10, (30_000, 9))]})
+    tracemalloc.start()
+    try:
+        before, arrow = tracemalloc.get_traced_memory()[0], pa.total_allocated_bytes()
+        for i in range(0, len(words), 5000):
+            encode.many(["first " + " ".join(words[i : i + 5000])])
+        grown = tracemalloc.get_traced_memory()[0] - before + pa.total_allocated_bytes() - arrow
+    finally:
+        tracemalloc.stop()
+    assert grown < 80 * len(words)
+    # what is forgotten is computed again
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 1000)
+    odd = ["", " ", "a", "two  spaces", "it's don't,\nand so", "x1 é, naïve. ends\n", "\n", "word. word, word! word"]
+    for i in range(0, 6000, 500):
+        texts = [*odd, "first " + " ".join(words[i : i + 500] + words[:50]), " ".join(f"{w}," for w in words[i : i + 50])]
+        assert encode.many(texts) == [encode._encode(t).tobytes() for t in texts]
+        assert len(encode.words) == len(encode.ids) == len(encode.used) <= 1000
+    assert len(set(encode.words.to_pylist())) == len(encode.words)
